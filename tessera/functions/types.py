@@ -55,6 +55,16 @@ def matches_type(v: Column, semantic_type: str, col_name: str = "") -> Column:
     return F.coalesce(v.rlike(PATTERNS[semantic_type]), F.lit(False))
 
 
+def matches_type_named(v: Column, semantic_type: str, name: Column) -> Column:
+    """Like ``matches_type`` with the column name as a column, for long
+    (col, v) data where one expression serves every column."""
+    if semantic_type in COORD_RULES:
+        hint, bound = COORD_RULES[semantic_type]
+        num = F.when(v.rlike(PATTERNS["real"]), v.try_cast("double"))
+        return F.coalesce(F.lower(name).contains(hint) & (F.abs(num) <= F.lit(bound)), F.lit(False))
+    return F.coalesce(v.rlike(PATTERNS[semantic_type]), F.lit(False))
+
+
 def guarded_cast(v: Column, target: str) -> Column:
     """Cast a string column to a Spark type, null unless its pattern holds.
 

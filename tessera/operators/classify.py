@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.types import (PRIORITY, SCORED_TYPES, STORAGE_TYPES, guarded_cast,
-                                     matches_type)
+                                     matches_type_named)
 from tessera.functions.sizing import broadcast_if_small
 
 DEFAULT_THRESHOLD = 0.8  # fixed value: the default probability threshold
@@ -18,30 +18,30 @@ def _texts(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.trim(F.col(c).cast("string")).alias(c) for c in cols])
 
 
+def text_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(col, v): every value of ``cols`` as trimmed text, nulls kept."""
+    return df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.trim(F.col(c).cast("string")).alias("v")) for c in cols])))
+
+
 def type_scores(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
     """Share of non-null values matching each semantic type, per column.
 
-    Long output (col, semantic_type, n, n_match, probability) from ONE
-    aggregate with a ``count_if`` per column and type: one scan, partial
-    aggregation in every task, a one-row exchange.
+    Long output (col, semantic_type, n, n_match, probability). Values are
+    unpivoted once and aggregated by column with one ``count_if`` per type:
+    map-side partial aggregation leaves one row per column and task to
+    shuffle, and the expression count does not grow with the table width.
     """
     cols = cols or df.columns
-    t = _texts(df, cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(c)
-        aggs.append(F.count(v).alias(f"n{i}"))
-        for j, ty in enumerate(SCORED_TYPES):
-            aggs.append(F.count_if(v.isNotNull() & matches_type(v, ty, c)).alias(f"m{i}_{j}"))
-    wide = t.agg(*aggs)
-    rows = []
-    for i, c in enumerate(cols):
-        for j, ty in enumerate(SCORED_TYPES):
-            n, m = F.col(f"n{i}"), F.col(f"m{i}_{j}")
-            rows.append(F.struct(F.lit(c).alias("col"), F.lit(ty).alias("semantic_type"), n.alias("n"),
-                                 m.alias("n_match"),
-                                 F.round(F.when(n > 0, m / n).otherwise(F.lit(0.0)), digits).alias("probability")))
-    return wide.select(F.inline(F.array(*rows)))
+    long = text_long(df, cols)
+    v, name = F.col("v"), F.col("col")
+    g = long.groupBy("col").agg(F.count(v).alias("n"), *[
+        F.count_if(v.isNotNull() & matches_type_named(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES])
+    rows = [F.struct(F.lit(ty).alias("semantic_type"), F.col(f"m_{ty}").alias("n_match")) for ty in SCORED_TYPES]
+    out = g.select("col", "n", F.inline(F.array(*rows)))
+    return out.select("col", "semantic_type", "n", "n_match",
+                      F.round(F.when(F.col("n") > 0, F.col("n_match") / F.col("n")).otherwise(F.lit(0.0)),
+                              digits).alias("probability"))
 
 
 def place_scores(df: DataFrame, cols: list[str], gazetteer_keys: DataFrame, key: str = "key",
@@ -73,12 +73,9 @@ def gate(best: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col, n_rows, n_distinct) from one aggregate."""
-    wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col("__n").alias("n_rows"),
-                                                   F.col(f"d{i}").alias("n_distinct"))
-                                         for i, c in enumerate(cols)])))
+    """(col, n_rows, n_distinct) of the trimmed text of each column."""
+    long = text_long(df, cols)
+    return long.groupBy("col").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("v").alias("n_distinct"))
 
 
 def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DEFAULT_THRESHOLD,
@@ -96,7 +93,7 @@ def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DE
         scores = scores.unionByName(extra_scores)
     g = gate(best_types(scores), threshold)
     if categorical:
-        d = distinct_counts(_texts(df, cols), cols)
+        d = distinct_counts(df, cols)
         g = g.join(d, "col").withColumn(
             "gated_type", F.when((F.col("gated_type") == "unknown") & (F.col("n_distinct") >= 1)
                                  & (F.col("n_distinct") <= F.col("n_rows") * F.lit(ratio)), F.lit("categorical"))
