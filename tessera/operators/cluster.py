@@ -47,12 +47,12 @@ def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6) -
     if k > MAX_CENTROIDS:
         raise ValueError(f"{k} centroids exceed the bound {MAX_CENTROIDS}")
     cents = centroids.agg(F.collect_list(F.struct("cluster", "centroid")).alias("c")).scalar()
-    dists = F.transform(cents, lambda c: F.struct(_sqdist(F.col(vec_col), c["centroid"]).alias("dist"),
-                                                  c["cluster"].alias("cluster")))
-    best = F.array_min(dists)
-    return (df.withColumn("_b", best)
+    dists = F.transform(F.col("_cents"), lambda c: F.struct(_sqdist(F.col(vec_col), c["centroid"]).alias("dist"),
+                                                            c["cluster"].alias("cluster")))
+    return (df.withColumn("_cents", cents)
+            .withColumn("_b", F.array_min(dists))
             .withColumn("cluster", F.col("_b.cluster").cast("bigint"))
-            .withColumn("dist", F.round(F.col("_b.dist"), digits)).drop("_b"))
+            .withColumn("dist", F.round(F.col("_b.dist"), digits)).drop("_b", "_cents"))
 
 
 def cluster_report(assigned: DataFrame, digits: int = 6) -> DataFrame:

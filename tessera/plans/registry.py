@@ -21,4 +21,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries (idempotent)."""
-    from tessera.plans import queries_classify, queries_core, queries_prep  # noqa: F401
+    from tessera.plans import queries_classify, queries_core, queries_prep, queries_stats  # noqa: F401
