@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tessera.sources.tables import TABLES  # noqa: E402
 
 
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
