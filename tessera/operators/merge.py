@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import broadcast_if_small
+from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 
 @dataclass
@@ -19,7 +19,7 @@ class Relation:
     df: DataFrame
     left_key: str
     right_key: str
-    broadcast_rows: int | None = 1_000_000
+    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
 
 
 def _prefixed(rel: Relation, taken: set[str]) -> DataFrame:
@@ -55,7 +55,7 @@ def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
 
 
 def merge_train_target(features: DataFrame, targets: DataFrame, key: str,
-                       broadcast_rows: int | None = 1_000_000) -> DataFrame:
+                       broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Features left-joined to targets by row key, with a ``has_target`` flag."""
     side = targets.withColumn("__hit", F.lit(True))
     if broadcast_rows:

@@ -28,8 +28,11 @@ def _quantiles_exact(df: DataFrame, cols: list[str], probs) -> DataFrame:
     each column's rank window is then read back by a broadcast lookup of a
     few target positions. No column's values ever sit in one task.
     """
-    long = unpivot_values(df, cols)
-    idx = row_index(long, ["col", "v"], "_i")
+    # A random tiebreaker spreads a hot value (one value holding much of a
+    # column) over several range partitions; equal values are
+    # interchangeable, so the quantiles do not depend on it.
+    long = unpivot_values(df, cols).withColumn("_tb", F.rand(17))
+    idx = row_index(long, ["col", "v", "_tb"], "_i")
     spans = idx.groupBy("col").agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
     pos = F.col("_p") * (F.col("_n") - 1)
     targets = (spans.select("col", "_start", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))

@@ -30,8 +30,16 @@ def read_declared(spark: SparkSession, path: str, schema: StructType, header: bo
 
 
 def malformed_count(df: DataFrame) -> DataFrame:
-    """One row: rows read and rows flagged malformed."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT_COL).alias("n_malformed"))
+    """One row: rows read, rows flagged malformed, rows with a null field.
+
+    Every declared column is referenced, so the CSV parser (which prunes
+    unread columns) checks all of them; Spark also refuses a scan of the
+    corrupt-record column alone.
+    """
+    cols = [c for c in df.columns if c != CORRUPT_COL]
+    any_null = F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull()
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT_COL).alias("n_malformed"),
+                  F.count_if(any_null).alias("n_with_null"))
 
 
 def write_csv(df: DataFrame, path: str, header: bool, mode: str = "overwrite") -> None:
