@@ -283,3 +283,23 @@ union all
     for ds, (src, cols) in DATASETS.items() for c in cols))
 def q_post_ingest(spark, sf_dir):
     return _union([post_ingest(spark, n, df, C.classify(df)) for n, df in inputs(spark, sf_dir).items()])
+
+
+# ------------------------------------------------------------- streaming ---
+
+@register("stream_ingest", TYPED_SQL)
+def q_stream_ingest(spark, sf_dir):
+    """The typed ingest of dirty_customer, fed as CSV files to a stream."""
+    from pyspark.sql.types import StructType
+
+    from tessera.sources import files as S
+    from tessera.streaming.file_ingest import start_ingest
+    raw = derived(spark, sf_dir, "dirty_customer")
+    src = scratch_path(spark, "stream-src")
+    S.write_csv(raw.repartition(4), src, header=True)
+    schema = StructType.fromDDL(", ".join(f"{c} string" for c in raw.columns))
+    declared = {"c_custkey": "bigint", "acctbal": "double"}
+    out = scratch_path(spark, "stream-out")
+    q_ = start_ingest(spark, src, schema, declared, out)
+    q_.awaitTermination()
+    return spark.read.parquet(out).select(*raw.columns)
