@@ -30,3 +30,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     every executor.
     """
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Round-robin the rows over the task slots when the input arrives in
+    fewer partitions than there are slots (e.g. one large Parquet row
+    group), before CPU-heavy per-row work such as tokenising whole texts
+    or testing patterns. At scale the scan already yields many more splits
+    than slots and this returns ``df`` unchanged (no extra shuffle).
+
+    Call it on a scan (or a projection of one): asking a frame that
+    contains a shuffle for its partition count would run that shuffle.
+    """
+    slots = slots or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -8,18 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from tessera.functions.sizing import broadcast_if_small
 
 
 @dataclass
 class Relation:
     """One referenced resource: ``df`` joins where ``left_key`` (a column of
-    the merged-so-far table) equals ``right_key`` (a column of ``df``)."""
+    the merged-so-far table) equals ``right_key`` (a column of ``df``).
+
+    ``broadcast_rows=None`` leaves the join strategy to Spark's own size
+    checks (``autoBroadcastJoinThreshold`` on the scan estimate, and AQE on
+    runtime sizes) - right for base tables. A row bound makes the merge
+    prove the side small (one bounded ``take``) and hint a broadcast -
+    useful for derived sides whose estimate Spark cannot make."""
     name: str
     df: DataFrame
     left_key: str
     right_key: str
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
+    broadcast_rows: int | None = None
 
 
 def _prefixed(rel: Relation, taken: set[str]) -> DataFrame:
@@ -55,8 +61,9 @@ def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
 
 
 def merge_train_target(features: DataFrame, targets: DataFrame, key: str,
-                       broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Features left-joined to targets by row key, with a ``has_target`` flag."""
+                       broadcast_rows: int | None = None) -> DataFrame:
+    """Features left-joined to targets by row key, with a ``has_target`` flag.
+    (``broadcast_rows`` as in ``Relation``.)"""
     side = targets.withColumn("__hit", F.lit(True))
     if broadcast_rows:
         side = broadcast_if_small(side, broadcast_rows)

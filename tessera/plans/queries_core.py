@@ -22,7 +22,7 @@ def star_relations(spark, sf_dir):
 
 
 def star(spark, sf_dir):
-    return M.star_merge(table(spark, sf_dir, "lineitem"), star_relations(spark, sf_dir))
+    return M.star_merge(table(spark, sf_dir, "lineitem", spread_rows=True), star_relations(spark, sf_dir))
 
 
 STAR_SQL = """

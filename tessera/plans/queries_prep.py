@@ -114,7 +114,7 @@ def _audit_sql():
     parts = []
     for name, lk, rk, left in rels:
         parts.append(
-            f"select {q(name)} as relation, count(*) as n_left_rows, count_if(k.cnt is null) as n_unmatched, "
+            f"select {q(name)} as relation, count(*) as n_left_rows, count_if(k.cnt is null)::bigint as n_unmatched, "
             f"(select count(*) from (select {rk} from {name} group by {rk} having count(*) > 1)) as n_dup_keys, "
             f"coalesce(sum(greatest(k.cnt - 1, 0)), 0)::bigint as n_fanout_rows "
             f"from {left} left join (select {rk} as kk, count(*) as cnt from {name} group by {rk}) k on {lk} = k.kk")

@@ -37,7 +37,7 @@ def profile_sql(src, cols, dataset_id=None):
 
 @register("summary_profile", profile_sql("lineitem", PROFILE_COLS))
 def q_summary_profile(spark, sf_dir):
-    return Y.profile(table(spark, sf_dir, "lineitem"), PROFILE_COLS)
+    return Y.profile(table(spark, sf_dir, "lineitem", spread_rows=True), PROFILE_COLS)
 
 
 @register("summary_topk", "select * from (select col, value, cnt, row_number() over (partition by col order by "
@@ -57,7 +57,7 @@ from (select l.col, (case when mx = mn then 0 else least(floor((v - mn) / (mx -
       from long l join rng using (col))
 group by col, bin, mn, mx""")
 def q_summary_histogram(spark, sf_dir):
-    return Y.histogram(table(spark, sf_dir, "lineitem"), HIST_COLS, bins=10)
+    return Y.histogram(table(spark, sf_dir, "lineitem", spread_rows=True), HIST_COLS, bins=10)
 
 
 @register("summary_terms", f"""
@@ -71,7 +71,7 @@ select lang, term, tf::bigint as tf, df::bigint as df, score, rank from (
   select *, row_number() over (partition by lang order by score desc, term asc)::bigint as rank from sc)
 where rank <= 10""")
 def q_summary_terms(spark, sf_dir):
-    return Y.text_terms(table(spark, sf_dir, "documents"), "doc_id", "lang", "text", k=10)
+    return Y.text_terms(table(spark, sf_dir, "documents", spread_rows=True), "doc_id", "lang", "text", k=10)
 
 
 # ------------------------------------------------------------------ rank ---

@@ -50,7 +50,7 @@ def scores_sql(src: str, cols: list[str], dataset_id: str | None = None) -> str:
         for ty in SCORED_TYPES:
             parts.append(
                 f"select {ds}{q(c)} as col, {q(ty)} as semantic_type, count({v}) as n, "
-                f"count_if({v} is not null and {match_expr(v, ty, c)}) as n_match, "
+                f"count_if({v} is not null and {match_expr(v, ty, c)})::bigint as n_match, "
                 f"round(case when count({v}) > 0 then count_if({v} is not null and {match_expr(v, ty, c)}) "
                 f"/ count({v}) else 0.0 end, 6) as probability from {src}")
     return "\nunion all\n".join(parts)

@@ -49,6 +49,46 @@ def rows_of(cols, rows):
     return [tuple(norm(r[i]) for i in order) for r in rows]
 
 
+def spark_family(t: str) -> str:
+    t = t.lower()
+    if t in ("tinyint", "smallint", "int", "bigint") or t.startswith("decimal(") and t.endswith(",0)"):
+        return "int"
+    if t in ("float", "double"):
+        return "float"
+    if t.startswith("decimal"):
+        return "decimal"
+    if t.startswith("timestamp"):
+        return "timestamp"
+    return {"string": "string", "boolean": "bool", "date": "date"}.get(t, t.split("<")[0])
+
+
+def duck_family(t: str) -> str:
+    t = t.upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "int"
+    if t in ("FLOAT", "DOUBLE"):
+        return "float"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date"}.get(t, t.lower())
+
+
+SPARK_TO_DUCK = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT",
+                 "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def exact_type(t: str) -> str:
+    """The DuckDB type name a Spark type corresponds to exactly."""
+    if t.startswith("decimal"):
+        return t.upper()
+    if t.startswith("array<"):
+        return exact_type(t[6:-1]) + "[]"
+    return SPARK_TO_DUCK.get(t, t.upper())
+
+
 def compare(spark, sf_dir, name, fn, sql, con):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -57,10 +97,16 @@ def compare(spark, sf_dir, name, fn, sql, con):
     scols = sdf.columns
     if sql is None:
         return dict(name=name, ok=None, rows=len(srows), spark_s=round(t1 - t0, 2), note="no oracle")
+    rel = con.sql(sql)
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     res = dict(name=name, rows=len(srows), oracle_rows=len(drows), spark_s=round(t1 - t0, 2))
+    st = dict(sdf.dtypes)
+    tmis = {c: (st[c], dtypes[c]) for c in st if c in dtypes and exact_type(st[c]) != dtypes[c].upper()}
+    if tmis:
+        res["type_mismatch"] = tmis
     if sorted(scols) != sorted(dcols):
         res.update(ok=False, note=f"columns differ: spark={sorted(scols)} oracle={sorted(dcols)}")
         return res
