@@ -13,75 +13,100 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 
 def unpivot_values(df: DataFrame, cols: list[str], value_type: str = "double",
-                   keep: list[str] | None = None) -> DataFrame:
-    """Long form (``*keep``, col, v) of the non-null values of ``cols``."""
+                   keep: list[str] | None = None, keep_nulls: bool = False) -> DataFrame:
+    """Long form (``*keep``, col, v) of the values of ``cols``."""
     keep = keep or []
     long = df.select(*keep, F.inline(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast(value_type).alias("v")) for c in cols])))
-    return long.where(F.col("v").isNotNull())
+    return long if keep_nulls else long.where(F.col("v").isNotNull())
 
 
-def _quantiles_exact(df: DataFrame, cols: list[str], probs) -> DataFrame:
-    """Exact interpolated quantiles (col, p, value) by a distributed sort.
+def _quantiles_exact(long: DataFrame, keys: list[str], probs) -> DataFrame:
+    """Exact interpolated quantiles (*keys, p, value) of non-null ``v`` per
+    key group, by one distributed sort.
 
-    Values of all columns are range-partitioned on (col, v) and indexed;
-    each column's rank window is then read back by a broadcast lookup of a
-    few target positions. No column's values ever sit in one task.
+    Values of every group are range-partitioned on (keys, v) and indexed;
+    each group's rank window is then read back by a broadcast lookup of a
+    few target positions (a handful per group). No group's values ever sit
+    in one task. A random tiebreaker spreads a hot value (one value holding
+    much of a group) over several range partitions; equal values are
+    interchangeable, so the quantiles do not depend on it.
     """
-    # A random tiebreaker spreads a hot value (one value holding much of a
-    # column) over several range partitions; equal values are
-    # interchangeable, so the quantiles do not depend on it.
-    long = unpivot_values(df, cols).withColumn("_tb", F.rand(17))
-    idx = row_index(long, ["col", "v", "_tb"], "_i")
-    spans = idx.groupBy("col").agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    vals = long.where(F.col("v").isNotNull()).withColumn("_tb", F.rand(17))
+    idx = row_index(vals, [*keys, "v", "_tb"], "_i")
+    spans = idx.groupBy(*keys).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
     pos = F.col("_p") * (F.col("_n") - 1)
-    targets = (spans.select("col", "_start", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-               .select("col", "_p", (F.col("_start") + F.floor(pos)).cast("bigint").alias("_lo"),
+    targets = (spans.select(*keys, "_start", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
+               .select(*keys, "_p", (F.col("_start") + F.floor(pos)).cast("bigint").alias("_lo"),
                        (F.col("_start") + F.ceil(pos)).cast("bigint").alias("_hi"),
                        (pos - F.floor(pos)).alias("_frac")))
+    # Two positions per group and probability: bounded by the schema.
     wanted = targets.select(F.col("_lo").alias("_i")).union(targets.select(F.col("_hi").alias("_i"))).distinct()
-    vals = idx.join(F.broadcast(wanted), "_i").select("_i", "v")
-    lo = vals.select(F.col("_i").alias("_lo"), F.col("v").alias("_vlo"))
-    hi = vals.select(F.col("_i").alias("_hi"), F.col("v").alias("_vhi"))
+    got = idx.join(F.broadcast(wanted), "_i").select("_i", "v")
+    lo = got.select(F.col("_i").alias("_lo"), F.col("v").alias("_vlo"))
+    hi = got.select(F.col("_i").alias("_hi"), F.col("v").alias("_vhi"))
     return (targets.join(F.broadcast(lo), "_lo").join(F.broadcast(hi), "_hi")
-            .select("col", F.col("_p").alias("p"),
+            .select(*keys, F.col("_p").alias("p"),
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
 
 
-def _quantiles_approx(df: DataFrame, cols: list[str], probs, accuracy: int = 10000) -> DataFrame:
-    aggs = [F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in cols]
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.lit(float(p)).alias("p"), F.col(c)[i].alias("value"))
-        for c in cols for i, p in enumerate(probs)])))
+def _quantiles_approx(long: DataFrame, keys: list[str], probs, accuracy: int = 10000) -> DataFrame:
+    q = long.groupBy(*keys).agg(F.percentile_approx("v", list(probs), accuracy).alias("_q"))
+    return q.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(float(p)).alias("p"), F.col("_q")[i].alias("value")) for i, p in enumerate(probs)])))
 
 
-def profile(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 6) -> DataFrame:
-    """Column profile: n, n_null, n_distinct, mean, stddev, p25, p50, p75,
-    min, max; one row per column.
+def _key_rows(spark, keys: list[str], rows: list[tuple]) -> DataFrame:
+    """A small literal frame of the expected key combinations."""
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, r)]) for r in rows])))
+
 
-    ``exact=False`` swaps the distributed sort for bounded sketches
-    (``percentile_approx``, ``approx_count_distinct``).
+def profile_long(long: DataFrame, keys: list[str], exact: bool = True, digits: int = 6,
+                 expected: DataFrame | None = None) -> DataFrame:
+    """Profile of ``v`` per key group of a long table (nulls included):
+    n, n_null, n_distinct, mean, stddev, p25, p50, p75, min, max.
+
+    One aggregate by the keys (partial aggregation in every task) and, for
+    exact quartiles, one distributed sort for all groups together.
+    ``exact=False`` swaps in bounded sketches (``percentile_approx``,
+    ``approx_count_distinct``).
     """
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        nd = F.count_distinct(x) if exact else F.approx_count_distinct(x)
-        aggs += [F.count(x).alias(f"nn{i}"), nd.alias(f"nd{i}"), F.avg(x).alias(f"mu{i}"),
-                 F.stddev_samp(x).alias(f"sd{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    stats = wide.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("col"), F.col("__n").alias("n"), (F.col("__n") - F.col(f"nn{i}")).alias("n_null"),
-        F.col(f"nd{i}").cast("bigint").alias("n_distinct"), F.col(f"mu{i}").alias("mean"),
-        F.col(f"sd{i}").alias("stddev"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)])))
-    q = (_quantiles_exact if exact else _quantiles_approx)(df, cols, QUARTILES)
-    qw = q.groupBy("col").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}")
-                                for p in QUARTILES])
+    v = F.col("v")
+    nd = F.count_distinct(v) if exact else F.approx_count_distinct(v)
+    stats = long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"),
+        nd.cast("bigint").alias("n_distinct"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    q = (_quantiles_exact if exact else _quantiles_approx)(long, keys, QUARTILES)
+    qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}")
+                               for p in QUARTILES])
     r = lambda c: F.round(F.col(c), digits).alias(c)
-    return (stats.join(qw, "col", "left")
-            .select("col", "n", "n_null", "n_distinct", r("mean"), r("stddev"),
-                    r("p25"), r("p50"), r("p75"), r("min"), r("max")))
+    out = stats.join(qw, keys, "left")
+    if expected is not None:  # every expected group gets a row, even with no rows at all
+        out = expected.join(out, keys, "left")
+    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return out.select(*keys, z("n"), z("n_null"), z("n_distinct"), r("mean"), r("stddev"),
+                      r("p25"), r("p50"), r("p75"), r("min"), r("max"))
+
+
+def profile(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 6) -> DataFrame:
+    """Column profile, one row per column (see ``profile_long``)."""
+    expected = _key_rows(df.sparkSession, ["col"], [(c,) for c in cols])
+    return profile_long(unpivot_values(df, cols, keep_nulls=True), ["col"], exact, digits, expected)
+
+
+def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool = True,
+                 digits: int = 6) -> DataFrame:
+    """Profiles of several datasets in one plan: their long values are
+    unioned under a ``dataset_id`` key, aggregated once and sorted once."""
+    long = None
+    for name, (df, cols) in datasets.items():
+        part = unpivot_values(df, cols, keep=[F.lit(name).alias("dataset_id")], keep_nulls=True)
+        long = part if long is None else long.unionByName(part)
+    expected = _key_rows(long.sparkSession, ["dataset_id", "col"],
+                         [(n, c) for n, (_, cols) in datasets.items() for c in cols])
+    return profile_long(long, ["dataset_id", "col"], exact, digits, expected)
 
 
 def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:

@@ -1,7 +1,9 @@
 """Run one stage over a list of datasets as one Spark plan.
 
 Each dataset's long result carries its ``dataset_id``; the union is one
-job per stage, not one session (or one job) per dataset.
+plan per stage, not one session per dataset. Stages whose work is a
+per-group aggregate do better still by unioning the inputs first
+(``summary.profile_many``: one aggregate and one sort for all datasets).
 """
 
 from __future__ import annotations

@@ -186,9 +186,7 @@ BATCH = {"customer": ["c_acctbal", "c_nationkey"], "supplier": ["s_acctbal", "s_
 
 @register("batch_profile", "\nunion all\n".join(profile_sql(t, cols, t) for t, cols in BATCH.items()))
 def q_batch_profile(spark, sf_dir):
-    from tessera.plans.batch import run_stage
-    return run_stage({t: (table(spark, sf_dir, t), cols) for t, cols in BATCH.items()},
-                     lambda df, cols: Y.profile(df, cols))
+    return Y.profile_many({t: (table(spark, sf_dir, t), cols) for t, cols in BATCH.items()})
 
 
 # ------------------------------------------------------------ end to end ---
@@ -198,6 +196,6 @@ def q_prepare_and_ingest(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
     rels = [M.Relation("customer", t("customer"), "o_custkey", "c_custkey"),
             M.Relation("nation", t("nation"), "c_nationkey", "n_nationkey")]
-    cat = prepare_and_ingest(spark, "orders", t("orders"), rels, "o_totalprice",
+    cat = prepare_and_ingest(spark, "orders", table(spark, sf_dir, "orders", spread_rows=True), rels, "o_totalprice",
                              scratch_path(spark, "catalog"), scratch_path(spark, "typed"))
     return cat.select("dataset_id", "source", "dataset_type", "n_rows", F.inline("variables"))
