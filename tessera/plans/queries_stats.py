@@ -191,7 +191,40 @@ def q_batch_profile(spark, sf_dir):
 
 # ------------------------------------------------------------ end to end ---
 
-@register("prepare_and_ingest")
+def _prepare_sql():
+    from tessera.plans.queries_classify import _declared_sql
+    from tessera.plans.sqlgen import (best_sql, cast_expr, classify_sql, clean_expr, distinct_sql, scores_sql,
+                                      storage_values)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+            "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "n_name", "n_regionkey"]
+    strs = {"o_orderstatus", "o_orderpriority"}
+    merged = ("merged AS (select " + ", ".join(f"{clean_expr(c)} as {c}" if c in strs else c for c in cols)
+              + " from orders left join customer on o_custkey = c_custkey"
+              " left join nation on c_nationkey = n_nationkey)")
+    num = "\nunion all\n".join(
+        f"select {q(c)} as col, {i} as ord, corr({cast_expr(c, 'double')}, o_totalprice) as r, "
+        f"min({cast_expr(c, 'double')}) as mn, max({cast_expr(c, 'double')}) as mx from merged"
+        for i, c in enumerate(cols))
+    return f"""WITH {merged},
+scores AS ({scores_sql('merged', cols)}),
+dist AS ({distinct_sql('merged', cols)}),
+best AS ({best_sql('scores')}),
+cls AS ({classify_sql('best', 'dist')}),
+decl AS ({_declared_sql('merged', cols)}),
+nums AS ({num}),
+v AS (select nums.col, nums.ord, decl.declared, cls.semantic_type as suggested, cls.probability,
+        coalesce(st.storage, decl.declared) as selected, nums.r, nums.mn, nums.mx
+      from nums join decl using (col) join cls using (col) left join {storage_values()}
+        on st.semantic_type = cls.semantic_type)
+select 'orders' as dataset_id, 'seed' as source, 'modelling' as dataset_type,
+  (select count(*) from merged) as n_rows, col, ord, declared, suggested, probability, selected,
+  case when selected in ('bigint', 'double') and col <> 'o_totalprice' then round(abs(r), 6) end as importance,
+  case when selected in ('bigint', 'double') then mn end as min,
+  case when selected in ('bigint', 'double') then mx end as max
+from v"""
+
+
+@register("prepare_and_ingest", _prepare_sql())
 def q_prepare_and_ingest(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
     rels = [M.Relation("customer", t("customer"), "o_custkey", "c_custkey"),
