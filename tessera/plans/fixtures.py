@@ -35,6 +35,9 @@ union all select n_name, 'alias', cast(0 as double), cast(0 as double), 9 from {
     "places": """
 select c_custkey, case when c_custkey%17=0 then 'Atlantis' else concat(' ',lower(n_name),' ') end as place_raw
 from {customer} join {nation} on c_nationkey=n_nationkey""",
+    "contacts": """
+select doc_id, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{{2,}}', 0) as contact, lang
+from {documents}""",
     "declared": """
 select 'c_custkey' as col, 'bigint' as declared, 0 as ord
 union all select 'c_name','string',1 union all select 'c_nationkey','string',2
@@ -45,6 +48,7 @@ SOURCES = {
     "bands": ["events"],
     "gazetteer": ["nation", "region"],
     "places": ["customer", "nation"],
+    "contacts": ["documents"],
     "declared": [],
 }
 

@@ -303,3 +303,43 @@ def q_stream_ingest(spark, sf_dir):
     q_ = start_ingest(spark, src, schema, declared, out)
     q_.awaitTermination()
     return spark.read.parquet(out).select(*raw.columns)
+
+
+# ------------------------------------------ url, email and place types ---
+
+EXT_DATASETS = {"pages": ("pages", ["page_id", "url", "html"]),
+                "places": ("places", ["c_custkey", "place_raw"]),
+                "contacts": ("contacts_clean", ["doc_id", "contact", "lang"])}
+
+
+def _place_sql(src, cols, ds):
+    return "\nunion all\n".join(
+        f"select {q(ds)} as dataset_id, {q(c)} as col, 'place' as semantic_type, count(*) as n, "
+        f"count(r.key)::bigint as n_match, round(count(r.key) / count(*), 6) as probability "
+        f"from (select upper(trim(cast({c} as varchar))) as v from {src} where {c} is not null) x "
+        f"left join red r on x.v = r.key" for c in cols)
+
+
+def _extended_sql():
+    from tessera.plans.queries_stats import GAZ_RED
+    scores = "\nunion all\n".join(scores_sql(src, cols, ds) + "\nunion all\n" + _place_sql(src, cols, ds)
+                                    for ds, (src, cols) in EXT_DATASETS.items())
+    dist = "\nunion all\n".join(distinct_sql(src, cols, ds) for ds, (src, cols) in EXT_DATASETS.items())
+    return with_ctes(["gazetteer", "places", "contacts"], [
+        GAZ_RED,
+        "contacts_clean AS (select doc_id, " + clean_expr("contact") + " as contact, lang from contacts)",
+        f"scores AS ({scores})", f"dist AS ({dist})",
+        "best AS (" + best_sql("scores", "dataset_id, col") + ")",
+        "cls AS (" + classify_sql("best", "dist", "dataset_id, col") + ")"]) + "select * from cls"
+
+
+@register("classify_extended", _extended_sql())
+def q_classify_extended(spark, sf_dir):
+    from tessera.operators import clean as T
+    from tessera.operators.geocode import reduce_gazetteer
+    keys = reduce_gazetteer(derived(spark, sf_dir, "gazetteer")).select("key")
+    ins = {"pages": table(spark, sf_dir, "pages").select("page_id", "url", "html"),
+           "places": derived(spark, sf_dir, "places"),
+           "contacts": T.clean_null_tokens(derived(spark, sf_dir, "contacts"), ["contact"])}
+    return _union([C.classify(df, extra_scores=C.place_scores(df, df.columns, keys))
+                   .select(F.lit(n).alias("dataset_id"), "*") for n, df in ins.items()])
