@@ -152,16 +152,19 @@ def text_terms(docs: DataFrame, doc_col: str, group_col: str, text_col: str,
     """Top TF-IDF terms per group (group, term, tf, df, score, rank).
 
     tf = occurrences of the term in the group, df = documents containing it
-    (over all documents), score = tf * ln(N / df). Whole texts are
-    tokenised; ties go to the smaller term.
+    (over all documents; each document belongs to one group), score =
+    tf * ln(N / df). Whole texts are tokenised; ties go to the smaller term.
+
+    One aggregate by (group, term) yields tf and the group's document count
+    (its distinct step combines map-side); df is their sum over a window by
+    term, which holds one row per group. The top-k window runs behind a
+    partial group limit, so a hot group sends at most k rows per task.
     """
     tokens = docs.select(doc_col, group_col,
                          F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM_PATTERN), 0)).alias("term"))
-    pairs = tokens.groupBy(doc_col, group_col, "term").agg(F.count(F.lit(1)).alias("_c"))
-    tf = pairs.groupBy(group_col, "term").agg(F.sum("_c").alias("tf"))
-    df_ = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    g = tokens.groupBy(group_col, "term").agg(F.count(F.lit(1)).alias("tf"), F.count_distinct(doc_col).alias("_dfg"))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    scored = (tf.join(df_, "term")
+    scored = (g.withColumn("df", F.sum("_dfg").over(Window.partitionBy("term")))
               .withColumn("score", F.round(F.col("tf") * F.ln(n_docs / F.col("df")), digits)))
     w = Window.partitionBy(group_col).orderBy(F.desc("score"), F.asc("term"))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
