@@ -96,7 +96,7 @@ def q_rank_row_limit(spark, sf_dir):
 
 @register("rank_pca")
 def q_rank_pca(spark, sf_dir):
-    return R.pca_importance(table(spark, sf_dir, "lineitem"), PROFILE_COLS)
+    return R.pca_importance(table(spark, sf_dir, "lineitem", spread_rows=True), PROFILE_COLS)
 
 
 CORR_SQL = "\nunion all\n".join(

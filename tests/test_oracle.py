@@ -29,8 +29,9 @@ def test_rows_only(spark, sf_dir, name):
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["col", "min_value", "max_value"]
-    assert df.count() == 6
+    assert df.columns == ["dataset_id", "source", "dataset_type", "n_rows", "col", "ord", "declared",
+                          "suggested", "probability", "selected", "importance", "min", "max"]
+    assert df.count() == 12
 
 
 def test_oracle_keys_subset():
