@@ -72,15 +72,20 @@ def gate(best: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
                            .otherwise(F.lit("unknown")))
 
 
-def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col, n_rows, n_distinct) of the trimmed text of each column."""
+def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
+    """(col, n_rows, n_distinct) of the trimmed text of each column.
+
+    ``exact=False`` counts with a bounded HyperLogLog++ sketch instead of
+    shuffling every distinct value (enough for a 5% cardinality test).
+    """
     long = text_long(df, cols)
-    return long.groupBy("col").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("v").alias("n_distinct"))
+    nd = F.count_distinct("v") if exact else F.approx_count_distinct("v")
+    return long.groupBy("col").agg(F.count(F.lit(1)).alias("n_rows"), nd.cast("bigint").alias("n_distinct"))
 
 
 def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DEFAULT_THRESHOLD,
              categorical: bool = True, ratio: float = CATEGORICAL_RATIO,
-             extra_scores: DataFrame | None = None) -> DataFrame:
+             extra_scores: DataFrame | None = None, exact_distinct: bool = True) -> DataFrame:
     """Suggested semantic type per column (col, semantic_type, probability).
 
     Score, pick the best, gate at ``threshold``; then, if enabled, a column
@@ -93,7 +98,7 @@ def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DE
         scores = scores.unionByName(extra_scores)
     g = gate(best_types(scores), threshold)
     if categorical:
-        d = distinct_counts(df, cols)
+        d = distinct_counts(df, cols, exact_distinct)
         g = g.join(d, "col").withColumn(
             "gated_type", F.when((F.col("gated_type") == "unknown") & (F.col("n_distinct") >= 1)
                                  & (F.col("n_distinct") <= F.col("n_rows") * F.lit(ratio)), F.lit("categorical"))
