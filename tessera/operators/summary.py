@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.index import row_index
+from tessera.operators.index import locate_ranks
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -23,29 +23,26 @@ def unpivot_values(df: DataFrame, cols: list[str], value_type: str = "double",
 
 def _quantiles_exact(long: DataFrame, keys: list[str], probs) -> DataFrame:
     """Exact interpolated quantiles (*keys, p, value) of non-null ``v`` per
-    key group, by one distributed sort.
-
-    Values of every group are range-partitioned on (keys, v) and indexed;
-    each group's rank window is then read back by a broadcast lookup of a
-    few target positions (a handful per group). No group's values ever sit
-    in one task. A random tiebreaker spreads a hot value (one value holding
-    much of a group) over several range partitions; equal values are
-    interchangeable, so the quantiles do not depend on it.
+    key group (linear interpolation between the two nearest ranks).
+
+    Values are first reduced to (keys, v, count) with map-side combining,
+    so the distributed sort runs over distinct values only and a hot value
+    is one weighted row; the ranks are then located slice by slice
+    (``index.locate_ranks``). No group's values ever sit in one task.
     """
-    vals = long.where(F.col("v").isNotNull()).withColumn("_tb", F.rand(17))
-    idx = row_index(vals, [*keys, "v", "_tb"], "_i")
-    spans = idx.groupBy(*keys).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    weighted = long.where(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_w"))
+    sizes = weighted.groupBy(*keys).agg(F.sum("_w").alias("_n"))
     pos = F.col("_p") * (F.col("_n") - 1)
-    targets = (spans.select(*keys, "_start", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-               .select(*keys, "_p", (F.col("_start") + F.floor(pos)).cast("bigint").alias("_lo"),
-                       (F.col("_start") + F.ceil(pos)).cast("bigint").alias("_hi"),
-                       (pos - F.floor(pos)).alias("_frac")))
-    # Two positions per group and probability: bounded by the schema.
-    wanted = targets.select(F.col("_lo").alias("_i")).union(targets.select(F.col("_hi").alias("_i"))).distinct()
-    got = idx.join(F.broadcast(wanted), "_i").select("_i", "v")
-    lo = got.select(F.col("_i").alias("_lo"), F.col("v").alias("_vlo"))
-    hi = got.select(F.col("_i").alias("_hi"), F.col("v").alias("_vhi"))
-    return (targets.join(F.broadcast(lo), "_lo").join(F.broadcast(hi), "_hi")
+    targets = (sizes.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
+               .select(*keys, "_p", F.floor(pos).cast("bigint").alias("_lo"),
+                       F.ceil(pos).cast("bigint").alias("_hi"), (pos - F.floor(pos)).alias("_frac")))
+    ranks = targets.select(*keys, F.col("_lo").alias("rank")).union(
+        targets.select(*keys, F.col("_hi").alias("rank"))).distinct()
+    got = locate_ranks(weighted, keys, "v", "_w", ranks)
+    # Targets: a few ranks per group and probability - bounded by the schema.
+    lo = got.select(*keys, F.col("rank").alias("_lo"), F.col("v").alias("_vlo"))
+    hi = got.select(*keys, F.col("rank").alias("_hi"), F.col("v").alias("_vhi"))
+    return (targets.join(F.broadcast(lo), [*keys, "_lo"]).join(F.broadcast(hi), [*keys, "_hi"])
             .select(*keys, F.col("_p").alias("p"),
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
 

@@ -170,3 +170,29 @@ def test_column_flags(spark):
     assert got == {"a": (False, False, True), "k": (False, True, False), "e": (True, False, False),
                    "p": (False, False, True)}
     assert T.drop_empty_constant(df).columns == ["a", "p"]
+
+
+def test_exact_quantiles_hot_value_many_partitions(spark):
+    rng = np.random.default_rng(11)
+    xs = np.concatenate([np.full(700, 5.0), rng.integers(0, 1000, 1400).astype(float)])
+    rng.shuffle(xs)
+    df = spark.createDataFrame([(float(x), "g" if i % 2 else "h") for i, x in enumerate(xs)], "x double, g string")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        p = {r["col"]: r for r in Y.profile(df, ["x"]).collect()}["x"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        assert p[name] == pytest.approx(float(np.quantile(xs, q)), abs=1e-6)
+    assert p["n_distinct"] == len(set(xs.tolist()))
+
+
+def test_locate_ranks_across_slices(spark):
+    from tessera.operators.index import locate_ranks
+    w = spark.createDataFrame([("a", float(v), c) for v, c in [(1, 3), (2, 1), (3, 5), (4, 2)]] +
+                              [("b", 10.0, 4)], "k string, v double, w bigint")
+    t = spark.createDataFrame([("a", r) for r in range(11)] + [("b", 3)], "k string, rank bigint")
+    got = {(r["k"], r["rank"]): r["v"] for r in locate_ranks(w, ["k"], "v", "w", t, num_partitions=3).collect()}
+    want = [1, 1, 1, 2, 3, 3, 3, 3, 3, 4, 4]
+    assert {r: got[("a", r)] for r in range(11)} == {r: float(v) for r, v in enumerate(want)}
+    assert got[("b", 3)] == 10.0
