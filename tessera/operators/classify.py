@@ -8,22 +8,55 @@ from pyspark.sql import functions as F
 
 from tessera.functions.types import (PRIORITY, SCORED_TYPES, STORAGE_TYPES, guarded_cast,
                                      matches_type_named)
-from tessera.functions.sizing import broadcast_if_small
+from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 DEFAULT_THRESHOLD = 0.8  # fixed value: the default probability threshold
 CATEGORICAL_RATIO = 0.05  # fixed value: distinct values at most this share of rows
 
 
-def _texts(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.trim(F.col(c).cast("string")).alias(c) for c in cols])
-
-
 def text_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col, v): every value of ``cols`` as trimmed text, nulls kept."""
     return df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("col"), F.trim(F.col(c).cast("string")).alias("v")) for c in cols])))
 
 
+def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
+    """Long scores (col, semantic_type, n, n_match, probability) from the
+    per-column counts ``n`` and ``m_<type>``."""
+    rows = [F.struct(F.lit(ty).alias("semantic_type"), F.col(f"m_{ty}").alias("n_match")) for ty in types]
+    out = g.select("col", "n", F.inline(F.array(*rows)))
+    return out.select("col", "semantic_type", "n", "n_match",
+                      F.round(F.when(F.col("n") > 0, F.col("n_match") / F.col("n")).otherwise(F.lit(0.0)),
+                              digits).alias("probability"))
+
+
+def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: DataFrame | None = None,
+                 distinct: bool = True, exact_distinct: bool = True,
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Everything classification needs, per column, from ONE aggregate over
+    the unpivoted text: rows, non-null values, a match count per semantic
+    type (``m_<type>``), distinct values and, given gazetteer keys, place
+    hits (``m_place``, via a size-checked broadcast join before the
+    aggregate; ``broadcast_rows=None`` when the caller already checked and
+    hinted the keys, or leaves the join to the planner)."""
+    cols = cols or df.columns
+    long = text_long(df, cols)
+    v, name = F.col("v"), F.col("col")
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n")]
+    aggs += [F.count_if(v.isNotNull() & matches_type_named(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES]
+    if gazetteer_keys is not None:
+        keys = gazetteer_keys.select(F.col(gazetteer_keys.columns[0]).alias("_key")).distinct() \
+            .withColumn("_hit", F.lit(1))
+        if broadcast_rows:
+            keys = broadcast_if_small(keys, broadcast_rows)
+        long = long.join(keys, F.upper(v) == F.col("_key"), "left")
+        aggs.append(F.count("_hit").alias("m_place"))
+    if distinct:
+        nd = F.count_distinct(v) if exact_distinct else F.approx_count_distinct(v)
+        aggs.append(nd.cast("bigint").alias("n_distinct"))
+    return long.groupBy("col").agg(*aggs)
+
+
 def type_scores(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
     """Share of non-null values matching each semantic type, per column.
 
@@ -32,16 +65,7 @@ def type_scores(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -
     map-side partial aggregation leaves one row per column and task to
     shuffle, and the expression count does not grow with the table width.
     """
-    cols = cols or df.columns
-    long = text_long(df, cols)
-    v, name = F.col("v"), F.col("col")
-    g = long.groupBy("col").agg(F.count(v).alias("n"), *[
-        F.count_if(v.isNotNull() & matches_type_named(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES])
-    rows = [F.struct(F.lit(ty).alias("semantic_type"), F.col(f"m_{ty}").alias("n_match")) for ty in SCORED_TYPES]
-    out = g.select("col", "n", F.inline(F.array(*rows)))
-    return out.select("col", "semantic_type", "n", "n_match",
-                      F.round(F.when(F.col("n") > 0, F.col("n_match") / F.col("n")).otherwise(F.lit(0.0)),
-                              digits).alias("probability"))
+    return _score_rows(column_stats(df, cols, distinct=False), SCORED_TYPES, digits)
 
 
 def place_scores(df: DataFrame, cols: list[str], gazetteer_keys: DataFrame, key: str = "key",
@@ -85,21 +109,22 @@ def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True) -> DataF
 
 def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DEFAULT_THRESHOLD,
              categorical: bool = True, ratio: float = CATEGORICAL_RATIO,
-             extra_scores: DataFrame | None = None, exact_distinct: bool = True) -> DataFrame:
+             gazetteer_keys: DataFrame | None = None, exact_distinct: bool = True,
+             digits: int = 6, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Suggested semantic type per column (col, semantic_type, probability).
 
-    Score, pick the best, gate at ``threshold``; then, if enabled, a column
-    left ``unknown`` whose distinct count is at most ``ratio`` of the rows
-    (and at least one) becomes ``categorical``.
+    Score (``place`` too when gazetteer keys are given), pick the best,
+    gate at ``threshold``; then, if enabled, a column left ``unknown`` whose
+    distinct count is at most ``ratio`` of the rows (and at least one)
+    becomes ``categorical``. All counts come from one aggregate
+    (``column_stats``), so the input is read once.
     """
-    cols = cols or df.columns
-    scores = type_scores(df, cols)
-    if extra_scores is not None:
-        scores = scores.unionByName(extra_scores)
-    g = gate(best_types(scores), threshold)
+    stats = column_stats(df, cols, gazetteer_keys, distinct=categorical, exact_distinct=exact_distinct,
+                         broadcast_rows=broadcast_rows)
+    types = SCORED_TYPES + (["place"] if gazetteer_keys is not None else [])
+    g = gate(best_types(_score_rows(stats, types, digits)), threshold)
     if categorical:
-        d = distinct_counts(df, cols, exact_distinct)
-        g = g.join(d, "col").withColumn(
+        g = g.join(stats.select("col", "n_rows", "n_distinct"), "col").withColumn(
             "gated_type", F.when((F.col("gated_type") == "unknown") & (F.col("n_distinct") >= 1)
                                  & (F.col("n_distinct") <= F.col("n_rows") * F.lit(ratio)), F.lit("categorical"))
             .otherwise(F.col("gated_type")))

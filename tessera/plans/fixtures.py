@@ -53,9 +53,10 @@ SOURCES = {
 }
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derived input ``name`` as a lazy DataFrame."""
-    dfs = {t: table(spark, sf_dir, t) for t in SOURCES[name]}
+def derived(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """The derived input ``name`` as a lazy DataFrame (``spread_rows`` as in
+    ``tables.table``)."""
+    dfs = {t: table(spark, sf_dir, t, spread_rows) for t in SOURCES[name]}
     return spark.sql(DERIVED[name], **dfs)
 
 

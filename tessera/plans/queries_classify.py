@@ -337,9 +337,11 @@ def _extended_sql():
 def q_classify_extended(spark, sf_dir):
     from tessera.operators import clean as T
     from tessera.operators.geocode import reduce_gazetteer
-    keys = reduce_gazetteer(derived(spark, sf_dir, "gazetteer")).select("key")
-    ins = {"pages": table(spark, sf_dir, "pages").select("page_id", "url", "html"),
+    from tessera.functions.sizing import broadcast_if_small
+    # Checked once here, then reused as a broadcast side by every dataset.
+    keys = broadcast_if_small(reduce_gazetteer(derived(spark, sf_dir, "gazetteer")).select("key"))
+    ins = {"pages": table(spark, sf_dir, "pages", spread_rows=True).select("page_id", "url", "html"),
            "places": derived(spark, sf_dir, "places"),
-           "contacts": T.clean_null_tokens(derived(spark, sf_dir, "contacts"), ["contact"])}
-    return _union([C.classify(df, extra_scores=C.place_scores(df, df.columns, keys))
-                   .select(F.lit(n).alias("dataset_id"), "*") for n, df in ins.items()])
+           "contacts": T.clean_null_tokens(derived(spark, sf_dir, "contacts", spread_rows=True), ["contact"])}
+    return _union([C.classify(df, gazetteer_keys=keys, broadcast_rows=None).select(F.lit(n).alias("dataset_id"), "*")
+                   for n, df in ins.items()])
