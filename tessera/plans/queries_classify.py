@@ -48,7 +48,8 @@ def _union(frames):
 
 
 def _per_dataset(spark, sf_dir, fn):
-    return _union([fn(df).select(F.lit(name).alias("dataset_id"), "*") for name, df in inputs(spark, sf_dir).items()])
+    from tessera.plans.batch import run_stage
+    return run_stage({n: (df, df.columns) for n, df in inputs(spark, sf_dir).items()}, lambda df, cols: fn(df))
 
 
 SCORES_CTE = "scores AS (" + "\nunion all\n".join(
