@@ -44,3 +44,13 @@ def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
     """
     slots = slots or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def small_frame(spark, fields: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
+    """A frame of a handful of driver-side rows (schema-sized results that
+    were already collected), built as literals: no Python serialisation
+    and no extra job. ``fields`` are (name, Spark SQL type) pairs."""
+    if not rows:
+        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in fields))
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, r)]) for r in rows])))

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.sizing import small_frame
 from tessera.operators.index import locate_ranks
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -55,8 +56,7 @@ def _quantiles_approx(long: DataFrame, keys: list[str], probs, accuracy: int = 1
 
 def _key_rows(spark, keys: list[str], rows: list[tuple]) -> DataFrame:
     """A small literal frame of the expected key combinations."""
-    return spark.range(1).select(F.inline(F.array(*[
-        F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, r)]) for r in rows])))
+    return small_frame(spark, [(k, "string") for k in keys], rows)
 
 
 def profile_long(long: DataFrame, keys: list[str], exact: bool = True, digits: int = 6,

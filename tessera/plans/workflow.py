@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.sizing import small_frame
 from tessera.functions.types import STORAGE_TYPES, guarded_cast
 from tessera.operators import classify as C
 from tessera.operators import clean as T
@@ -107,8 +108,11 @@ def prepare_and_ingest(spark: SparkSession, dataset_id: str, main: DataFrame, re
     ensure_checkpoint_dir(spark)
     merged = M.star_merge(T.clean_null_tokens(main), relations)
     merged = merged.checkpoint(eager=True)  # read by every later stage
-    cls = C.classify(merged, threshold=threshold)
-    sel = {r["col"]: STORAGE_TYPES[r["semantic_type"]] for r in cls.collect()}  # one row per column
+    # One row per column; collected once and re-used as a literal frame.
+    got = C.classify(merged, threshold=threshold).collect()
+    sel = {r["col"]: STORAGE_TYPES[r["semantic_type"]] for r in got}
+    cls = small_frame(spark, [("col", "string"), ("semantic_type", "string"), ("probability", "double")],
+                      [(r["col"], r["semantic_type"], r["probability"]) for r in got])
     typed = merged.select(*[guarded_cast(F.col(c), sel[c]).alias(c) for c in merged.columns])
     num = [c for c in typed.columns if sel[c] in NUMERIC_STORAGE and c != target]
     imp = R.rank_importance(R.corr_importance(typed, num, target)) if num else None
