@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.sizing import small_frame
 from tessera.operators.index import locate_ranks
+from tessera.session import ensure_checkpoint_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -22,16 +23,22 @@ def unpivot_values(df: DataFrame, cols: list[str], value_type: str = "double",
     return long if keep_nulls else long.where(F.col("v").isNotNull())
 
 
-def _quantiles_exact(long: DataFrame, keys: list[str], probs) -> DataFrame:
-    """Exact interpolated quantiles (*keys, p, value) of non-null ``v`` per
-    key group (linear interpolation between the two nearest ranks).
+def weighted_values(long: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, v, _w): each distinct value (null included) with its count.
+    Map-side combining makes a hot value one row per task."""
+    return long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_w"))
 
-    Values are first reduced to (keys, v, count) with map-side combining,
-    so the distributed sort runs over distinct values only and a hot value
-    is one weighted row; the ranks are then located slice by slice
-    (``index.locate_ranks``). No group's values ever sit in one task.
+
+def _quantiles_exact(weighted: DataFrame, keys: list[str], probs) -> DataFrame:
+    """Exact interpolated quantiles (*keys, p, value) of the non-null values
+    per key group (linear interpolation between the two nearest ranks).
+
+    Works on the weighted distinct values, so the distributed sort runs
+    over distinct values only and a hot value is one weighted row; the
+    ranks are then located slice by slice (``index.locate_ranks``). No
+    group's values ever sit in one task.
     """
-    weighted = long.where(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_w"))
+    weighted = weighted.where(F.col("v").isNotNull())
     sizes = weighted.groupBy(*keys).agg(F.sum("_w").alias("_n"))
     pos = F.col("_p") * (F.col("_n") - 1)
     targets = (sizes.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
@@ -48,6 +55,23 @@ def _quantiles_exact(long: DataFrame, keys: list[str], probs) -> DataFrame:
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
 
 
+def _stats_weighted(weighted: DataFrame, keys: list[str]) -> DataFrame:
+    """n, n_null, n_distinct, mean, stddev (sample), min, max per group from
+    the weighted distinct values; the variance is a second pass around the
+    mean (one row per group, broadcast), not a difference of sums."""
+    v, w = F.col("v"), F.col("_w")
+    nn = F.when(v.isNotNull(), w)
+    s1 = weighted.groupBy(*keys).agg(
+        F.sum(w).alias("n"), F.coalesce(F.sum(F.when(v.isNull(), w)), F.lit(0)).alias("n_null"),
+        F.count(v).alias("n_distinct"), (F.sum(v * nn) / F.sum(nn)).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    dev = (weighted.where(v.isNotNull()).join(F.broadcast(s1.select(*keys, F.col("mean").alias("_m"))), keys)
+           .groupBy(*keys).agg(F.sum(w * (v - F.col("_m")) * (v - F.col("_m"))).alias("_ss"),
+                               F.sum(w).alias("_k")))
+    sd = F.when(F.col("_k") > 1, F.sqrt(F.col("_ss") / (F.col("_k") - 1)))
+    return s1.join(dev.select(*keys, sd.alias("stddev")), keys, "left")
+
+
 def _quantiles_approx(long: DataFrame, keys: list[str], probs, accuracy: int = 10000) -> DataFrame:
     q = long.groupBy(*keys).agg(F.percentile_approx("v", list(probs), accuracy).alias("_q"))
     return q.select(*keys, F.inline(F.array(*[
@@ -64,18 +88,25 @@ def profile_long(long: DataFrame, keys: list[str], exact: bool = True, digits: i
     """Profile of ``v`` per key group of a long table (nulls included):
     n, n_null, n_distinct, mean, stddev, p25, p50, p75, min, max.
 
-    One aggregate by the keys (partial aggregation in every task) and, for
-    exact quartiles, one distributed sort for all groups together.
-    ``exact=False`` swaps in bounded sketches (``percentile_approx``,
-    ``approx_count_distinct``).
+    Exact (default): raw values are shuffled once, reduced to weighted
+    distinct values; every statistic and the quartiles come from that
+    table. ``exact=False`` uses bounded sketches (``percentile_approx``,
+    ``approx_count_distinct``) in one aggregate.
     """
-    v = F.col("v")
-    nd = F.count_distinct(v) if exact else F.approx_count_distinct(v)
-    stats = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"),
-        nd.cast("bigint").alias("n_distinct"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    q = (_quantiles_exact if exact else _quantiles_approx)(long, keys, QUARTILES)
+    if exact:
+        # Raw values are aggregated exactly once; the statistics, the sort
+        # and the rank lookups all read this (distinct-valued) checkpoint.
+        ensure_checkpoint_dir(long.sparkSession)
+        weighted = weighted_values(long, keys).checkpoint(eager=True)
+        stats = _stats_weighted(weighted, keys)
+        q = _quantiles_exact(weighted, keys, QUARTILES)
+    else:
+        v = F.col("v")
+        stats = long.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"),
+            F.approx_count_distinct(v).alias("n_distinct"), F.avg(v).alias("mean"),
+            F.stddev_samp(v).alias("stddev"), F.min(v).alias("min"), F.max(v).alias("max"))
+        q = _quantiles_approx(long, keys, QUARTILES)
     qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}")
                                for p in QUARTILES])
     r = lambda c: F.round(F.col(c), digits).alias(c)
