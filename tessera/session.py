@@ -17,6 +17,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,6 +50,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints and staged tables must survive executor loss)")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
