@@ -52,14 +52,20 @@ def catalog_row(spark: SparkSession, dataset_id: str, folder: str, df: DataFrame
                    F.coalesce(_storage_map()[F.col("suggested")], F.col("data_type")).alias("selected"),
                    F.col("importance").cast("double").alias("importance"),
                    F.col("min").cast("double").alias("min"), F.col("max").cast("double").alias("max"))
-    row = v.groupBy("dataset_id").agg(F.collect_list(var).alias("variables"))
+    # Lists are ordered explicitly (sort on a struct led by the ordinal):
+    # collect_list alone keeps no order across a shuffle.
+    row = v.groupBy("dataset_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct(F.col("ord").cast("int").alias("o"), var.alias("v")))),
+                    lambda x: x["v"]).alias("variables"))
     if is_remote_sensing(df):
-        g = I.group_specs(spark).orderBy("ord").agg(
-            F.collect_list(F.struct("type", "id_col", "sub_cols")).alias("g")).scalar()
+        g = I.group_specs(spark).agg(F.transform(
+            F.sort_array(F.collect_list(F.struct("ord", F.struct("type", "id_col", "sub_cols").alias("g")))),
+            lambda x: x["g"]).alias("g")).scalar()
         groupings = g.cast(GROUPINGS_TYPE)
     else:
         groupings = F.array().cast(GROUPINGS_TYPE)
-    term_list = (terms.agg(F.collect_list("term")).scalar() if terms is not None
+    term_list = (terms.agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))),
+                                       lambda x: x["term"])).scalar() if terms is not None
                  else F.lit(None).cast("array<string>"))
     n_rows = df.agg(F.count(F.lit(1))).scalar()
     row = I.provenance(row.withColumn("folder", F.lit(folder)), "catalog")
