@@ -107,3 +107,16 @@ def test_filter_and_projection_reach_scan(spark, sf_dir):
 def test_media_paths(spark):
     df = spark.createDataFrame([("a.tif",)], "f string")
     assert S.media_paths(df, "f", "http://srv/", "ds").collect()[0][0] == "http://srv/ds/a.tif"
+
+
+def test_catalog_row_orders_lists(spark):
+    from tessera.operators import classify as C
+    from tessera.plans.workflow import catalog_row
+    df = spark.createDataFrame([("img_1", "b2", "a.tif", 1.0, 2.0), ("img_1", "b1", "b.tif", 1.0, 2.0)],
+                               "image_id string, band string, image_file string, lat double, lon double")
+    terms = spark.createDataFrame([("zeta", 2), ("alpha", 1), ("mid", 3)], "term string, rank int")
+    row = catalog_row(spark, "ds", "f", df, C.classify(df), terms=terms).collect()[0]
+    assert [v["col"] for v in row["variables"]] == df.columns
+    assert [g["type"] for g in row["groupings"]] == ["multiband_image", "geo_bounds"]
+    assert row["summary_terms"] == ["alpha", "zeta", "mid"]
+    assert (row["source"], row["dataset_type"], row["n_rows"]) == ("seed", "modelling", 2)
