@@ -28,17 +28,21 @@ class Relation:
     broadcast_rows: int | None = None
 
 
-def _prefixed(rel: Relation, taken: set[str]) -> DataFrame:
-    """Resource columns renamed so none clashes with a merged column."""
-    out = []
-    for c in rel.df.columns:
-        if c == rel.right_key:
-            out.append(F.col(c).alias(f"__rk_{rel.name}"))
-        elif c in taken:
-            out.append(F.col(c).alias(f"{rel.name}_{c}"))
-        else:
-            out.append(F.col(c))
-    return rel.df.select(*out)
+def _final_names(main: DataFrame, relations: list[Relation]) -> dict[str, dict[str, str]]:
+    """Column names each resource contributes, as a left-to-right merge
+    would name them: a name already taken gets the resource name as
+    prefix; the resource key is dropped."""
+    taken = set(main.columns)
+    out = {}
+    for rel in relations:
+        names = {}
+        for c in rel.df.columns:
+            if c == rel.right_key:
+                continue
+            names[c] = f"{rel.name}_{c}" if c in taken else c
+        taken |= set(names.values())
+        out[rel.name] = names
+    return out
 
 
 def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
@@ -46,18 +50,47 @@ def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
 
     Main rows are never lost. A clashing column name gets the resource name
     as prefix; the resource's key column is dropped (it equals the left key
-    when matched). A side is broadcast only if its row count is proven
-    below ``broadcast_rows``; otherwise the planner shuffles both sides on
-    the key (and AQE splits a skewed key).
+    when matched). The result equals joining the resources one after the
+    other, but a resource keyed by another resource's column (a snowflake
+    arm: customer by the order's customer key) is joined onto that resource
+    first - left joins on equality keys associate - so the large main table
+    is shuffled once per arm, not once per resource. A side is broadcast by
+    hint only if ``broadcast_rows`` is set and its row count proven below it;
+    otherwise Spark's own size checks pick the join (AQE splits skew).
     """
+    names = _final_names(main, relations)
+    owner = {}  # relation -> the relation whose column is its left key (None: main)
+    for i, rel in enumerate(relations):
+        if rel.left_key in main.columns:
+            owner[rel.name] = None
+            continue
+        src = [r.name for r in relations[:i] if rel.left_key in names[r.name].values()]
+        if not src:
+            raise ValueError(f"left key {rel.left_key!r} of {rel.name!r} is not a merged column")
+        owner[rel.name] = src[-1]
+    by_name = {r.name: r for r in relations}
+
+    def side(rel: Relation) -> DataFrame:
+        df = rel.df.select(F.col(rel.right_key).alias(f"__rk_{rel.name}"),
+                           *[F.col(c).alias(n) for c, n in names[rel.name].items()])
+        for child in relations:  # children in the given order
+            if owner[child.name] == rel.name:
+                df = _join(df, child, side(child))
+        return df
+
     merged = main
     for rel in relations:
-        side = _prefixed(rel, set(merged.columns))
-        if rel.broadcast_rows:
-            side = broadcast_if_small(side, rel.broadcast_rows)
-        rk = f"__rk_{rel.name}"
-        merged = merged.join(side, merged[rel.left_key] == side[rk], "left").drop(rk)
-    return merged
+        if owner[rel.name] is None:
+            merged = _join(merged, rel, side(rel))
+    order = list(main.columns) + [n for r in relations for n in names[r.name].values()]
+    return merged.select(*order)
+
+
+def _join(left: DataFrame, rel: Relation, right: DataFrame) -> DataFrame:
+    if rel.broadcast_rows:
+        right = broadcast_if_small(right, rel.broadcast_rows)
+    rk = f"__rk_{rel.name}"
+    return left.join(right, left[rel.left_key] == right[rk], "left").drop(rk)
 
 
 def merge_train_target(features: DataFrame, targets: DataFrame, key: str,

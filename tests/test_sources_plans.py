@@ -120,3 +120,19 @@ def test_catalog_row_orders_lists(spark):
     assert [g["type"] for g in row["groupings"]] == ["multiband_image", "geo_bounds"]
     assert row["summary_terms"] == ["alpha", "zeta", "mid"]
     assert (row["source"], row["dataset_type"], row["n_rows"]) == ("seed", "modelling", 2)
+
+
+def test_star_merge_shuffles_fact_table_once(spark, sf_dir):
+    """Without broadcasts (sides too big), the fact table crosses one
+    exchange; snowflake arms are joined on the resource side."""
+    from tessera.plans.queries_core import star_relations
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = M.star_merge(table(spark, sf_dir, "lineitem"), star_relations(spark, sf_dir))
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    fact_exchanges = [ln for ln in p.splitlines() if "Exchange hashpartitioning(l_" in ln]
+    assert len(fact_exchanges) == 1 and "l_orderkey" in fact_exchanges[0]
+    assert "BroadcastHashJoin" not in p
