@@ -346,3 +346,50 @@ def q_classify_extended(spark, sf_dir):
            "contacts": T.clean_null_tokens(derived(spark, sf_dir, "contacts", spread_rows=True), ["contact"])}
     return _union([C.classify(df, gazetteer_keys=keys, broadcast_rows=None).select(F.lit(n).alias("dataset_id"), "*")
                    for n, df in ins.items()])
+
+
+# ------------------------------------------------ all four artefacts (S4) ---
+
+DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+DOC_NUM = ["doc_id", "n_chars"]
+
+
+def _artifact_sql():
+    from tessera.plans.queries_stats import TERMS_SQL
+    return with_ctes([], [
+        "scores AS (" + scores_sql("documents", DOC_COLS, "documents") + ")",
+        "dist AS (" + distinct_sql("documents", DOC_COLS, "documents") + ")",
+        "best AS (" + best_sql("scores", "dataset_id, col") + ")",
+        "cls AS (" + classify_sql("best", "dist", "dataset_id, col") + ")",
+        "reg AS (select (ordinal_position - 1)::int as ord, column_name as col, "
+        f"{spark_type_case('data_type')} as data_type from information_schema.columns "
+        "where table_name = 'documents')",
+        "imp AS (" + "\nunion all\n".join(
+            f"select {q(c)} as col, round(abs(corr({c}, n_chars)), 6) as importance from documents"
+            for c in DOC_NUM) + ")",
+        "ext AS (" + "\nunion all\n".join(
+            f"select {q(c)} as col, min({c})::double as min, max({c})::double as max from documents"
+            for c in DOC_NUM) + ")",
+        "terms AS (" + TERMS_SQL + ")"]) + """
+select reg.col, reg.ord, reg.data_type, cls.semantic_type as suggested, cls.probability, imp.importance,
+  ext.min, ext.max, (select string_agg(lang || ':' || term, ',' order by lang, rank) from terms) as summary_terms
+from reg left join cls using (col) left join imp using (col) left join ext using (col)"""
+
+
+@register("artifact_catalog", _artifact_sql())
+def q_artifact_catalog(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread_rows=True)
+    root = scratch_path(spark, "artefacts4")
+    paths = K.write_artifacts({
+        "classification": C.classify(docs),
+        "importance": R.corr_importance(docs, DOC_NUM, "n_chars"),
+        "summary": Y.extrema(docs, DOC_NUM),
+        "summary_machine": Y.text_terms(docs, "doc_id", "lang", "text", k=10),
+    }, root)
+    art = K.read_artifacts(spark, paths)
+    reg = I.column_registry(docs, "documents").select("col", "ord", "data_type")
+    terms = art["summary_machine"].agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("lang", "rank", "term"))),
+        lambda t: F.concat_ws(":", t["lang"], t["term"])), ",").alias("summary_terms"))
+    cat = K.variable_catalog(reg, art["classification"], art["importance"], art["summary"])
+    return cat.withColumn("summary_terms", terms.scalar())

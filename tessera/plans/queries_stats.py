@@ -60,7 +60,7 @@ def q_summary_histogram(spark, sf_dir):
     return Y.histogram(table(spark, sf_dir, "lineitem", spread_rows=True), HIST_COLS, bins=10)
 
 
-@register("summary_terms", f"""
+TERMS_SQL = f"""
 with tok as (select doc_id, lang, unnest(regexp_extract_all(lower(text), {q(Y.TERM_PATTERN)})) as term from documents),
 pairs as (select doc_id, lang, term, count(*) as c from tok group by doc_id, lang, term),
 tf as (select lang, term, sum(c) as tf from pairs group by lang, term),
@@ -69,7 +69,10 @@ sc as (select lang, term, tf, df, round(tf * ln((select count(*) from documents)
        from tf join df using (term))
 select lang, term, tf::bigint as tf, df::bigint as df, score, rank from (
   select *, row_number() over (partition by lang order by score desc, term asc)::bigint as rank from sc)
-where rank <= 10""")
+where rank <= 10"""
+
+
+@register("summary_terms", TERMS_SQL)
 def q_summary_terms(spark, sf_dir):
     return Y.text_terms(table(spark, sf_dir, "documents", spread_rows=True), "doc_id", "lang", "text", k=10)
 
