@@ -21,16 +21,20 @@ def row_index(df: DataFrame, order: list, name: str = "row_index",
               num_partitions: int | None = None) -> DataFrame:
     """Append ``name`` = position of the row in ``order`` (ascending, 0-based).
 
-    ``order`` must be a total order for the index to be reproducible; ties
-    still get distinct positions.
+    ``order`` should be a total order for the index to be reproducible;
+    ties still get distinct positions. A row id taken before the shuffle is
+    the last sort key, so a key value held by a third of the rows is split
+    over several range partitions instead of landing in one.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    cols = [F.col(c) if isinstance(c, str) else c for c in order] + [F.col("_tie")]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *cols)
+    ranged = (df.withColumn("_tie", F.monotonically_increasing_id())
+              .repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
-              .withColumn("_tid", F.monotonically_increasing_id()))
+              .withColumn("_tid", F.monotonically_increasing_id())
+              .drop("_tie"))
     ranged = ranged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_tid"), _LOCAL_BITS)
     local = F.col("_tid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))

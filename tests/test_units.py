@@ -196,3 +196,12 @@ def test_locate_ranks_across_slices(spark):
     want = [1, 1, 1, 2, 3, 3, 3, 3, 3, 4, 4]
     assert {r: got[("a", r)] for r in range(11)} == {r: float(v) for r, v in enumerate(want)}
     assert got[("b", 3)] == 10.0
+
+
+def test_row_index_splits_a_hot_key(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    idx = row_index(df, ["k"], num_partitions=8)
+    per_part = idx.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_part) < 1000  # the 1000 copies of k=7 are spread
+    ks = [r["k"] for r in idx.orderBy("row_index").collect()]
+    assert ks == sorted(ks) and len(ks) == 3000
