@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,16 +133,16 @@ def merge_audit(main: DataFrame, relations: list[Relation]) -> DataFrame:
     return out
 
 
-def path_exists(spark, path: str) -> bool:
-    """True if a Hadoop-visible path exists (works for any filesystem URI)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
 def fallback_source(spark, merged_path: str, original: DataFrame, fmt: str = "parquet") -> DataFrame:
-    """Use the merged table when it exists, else the original; tag the source."""
-    if merged_path and path_exists(spark, merged_path):
-        return spark.read.format(fmt).load(merged_path).withColumn("resolved_from", F.lit("merged"))
+    """Use the merged table when it exists, else the original; tag the source.
+
+    The read itself is the existence test: a missing path fails at load
+    (file listing is eager), and only then is the original used.
+    """
+    if merged_path:
+        try:
+            merged = spark.read.format(fmt).load(merged_path)
+            return merged.withColumn("resolved_from", F.lit("merged"))
+        except AnalysisException:
+            pass
     return original.withColumn("resolved_from", F.lit("original"))
