@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import broadcast_if_small
+from tessera.functions.sizing import broadcast_if_small, small_frame
 from tessera.operators.index import row_index
 
 
@@ -51,19 +51,27 @@ def corr_importance(df: DataFrame, cols: list[str], target: str, digits: int = 6
 def pca_importance(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """PCA importance of each column: sum over components k of
     |loading(j, k)| * explained_variance_ratio(k), on standardised data.
-    Sign-invariant. The fit aggregates a d x d covariance across tasks;
-    only the d x d model reaches the driver."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+    Sign-invariant.
+
+    PCA of standardised columns is the eigendecomposition of their Pearson
+    correlation matrix, so one distributed pass (MLlib ``Correlation``, a
+    tree aggregate) is all the data work; only the d x d matrix reaches the
+    driver, where it is decomposed. A constant column has no variance and
+    gets zero weight.
+    """
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
 
     spark = df.sparkSession
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    vec = VectorAssembler(inputCols=cols, outputCol="_x").transform(data)
-    scaled = StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=True).fit(vec).transform(vec)
-    model = PCA(k=len(cols), inputCol="_z", outputCol="_p").fit(scaled)
-    pc = model.pc.toArray()
-    ev = model.explainedVariance.toArray()
-    imp = [(c, float(round(sum(abs(pc[j, k]) * ev[k] for k in range(len(ev))), digits))) for j, c in enumerate(cols)]
-    return spark.createDataFrame(imp, "col string, importance double")
+    vec = VectorAssembler(inputCols=cols, outputCol="_x").transform(data).select("_x")
+    corr = np.nan_to_num(Correlation.corr(vec, "_x").head()[0].toArray(), nan=0.0)
+    w, v = np.linalg.eigh(corr)
+    ratio = w.clip(min=0.0) / max(w.clip(min=0.0).sum(), 1e-300)
+    imp = np.abs(v) @ ratio
+    return small_frame(spark, [("col", "string"), ("importance", "double")],
+                       [(c, float(round(imp[j], digits))) for j, c in enumerate(cols)])
 
 
 def rank_importance(importance: DataFrame) -> DataFrame:
