@@ -204,7 +204,13 @@ from cls join ords using (dataset_id, col) group by dataset_id"""
 def q_catalog_upsert(spark, sf_dir):
     path = scratch_path(spark, "catalog")
     ins = {"customer": table(spark, sf_dir, "customer"), "bands": derived(spark, sf_dir, "bands")}
-    rows = {n: catalog_row(spark, n, f"datasets/{n}", df, C.classify(df)) for n, df in ins.items()}
+    from tessera.functions.sizing import small_frame
+
+    def cls(df):  # one row per column: collected once, re-used as literals by both writes
+        got = C.classify(df).collect()
+        return small_frame(spark, [("col", "string"), ("semantic_type", "string"), ("probability", "double")],
+                           [(r["col"], r["semantic_type"], r["probability"]) for r in got])
+    rows = {n: catalog_row(spark, n, f"datasets/{n}", df, cls(df)) for n, df in ins.items()}
     K.upsert_catalog(rows["customer"].unionByName(rows["bands"]), path)
     K.upsert_catalog(rows["customer"], path)  # re-run of one dataset: idempotent, bands kept
     cat = K.read_catalog(spark, path)
