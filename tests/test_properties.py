@@ -2,7 +2,6 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tessera.operators import merge as M
 from tessera.operators.index import row_index

@@ -1,6 +1,5 @@
 """Sources and sinks round trips, catalog idempotence, and plan shapes."""
 
-import os
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
