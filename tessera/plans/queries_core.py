@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from tessera.operators import merge as M
 from tessera.operators import summary as Y
 from tessera.plans.registry import register

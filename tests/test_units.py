@@ -205,3 +205,16 @@ def test_row_index_splits_a_hot_key(spark):
     assert max(r["count"] for r in per_part) < 1000  # the 1000 copies of k=7 are spread
     ks = [r["k"] for r in idx.orderBy("row_index").collect()]
     assert ks == sorted(ks) and len(ks) == 3000
+
+
+def test_normalize_columns_and_cast(spark):
+    from tessera.operators import format as FM
+    df = spark.createDataFrame([(" 12 ", "1e3", "2024-01-05T10:00", "TRUE")],
+                               "`Order ID` string, `Amount ($)` string, `When?` string, `ok` string")
+    n = FM.normalize_columns(df)
+    assert n.columns == ["order_id", "amount", "when", "ok"]
+    typed = FM.cast_declared(n, {"order_id": "bigint", "amount": "double", "when": "date", "ok": "boolean"}).collect()[0]
+    assert typed["order_id"] == 12 and typed["amount"] == 1000.0 and str(typed["when"]) == "2024-01-05"
+    assert typed["ok"] is True
+    clash = spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int")
+    assert FM.normalize_columns(clash).columns == ["a_b", "a_b_1"]
