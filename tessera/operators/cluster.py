@@ -61,3 +61,15 @@ def cluster_report(assigned: DataFrame, digits: int = 6) -> DataFrame:
     return (assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("dist").alias("mean_dist"))
             .select("cluster", "n", F.round("mean_dist", digits).alias("mean_dist"),
                     F.round(F.col("n") / total, digits).alias("share")))
+
+
+def cluster_dataset(spark, df: DataFrame, vec_col: str, out_path: str, dataset_id: str,
+                    k: int = 10, seed: int = 42) -> DataFrame:
+    """K1 as a stage: fit k-means, append ``cluster`` to every row, write the
+    clustered table and its schema document beside it, read the table back."""
+    from tessera.sources.files import schema_document, write_schema_document
+    out = kmeans(df, vec_col, k=k, seed=seed)
+    out.write.mode("overwrite").parquet(f"{out_path}/table")
+    back = spark.read.parquet(f"{out_path}/table")
+    write_schema_document(spark, schema_document(back, dataset_id, "clusters"), f"{out_path}/schema")
+    return back

@@ -123,7 +123,9 @@ def q_rank_artifact(spark, sf_dir):
 
 @register("cluster_kmeans")
 def q_cluster_kmeans(spark, sf_dir):
-    return KM.kmeans(table(spark, sf_dir, "embeddings"), "embedding", k=10, seed=42, id_col="vec_id")
+    out = KM.cluster_dataset(spark, table(spark, sf_dir, "embeddings"), "embedding",
+                             scratch_path(spark, "clusters"), "embeddings", k=10, seed=42)
+    return out.select("vec_id", "label", "cluster")
 
 
 ASSIGN_SQL = """

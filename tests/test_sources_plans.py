@@ -135,3 +135,14 @@ def test_star_merge_shuffles_fact_table_once(spark, sf_dir):
     fact_exchanges = [ln for ln in p.splitlines() if "Exchange hashpartitioning(l_" in ln]
     assert len(fact_exchanges) == 1 and "l_orderkey" in fact_exchanges[0]
     assert "BroadcastHashJoin" not in p
+
+
+def test_cluster_dataset_writes_table_and_schema(spark, sf_dir):
+    from tessera.operators.cluster import cluster_dataset
+    emb = table(spark, sf_dir, "embeddings")
+    root = scratch_path(spark, "t_clusters")
+    out = cluster_dataset(spark, emb, "embedding", root, "embeddings", k=4)
+    assert out.count() == emb.count() and set(out.columns) == set(emb.columns) | {"cluster"}
+    assert {r[0] for r in out.select("cluster").distinct().collect()} <= {0, 1, 2, 3}
+    ds, sch = S.read_schema_document(spark, f"{root}/schema")
+    assert ds == "embeddings" and "cluster" in sch.fieldNames()
