@@ -54,3 +54,20 @@ def small_frame(spark, fields: list[tuple[str, str]], rows: list[tuple]) -> Data
         return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in fields))
     return spark.range(1).select(F.inline(F.array(*[
         F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, r)]) for r in rows])))
+
+
+# Columns per wide one-row aggregate. Wider inputs are cut into chunks:
+# on columnar storage each chunk reads only its own columns, so the I/O is
+# unchanged while each aggregate stays small for the analyser and codegen.
+WIDE_CHUNK = 64
+
+
+def column_chunks(cols: list[str], size: int = WIDE_CHUNK) -> list[list[str]]:
+    return [cols[i:i + size] for i in range(0, len(cols), size)] or [[]]
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

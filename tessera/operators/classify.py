@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.types import (PRIORITY, SCORED_TYPES, STORAGE_TYPES, guarded_cast,
                                      matches_type_named)
-from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, column_chunks, union_all
 
 DEFAULT_THRESHOLD = 0.8  # fixed value: the default probability threshold
 CATEGORICAL_RATIO = 0.05  # fixed value: distinct values at most this share of rows
@@ -149,9 +149,13 @@ def verify_types(df: DataFrame, suggested: dict[str, str]) -> DataFrame:
     """Accept a suggested type only if every non-null value casts to it.
 
     ``suggested`` maps column -> semantic type (one entry per column, so
-    schema-sized). One aggregate checks all columns.
+    schema-sized). One aggregate per chunk of columns checks them all.
     """
     cols = [c for c in df.columns if c in suggested]
+    return union_all([_verify(df, part, suggested) for part in column_chunks(cols)])
+
+
+def _verify(df: DataFrame, cols: list[str], suggested: dict[str, str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         v = F.trim(F.col(c).cast("string"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tessera.functions.sizing import column_chunks, union_all
 from tessera.functions.text import null_tokens_to_null, split_trim
 
 
@@ -25,13 +26,18 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 def column_flags(df: DataFrame) -> DataFrame:
     """Per column: non-null count, empty (no value) and constant (one value,
-    no nulls) flags, and whether the column is kept. One aggregate."""
+    no nulls) flags, and whether the column is kept. One aggregate per chunk
+    of columns (one for usual widths)."""
+    return union_all([_column_flags(df, part) for part in column_chunks(df.columns)])
+
+
+def _column_flags(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(df.columns):
+    for i, c in enumerate(cols):
         aggs += [F.count(F.col(c)).alias(f"nn{i}"), F.min(F.col(c)).alias(f"lo{i}"), F.max(F.col(c)).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     rows = []
-    for i, c in enumerate(df.columns):
+    for i, c in enumerate(cols):
         empty = F.col(f"nn{i}") == 0
         const = (F.col(f"nn{i}") == F.col("__n")) & (F.col(f"lo{i}") == F.col(f"hi{i}"))
         rows.append(F.struct(F.lit(c).alias("col"), F.col(f"nn{i}").alias("n_non_null"),

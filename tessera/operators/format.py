@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.sizing import column_chunks, union_all
 from tessera.functions.text import normalize_name
 from tessera.functions.types import guarded_cast
 from tessera.operators.index import row_index
@@ -39,9 +40,13 @@ def cast_declared(df: DataFrame, declared: dict[str, str]) -> DataFrame:
 def cast_rejects(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     """Per declared column: non-null values, values that cast, rejects.
 
-    One aggregate over all columns.
+    One aggregate per chunk of columns (one for usual widths).
     """
     cols = [c for c in df.columns if c in declared]
+    return union_all([_cast_rejects(df, part, declared) for part in column_chunks(cols)])
+
+
+def _cast_rejects(df: DataFrame, cols: list[str], declared: dict[str, str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(F.col(c)).alias(f"n{i}"), F.count(guarded_cast(F.col(c), declared[c])).alias(f"k{i}")]

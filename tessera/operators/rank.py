@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import broadcast_if_small, small_frame
+from tessera.functions.sizing import broadcast_if_small, column_chunks, small_frame, union_all
 from tessera.operators.index import row_index
 
 
@@ -40,7 +40,12 @@ def row_limit(df: DataFrame, order: list, n: int = 1000) -> DataFrame:
 
 
 def corr_importance(df: DataFrame, cols: list[str], target: str, digits: int = 6) -> DataFrame:
-    """|Pearson correlation| of each column with the target, one aggregate."""
+    """|Pearson correlation| of each column with the target, one aggregate
+    per chunk of columns."""
+    return union_all([_corr(df, part, target, digits) for part in column_chunks(cols)])
+
+
+def _corr(df: DataFrame, cols: list[str], target: str, digits: int) -> DataFrame:
     wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
                     for i, c in enumerate(cols)])
     return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import small_frame
+from tessera.functions.sizing import column_chunks, small_frame, union_all
 from tessera.operators.index import locate_ranks
 from tessera.session import ensure_checkpoint_dir
 
@@ -202,7 +202,11 @@ def text_terms(docs: DataFrame, doc_col: str, group_col: str, text_col: str,
 
 def extrema(df: DataFrame, cols: list[str]) -> DataFrame:
     """Minimum and maximum per ordered column (col, min_value, max_value),
-    from one aggregate over all columns."""
+    from one aggregate per chunk of columns (one for usual widths)."""
+    return union_all([_extrema(df, part) for part in column_chunks(cols)])
+
+
+def _extrema(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}")]

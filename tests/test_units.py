@@ -218,3 +218,15 @@ def test_normalize_columns_and_cast(spark):
     assert typed["ok"] is True
     clash = spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int")
     assert FM.normalize_columns(clash).columns == ["a_b", "a_b_1"]
+
+
+def test_wide_tables_are_chunked(spark):
+    from tessera.operators.ingest import column_registry
+    wide = spark.range(0, 50).select(*[(F.col("id") % (i + 2)).alias(f"c{i}") for i in range(150)],
+                                     F.lit("k").alias("konst"))
+    reg = sorted(column_registry(wide, "w").collect(), key=lambda r: r["ord"])
+    assert [r["col"] for r in reg] == wide.columns and all(r["n_non_null"] == 50 for r in reg)
+    flags = {r["col"]: r["kept"] for r in T.column_flags(wide).collect()}
+    assert len(flags) == 151 and flags["konst"] is False and flags["c0"] is True
+    ext = {r["col"]: (r["min_value"], r["max_value"]) for r in Y.extrema(wide, wide.columns[:150]).collect()}
+    assert ext["c149"] == (0.0, 49.0) and ext["c0"] == (0.0, 1.0)
