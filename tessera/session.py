@@ -70,3 +70,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint root for staged writes."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "tessera-stage", f"{label}-{uuid.uuid4().hex}")
+
+
+def suggest_shuffle_partitions(input_bytes: int, target_bytes: int = 256 << 20, slots: int = 1) -> int:
+    """Shuffle partitions so that each holds about ``target_bytes`` of the
+    input (at least one wave of ``slots`` tasks). Start high: AQE coalesces
+    small partitions at run time but never splits large ones (except for
+    skewed joins), and an oversized partition spills or fails.
+
+    100 TB at 256 MiB per partition gives about 400k partitions.
+    """
+    return max(slots, -(-int(input_bytes) // int(target_bytes)))

@@ -230,3 +230,9 @@ def test_wide_tables_are_chunked(spark):
     assert len(flags) == 151 and flags["konst"] is False and flags["c0"] is True
     ext = {r["col"]: (r["min_value"], r["max_value"]) for r in Y.extrema(wide, wide.columns[:150]).collect()}
     assert ext["c149"] == (0.0, 49.0) and ext["c0"] == (0.0, 1.0)
+
+
+def test_suggest_shuffle_partitions():
+    from tessera.session import suggest_shuffle_partitions
+    assert suggest_shuffle_partitions(100 * 2**40) == 409600
+    assert suggest_shuffle_partitions(10, slots=8) == 8
