@@ -53,14 +53,27 @@ def dense_codes(values: DataFrame, value_col: str, name: str = "code") -> DataFr
     return row_index(distinct, [value_col], name)
 
 
+def range_sorted(df: DataFrame, order: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``order``, with the partition
+    number in ``_pid``, cut from its lineage by a reliable checkpoint so
+    every later read sees the same partitions."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.shiftright(F.monotonically_increasing_id(), _LOCAL_BITS)))
+    return ranged.checkpoint(eager=True)
+
+
 def locate_ranks(weighted: DataFrame, keys: list[str], value: str, weight: str, targets: DataFrame,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
     """Value at given ranks of a weighted, sorted multiset, per key group.
 
     ``weighted`` holds (``*keys``, ``value``, ``weight``): each distinct
     value once, with its multiplicity. ``targets`` holds (``*keys``,
     ``rank``) with 0-based ranks into the group's values in ascending
-    order. Returns (``*keys``, ``rank``, ``value``).
+    order. Returns (``*keys``, ``rank``, ``value``). Pass ``ranged`` (from
+    ``range_sorted`` on (keys, value)) to reuse an existing sort.
 
     The distinct values are range-partitioned on (keys, value), sorted and
     checkpointed; per partition-and-group weight totals (at most one row
@@ -69,13 +82,8 @@ def locate_ranks(weighted: DataFrame, keys: list[str], value: str, weight: str,
     billion times is one row with a large weight, so hot values never
     weigh on one task, and no step depends on random numbers.
     """
-    spark = weighted.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [*keys, value]
-    ranged = (weighted.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.shiftright(F.monotonically_increasing_id(), _LOCAL_BITS)))
-    ranged = ranged.checkpoint(eager=True)
+    if ranged is None:
+        ranged = range_sorted(weighted, [*keys, value], num_partitions)
     slices = ranged.groupBy("_pid", *keys).agg(F.sum(weight).alias("_sw"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_off", F.coalesce(F.sum("_sw").over(before), F.lit(0)))

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.sizing import column_chunks, small_frame, union_all
-from tessera.operators.index import locate_ranks
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.index import locate_ranks, range_sorted
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -29,7 +28,7 @@ def weighted_values(long: DataFrame, keys: list[str]) -> DataFrame:
     return long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_w"))
 
 
-def _quantiles_exact(weighted: DataFrame, keys: list[str], probs) -> DataFrame:
+def _quantiles_exact(weighted: DataFrame, keys: list[str], probs, ranged: DataFrame | None = None) -> DataFrame:
     """Exact interpolated quantiles (*keys, p, value) of the non-null values
     per key group (linear interpolation between the two nearest ranks).
 
@@ -46,7 +45,7 @@ def _quantiles_exact(weighted: DataFrame, keys: list[str], probs) -> DataFrame:
                        F.ceil(pos).cast("bigint").alias("_hi"), (pos - F.floor(pos)).alias("_frac")))
     ranks = targets.select(*keys, F.col("_lo").alias("rank")).union(
         targets.select(*keys, F.col("_hi").alias("rank"))).distinct()
-    got = locate_ranks(weighted, keys, "v", "_w", ranks)
+    got = locate_ranks(weighted, keys, "v", "_w", ranks, ranged=ranged)
     # Targets: a few ranks per group and probability - bounded by the schema.
     lo = got.select(*keys, F.col("rank").alias("_lo"), F.col("v").alias("_vlo"))
     hi = got.select(*keys, F.col("rank").alias("_hi"), F.col("v").alias("_vhi"))
@@ -94,12 +93,13 @@ def profile_long(long: DataFrame, keys: list[str], exact: bool = True, digits: i
     ``approx_count_distinct``) in one aggregate.
     """
     if exact:
-        # Raw values are aggregated exactly once; the statistics, the sort
-        # and the rank lookups all read this (distinct-valued) checkpoint.
-        ensure_checkpoint_dir(long.sparkSession)
-        weighted = weighted_values(long, keys).checkpoint(eager=True)
-        stats = _stats_weighted(weighted, keys)
-        q = _quantiles_exact(weighted, keys, QUARTILES)
+        # Raw values are aggregated once into weighted distinct values, which
+        # are range-sorted and checkpointed once; the statistics, the sizes
+        # and the rank lookups all read that one checkpoint.
+        ranged = range_sorted(weighted_values(long, keys), [*keys, "v"])
+        stats = _stats_weighted(ranged, keys)
+        q = _quantiles_exact(ranged.where(F.col("v").isNotNull()), keys, QUARTILES,
+                             ranged=ranged.where(F.col("v").isNotNull()))
     else:
         v = F.col("v")
         stats = long.groupBy(*keys).agg(
