@@ -30,9 +30,12 @@ def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
                               digits).alias("probability"))
 
 
+CAST_TARGETS = ("bigint", "double", "boolean", "date")
+
+
 def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: DataFrame | None = None,
                  distinct: bool = True, exact_distinct: bool = True,
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, casts: bool = False) -> DataFrame:
     """Everything classification needs, per column, from ONE aggregate over
     the unpivoted text: rows, non-null values, a match count per semantic
     type (``m_<type>``), distinct values and, given gazetteer keys, place
@@ -54,6 +57,8 @@ def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: D
     if distinct:
         nd = F.count_distinct(v) if exact_distinct else F.approx_count_distinct(v)
         aggs.append(nd.cast("bigint").alias("n_distinct"))
+    if casts:  # values that cast to each storage type (for verification)
+        aggs += [F.count(guarded_cast(v, t)).alias(f"k_{t}") for t in CAST_TARGETS]
     return long.groupBy("col").agg(*aggs)
 
 
@@ -121,7 +126,35 @@ def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DE
     """
     stats = column_stats(df, cols, gazetteer_keys, distinct=categorical, exact_distinct=exact_distinct,
                          broadcast_rows=broadcast_rows)
-    types = SCORED_TYPES + (["place"] if gazetteer_keys is not None else [])
+    return _classify_stats(stats, gazetteer_keys is not None, threshold, categorical, ratio, digits) \
+        .select("col", "semantic_type", "probability")
+
+
+def classify_verified(df: DataFrame, cols: list[str] | None = None, threshold: float = DEFAULT_THRESHOLD,
+                      categorical: bool = True, ratio: float = CATEGORICAL_RATIO,
+                      gazetteer_keys: DataFrame | None = None, exact_distinct: bool = True,
+                      digits: int = 6, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Classification and verification (C1-C3 + C5) in one pass:
+    (col, semantic_type, probability, n_non_null, n_cast, accepted).
+
+    The same aggregate that scores the types also counts, per column, the
+    values that cast to each storage type; the suggested type then picks
+    its count. A type is accepted iff every non-null value casts.
+    """
+    stats = column_stats(df, cols, gazetteer_keys, distinct=categorical, exact_distinct=exact_distinct,
+                         broadcast_rows=broadcast_rows, casts=True)
+    cls = _classify_stats(stats, gazetteer_keys is not None, threshold, categorical, ratio, digits)
+    st = F.create_map(*[x for t, s in STORAGE_TYPES.items() for x in (F.lit(t), F.lit(s))])
+    storage = st[F.col("semantic_type")]
+    n_cast = F.coalesce(*[F.when(storage == t, F.col(f"k_{t}")) for t in CAST_TARGETS], F.col("n"))
+    return (cls.join(stats.select("col", "n", *[f"k_{t}" for t in CAST_TARGETS]), "col")
+            .select("col", "semantic_type", "probability", F.col("n").alias("n_non_null"),
+                    n_cast.alias("n_cast"), (n_cast == F.col("n")).alias("accepted")))
+
+
+def _classify_stats(stats: DataFrame, with_place: bool, threshold: float, categorical: bool,
+                    ratio: float, digits: int) -> DataFrame:
+    types = SCORED_TYPES + (["place"] if with_place else [])
     g = gate(best_types(_score_rows(stats, types, digits)), threshold)
     if categorical:
         g = g.join(stats.select("col", "n_rows", "n_distinct"), "col").withColumn(

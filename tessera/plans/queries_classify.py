@@ -119,11 +119,7 @@ from cls join cc using (dataset_id, col) join {storage_values()} on st.semantic_
 
 @register("verify_types", VERIFY_SQL + "select *, n_non_null = n_cast as accepted from ver")
 def q_verify_types(spark, sf_dir):
-    frames = []
-    for name, df in inputs(spark, sf_dir).items():
-        sug = {r["col"]: r["semantic_type"] for r in C.classify(df).collect()}  # one row per column
-        frames.append(C.verify_types(df, sug).select(F.lit(name).alias("dataset_id"), "*"))
-    return _union(frames)
+    return _per_dataset(spark, sf_dir, lambda df: C.classify_verified(df).drop("probability"))
 
 
 # Expected upstream classification of dirty_customer (checked by
@@ -289,7 +285,7 @@ union all
     f"(select 1 from num where num.dataset_id = {q(ds)} and num.col = {q(c)})"
     for ds, (src, cols) in DATASETS.items() for c in cols))
 def q_post_ingest(spark, sf_dir):
-    return _union([post_ingest(spark, n, df, C.classify(df)) for n, df in inputs(spark, sf_dir).items()])
+    return _union([post_ingest(spark, n, df, C.classify_verified(df)) for n, df in inputs(spark, sf_dir).items()])
 
 
 # ------------------------------------------------------------- streaming ---

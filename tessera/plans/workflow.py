@@ -73,36 +73,34 @@ def catalog_row(spark: SparkSession, dataset_id: str, folder: str, df: DataFrame
                       "variables", groupings.alias("groupings"), term_list.alias("summary_terms"))
 
 
-def post_ingest(spark: SparkSession, dataset_id: str, df: DataFrame, classification: DataFrame) -> DataFrame:
+def post_ingest(spark: SparkSession, dataset_id: str, df: DataFrame, verified: DataFrame) -> DataFrame:
     """I6: a remote-sensing dataset registers its groups and skips type
     verification; any other dataset verifies its suggested types. Both then
     record extrema of their numeric columns.
 
-    Rows (dataset_id, step, item, flag, min_value, max_value).
+    ``verified`` is ``classify.classify_verified(df)``: one pass already
+    scored, chose and verified every column; its one row per column is
+    collected once and re-enters as literals. Only the extrema read the
+    data again. Rows (dataset_id, step, item, flag, min_value, max_value).
     """
-    sug = {r["col"]: r["semantic_type"] for r in classification.collect()}  # one row per column
-    frames = []
+    got = verified.collect()  # one row per column
+    sug = {r["col"]: r["semantic_type"] for r in got}
     if is_remote_sensing(df):
-        frames.append(I.group_specs(spark).select(
+        steps = I.group_specs(spark).select(
             F.lit(dataset_id).alias("dataset_id"), F.lit("group").alias("step"), F.col("type").alias("item"),
             F.lit(None).cast("boolean").alias("flag"), F.lit(None).cast("double").alias("min_value"),
-            F.lit(None).cast("double").alias("max_value")))
+            F.lit(None).cast("double").alias("max_value"))
     else:
-        ver = C.verify_types(df, sug)
-        frames.append(ver.select(F.lit(dataset_id).alias("dataset_id"), F.lit("verify").alias("step"),
-                                 F.col("col").alias("item"), F.col("accepted").alias("flag"),
-                                 F.lit(None).cast("double").alias("min_value"),
-                                 F.lit(None).cast("double").alias("max_value")))
+        steps = small_frame(spark, [("dataset_id", "string"), ("step", "string"), ("item", "string"),
+                                    ("flag", "boolean"), ("min_value", "double"), ("max_value", "double")],
+                            [(dataset_id, "verify", r["col"], r["accepted"], None, None) for r in got])
     num = [c for c in df.columns if STORAGE_TYPES.get(sug.get(c, ""), "") in NUMERIC_STORAGE]
     if num:
         ext = Y.extrema(df.select(*[guarded_cast(F.col(c), "double").alias(c) for c in num]), num)
-        frames.append(ext.select(F.lit(dataset_id).alias("dataset_id"), F.lit("extrema").alias("step"),
-                                 F.col("col").alias("item"), F.lit(None).cast("boolean").alias("flag"),
-                                 "min_value", "max_value"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        steps = steps.unionByName(ext.select(
+            F.lit(dataset_id).alias("dataset_id"), F.lit("extrema").alias("step"), F.col("col").alias("item"),
+            F.lit(None).cast("boolean").alias("flag"), "min_value", "max_value"))
+    return steps
 
 
 def prepare_and_ingest(spark: SparkSession, dataset_id: str, main: DataFrame, relations: list,

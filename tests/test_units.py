@@ -236,3 +236,15 @@ def test_suggest_shuffle_partitions():
     from tessera.session import suggest_shuffle_partitions
     assert suggest_shuffle_partitions(100 * 2**40) == 409600
     assert suggest_shuffle_partitions(10, slots=8) == 8
+
+
+def test_classify_verified_one_pass(spark):
+    rows = [(str(i), f"{i}.5" if i % 10 else "abc", "2024-01-0%d" % (i % 9 + 1)) for i in range(1, 41)]
+    df = spark.createDataFrame(rows, "a string, b string, d string")
+    got = {r["col"]: r for r in C.classify_verified(df, categorical=False).collect()}
+    assert (got["a"]["semantic_type"], got["a"]["accepted"]) == ("integer", True)
+    assert (got["b"]["semantic_type"], got["b"]["n_non_null"], got["b"]["n_cast"], got["b"]["accepted"]) == \
+        ("real", 40, 36, False)
+    assert (got["d"]["semantic_type"], got["d"]["accepted"]) == ("dateTime", True)
+    sep = {r["col"]: r["accepted"] for r in C.verify_types(df, {c: got[c]["semantic_type"] for c in got}).collect()}
+    assert sep == {c: got[c]["accepted"] for c in got}
