@@ -43,10 +43,10 @@ def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6) -
     lowest cluster id. The centroid set (at most MAX_CENTROIDS) travels as
     one scalar value; every row computes its k distances in place, so no
     row-by-centroid pairs are ever materialised."""
-    k = centroids.count()
-    if k > MAX_CENTROIDS:
-        raise ValueError(f"{k} centroids exceed the bound {MAX_CENTROIDS}")
-    cents = centroids.agg(F.collect_list(F.struct("cluster", "centroid")).alias("c")).scalar()
+    # The bound is checked inside the plan: no separate counting job.
+    listed = centroids.agg(F.collect_list(F.struct("cluster", "centroid")).alias("c"))
+    cents = listed.select(F.when(F.size("c") <= MAX_CENTROIDS, F.col("c")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CENTROIDS} centroids")).cast(listed.schema["c"].dataType))).scalar()
     dists = F.transform(F.col("_cents"), lambda c: F.struct(_sqdist(F.col(vec_col), c["centroid"]).alias("dist"),
                                                             c["cluster"].alias("cluster")))
     return (df.withColumn("_cents", cents)

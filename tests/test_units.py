@@ -248,3 +248,11 @@ def test_classify_verified_one_pass(spark):
     assert (got["d"]["semantic_type"], got["d"]["accepted"]) == ("dateTime", True)
     sep = {r["col"]: r["accepted"] for r in C.verify_types(df, {c: got[c]["semantic_type"] for c in got}).collect()}
     assert sep == {c: got[c]["accepted"] for c in got}
+
+
+def test_assign_refuses_too_many_centroids(spark, monkeypatch):
+    monkeypatch.setattr(KM, "MAX_CENTROIDS", 1)
+    cents = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "cluster int, centroid array<double>")
+    pts = spark.createDataFrame([(0, [0.2])], "id int, v array<float>")
+    with pytest.raises(Exception, match="more than 1 centroids"):
+        KM.assign(pts, "v", cents).collect()
