@@ -18,3 +18,20 @@ def test_plan_has_no_pairs_and_no_python(spark, sf_dir, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     bad = [op for op in FORBIDDEN if op in plan]
     assert not bad, (name, bad)
+
+
+def test_text_terms_plan_is_lazy(spark, sf_dir):
+    """The document count and the top-k ranking are scalar subqueries and
+    windows inside one plan: building it starts no Spark job."""
+    from tessera.operators import summary as Y
+    from tessera.sources.tables import table
+    sc = spark.sparkContext
+    docs = table(spark, sf_dir, "documents")
+    sc.setJobGroup("tessera-lazy-probe", "plan construction only")
+    try:
+        df = Y.text_terms(docs, "doc_id", "lang", "text", k=3)
+        started = sc.statusTracker().getJobIdsForGroup("tessera-lazy-probe")
+    finally:
+        sc.setJobGroup("", "")
+    assert started == [], started
+    assert "scalar-subquery" in df._jdf.queryExecution().optimizedPlan().toString()
