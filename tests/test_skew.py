@@ -41,3 +41,43 @@ def test_star_merge_splits_hot_key(spark):
 def test_topk_limits_groups_before_shuffle(spark, sf_dir, name):
     plan = _final_plan(E.queries()[name](spark, sf_dir))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_text_terms_hot_group_matches_brute_force(spark):
+    """One group holds a third of the documents; the top-k terms per group
+    equal a plain-Python TF-IDF over the same whole texts."""
+    import math
+    from collections import Counter
+
+    import regex
+
+    from tessera.operators import summary as Y
+
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa"]
+    rows = []
+    for i in range(300):
+        group = "hot" if i % 3 == 0 else f"g{i % 7}"
+        text = " ".join(words[(i * j + j) % len(words)].upper() if j % 4 == 0 else words[(i + j * j) % len(words)]
+                        for j in range(1, 6 + i % 9)) + " x1 ab"
+        rows.append((i, group, text))
+    docs = spark.createDataFrame(rows, "doc_id long, grp string, text string").repartition(5)
+    k = 3
+    got = {(r["grp"], r["rank"]): (r["term"], r["tf"], r["df"], r["score"])
+           for r in Y.text_terms(docs, "doc_id", "grp", "text", k=k).collect()}
+
+    n = len(rows)
+    tf, df = Counter(), Counter()
+    for _, g, t in rows:
+        terms = regex.findall(r"\p{L}{3,}", t.lower())
+        tf.update((g, w) for w in terms)
+        df.update(set(terms))
+    want = {}
+    for g in {r[1] for r in rows}:
+        scored = sorted(((round(c * math.log(n / df[w]), 6), w, c) for (gg, w), c in tf.items() if gg == g),
+                        key=lambda s: (-s[0], s[1]))
+        for rank, (score, w, c) in enumerate(scored[:k], start=1):
+            want[(g, rank)] = (w, c, df[w], score)
+    assert got.keys() == want.keys()
+    for key, (w, c, d, score) in want.items():
+        assert got[key][:3] == (w, c, d), (key, got[key], want[key])
+        assert abs(got[key][3] - score) < 1e-9, (key, got[key], want[key])
