@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import broadcast_if_small
+from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, row_count_at_most
 
 
 def place_key(c) -> F.Column:
@@ -27,10 +27,21 @@ def geocode_forward(df: DataFrame, place_col: str, gazetteer: DataFrame,
                     prefix: str = "", with_kind: bool = False) -> DataFrame:
     """Append ``lat``/``lon`` for the place in ``place_col``; unmatched rows
     keep nulls. The reduced gazetteer is broadcast only when proven small;
-    a large one is shuffle-joined (AQE splits a hot place)."""
-    red = reduce_gazetteer(gazetteer)
-    side = broadcast_if_small(red.select(F.col("key").alias("__key"), F.col("lat").alias(f"{prefix}lat"),
-                                         F.col("lon").alias(f"{prefix}lon"), F.col("kind").alias(f"{prefix}kind")))
+    a large one is shuffle-joined, and AQE splits a hot place.
+
+    AQE splits a skewed partition only between two plain join shuffles.
+    The reduced gazetteer leaves its aggregate already hash-partitioned on
+    the key, which the join would reuse, so a large one is first spread
+    round-robin (one row per distinct name, small next to the data) and
+    then shuffled for the join like the data side.
+    """
+    red = reduce_gazetteer(gazetteer).select(
+        F.col("key").alias("__key"), F.col("lat").alias(f"{prefix}lat"),
+        F.col("lon").alias(f"{prefix}lon"), F.col("kind").alias(f"{prefix}kind"))
+    if row_count_at_most(red, DEFAULT_BROADCAST_ROWS):
+        side = F.broadcast(red)
+    else:
+        side = red.repartition(int(red.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     out = df.join(side, place_key(F.col(place_col)) == F.col("__key"), "left").drop("__key")
     return out if with_kind else out.drop(f"{prefix}kind")
 

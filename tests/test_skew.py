@@ -81,3 +81,47 @@ def test_text_terms_hot_group_matches_brute_force(spark):
     for key, (w, c, d, score) in want.items():
         assert got[key][:3] == (w, c, d), (key, got[key], want[key])
         assert abs(got[key][3] - score) < 1e-9, (key, got[key], want[key])
+
+
+def test_geocode_hot_place_split_and_exact(spark, monkeypatch):
+    """A place name held by a third of the rows, against a gazetteer treated
+    as large (no broadcast): AQE splits the hot partition of the shuffle
+    join, and every row gets the brute-force lookup of the reduced
+    gazetteer (lowest priority, then kind, then coordinates)."""
+    from tessera.operators import geocode as G
+
+    monkeypatch.setattr(G, "row_count_at_most", lambda df, n: False)
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    names = [f"Town{i}" for i in range(400)]
+    gaz_rows = []
+    for i, nm in enumerate(names):
+        gaz_rows.append((nm, "city", i % 3, float(i), float(-i)))
+        if i % 5 == 0:  # ambiguous: a second entry under another spelling
+            gaz_rows.append((f"  {nm.lower()} ", "region", i % 3, float(i) + 0.5, 0.0))
+    rows = [(r, " Town7 " if r % 3 == 0 else (names[r % 450] if r % 450 < 400 else f"Nowhere{r}"))
+            for r in range(30000)]
+    try:
+        gaz = spark.createDataFrame(gaz_rows, "place string, kind string, priority int, lat double, lon double")
+        df = spark.createDataFrame(rows, "rid long, town string")
+        out = G.geocode_forward(df, "town", gaz)
+        plan = _final_plan(out)
+        got = {r["rid"]: (r["lat"], r["lon"]) for r in out.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    best = {}
+    for place, kind, prio, lat, lon in gaz_rows:
+        key = place.strip().upper()
+        cand = (prio, kind, lat, lon)
+        best[key] = min(best.get(key, cand), cand)
+    want = {rid: best[t.strip().upper()][2:] if t.strip().upper() in best else (None, None) for rid, t in rows}
+    assert got == want
+    assert "SortMergeJoin" in plan and "skew=true" in plan
