@@ -109,22 +109,26 @@ def merge_audit(main: DataFrame, relations: list[Relation]) -> DataFrame:
     """Per relation: left rows, unmatched left rows, duplicated resource keys
     and the extra rows a fan-out would add.
 
-    Resource keys are pre-aggregated (one row per key) before meeting the
-    left keys, so a hot key costs one row, not its multiplicity.
+    Both sides are pre-aggregated (one row per key, combined map-side)
+    before they meet, so a hot key costs one row, not its multiplicity, on
+    either side; the two aggregates are partitioned alike and join without
+    a further shuffle.
     """
     parts = []
     merged = main
     for rel in relations:
         keys = rel.df.groupBy(F.col(rel.right_key).alias("__k")).agg(F.count(F.lit(1)).alias("__cnt"))
         n_dup = keys.where(F.col("__cnt") > 1).agg(F.count(F.lit(1))).scalar()
-        left = merged.select(F.col(rel.left_key).alias("__lk"))
+        left = merged.groupBy(F.col(rel.left_key).alias("__lk")).agg(F.count(F.lit(1)).alias("__w"))
         joined = left.join(keys, F.col("__lk") == F.col("__k"), "left")
+        w = F.col("__w")
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
         parts.append(joined.agg(
             F.lit(rel.name).alias("relation"),
-            F.count(F.lit(1)).alias("n_left_rows"),
-            F.count_if(F.col("__cnt").isNull()).alias("n_unmatched"),
+            total(w).alias("n_left_rows"),
+            total(F.when(F.col("__cnt").isNull(), w)).alias("n_unmatched"),
             n_dup.cast("bigint").alias("n_dup_keys"),
-            F.coalesce(F.sum(F.greatest(F.col("__cnt") - 1, F.lit(0))), F.lit(0)).cast("bigint").alias("n_fanout_rows"),
+            total(w * F.greatest(F.col("__cnt") - 1, F.lit(0))).alias("n_fanout_rows"),
         ))
         merged = star_merge(merged, [rel])
     out = parts[0]
