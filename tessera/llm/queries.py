@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.llm import common as C
-from tessera.llm import suffix_dedup
+from tessera.llm import minhash_join, suffix_dedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,9 @@ def op1(spark, sf_dir):
     return whole.join(found, ["did", "th"], "left").select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.coalesce("n_kept", "n_bytes")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+
+
+@register("op10_minhash_join")
+def op10(spark, sf_dir):
+    found = minhash_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, similarity=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
