@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.llm import common as C
-from tessera.llm import minhash_join, suffix_dedup
+from tessera.llm import best_fit_packing, bpe_transducer, minhash_join, suffix_dedup
+
+#: The vocabulary files lie beside this installed package on every machine.
+TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +43,18 @@ def op1(spark, sf_dir):
         F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
 
 
+@register("op3_best_fit_packing")
+def op3(spark, sf_dir):
+    import public_tokenizers
+    return best_fit_packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@register("op5_bpe_transducer")
+def op5(spark, sf_dir):
+    import public_tokenizers
+    return bpe_transducer.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 @register("op10_minhash_join")
 def op10(spark, sf_dir):
     found = minhash_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, similarity=80)
