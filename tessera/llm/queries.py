@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.llm import common as C
-from tessera.llm import best_fit_packing, bpe_transducer, minhash_join, suffix_dedup
+from tessera.llm import (best_fit_packing, bpe_transducer, kmeans_tree, minhash_join, no_random_access, reply_trees,
+                         suffix_dedup, url_cascade, warc_chunks)
+from tessera.session import scratch_path
 
 #: The vocabulary files lie beside this installed package on every machine.
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,18 +45,129 @@ def op1(spark, sf_dir):
         F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
 
 
+@register("op2_kmeans_tree")
+def op2(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    return kmeans_tree.nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 @register("op3_best_fit_packing")
 def op3(spark, sf_dir):
     import public_tokenizers
     return best_fit_packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+OP4_SQL = r"""
+with parts as (
+  select page_id, url, case when instr(url, '://') > 0 then substring(url, instr(url, '://') + 3) else '' end as rest from pages),
+hosts as (
+  select page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from parts),
+rules as (select * from (values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) t(kind, h, p)),
+plain as (select host from hosts group by host having not bool_or(coalesce(starts_with(url, 'https://'), false))),
+fits as (
+  select page_id, host, path, kind, h || p as rule,
+         row_number() over (partition by page_id, host, path order by length(h || p) desc nulls last, h || p) as n
+  from (select distinct page_id, host, path from hosts)
+  left join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p))
+select hosts.page_id, hosts.host, hosts.path, fits.rule,
+       coalesce(fits.kind, case when hosts.host in (select host from plain) then 'block' else 'allow' end) as verdict
+from hosts join fits on hosts.page_id is not distinct from fits.page_id and hosts.host = fits.host and hosts.path = fits.path and fits.n = 1
+"""
+
+
+@register("op4_url_cascade", OP4_SQL)
+def op4(spark, sf_dir):
+    """The list: hosts none of whose pages came by https."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    safe = F.coalesce(F.startswith("url", F.lit("https://")), F.lit(False))
+    plain = pages.groupBy(url_cascade.host_of(F.col("url")).alias("key")).agg(F.bool_or(safe).alias("safe")).where("not safe")
+    return url_cascade.judge(pages, RULES, plain.select("key")).select("page_id", "host", "path", "rule", "verdict")
+
+
 @register("op5_bpe_transducer")
 def op5(spark, sf_dir):
     import public_tokenizers
     return bpe_transducer.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+OP6_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e from embeddings
+  where embedding is not null and len(embedding) > 0 and vec_id is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+pairs as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, rank, vec_id, score from (
+  select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from pairs)
+where rank <= 5
+"""
+
+
+@register("op6_no_random_access", OP6_SQL)
+def op6(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    return no_random_access.top_products(vectors, vectors.where("vec_id % 50 = 0"), 5, scale=256)
+
+
+#: A conversation that spells out control strings.
+ODD_ID, ODD_TEXT = -7, "\\### Assistant: </turn> ok"
+
+OP7_SQL = """
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok')
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length('<turn>### ' || chr(10) || '</turn>')
+           + 2 * length(role) - length(regexp_replace(role, '[\\\\<#' || chr(10) || ']', '', 'g'))
+           + 2 * length(text) - length(regexp_replace(text, '[\\\\<#]', '', 'g')))::bigint as formatted_chars
+from turns group by conv_id
+"""
+
+
+@register("op7_reply_trees", OP7_SQL)
+def op7(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(F.lit(ODD_ID).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD_TEXT).alias("text"))
+    nodes = reply_trees.linear_threads(rows.union(odd), "conv_id", ["turn"])
+    done = reply_trees.conversations(nodes)
+    turns = reply_trees.read_turns(F.col("formatted"))
+    loss = reply_trees.read_loss(F.col("formatted"), F.col("loss_spans"))
+    back = done.select("tree", "formatted", turns.alias("turns"), loss.alias("loss"))
+    each = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(each, ""), 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+OP8_SQL = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select *, min(page_id) over (partition by payload_digest) as first from p)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and first is distinct from page_id and first is not null then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and first is distinct from page_id then first end as refers_to
+from f
+"""
+
+
+@register("op8_warc_chunks", OP8_SQL)
+def op8(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc_chunks.write_archive(read(spark, sf_dir, "pages"), path)
+    return warc_chunks.read_archive(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op10_minhash_join")
 def op10(spark, sf_dir):
     found = minhash_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, similarity=80)
