@@ -23,7 +23,8 @@ own; a task returns a forest (a row for each member) and never its pairs.
 Null and wordless texts have no set and are linked with nothing; they are
 groups of their own. Repeated rows are documents with equal sets. Documents
 with a null id are linked like others; the least id that is not null names
-the group. An empty table gives an empty result.
+the group; of several rows with that id, or of rows without ids, the first
+by identity stands for it. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -302,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     coordinates: int = COORDINATES, miss: float = MISS, block: int = _BLOCK) -> DataFrame:
     """One row per document: ``doc_id``, its identity (``did``, ``th``),
     ``n_shingles``, ``component_id`` (the least id of its group; its own for
-    a document without a set) and ``kept`` (it is the document of that id)."""
+    a document without a set) and ``kept`` (it stands for its group)."""
     matches = match_threshold(coordinates, similarity, miss)
     text = F.col(text_col).cast("string")
     did, th = C.row_identity(F.col(id_col), text)
@@ -312,9 +313,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id long, did long, th int, n_shingles long, digest binary, sig array<int>"), "minhash-signatures")
     some = sigs.where("n_shingles > 0")
     # Equal sets are one node; the ids stand as they are once written.
-    nodes = C.stage(some.groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("did", "th")).alias("row"),
-                                               F.first("sig").alias("sig"))
-                    .select("digest", "least_id", "row.did", "row.th", "sig", F.monotonically_increasing_id().alias("node")),
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "did", "th")
+    nodes = C.stage(some.groupBy("digest").agg(F.min(row).alias("row"), F.first("sig").alias("sig"))
+                    .select("digest", "row", "row.did", "row.th", "sig", F.monotonically_increasing_id().alias("node")),
                     "minhash-nodes")
     posted = nodes.select("node", F.posexplode("sig").alias("c", "v")).select(
         "node", (F.shiftleft(F.col("c").cast("bigint"), 32) + F.col("v").cast("bigint")).alias("key"))
@@ -337,10 +338,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
              .mapInArrow(_exact_links(similarity), "a long, b long"))
     groups = C.stage(components(C.stage(links.distinct(), "minhash-links"), "minhash-components"), "minhash-group")
-    named = nodes.select("digest", "least_id", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = C.stage(named.join(least, "root").select("digest", "component_id"), "minhash-named")
+    named = nodes.select("digest", "row", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("row").alias("rep"))
+    named = C.stage(named.join(least, "root").select("digest", "rep"), "minhash-named")
     out = sigs.select("doc_id", "did", "th", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "did", "th", "n_shingles", component.alias("component_id"),
-                      component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    alone = F.col("n_shingles") == 0
+    return out.select("doc_id", "did", "th", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("rep.doc_id")).alias("component_id"),
+                      (alone | F.col("rep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("rep.did") == F.col("did"))
+                       & (F.col("rep.th") == F.col("th"))).alias("kept"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group; of rows alike in id and text
+    one stays, if they have words."""
+    found = C.stage(near_duplicates(docs, id_col, text_col, **options).select("did", "th", "n_shingles", "kept"), "minhash-kept")
+    names = [C.fresh_name(docs.columns, x) for x in ("did", "th")]
+    did, th = C.row_identity(F.col(id_col), F.col(text_col).cast("string"))
+    rows = docs.withColumns({names[0]: did, names[1]: th})
+    gone = found.where("not kept").select(F.col("did").alias(names[0]), F.col("th").alias(names[1])).distinct()
+    rows = rows.join(gone, names, "left_anti")
+    again = (found.where("kept and n_shingles > 0").groupBy(F.col("did").alias(names[0]), F.col("th").alias(names[1]))
+             .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    if not again.isEmpty():
+        again = C.stage(again, "minhash-again")
+        rows = rows.join(again, names, "left_anti").unionByName(rows.join(again, names, "left_semi").dropDuplicates(names))
+    return rows.drop(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.llm import common as C
-from tessera.llm import (best_fit_packing, bpe_transducer, kmeans_tree, minhash_join, no_random_access, reply_trees,
+from tessera.llm import (best_fit_packing, bpe_transducer, kmeans_tree, language_id, minhash_join, no_random_access, reply_trees,
                          suffix_dedup, url_cascade, warc_chunks)
 from tessera.session import scratch_path
 
@@ -168,7 +168,26 @@ def op8(spark, sf_dir):
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def document_evidence(docs):
+    """Documents as evidence: the source stands for the host."""
+    return docs.select("*", F.col("lang").alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"))
+
+
+@register("op9_language_id")
+def op9(spark, sf_dir):
+    """Documents and pages together, each with the evidence it has."""
+    docs, pages = read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages")
+    model = language_id.fit(docs)
+    host = url_cascade.host_of(F.col("url"))
+    found = document_evidence(docs.select("doc_id", F.lit(None).cast("bigint").alias("page_id"), "text", "lang", "source")).select(
+        "doc_id", "page_id", "text", "declared", "suffix", "host")
+    found = found.unionByName(pages.select(
+        F.lit(None).cast("bigint").alias("doc_id"), "page_id", language_id.visible_text(F.col("html")).alias("text"),
+        language_id.markup_language(F.col("html")).alias("declared"), language_id.address_suffix(host).alias("suffix"), host.alias("host")))
+    return language_id.identify(found, model, ["doc_id", "page_id"])
+
+
 @register("op10_minhash_join")
 def op10(spark, sf_dir):
     found = minhash_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, similarity=80)
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
