@@ -30,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ SUB = 16
 _POS_BITS = 21
 _SEGMENT = 1 << 20
 _BLOCK = 500_000
+_KNOWN = 200_000
 _KEY = "key long, h binary"
 
 
@@ -215,8 +217,11 @@ def _cut(data, start, lens):
 
 
 def _emit_contexts(length: int):
-    """Cuts the bytes of each document's candidate pieces."""
+    """Cuts the bytes of each document's candidate pieces. Of equal ones a
+    task writes the bytes once (or a few times: what it remembers is
+    bounded)."""
     def run(batches):
+        known: set = set()
         for b in batches:
             data, offs = C.text_buffer(b.column("text"))
             did, th = b.column("did").to_numpy(), b.column("th").to_numpy()
@@ -229,9 +234,17 @@ def _emit_contexts(length: int):
             for lo, hi in C.batches_of(np.concatenate([[0], np.cumsum(n + length - 1)]), 8 << 20):
                 s = slice(lo, hi)
                 ctx, o = _cut(data, offs[row[s]] + start[s], n[s] + length - 1)
+                h = _digest(ctx, o)
+                new = []
+                for x in h.to_pylist():
+                    new.append(x not in known)
+                    known.add(x)
+                if len(known) > _KNOWN:
+                    known.clear()
+                ctx = pc.if_else(pa.array(new), C.binary_array(ctx, o), pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(did[row[s]]), pa.array(th[row[s]]), pa.array(at[s]), pa.array(key[s]),
-                     _digest(ctx, o), C.binary_array(ctx, o)], names=["did", "th", "at", "key", "h", "ctx"])
+                    [pa.array(did[row[s]]), pa.array(th[row[s]]), pa.array(at[s]), pa.array(key[s]), h, ctx],
+                    names=["did", "th", "at", "key", "h", "ctx"])
     return run
 
 
@@ -246,15 +259,24 @@ def _index_blocks(length: int):
     """Marks of the pieces of whole keys, block by block. Rows come sorted
     by key; a key's rows are never in two blocks."""
     def solve(t: pa.Table):
-        data, offs = C.text_buffer(t.column("ctx"))
-        ms = RunLengthIndex(data, offs).matching_statistics()
-        counts = np.diff(offs) - length + 1
-        row, place = C.ragged(counts)
-        mask = ms[(offs[:-1] + np.arange(len(counts)))[row] + place] >= length
-        mask |= (t.column("w").to_numpy() > 1)[row]
-        return pa.RecordBatch.from_arrays(
-            [t.column("key").combine_chunks(), t.column("h").combine_chunks(), _pack(mask, counts)],
-            names=["key", "h", "mask"])
+        key, w = t.column("key").to_numpy(), t.column("w").to_numpy()
+        new = np.ones(len(key) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        alone = new[:-1] & new[1:]  # repeated only if it occurs repeatedly
+        out = [t.filter(pa.array(~alone)), t.filter(pa.array(alone & (w > 1)))]
+        for t, by_index in zip(out, (True, False)):
+            if not t.num_rows:
+                continue
+            data, offs = C.text_buffer(t.column("ctx"))
+            counts = np.diff(offs) - length + 1
+            mask = (t.column("w").to_numpy() > 1).repeat(counts)
+            if by_index:
+                row, place = C.ragged(counts)
+                ms = RunLengthIndex(data, offs).matching_statistics()
+                mask |= ms[(offs[:-1] + np.arange(len(counts)))[row] + place] >= length
+            yield pa.RecordBatch.from_arrays(
+                [t.column("key").combine_chunks(), t.column("h").combine_chunks(), _pack(mask, counts)],
+                names=["key", "h", "mask"])
 
     def solved(t: pa.Table):
         """The table, all of whole keys, block by block."""
@@ -264,7 +286,7 @@ def _index_blocks(length: int):
         while a < len(key):
             fit = np.searchsorted(size[ends], size[a] + _BLOCK, side="right")
             e = int(max(ends[max(fit - 1, 0)], ends[np.searchsorted(ends, a, side="right")]))
-            yield solve(t.slice(a, e - a))
+            yield from solve(t.slice(a, e - a))
             a = e
 
     def run(batches):
@@ -334,25 +356,20 @@ def _bits(mask: bytes, n: int) -> np.ndarray:
 def _marks(items: DataFrame, length: int, max_pieces: int, levels: list[int]) -> DataFrame:
     """(key, h, mask) of the different pieces ``items`` (key, h, ctx, a, w):
     one bit for each start of a piece, set where its window repeats."""
-    stats = items.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = items.join(stats, "key")
-    alone = (ranked.where("_n = 1 and w > 1")
-             .select("key", "h", F.expr(f"unhex(repeat('FF', int((length(ctx) - {length - 1} + 7) div 8)))").alias("mask")))
-    some = ranked.where(f"_n > 1 and _n <= {max_pieces}").select("key", "h", "ctx", "w")
-    done = (some.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(_index_blocks(length), f"{_KEY}, mask binary"))
-    out = alone.unionByName(done)
-    if stats.where(f"_n > {max_pieces}").isEmpty():
+    over = C.stage(items.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_pieces).select("key"), "repeat-over")
+    out = (items.join(over, "key", "left_anti").select("key", "h", "ctx", "w")
+           .repartition("key").sortWithinPartitions("key").mapInArrow(_index_blocks(length), f"{_KEY}, mask binary"))
+    if over.isEmpty():
         return out
     last = len(levels) == 1
-    subs = ranked.where(f"_n > {max_pieces}").select("key", "h", "ctx", "a", "w").mapInArrow(
+    subs = items.join(over, "key").select("key", "h", "ctx", "a", "w").mapInArrow(
         _split(length, levels[0]), f"key0 long, h0 binary, s int, n int, {_KEY}, ctx binary, a int, w long")
     subs = C.stage(subs.drop("ctx") if last else subs, "repeat-sub")
-    twice = subs.groupBy("key").agg(F.sum("w").alias("_w")).where("_w > 1").select("key")
     if last:  # a sub-piece is one window now: equal ones are repeats
         below = subs.groupBy("key", "h").agg(F.sum("w").alias("_w")).where("_w > 1").select(
             "key", "h", F.unhex(F.lit("80")).alias("mask"))
     else:
+        twice = C.stage(subs.groupBy("key").agg(F.sum("w").alias("n")).where("n > 1").select("key"), "repeat-sub-keys")
         below = _marks(C.stage(_distinct(subs.join(twice, "key")), "repeat-sub-items"), length, max_pieces, levels[1:])
     found = (subs.select("key0", "h0", "s", "n", "key", "h").join(below, ["key", "h"])
              .groupBy("key0", "h0").agg(F.collect_list(F.struct("s", "n", "mask")).alias("parts")))
@@ -361,29 +378,33 @@ def _marks(items: DataFrame, length: int, max_pieces: int, levels: list[int]) ->
 
 
 def _distinct(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("key", "h").agg(F.first("ctx").alias("ctx"), F.first("a").alias("a"), F.sum("w").alias("w"))
-
-
-def _cover(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Maximal covered byte runs of windows at the given sorted starts."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > length)
-    first = np.concatenate([starts[:1], starts[cut + 1]])
-    last = np.concatenate([starts[cut], starts[-1:]]) + length
-    return list(zip(first.tolist(), last.tolist()))
+    return rows.groupBy("key", "h").agg(F.first("ctx", ignorenulls=True).alias("ctx"), F.first("a").alias("a"), F.sum("w").alias("w"))
 
 
 def _spans(length: int):
+    """Maximal runs of bytes that each document's marked windows cover."""
     def run(batches):
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            out = []
-            for parts in b.column("parts").to_pylist():
-                starts = [np.flatnonzero(_bits(p["mask"], p["at"] & 255)) + (p["at"] >> 16) for p in parts]
-                out.append([{"start": x, "end": y} for x, y in _cover(np.unique(np.concatenate(starts)), length)])
-            yield pa.RecordBatch.from_arrays([b.column("did"), b.column("th"), pa.array(out, kind)],
-                                             names=["did", "th", "spans"])
+            lists = b.column("parts")
+            counts = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            at = flat.field("at").to_numpy()
+            data, offs = C.text_buffer(flat.field("mask"))
+            bits, have = np.unpackbits(data), 8 * np.diff(offs)
+            part, place = C.ragged(np.minimum(at & 255, have))
+            on = bits[8 * offs[part] + place] == 1
+            doc = np.repeat(np.arange(len(counts)), counts)[part[on]]
+            start = (at >> 16)[part[on]] + place[on]
+            order = np.lexsort((start, doc))
+            doc, start = doc[order], start[order]
+            cut = np.ones(len(doc) + 1, bool)
+            cut[1:-1] = (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > length)
+            first, last = np.flatnonzero(cut[:-1]), np.flatnonzero(cut[1:])
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc[first], minlength=len(counts)))])
+            runs = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(start[last] + length)], names=["start", "end"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("did"), b.column("th"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)],
+                names=["did", "th", "spans"])
     return run
 
 
@@ -416,15 +437,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     did, th = C.row_identity(F.col(id_col), text)
     base = docs.select(did.alias("did"), th.alias("th"), text.alias("text"))
     pieces = C.stage(base.mapInArrow(_emit_pieces(length, seed), _PIECE), "repeat-pieces")
-    twice = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
-    cand = (pieces.join(twice, "key").groupBy("did", "th")
-            .agg(F.collect_set(F.struct("at", "key")).alias("pieces")))
-    held = C.stage(base.join(cand, ["did", "th"]), "repeat-docs")
+    twice = C.stage(pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeat-keys")
+    cand = C.stage(pieces.join(twice, "key").groupBy("did", "th")
+                   .agg(F.collect_set(F.struct("at", "key")).alias("pieces")), "repeat-candidates")
+    some = C.maybe_in(base, cand.select("did", "th"), ["did", "th"])
+    held = C.stage(some.join(cand, ["did", "th"]), "repeat-docs")
     occ = C.stage(held.mapInArrow(_emit_contexts(length), _OCC), "repeat-occurrences")
     anchor = F.shiftright("at", 8).bitwiseAND(F.lit(255).cast("bigint")).cast("int")
     items = C.stage(_distinct(occ.select("key", "h", "ctx", anchor.alias("a"), F.lit(1).cast("bigint").alias("w"))),
                     "repeat-items")
-    marks = _marks(items, length, max_pieces, [SUB, 1])
+    marks = C.stage(_marks(items, length, max_pieces, [SUB, 1]), "repeat-marks")
     spans = (occ.select("did", "th", "at", "key", "h").join(marks, ["key", "h"])
              .groupBy("did", "th").agg(F.collect_list(F.struct("at", "mask")).alias("parts"))
              .mapInArrow(_spans(length), "did long, th int, spans array<struct<start:long,end:long>>")
