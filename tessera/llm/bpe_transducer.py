@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm import common as C
 
-MEMO_WORDS = 250_000
-MAX_TRANSITIONS = 300_000
+MEMO_WORDS = 400_000
+MAX_TRANSITIONS = 800_000
 #: Open tokens with at most so many tokens below are checked for a way on.
 FEW = 16
 _LONG = 1 << 20
