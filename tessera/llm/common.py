@@ -32,6 +32,11 @@ def fresh_name(taken, name: str) -> str:
     return name
 
 
+def columns(df: DataFrame) -> list:
+    """All columns, by quoted name (names may hold dots)."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def row_identity(id_col, text_col):
     """Two columns that name a row by its id and whole text: rows equal in
     both are interchangeable. A null id falls back on a hash of the text, so

@@ -468,4 +468,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = found.select(F.col("did").alias(names[0]), F.col("th").alias(names[1]),
                          F.col("kept").alias(names[2]))
     return (docs.withColumns({names[0]: did, names[1]: th}).join(found, names[:2], "left")
-            .withColumn(text_col, F.coalesce(names[2], F.col(text_col))).select(*docs.columns))
+            .withColumn(text_col, F.coalesce(names[2], F.col(text_col))).select(*C.columns(docs)))

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm import common as C
 
@@ -187,12 +188,12 @@ def listed(rows: DataFrame, key: str, filters: DataFrame, name: str = "listed",
     """``rows`` with a boolean: whether ``key`` (not null) is listed."""
     head = filters.agg(F.max("shards"), F.coalesce(F.sum(F.length("cascade")), F.lit(0))).first()
     shards, size = head[0] or 1, head[1]
-    cols = [c for c in rows.columns]
+    cols, names = C.columns(rows), rows.columns
     shard = F.pmod(F.xxhash64(F.col(key)), F.lit(shards)).cast("int")
     if size <= broadcast_bytes:
         sent = rows.sparkSession.sparkContext.broadcast([(r["shard"], bytes(r["cascade"])) for r in filters.collect()])
         plain = rows.select(F.struct(*cols).alias("row"), F.col(key).alias("key"), shard.alias("shard"))
-        out = plain.mapInArrow(_judge_all(sent, shards), f"row {plain.schema['row'].dataType.simpleString()}, key string, shard int, listed boolean")
+        out = plain.mapInArrow(_judge_all(sent, shards), T.StructType([*plain.schema.fields, T.StructField("listed", T.BooleanType())]))
     else:
         plain = rows.select(shard.alias("shard"), F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int").alias("salt"),
                             F.struct(*cols).alias("row"), F.col(key).alias("key"), F.lit(None).cast("binary").alias("cascade"))
@@ -200,13 +201,14 @@ def listed(rows: DataFrame, key: str, filters: DataFrame, name: str = "listed",
         lead = filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
                               F.lit(None).cast(kind).alias("row"), F.lit("").alias("key"), "cascade")
         out = (plain.union(lead).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("row").isNotNull())
-               .mapInArrow(_judge_dealt, f"row {kind.simpleString()}, listed boolean"))
-    return out.select(*[F.col("row")[c].alias(c) for c in cols], F.col("listed").alias(name))
+               .mapInArrow(_judge_dealt, T.StructType().add("row", kind).add("listed", "boolean")))
+    return out.select(*[F.col("row")[c].alias(c) for c in names], F.col("listed").alias(name))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], list_: DataFrame, url_col: str = "url",
           broadcast_bytes: int = BROADCAST_BYTES, keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
-    """``pages`` with ``host, path, rule, verdict``. ``list_`` has the listed
+    """``pages`` with ``host, path, rule, verdict`` (columns of these names
+    are replaced). ``list_`` has the listed
     hosts (column ``key``); the universe is every host of ``pages``."""
     url = F.col(url_col)
     rows = pages.withColumns({"host": host_of(url), "path": path_of(url)})
