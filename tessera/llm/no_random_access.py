@@ -4,11 +4,14 @@ A block of rows keeps a list for each component, sorted by value. For a
 query a list is read from the end that contributes most. After some depth a
 row's score lies between a lower bound (the contributions read, plus the
 least that each list it was not met in can give) and an upper bound (those
-read, plus what each such list gives at the depth reached). The k-th best
-lower bound is the bar; reading goes on, doubling the depth, until few rows
-reach it with their upper bound (equality counts: ties are settled by id).
-What all other rows can't change is then done: the scores of the rows left
-are resolved in full.
+read, plus what each such list gives at the depth reached). The bar is the
+k-th best lower bound, or the query's k-th best score among ``seed_rows``
+rows that were scored beforehand (a stated number, so they can be sent to
+every task), if that is higher. All queries of a block read to the same
+depths, so the bounds of all rows are products of matrices. A query is done
+when a row that no list has met can't reach its bar and few of those met can
+(equality counts: ties are settled by id); their scores are then resolved in
+full, those of all other rows are never known.
 
 Rows are cut into blocks of about ``block_rows`` and queries into blocks of
 about ``query_rows``; every row block meets every query block in a task of
@@ -33,52 +36,78 @@ from tessera.llm import vectors as V
 
 BLOCK_ROWS = 4096
 QUERY_ROWS = 2048
+SEED_ROWS = 4096
 LIMIT = float(1 << 20)
 
 
 class SortedLists:
-    """A block's rows (integers) with a sorted list for each component."""
+    """A block's rows (integers) with a sorted list for each component:
+    ``place`` has each row's place in each list, ``sorted`` the lists."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows.astype(np.float64)
-        self.order = np.argsort(rows, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(self.rows, self.order, axis=0)
-
-    def top(self, query_id: int, query: np.ndarray, k: int, few: int = 64) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of the k best, ties to the lesser id."""
-        n, d = self.rows.shape
-        q = query.astype(np.float64)
-        falling = q >= 0
-        lists = np.arange(d)
-        ends = np.where(falling, 0, n - 1)
-        least = q * self.sorted[ends, lists]
-        met = np.zeros((n, d), np.float64)
-        own = self.ids == query_id
-        depth, live = 0, np.arange(n)
-        while True:
-            step = np.arange(depth, min(n, max(64, 2 * depth)))
-            depth = int(step[-1]) + 1
-            at = np.where(falling, n - 1 - step[:, None], step[:, None])
-            met[self.order[at, lists], lists] = 1
-            if depth == n:
-                break
-            edge = q * self.sorted[np.where(falling, n - depth, depth - 1), lists]
-            read = (self.rows * met) @ q
-            low, high = read + (least.sum() - met @ least), read + (edge.sum() - met @ edge)
-            low[own] = -np.inf
-            if n - own.sum() <= k:
-                break
-            bar = np.partition(low, n - k)[n - k]
-            live = np.flatnonzero((high >= bar) & ~own)
-            if len(live) <= few:
-                break
-        live = live[~own[live]]
-        score = (self.rows[live].astype(np.int64) * query).sum(1)
-        best = np.lexsort((self.ids[live], -score))[:k]
-        return live[best], score[best]
+        self.ids, self.rows = ids, rows
+        order = np.argsort(rows, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(rows, order, axis=0).astype(np.float64)
+        self.place = np.empty(rows.shape, np.int32)
+        np.put_along_axis(self.place, order, np.arange(len(rows), dtype=np.int32)[:, None], axis=0)
+        self.largest = np.abs(self.sorted).max(0, initial=0)
+
+    def top(self, q_ids: np.ndarray, queries: np.ndarray, k: int, bars: np.ndarray | None = None, few: int = 64):
+        """For each query the rows and scores of its k best, ties to the
+        lesser id; rows under its bar may be missing."""
+        n, m = len(self.rows), len(queries)
+        q = queries.astype(np.float64)
+        # Sums of whole numbers under 2**24 are exact in single precision.
+        reach = np.abs(q) @ self.largest
+        kind = np.float32 if reach.max(initial=0) < 1 << 24 else np.float64
+        slack = np.where(reach < 1 << 24, 0, 1e-12 * reach)
+        bar = np.full(m, -np.inf) if bars is None else bars - slack
+        up, down = np.where(q > 0, q, 0), np.where(q < 0, q, 0)  # read from the top, from the bottom
+        least = up * self.sorted[0] + down * self.sorted[-1]
+        open_ = self.ids[:, None] != q_ids[None, :]
+        todo = np.arange(m) if n > max(few, 2 * k) else np.arange(0)
+        for depth in sorted({n - (n >> i) for i in (1, 2, 3)} | {n >> i for i in (2, 3, 4)} - {0, n}):
+            edge = up * self.sorted[n - depth] + down * self.sorted[depth - 1]
+            now = todo[(edge[todo].sum(1) < bar[todo]) | (2 * depth >= n)]
+            if not len(now):
+                continue
+            read = {}
+            for side, part in (("up", self.place >= n - depth), ("down", self.place < depth)):
+                read[side] = part.astype(kind), (self.rows * part).astype(kind)
+            known = read["up"][1] @ up[now].T.astype(kind) + read["down"][1] @ down[now].T.astype(kind)
+
+            def bound(rest):  # what is read, and ``rest`` from every other list
+                rest_up, rest_down = np.where(q[now] > 0, rest, 0), np.where(q[now] < 0, rest, 0)
+                met = read["up"][0] @ rest_up.T.astype(kind) + read["down"][0] @ rest_down.T.astype(kind)
+                return known + (rest.sum(1).astype(kind) - met)
+
+            low = np.where(open_[:, now], bound(least[now]), -np.inf)
+            bar[now] = np.maximum(bar[now], np.partition(low, n - k, axis=0)[n - k] - slack[now])
+            open_[:, now] &= bound(edge[now]) >= bar[now] - slack[now]
+            left = open_[:, now].sum(0)
+            todo = np.setdiff1d(todo, now[left <= few])
+        for i in range(m):
+            live = np.flatnonzero(open_[:, i])
+            score = (self.rows[live] * queries[i]).sum(1)
+            best = np.lexsort((self.ids[live], -score))[:k]
+            yield live[best], score[best]
 
 
 _FOUND = "query_id long, vec_id long, score long"
+_ROW = "vec_id long, v array<bigint>"
+
+
+def _set_bars(sent, dim: int, k: int):
+    """Adds each query's k-th best score among the seed rows (null without)."""
+    def run(batches):
+        ids, rows = sent.value
+        for b in batches:
+            bars = []
+            for i, q in zip(b.column("vec_id").to_pylist(), V.matrix(b.column("v"), dim)):
+                s = (rows @ q)[ids != i]
+                bars.append(int(np.partition(s, len(s) - k)[len(s) - k]) if len(s) >= k else None)
+            yield b.append_column("bar", pa.array(bars, pa.int64()))
+    return run
 
 
 def _aggregate(dim: int, k: int):
@@ -90,15 +119,19 @@ def _aggregate(dim: int, k: int):
             if asks.all() or not asks.any():
                 continue
             block = SortedLists(ids[~asks], v[~asks])
-            for a in range(0, int(asks.sum()), 256):
-                out = [(np.full(len(r), i), block.ids[r], s) for i, q in zip(ids[asks][a:a + 256], v[asks][a:a + 256])
-                       for r, s in [block.top(i, q, k)]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "vec_id", "score"])
+            bars = np.nan_to_num(t.column("bar").to_numpy().astype(float)[asks], nan=-np.inf)
+            out, i, q = [], ids[asks], v[asks]
+            for a in range(0, len(i), 256):
+                got = block.top(i[a:a + 256], q[a:a + 256], k, bars[a:a + 256])
+                out += [(np.full(len(r), x), block.ids[r], s) for x, (r, s) in zip(i[a:a + 256], got)]
+            for a in range(0, len(out), 1024):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out[a:a + 1024])],
+                                                 names=["query_id", "vec_id", "score"])
     return run
 
 
 def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256, id_col: str = "vec_id", vec_col: str = "embedding",
-                 block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, seed_rows: int = SEED_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest inner products
     of floor(scale * x) with ``vectors`` (but not its own id)."""
     dim = V.common_size(vectors, vec_col)
@@ -111,9 +144,15 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: float =
 
     table, asked = C.stage(rows(vectors), "topk-vectors"), C.stage(rows(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "topk-queries")
     row_blocks, query_blocks = max(1, -(-table.count() // block_rows)), max(1, -(-asked.count() // query_rows))
+    seeds = table.orderBy(F.xxhash64("vec_id"), "vec_id").limit(seed_rows).collect()
+    if not seeds:
+        return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    sent = table.sparkSession.sparkContext.broadcast((np.array([r["vec_id"] for r in seeds]), np.array([r["v"] for r in seeds], np.int64)))
+    asked = asked.mapInArrow(_set_bars(sent, dim, k), f"{_ROW}, bar long")
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    met = table.select(block(row_blocks).alias("rb"), each(query_blocks).alias("qb"), F.lit(False).alias("asks"), "vec_id", "v").union(
-        asked.select(each(row_blocks).alias("rb"), block(query_blocks).alias("qb"), F.lit(True), "vec_id", "v"))
+    met = table.select(block(row_blocks).alias("rb"), each(query_blocks).alias("qb"), F.lit(False).alias("asks"), "vec_id", "v",
+                       F.lit(None).cast("bigint").alias("bar")).union(
+        asked.select(each(row_blocks).alias("rb"), block(query_blocks).alias("qb"), F.lit(True), "vec_id", "v", "bar"))
     found = met.repartition("rb", "qb").sortWithinPartitions("rb", "qb").mapInArrow(_aggregate(dim, k), _FOUND)
     return V.best(found, k)

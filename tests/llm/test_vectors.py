@@ -89,16 +89,20 @@ def test_top_products_small_tables(spark):
     assert no_random_access.top_products(df.limit(0), df.limit(0), 5).collect() == []
 
 
-def test_lists_stop_early():
+@pytest.mark.parametrize("scale", [1, 1 << 20])
+def test_bounds_never_lose_a_row(scale):
+    """Small numbers in single precision, large ones in double with slack."""
     rng = np.random.default_rng(5)
-    v = rng.integers(-300, 300, size=(3000, 6))
-    v[7] = 5000  # far ahead: the bar is high after the first entries
+    v = rng.integers(-300, 300, size=(3000, 6)) * scale
+    v[7] = 5000 * scale  # far ahead: the bar is high after the first entries
+    v[100:900] = v[3]
     lists = no_random_access.SortedLists(np.arange(3000), v)
-    for seed in range(20):
-        q = np.random.default_rng(seed).integers(-300, 300, size=6)
-        found, score = lists.top(-1, q, 4)
-        want = sorted(((-int(s), i) for i, s in enumerate(v @ q)))[:4]
-        assert [(-int(s), int(i)) for i, s in zip(found, score)] == want
+    q = rng.integers(-200, 200, size=(40, 6))
+    q[0] = 0
+    want = [sorted((-int(s), i) for i, s in enumerate(v @ x) if i != n)[:4] for n, x in enumerate(q)]
+    for bars in (None, np.array([-w[3][0] for w in want], float)):
+        got = lists.top(np.arange(40), q, 4, bars)
+        assert [[(-int(s), int(i)) for i, s in zip(*g)] for g in got] == want
 
 
 def test_random_seed_is_fixed():
