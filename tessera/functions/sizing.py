@@ -1,69 +1,59 @@
-"""Size-checked broadcast."""
+"""Column references, small literal frames, staged tables and broadcasts of
+a checked size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Default bound on the rows of a side we broadcast by hint.
-DEFAULT_BROADCAST_ROWS = 200_000
+#: A side is hinted for broadcast only if it has at most so many bytes.
+BROADCAST_BYTES = 8 << 20
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows.
+def qcol(name: str) -> Column:
+    """A column by its literal name (names may hold dots and backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
-    ``take`` scans partitions incrementally (one, then a growing number)
-    and stops once ``max_rows + 1`` rows are found, so on a huge input it
-    reads a few partitions, not every one; the projection to a constant
-    keeps the scan free of data columns. Only one-column constant rows
-    reach the driver.
-    """
-    return len(df.select(F.lit(True).alias("_")).take(max_rows + 1)) <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is proven small.
-
-    Otherwise the frame is returned as is, and the planner (with AQE and
-    ``autoBroadcastJoinThreshold``, both size checks made by Spark) picks
-    the join, so a side that grows with the data never lands whole on
-    every executor.
-    """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back. Later stages prune its columns, Spark knows its size, and
+    no lineage has to be run again when an executor is lost."""
+    from tessera.session import scratch_path
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Round-robin the rows over the task slots when the input arrives in
-    fewer partitions than there are slots (e.g. one large Parquet row
-    group), before CPU-heavy per-row work such as tokenising whole texts
-    or testing patterns. At scale the scan already yields many more splits
-    than slots and this returns ``df`` unchanged (no extra shuffle).
 
-    Call it on a scan (or a projection of one): asking a frame that
-    contains a shuffle for its partition count would run that shuffle.
-    """
-    slots = slots or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
-def small_frame(spark, fields: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
+def small_frame(spark: SparkSession, fields: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
     """A frame of a handful of driver-side rows (schema-sized results that
     were already collected), built as literals: no Python serialisation
     and no extra job. ``fields`` are (name, Spark SQL type) pairs."""
     if not rows:
-        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in fields))
+        return spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in fields))
     return spark.range(1).select(F.inline(F.array(*[
         F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, r)]) for r in rows])))
 
 
-# Columns per wide one-row aggregate. Wider inputs are cut into chunks:
-# on columnar storage each chunk reads only its own columns, so the I/O is
-# unchanged while each aggregate stays small for the analyser and codegen.
-WIDE_CHUNK = 64
+def per_column(df: DataFrame, cols: list[str], values: dict, aggs: list[Column],
+               broadcast_names: bool = True) -> DataFrame:
+    """(ord, col, *aggs): one row for each of ``cols``, from one pass.
 
-
-def column_chunks(cols: list[str], size: int = WIDE_CHUNK) -> list[list[str]]:
-    return [cols[i:i + size] for i in range(0, len(cols), size)] or [[]]
+    ``values`` maps a value name to a function of (column name, Column) that
+    gives the value of a cell. All cells are unpivoted to rows (ord,
+    *values) and aggregated by ``ord`` with ``aggs``, so the number of
+    expressions does not grow with the width of the table, each task sends
+    one row per column, and the input is read once however wide it is.
+    Columns of an empty table get a row too (of nulls).
+    """
+    spark = df.sparkSession
+    names = small_frame(spark, [("ord", "int"), ("col", "string")], list(enumerate(cols)))
+    if not cols:
+        return names
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("ord"), *[fn(c, qcol(c)).alias(n) for n, fn in values.items()])
+        for i, c in enumerate(cols)])))
+    return names.join(cells.groupBy("ord").agg(*aggs), "ord", "left")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

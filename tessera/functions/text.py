@@ -18,12 +18,12 @@ _WS = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}
 
 def go_trim(c: Column) -> Column:
     """Strip leading and trailing Unicode whitespace (not only spaces)."""
-    return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
+    return F.regexp_replace(c, rf"\A{_WS}+|{_WS}+\z", "")
 
 
 def null_tokens_to_null(c: Column) -> Column:
     """Trim a string; blank and NA-like tokens (any case) become null."""
-    t = F.trim(c)
+    t = go_trim(c)
     return F.when(F.upper(t).isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(t)
 
 

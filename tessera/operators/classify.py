@@ -1,14 +1,21 @@
 """Classify: semantic type scoring, gating, best type, type source choice
-and verification against the data."""
+and verification against the data.
+
+All decisions compare exact counts; probabilities are rounded for display
+only.
+"""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.types import (PRIORITY, SCORED_TYPES, STORAGE_TYPES, guarded_cast,
-                                     matches_type_named)
-from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, column_chunks, union_all
+from tessera.functions.sizing import qcol, small_frame
+from tessera.functions.text import go_trim
+from tessera.functions.types import (CAST_TARGETS, PRIORITY, SCORED_TYPES, STORAGE_TYPES, guarded_cast, has_time,
+                                     matches_type, storage_of)
 
 DEFAULT_THRESHOLD = 0.8  # fixed value: the default probability threshold
 CATEGORICAL_RATIO = 0.05  # fixed value: distinct values at most this share of rows
@@ -17,7 +24,7 @@ CATEGORICAL_RATIO = 0.05  # fixed value: distinct values at most this share of r
 def text_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col, v): every value of ``cols`` as trimmed text, nulls kept."""
     return df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.trim(F.col(c).cast("string")).alias("v")) for c in cols])))
+        F.struct(F.lit(c).alias("col"), go_trim(qcol(c).cast("string")).alias("v")) for c in cols])))
 
 
 def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
@@ -30,36 +37,28 @@ def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
                               digits).alias("probability"))
 
 
-CAST_TARGETS = ("bigint", "double", "boolean", "date")
-
-
 def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: DataFrame | None = None,
-                 distinct: bool = True, exact_distinct: bool = True,
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, casts: bool = False) -> DataFrame:
-    """Everything classification needs, per column, from ONE aggregate over
-    the unpivoted text: rows, non-null values, a match count per semantic
-    type (``m_<type>``), distinct values and, given gazetteer keys, place
-    hits (``m_place``, via a size-checked broadcast join before the
-    aggregate; ``broadcast_rows=None`` when the caller already checked and
-    hinted the keys, or leaves the join to the planner)."""
+                 casts: bool = False) -> DataFrame:
+    """Per column, from one aggregate over the unpivoted text: rows, non-null
+    values, a match count per semantic type (``m_<type>``), values with a
+    time of day (``n_time``) and, if asked for, values that cast to each
+    storage type (``k_<type>``). Only counts are shuffled, a row per column
+    and task. Place hits (``m_place``) come from a semi join of the non-null
+    values with the gazetteer's keys."""
     cols = cols or df.columns
     long = text_long(df, cols)
     v, name = F.col("v"), F.col("col")
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n")]
-    aggs += [F.count_if(v.isNotNull() & matches_type_named(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES]
-    if gazetteer_keys is not None:
-        keys = gazetteer_keys.select(F.col(gazetteer_keys.columns[0]).alias("_key")).distinct() \
-            .withColumn("_hit", F.lit(1))
-        if broadcast_rows:
-            keys = broadcast_if_small(keys, broadcast_rows)
-        long = long.join(keys, F.upper(v) == F.col("_key"), "left")
-        aggs.append(F.count("_hit").alias("m_place"))
-    if distinct:
-        nd = F.count_distinct(v) if exact_distinct else F.approx_count_distinct(v)
-        aggs.append(nd.cast("bigint").alias("n_distinct"))
-    if casts:  # values that cast to each storage type (for verification)
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.count_if(has_time(v)).alias("n_time")]
+    aggs += [F.count_if(v.isNotNull() & matches_type(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES]
+    if casts:
         aggs += [F.count(guarded_cast(v, t)).alias(f"k_{t}") for t in CAST_TARGETS]
-    return long.groupBy("col").agg(*aggs)
+    stats = long.groupBy("col").agg(*aggs)
+    if gazetteer_keys is not None:
+        keys = gazetteer_keys.select(F.col(gazetteer_keys.columns[0]).alias("_key")).where("_key is not null")
+        hits = (long.where(v.isNotNull()).select("col", F.upper(v).alias("_key")).join(keys, "_key", "left_semi")
+                .groupBy("col").agg(F.count(F.lit(1)).alias("m_place")))
+        stats = stats.join(hits, "col", "left").withColumn("m_place", F.coalesce("m_place", F.lit(0).cast("bigint")))
+    return stats
 
 
 def type_scores(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
@@ -70,131 +69,109 @@ def type_scores(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -
     map-side partial aggregation leaves one row per column and task to
     shuffle, and the expression count does not grow with the table width.
     """
-    return _score_rows(column_stats(df, cols, distinct=False), SCORED_TYPES, digits)
-
-
-def place_scores(df: DataFrame, cols: list[str], gazetteer_keys: DataFrame, key: str = "key",
-                 digits: int = 6) -> DataFrame:
-    """Share of non-null values of each column found in a gazetteer
-    (normalised ``upper(trim(v))``), as rows of semantic type ``place``."""
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"),
-                                                 F.upper(F.trim(F.col(c).cast("string"))).alias("v"))
-                                       for c in cols]))).where(F.col("v").isNotNull())
-    keys = broadcast_if_small(gazetteer_keys.select(F.col(key).alias("v")).distinct().withColumn("_hit", F.lit(1)))
-    hits = long.join(keys, "v", "left")
-    return (hits.groupBy("col").agg(F.count(F.lit(1)).alias("n"), F.count("_hit").alias("n_match"))
-            .select("col", F.lit("place").alias("semantic_type"), "n", "n_match",
-                    F.round(F.col("n_match") / F.col("n"), digits).alias("probability")))
+    return _score_rows(column_stats(df, cols), SCORED_TYPES, digits)
 
 
 def best_types(scores: DataFrame) -> DataFrame:
-    """Highest probability per column; ties go to the earlier lattice type."""
+    """The type with most matches per column; ties go to the earlier lattice
+    type. (col, semantic_type, n, n_match, probability)."""
     prio = F.create_map(*[x for t, p in PRIORITY.items() for x in (F.lit(t), F.lit(-p))])
-    best = scores.groupBy("col").agg(F.max(F.struct(F.col("probability"), prio[F.col("semantic_type")].alias("np"),
-                                                    F.col("semantic_type"))).alias("b"))
-    return best.select("col", F.col("b.semantic_type").alias("semantic_type"), F.col("b.probability").alias("probability"))
+    best = scores.groupBy("col").agg(F.max(F.struct("n_match", prio[F.col("semantic_type")].alias("np"),
+                                                    "semantic_type", "n", "probability")).alias("b"))
+    return best.select("col", "b.semantic_type", "b.n", "b.n_match", "b.probability")
 
 
 def gate(best: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """A probability below the threshold makes the type ``unknown``; equal keeps it."""
-    return best.withColumn("gated_type", F.when(F.col("probability") >= F.lit(threshold), F.col("semantic_type"))
-                           .otherwise(F.lit("unknown")))
+    """A share of matches below the threshold makes the type ``unknown``;
+    equal keeps it. The counts are compared in decimals, not the rounded
+    share."""
+    bar = F.col("n") * F.lit(Decimal(str(threshold)))
+    reached = (F.col("n") > 0) & (F.col("n_match") >= bar)
+    return best.withColumn("gated_type", F.when(reached, F.col("semantic_type")).otherwise(F.lit("unknown")))
 
 
-def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
-    """(col, n_rows, n_distinct) of the trimmed text of each column.
-
-    ``exact=False`` counts with a bounded HyperLogLog++ sketch instead of
-    shuffling every distinct value (enough for a 5% cardinality test).
-    """
-    long = text_long(df, cols)
-    nd = F.count_distinct("v") if exact else F.approx_count_distinct("v")
-    return long.groupBy("col").agg(F.count(F.lit(1)).alias("n_rows"), nd.cast("bigint").alias("n_distinct"))
+def distinct_of(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(col, n_distinct) of ``cols``: exact distinct trimmed texts, counted
+    by two 64-bit hashes, so that no text is shuffled however long it is."""
+    long = text_long(df, cols).where(F.col("v").isNotNull())
+    return (long.select("col", F.xxhash64("v").alias("a"), F.xxhash64("v", F.lit(7)).alias("b"))
+            .groupBy("col").agg(F.count_distinct("a", "b").alias("n_distinct")))
 
 
 def classify(df: DataFrame, cols: list[str] | None = None, threshold: float = DEFAULT_THRESHOLD,
              categorical: bool = True, ratio: float = CATEGORICAL_RATIO,
-             gazetteer_keys: DataFrame | None = None, exact_distinct: bool = True,
-             digits: int = 6, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             gazetteer_keys: DataFrame | None = None, digits: int = 6) -> DataFrame:
     """Suggested semantic type per column (col, semantic_type, probability).
 
-    Score (``place`` too when gazetteer keys are given), pick the best,
-    gate at ``threshold``; then, if enabled, a column left ``unknown`` whose
+    Score (``place`` too when gazetteer keys are given), pick the best, gate
+    at ``threshold``; then, if enabled, a column left ``unknown`` whose
     distinct count is at most ``ratio`` of the rows (and at least one)
-    becomes ``categorical``. All counts come from one aggregate
-    (``column_stats``), so the input is read once.
+    becomes ``categorical``. The scores come from one pass (run here: one
+    row per column comes back); the distinct counts read the undecided
+    columns only.
     """
-    stats = column_stats(df, cols, gazetteer_keys, distinct=categorical, exact_distinct=exact_distinct,
-                         broadcast_rows=broadcast_rows)
-    return _classify_stats(stats, gazetteer_keys is not None, threshold, categorical, ratio, digits) \
+    return _classified(df, cols or df.columns, threshold, categorical, ratio, gazetteer_keys, digits, False) \
         .select("col", "semantic_type", "probability")
 
 
 def classify_verified(df: DataFrame, cols: list[str] | None = None, threshold: float = DEFAULT_THRESHOLD,
                       categorical: bool = True, ratio: float = CATEGORICAL_RATIO,
-                      gazetteer_keys: DataFrame | None = None, exact_distinct: bool = True,
-                      digits: int = 6, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Classification and verification (C1-C3 + C5) in one pass:
-    (col, semantic_type, probability, n_non_null, n_cast, accepted).
+                      gazetteer_keys: DataFrame | None = None, digits: int = 6) -> DataFrame:
+    """Classification and verification (C1-C3 + C5) in one pass: (col,
+    semantic_type, probability, n_non_null, n_cast, accepted, storage).
 
     The same aggregate that scores the types also counts, per column, the
     values that cast to each storage type; the suggested type then picks
-    its count. A type is accepted iff every non-null value casts.
+    its count. A type is accepted iff every non-null value casts. ``storage``
+    is what to store an accepted column as.
     """
-    stats = column_stats(df, cols, gazetteer_keys, distinct=categorical, exact_distinct=exact_distinct,
-                         broadcast_rows=broadcast_rows, casts=True)
-    cls = _classify_stats(stats, gazetteer_keys is not None, threshold, categorical, ratio, digits)
-    st = F.create_map(*[x for t, s in STORAGE_TYPES.items() for x in (F.lit(t), F.lit(s))])
-    storage = st[F.col("semantic_type")]
-    n_cast = F.coalesce(*[F.when(storage == t, F.col(f"k_{t}")) for t in CAST_TARGETS], F.col("n"))
-    return (cls.join(stats.select("col", "n", *[f"k_{t}" for t in CAST_TARGETS]), "col")
-            .select("col", "semantic_type", "probability", F.col("n").alias("n_non_null"),
-                    n_cast.alias("n_cast"), (n_cast == F.col("n")).alias("accepted")))
-
-
-def _classify_stats(stats: DataFrame, with_place: bool, threshold: float, categorical: bool,
-                    ratio: float, digits: int) -> DataFrame:
-    types = SCORED_TYPES + (["place"] if with_place else [])
-    g = gate(best_types(_score_rows(stats, types, digits)), threshold)
-    if categorical:
-        g = g.join(stats.select("col", "n_rows", "n_distinct"), "col").withColumn(
-            "gated_type", F.when((F.col("gated_type") == "unknown") & (F.col("n_distinct") >= 1)
-                                 & (F.col("n_distinct") <= F.col("n_rows") * F.lit(ratio)), F.lit("categorical"))
-            .otherwise(F.col("gated_type")))
-    return g.select("col", F.col("gated_type").alias("semantic_type"), "probability")
+    c = _classified(df, cols or df.columns, threshold, categorical, ratio, gazetteer_keys, digits, True)
+    c = c.withColumn("storage", storage_of(F.col("semantic_type"), F.col("n_time")))
+    n_cast = F.coalesce(*[F.when(F.col("storage") == t, F.col(f"k_{t}")) for t in CAST_TARGETS], F.col("n"))
+    return c.select("col", "semantic_type", "probability", F.col("n").alias("n_non_null"),
+                    n_cast.alias("n_cast"), (n_cast == F.col("n")).alias("accepted"), "storage")
+
+
+def _classified(df, cols, threshold, categorical, ratio, gazetteer_keys, digits, casts) -> DataFrame:
+    stats = column_stats(df, cols, gazetteer_keys, casts)
+    types = SCORED_TYPES + (["place"] if gazetteer_keys is not None else [])
+    keep = ["n_rows", "n_time", *([f"k_{t}" for t in CAST_TARGETS] if casts else [])]
+    g = gate(best_types(_score_rows(stats, types, digits)), threshold).join(stats.select("col", *keep), "col")
+    names = ["col", "gated_type", "probability", "n", *keep]
+    rows = g.select(*names).collect()  # one row per column
+    found = {r["col"] for r in rows}
+    rows = [tuple(r) for r in rows] + [(c, "unknown", 0.0, 0, *[0] * len(keep)) for c in cols if c not in found]
+    kinds = ["string", "string", "double", *["bigint"] * (len(names) - 3)]
+    g = small_frame(df.sparkSession, list(zip(names, kinds)), rows)
+    final, open_ = F.col("gated_type"), [r[0] for r in rows if r[1] == "unknown" and r[3]]
+    if categorical and open_:
+        # One row per undecided column: bounded by the schema.
+        g = g.join(F.broadcast(distinct_of(df, open_)), "col", "left")
+        few = F.col("n_distinct") <= F.col("n_rows") * F.lit(Decimal(str(ratio)))
+        final = F.when((final == "unknown") & (F.col("n_distinct") >= 1) & few, F.lit("categorical")).otherwise(final)
+    return g.select("col", final.alias("semantic_type"), "probability", "n", *keep)
 
 
 def choose_types(declared: DataFrame, suggested: DataFrame, source: str = "classification") -> DataFrame:
     """Type source choice: the classification's type or the declared one.
 
-    ``declared`` has (col, declared); ``suggested`` (col, semantic_type).
-    The selected storage type falls back to the declared type when the
-    chosen source has none for the column.
+    ``declared`` has (col, declared); ``suggested`` (col, semantic_type and,
+    if verified, accepted and storage). A suggestion that verification
+    rejected counts as none; the selected storage type falls back to the
+    other source when the chosen one has none for the column.
     """
     st = F.create_map(*[x for t, s in STORAGE_TYPES.items() for x in (F.lit(t), F.lit(s))])
-    j = declared.join(suggested.select("col", F.col("semantic_type").alias("suggested")), "col", "full")
-    chosen = (F.coalesce(st[F.col("suggested")], F.col("declared")) if source == "classification"
-              else F.coalesce(F.col("declared"), st[F.col("suggested")]))
+    storage = F.col("storage") if "storage" in suggested.columns else st[F.col("semantic_type")]
+    accepted = F.col("accepted") if "accepted" in suggested.columns else F.lit(True)
+    sug = suggested.select("col", F.col("semantic_type").alias("suggested"), F.when(accepted, storage).alias("_storage"))
+    j = declared.join(sug, "col", "full")
+    chosen = (F.coalesce("_storage", "declared") if source == "classification" else F.coalesce("declared", "_storage"))
     return j.select("col", "declared", "suggested", F.lit(source).alias("type_source"), chosen.alias("selected_type"))
 
 
-def verify_types(df: DataFrame, suggested: dict[str, str]) -> DataFrame:
-    """Accept a suggested type only if every non-null value casts to it.
-
-    ``suggested`` maps column -> semantic type (one entry per column, so
-    schema-sized). One aggregate per chunk of columns checks them all.
-    """
-    cols = [c for c in df.columns if c in suggested]
-    return union_all([_verify(df, part, suggested) for part in column_chunks(cols)])
-
-
-def _verify(df: DataFrame, cols: list[str], suggested: dict[str, str]) -> DataFrame:
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.trim(F.col(c).cast("string"))
-        aggs += [F.count(v).alias(f"n{i}"), F.count(guarded_cast(v, suggested[c])).alias(f"k{i}")]
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("col"), F.lit(suggested[c]).alias("semantic_type"), F.col(f"n{i}").alias("n_non_null"),
-        F.col(f"k{i}").alias("n_cast"), (F.col(f"n{i}") == F.col(f"k{i}")).alias("accepted"))
-        for i, c in enumerate(cols)])))
+def apply_types(df: DataFrame, selected: dict[str, str]) -> DataFrame:
+    """Columns cast to their selected storage types; a column whose type is
+    already that one, or that has no entry, stays as it is."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.select(*[guarded_cast(qcol(c), selected[c]).alias(c) if c in selected and selected[c] != have[c] else qcol(c)
+                       for c in df.columns])

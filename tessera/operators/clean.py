@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
-from tessera.functions.sizing import column_chunks, union_all
+from tessera.functions.sizing import per_column, qcol
 from tessera.functions.text import null_tokens_to_null, split_trim
 
 
@@ -15,7 +15,7 @@ def clean_null_tokens(df: DataFrame, cols: list[str] | None = None) -> DataFrame
     """Trim string columns; blank and NA-like tokens become null."""
     cols = cols if cols is not None else [f.name for f in df.schema.fields
                                           if isinstance(f.dataType, StringType)]
-    return df.select(*[null_tokens_to_null(F.col(c)).alias(c) if c in cols else F.col(c)
+    return df.select(*[null_tokens_to_null(qcol(c)).alias(c) if c in cols else qcol(c)
                        for c in df.columns])
 
 
@@ -26,55 +26,50 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 def column_flags(df: DataFrame) -> DataFrame:
     """Per column: non-null count, empty (no value) and constant (one value,
-    no nulls) flags, and whether the column is kept. One aggregate per chunk
-    of columns (one for usual widths)."""
-    return union_all([_column_flags(df, part) for part in column_chunks(df.columns)])
-
-
-def _column_flags(df: DataFrame, cols: list[str]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"nn{i}"), F.min(F.col(c)).alias(f"lo{i}"), F.max(F.col(c)).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = []
-    for i, c in enumerate(cols):
-        empty = F.col(f"nn{i}") == 0
-        const = (F.col(f"nn{i}") == F.col("__n")) & (F.col(f"lo{i}") == F.col(f"hi{i}"))
-        rows.append(F.struct(F.lit(c).alias("col"), F.col(f"nn{i}").alias("n_non_null"),
-                             empty.alias("is_empty"), F.coalesce(const, F.lit(False)).alias("is_constant")))
-    long = wide.select(F.inline(F.array(*rows)))
-    return long.withColumn("kept", ~(F.col("is_empty") | F.col("is_constant")))
+    no nulls) flags, and whether the column is kept. One pass, whatever the
+    width; values are compared by two 64-bit hashes of their text."""
+    text = lambda c: c.cast("string")
+    values = {"a": lambda _, c: F.when(c.isNotNull(), F.xxhash64(text(c))),
+              "b": lambda _, c: F.when(c.isNotNull(), F.xxhash64(text(c), F.lit(7)))}
+    aggs = [F.count(F.lit(1)).alias("n"), F.count("a").alias("nn"),
+            *[f(x).alias(f"{n}_{x}") for x in ("a", "b") for n, f in (("lo", F.min), ("hi", F.max))]]
+    got = per_column(df, df.columns, values, aggs)
+    nn = F.coalesce("nn", F.lit(0).cast("bigint"))
+    same = (F.col("lo_a") == F.col("hi_a")) & (F.col("lo_b") == F.col("hi_b"))
+    out = got.select("col", nn.alias("n_non_null"), (nn == 0).alias("is_empty"),
+                     F.coalesce((F.col("nn") == F.col("n")) & same, F.lit(False)).alias("is_constant"))
+    return out.withColumn("kept", ~(F.col("is_empty") | F.col("is_constant")))
 
 
 def drop_empty_constant(df: DataFrame) -> DataFrame:
     """Drop empty and constant columns (the decision is one row per column)."""
     keep = {r["col"] for r in column_flags(df).where("kept").select("col").collect()}
-    return df.select(*[c for c in df.columns if c in keep])
+    return df.select(*[qcol(c) for c in df.columns if c in keep])
 
 
 def impute(df: DataFrame, numeric: list[str], categorical: list[str], digits: int = 2) -> DataFrame:
-    """Fill nulls: numeric columns with the mean rounded to ``digits``,
-    categorical columns with the most frequent value (ties to the smallest).
+    """Fill nulls: numeric columns with the mean rounded half-up to
+    ``digits`` (to a whole number in a column of whole numbers), categorical
+    columns with the most frequent value (ties to the smallest).
 
     Means come from one aggregate and modes from one unpivoted count; both
     reach the rows as a single scalar subquery, not a join.
     """
     fills = {}
     if numeric:
-        means = df.agg(F.struct(*[F.round(F.avg(F.col(c).cast("double")), digits).alias(c)
-                                  for c in numeric]).alias("m")).scalar()
-        for c in numeric:
-            fills[c] = means[c]
+        whole = {c for c in numeric if isinstance(df.schema[c].dataType, IntegralType)}
+        means = df.agg(F.struct(*[F.round(F.avg(qcol(c).cast("double")), 0 if c in whole else digits).alias(f"m{i}")
+                                  for i, c in enumerate(numeric)]).alias("m")).scalar()
+        fills |= {c: means[f"m{i}"] for i, c in enumerate(numeric)}
     if categorical:
-        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v"))
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), qcol(c).cast("string").alias("v"))
                                            for c in categorical]))).where(F.col("v").isNotNull())
         counts = long.groupBy("col", "v").agg(F.count(F.lit(1)).alias("cnt"))
         best = counts.groupBy("col").agg(F.min(F.struct((-F.col("cnt")).alias("k"), F.col("v").alias("v"))).alias("b"))
         modes = best.agg(F.map_from_entries(F.collect_list(F.struct("col", F.col("b.v")))).alias("m")).scalar()
-        for c in categorical:
-            fills[c] = modes[F.lit(c)]
-    return df.select(*[F.coalesce(F.col(c), fills[c].cast(df.schema[c].dataType)).alias(c) if c in fills
-                       else F.col(c) for c in df.columns])
+        fills |= {c: modes[F.lit(c)] for c in categorical}
+    return df.select(*[F.coalesce(qcol(c), fills[c].cast(df.schema[c].dataType)).alias(c) if c in fills
+                       else qcol(c) for c in df.columns])
 
 
 def split_trim_column(df: DataFrame, col: str, out: str = "parts", explode: bool = False,
@@ -84,7 +79,7 @@ def split_trim_column(df: DataFrame, col: str, out: str = "parts", explode: bool
     With ``explode`` one row per part (``pos``, ``part``); an empty list
     yields no row.
     """
-    with_list = df.withColumn(out, split_trim(F.col(col), sep))
+    with_list = df.withColumn(out, split_trim(qcol(col), sep))
     if not explode:
         return with_list.withColumn(f"n_{out}", F.size(F.col(out)))
-    return with_list.select(*[c for c in df.columns], F.posexplode(F.col(out)).alias("pos", "part"))
+    return with_list.select(*[qcol(c) for c in df.columns], F.posexplode(F.col(out)).alias("pos", "part"))

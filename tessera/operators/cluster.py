@@ -4,21 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_CENTROIDS = 10_000  # bound on centroids carried to every task
+from tessera.functions.sizing import qcol, stage
 
+CENTROID_BYTES = 32 << 20  # of the centroids sent to a task at a time
 
-def kmeans(df: DataFrame, vec_col: str, k: int = 10, seed: int = 42, id_col: str | None = None,
-           max_iter: int = 20) -> DataFrame:
-    """Fit MLlib k-means on an array column and append ``cluster``."""
+
+def features(df: DataFrame, cols: str | list[str]):
+    """The vector to cluster by: an array column, or several numeric columns;
+    null if a component is missing."""
+    if isinstance(cols, str):
+        v = qcol(cols).cast("array<double>")
+    else:
+        v = F.array(*[qcol(c).cast("double") for c in cols])
+    return F.when(v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x)), v)
+
+
+def kmeans_model(df: DataFrame, cols: str | list[str], k: int = 10, seed: int = 42, max_iter: int = 20):
+    """``df`` with ``cluster`` appended, and the fitted MLlib model. Rows with
+    a missing component stay, without a cluster."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    data = df.withColumn("_features", array_to_vector(F.col(vec_col)))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features",
-                   predictionCol="cluster").fit(data)
-    out = model.transform(data).drop("_features").withColumn("cluster", F.col("cluster").cast("bigint"))
-    return out.select(id_col, "cluster") if id_col else out
+    data = df.withColumn("_array", features(df, cols))
+    full = data.where("_array is not null").withColumn("_features", array_to_vector(F.col("_array")))
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cluster").fit(full)
+    done = model.transform(full).drop("_features", "_array").withColumn("cluster", F.col("cluster").cast("bigint"))
+    missing = data.where("_array is null").drop("_array").withColumn("cluster", F.lit(None).cast("bigint"))
+    return done.unionByName(missing), model
+
+
+def kmeans(df: DataFrame, cols: str | list[str], k: int = 10, seed: int = 42, max_iter: int = 20) -> DataFrame:
+    """Fit MLlib k-means on an array column or on numeric columns and append
+    ``cluster``."""
+    return kmeans_model(df, cols, k, seed, max_iter)[0]
+
+
+def centres(spark, model) -> DataFrame:
+    """(cluster, centroid) of a fitted model: k rows."""
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    return spark.createDataFrame(rows, "cluster bigint, centroid array<double>")
 
 
 def centroids_by(df: DataFrame, vec_col: str, group_col: str) -> DataFrame:
@@ -33,26 +59,72 @@ def centroids_by(df: DataFrame, vec_col: str, group_col: str) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("d", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
-def _sqdist(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)),
-                       F.lit(0.0), lambda acc, v: acc + v)
-
-
-def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6) -> DataFrame:
-    """Nearest centroid by squared Euclidean distance; ties go to the
-    lowest cluster id. The centroid set (at most MAX_CENTROIDS) travels as
-    one scalar value; every row computes its k distances in place, so no
-    row-by-centroid pairs are ever materialised."""
-    # The bound is checked inside the plan: no separate counting job.
-    listed = centroids.agg(F.collect_list(F.struct("cluster", "centroid")).alias("c"))
-    cents = listed.select(F.when(F.size("c") <= MAX_CENTROIDS, F.col("c")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_CENTROIDS} centroids")).cast(listed.schema["c"].dataType))).scalar()
-    dists = F.transform(F.col("_cents"), lambda c: F.struct(_sqdist(F.col(vec_col), c["centroid"]).alias("dist"),
-                                                            c["cluster"].alias("cluster")))
-    return (df.withColumn("_cents", cents)
-            .withColumn("_b", F.array_min(dists))
-            .withColumn("cluster", F.col("_b.cluster").cast("bigint"))
-            .withColumn("dist", F.round(F.col("_b.dist"), digits)).drop("_b", "_cents"))
+def _nearest(sent):
+    """Batches with the nearest centroid of a block, or of those before."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        ids, cents = sent.value
+        for b in batches:
+            v = b.column("_v")
+            ok = np.flatnonzero(v.is_valid().to_numpy(zero_copy_only=False))
+            x = v.take(pa.array(ok)).flatten().to_numpy(zero_copy_only=False)
+            dist, cluster = b.column("_dist").to_numpy(zero_copy_only=False).copy(), b.column("_cluster").to_numpy(zero_copy_only=False).copy()
+            if len(ok):
+                x = x.reshape(len(ok), -1)
+                step = max(1, (1 << 22) // max(1, cents.size))
+                for a in range(0, len(ok), step):
+                    gap = x[a:a + step, None, :] - cents[None, :, :]
+                    d2 = (gap * gap).sum(2)
+                    best = d2.argmin(1)  # the first of equals: the lowest id
+                    least, rows = d2[np.arange(len(best)), best], ok[a:a + step]
+                    better = ~(dist[rows] <= least)
+                    dist[rows[better]], cluster[rows[better]] = least[better], ids[best[better]]
+            none = pa.array(np.isnan(dist))
+            import pyarrow.compute as pc
+            cols = [b.column(n) for n in b.schema.names if n not in ("_dist", "_cluster")]
+            yield pa.RecordBatch.from_arrays(
+                [*cols, pa.array(dist), pc.if_else(none, pa.scalar(None, pa.int64()), pa.array(np.nan_to_num(cluster).astype(np.int64)))],
+                names=[*(n for n in b.schema.names if n not in ("_dist", "_cluster")), "_dist", "_cluster"])
+    return run
+
+
+def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6, block_bytes: int = CENTROID_BYTES) -> DataFrame:
+    """Nearest centroid by squared Euclidean distance (``cluster``, ``dist``);
+    ties go to the lowest cluster id; a vector that is null or has a missing
+    component gets none.
+
+    Centroids are sent to the tasks in blocks of at most ``block_bytes``, in
+    order of their ids; a task compares a batch of rows with a block by array
+    arithmetic and keeps the best so far. However many centroids there are,
+    rows stay where they are and no row-by-centroid pair is materialised.
+    """
+    import numpy as np
+
+    spark = df.sparkSession
+    cents = stage(centroids.select(F.col("cluster").cast("bigint").alias("cluster"), F.col("centroid").cast("array<double>").alias("centroid"))
+                  .where("cluster is not null and centroid is not null"), "centroids")
+    dim = cents.agg(F.max(F.size("centroid"))).first()[0] or 0
+    block = max(1, block_bytes // (8 * max(1, dim)))
+    v = features(df, vec_col)
+    out = df.withColumns({"_v": F.when(F.size(v) == dim, v), "_dist": F.lit(float("nan")), "_cluster": F.lit(None).cast("bigint")})
+    schema = T.StructType([*df.schema.fields, T.StructField("_v", T.ArrayType(T.DoubleType())), T.StructField("_dist", T.DoubleType()),
+                           T.StructField("_cluster", T.LongType())])
+    held: list = []
+
+    def fold(out):
+        sent = spark.sparkContext.broadcast((np.array([r["cluster"] for r in held]), np.array([r["centroid"] for r in held], float).reshape(len(held), dim)))
+        return out.mapInArrow(_nearest(sent), schema)
+
+    for r in cents.orderBy("cluster").toLocalIterator():  # a block at a time
+        held.append(r)
+        if len(held) == block:
+            out, held = fold(out), []
+    if held:
+        out = fold(out)
+    dist = F.when(F.col("_cluster").isNotNull(), F.round("_dist", digits))
+    return out.withColumns({"cluster": F.col("_cluster"), "dist": dist}).drop("_v", "_dist", "_cluster")
 
 
 def cluster_report(assigned: DataFrame, digits: int = 6) -> DataFrame:
@@ -63,12 +135,12 @@ def cluster_report(assigned: DataFrame, digits: int = 6) -> DataFrame:
                     F.round(F.col("n") / total, digits).alias("share")))
 
 
-def cluster_dataset(spark, df: DataFrame, vec_col: str, out_path: str, dataset_id: str,
+def cluster_dataset(spark, df: DataFrame, cols: str | list[str], out_path: str, dataset_id: str,
                     k: int = 10, seed: int = 42) -> DataFrame:
     """K1 as a stage: fit k-means, append ``cluster`` to every row, write the
     clustered table and its schema document beside it, read the table back."""
     from tessera.sources.files import schema_document, write_schema_document
-    out = kmeans(df, vec_col, k=k, seed=seed)
+    out = kmeans(df, cols, k=k, seed=seed)
     out.write.mode("overwrite").parquet(f"{out_path}/table")
     back = spark.read.parquet(f"{out_path}/table")
     write_schema_document(spark, schema_document(back, dataset_id, "clusters"), f"{out_path}/schema")

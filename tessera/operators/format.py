@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import column_chunks, union_all
+from tessera.functions.sizing import per_column, qcol, small_frame
 from tessera.functions.text import normalize_name
 from tessera.functions.types import guarded_cast
 from tessera.operators.index import row_index
@@ -18,40 +18,31 @@ def add_row_index(df: DataFrame, order: list, name: str = "row_index") -> DataFr
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Rename columns to their normal form; clashes get a numeric suffix."""
-    seen: dict[str, int] = {}
+    seen: set[str] = set()
     out = []
     for c in df.columns:
-        n = normalize_name(c)
-        if n in seen:
-            seen[n] += 1
-            n = f"{n}_{seen[n]}"
-        else:
-            seen[n] = 0
-        out.append(F.col(f"`{c}`").alias(n))
+        n = base = normalize_name(c)
+        k = 0
+        while n in seen:
+            k += 1
+            n = f"{base}_{k}"
+        seen.add(n)
+        out.append(qcol(c).alias(n))
     return df.select(*out)
 
 
 def cast_declared(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     """Cast each declared column with a pattern-guarded cast (null on reject)."""
-    return df.select(*[guarded_cast(F.col(c), declared[c]).alias(c) if c in declared else F.col(c)
+    return df.select(*[guarded_cast(qcol(c), declared[c]).alias(c) if c in declared else qcol(c)
                        for c in df.columns])
 
 
 def cast_rejects(df: DataFrame, declared: dict[str, str]) -> DataFrame:
-    """Per declared column: non-null values, values that cast, rejects.
-
-    One aggregate per chunk of columns (one for usual widths).
-    """
+    """Per declared column: non-null values, values that cast, rejects; one
+    pass, whatever the width."""
     cols = [c for c in df.columns if c in declared]
-    return union_all([_cast_rejects(df, part, declared) for part in column_chunks(cols)])
-
-
-def _cast_rejects(df: DataFrame, cols: list[str], declared: dict[str, str]) -> DataFrame:
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.count(guarded_cast(F.col(c), declared[c])).alias(f"k{i}")]
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("col"), F.lit(declared[c]).alias("declared"),
-        F.col(f"n{i}").alias("n_non_null"), F.col(f"k{i}").alias("n_cast"),
-        (F.col(f"n{i}") - F.col(f"k{i}")).alias("n_rejected")) for i, c in enumerate(cols)])))
+    values = {"is": lambda _, c: c.isNotNull(), "ok": lambda n, c: guarded_cast(c, declared[n]).isNotNull()}
+    got = per_column(df, cols, values, [F.count_if("is").alias("n"), F.count_if("ok").alias("k")])
+    types = small_frame(df.sparkSession, [("ord", "int"), ("declared", "string")], [(i, declared[c]) for i, c in enumerate(cols)])
+    n, k = (F.coalesce(x, F.lit(0).cast("bigint")) for x in ("n", "k"))
+    return got.join(types, "ord").select("col", "declared", n.alias("n_non_null"), k.alias("n_cast"), (n - k).alias("n_rejected"))

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from tessera.functions.sizing import qcol, stage
+from tessera.functions.text import go_trim
 
 
 def place_key(c) -> F.Column:
     """Normal form of a place name: trimmed, upper case."""
-    return F.upper(F.trim(c))
+    return F.upper(go_trim(c))
 
 
 def reduce_gazetteer(gaz: DataFrame, place: str = "place") -> DataFrame:
     """One entry per normalised name: lowest priority wins, then kind, then
     coordinates. Reduced before any join, so a lookup never fans out."""
-    best = gaz.groupBy(place_key(F.col(place)).alias("key")).agg(
+    best = gaz.groupBy(place_key(qcol(place)).alias("key")).agg(
         F.min(F.struct("priority", "kind", "lat", "lon")).alias("b"),
         F.count(F.lit(1)).alias("n_candidates"))
     return best.select("key", F.col("b.kind").alias("kind"), F.col("b.lat").alias("lat"),
@@ -26,23 +27,16 @@ def reduce_gazetteer(gaz: DataFrame, place: str = "place") -> DataFrame:
 def geocode_forward(df: DataFrame, place_col: str, gazetteer: DataFrame,
                     prefix: str = "", with_kind: bool = False) -> DataFrame:
     """Append ``lat``/``lon`` for the place in ``place_col``; unmatched rows
-    keep nulls. The reduced gazetteer is broadcast only when proven small;
-    a large one is shuffle-joined, and AQE splits a hot place.
-
-    AQE splits a skewed partition only between two plain join shuffles.
-    The reduced gazetteer leaves its aggregate already hash-partitioned on
-    the key, which the join would reuse, so a large one is first spread
-    round-robin (one row per distinct name, small next to the data) and
-    then shuffled for the join like the data side.
+    keep nulls.
+
+    The gazetteer is reduced once, to a stored table. Spark knows that
+    table's size: a small one is broadcast, a large one meets the rows in a
+    shuffle join of two plain exchanges, so that AQE can split a hot place.
     """
-    red = reduce_gazetteer(gazetteer).select(
+    red = stage(reduce_gazetteer(gazetteer), "gazetteer").where("key is not null").select(
         F.col("key").alias("__key"), F.col("lat").alias(f"{prefix}lat"),
         F.col("lon").alias(f"{prefix}lon"), F.col("kind").alias(f"{prefix}kind"))
-    if row_count_at_most(red, DEFAULT_BROADCAST_ROWS):
-        side = F.broadcast(red)
-    else:
-        side = red.repartition(int(red.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    out = df.join(side, place_key(F.col(place_col)) == F.col("__key"), "left").drop("__key")
+    out = df.join(red, place_key(qcol(place_col)) == F.col("__key"), "left").drop("__key")
     return out if with_kind else out.drop(f"{prefix}kind")
 
 

@@ -45,57 +45,3 @@ def row_index(df: DataFrame, order: list, name: str = "row_index",
     return (ranged.join(F.broadcast(offsets), pid == F.col("_pid"))
             .withColumn(name, (F.col("_off") + local).cast("bigint"))
             .drop("_tid", "_pid", "_off"))
-
-
-def dense_codes(values: DataFrame, value_col: str, name: str = "code") -> DataFrame:
-    """Distinct values of one column numbered 0..k-1 in sorted order."""
-    distinct = values.select(value_col).where(F.col(value_col).isNotNull()).distinct()
-    return row_index(distinct, [value_col], name)
-
-
-def range_sorted(df: DataFrame, order: list[str], num_partitions: int | None = None) -> DataFrame:
-    """``df`` range-partitioned and sorted on ``order``, with the partition
-    number in ``_pid``, cut from its lineage by a reliable checkpoint so
-    every later read sees the same partitions."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.shiftright(F.monotonically_increasing_id(), _LOCAL_BITS)))
-    return ranged.checkpoint(eager=True)
-
-
-def locate_ranks(weighted: DataFrame, keys: list[str], value: str, weight: str, targets: DataFrame,
-                 num_partitions: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
-    """Value at given ranks of a weighted, sorted multiset, per key group.
-
-    ``weighted`` holds (``*keys``, ``value``, ``weight``): each distinct
-    value once, with its multiplicity. ``targets`` holds (``*keys``,
-    ``rank``) with 0-based ranks into the group's values in ascending
-    order. Returns (``*keys``, ``rank``, ``value``). Pass ``ranged`` (from
-    ``range_sorted`` on (keys, value)) to reuse an existing sort.
-
-    The distinct values are range-partitioned on (keys, value), sorted and
-    checkpointed; per partition-and-group weight totals (at most one row
-    per partition and group) give each slice its offset; only the slices
-    that contain a target rank get a running sum. A value repeated a
-    billion times is one row with a large weight, so hot values never
-    weigh on one task, and no step depends on random numbers.
-    """
-    if ranged is None:
-        ranged = range_sorted(weighted, [*keys, value], num_partitions)
-    slices = ranged.groupBy("_pid", *keys).agg(F.sum(weight).alias("_sw"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("_off", F.coalesce(F.sum("_sw").over(before), F.lit(0)))
-    # Slices: one row per (partition, group) - bounded by partitions + groups.
-    hits = (targets.join(F.broadcast(slices), keys)
-            .where((F.col("rank") >= F.col("_off")) & (F.col("rank") < F.col("_off") + F.col("_sw")))
-            .select(*keys, "rank", "_pid", "_off"))
-    hit_slices = hits.select("_pid", *keys).distinct()
-    # Only the few slices holding a target rank are scanned with a running sum.
-    rows = ranged.join(F.broadcast(hit_slices), ["_pid", *keys], "left_semi")
-    run = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_cb", F.coalesce(F.sum(weight).over(run), F.lit(0)))
-    found = rows.join(F.broadcast(hits), ["_pid", *keys]).where(
-        (F.col("rank") >= F.col("_off") + F.col("_cb")) & (F.col("rank") < F.col("_off") + F.col("_cb") + F.col(weight)))
-    return found.select(*keys, "rank", value)

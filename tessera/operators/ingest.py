@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import column_chunks, union_all
+from tessera.functions.sizing import per_column, small_frame
 
 # The provenance tags and the two group kinds, in order.
 SOURCE_SEED = "seed"
@@ -19,18 +19,15 @@ REMOTE_SENSING_VARS = ("band", "image_file")
 def column_registry(df: DataFrame, dataset_id: str) -> DataFrame:
     """One row per column (dataset_id, col, ord, data_type, n_non_null).
 
-    Types come from the schema; the non-null counts from one aggregate per
-    chunk of columns.
+    Types come from the schema; the non-null counts from one pass, whatever
+    the width.
     """
-    fields = list(enumerate(df.schema.fields))
-
-    def part(chunk):
-        wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in chunk])
-        return wide.select(F.inline(F.array(*[F.struct(
-            F.lit(dataset_id).alias("dataset_id"), F.lit(f.name).alias("col"), F.lit(i).alias("ord"),
-            F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"n{i}").alias("n_non_null"))
-            for i, f in chunk])))
-    return union_all([part(c) for c in column_chunks(fields)])
+    fields = df.schema.fields
+    got = per_column(df, df.columns, {"is": lambda _, c: c.isNotNull()}, [F.count_if("is").alias("n")])
+    types = small_frame(df.sparkSession, [("ord", "int"), ("data_type", "string")],
+                        [(i, f.dataType.simpleString()) for i, f in enumerate(fields)])
+    return got.join(types, "ord").select(F.lit(dataset_id).alias("dataset_id"), "col", "ord", "data_type",
+                                         F.coalesce("n", F.lit(0).cast("bigint")).alias("n_non_null"))
 
 
 def verify_metadata(declared: DataFrame, actual: DataFrame) -> DataFrame:

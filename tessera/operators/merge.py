@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import broadcast_if_small
+from tessera.functions.sizing import qcol, stage
 
 
 @dataclass
@@ -16,16 +15,13 @@ class Relation:
     """One referenced resource: ``df`` joins where ``left_key`` (a column of
     the merged-so-far table) equals ``right_key`` (a column of ``df``).
 
-    ``broadcast_rows=None`` leaves the join strategy to Spark's own size
-    checks (``autoBroadcastJoinThreshold`` on the scan estimate, and AQE on
-    runtime sizes) - right for base tables. A row bound makes the merge
-    prove the side small (one bounded ``take``) and hint a broadcast -
-    useful for derived sides whose estimate Spark cannot make."""
+    The join strategy is left to Spark's own size checks
+    (``autoBroadcastJoinThreshold`` on the scan estimate, and AQE on runtime
+    sizes)."""
     name: str
     df: DataFrame
     left_key: str
     right_key: str
-    broadcast_rows: int | None = None
 
 
 def _final_names(main: DataFrame, relations: list[Relation]) -> dict[str, dict[str, str]]:
@@ -54,9 +50,8 @@ def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
     other, but a resource keyed by another resource's column (a snowflake
     arm: customer by the order's customer key) is joined onto that resource
     first - left joins on equality keys associate - so the large main table
-    is shuffled once per arm, not once per resource. A side is broadcast by
-    hint only if ``broadcast_rows`` is set and its row count proven below it;
-    otherwise Spark's own size checks pick the join (AQE splits skew).
+    is shuffled once per arm, not once per resource. Spark's own size checks
+    pick the join (AQE splits skew).
     """
     names = _final_names(main, relations)
     owner = {}  # relation -> the relation whose column is its left key (None: main)
@@ -71,8 +66,8 @@ def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
     by_name = {r.name: r for r in relations}
 
     def side(rel: Relation) -> DataFrame:
-        df = rel.df.select(F.col(rel.right_key).alias(f"__rk_{rel.name}"),
-                           *[F.col(c).alias(n) for c, n in names[rel.name].items()])
+        df = rel.df.select(qcol(rel.right_key).alias(f"__rk_{rel.name}"),
+                           *[qcol(c).alias(n) for c, n in names[rel.name].items()])
         for child in relations:  # children in the given order
             if owner[child.name] == rel.name:
                 df = _join(df, child, side(child))
@@ -83,23 +78,17 @@ def star_merge(main: DataFrame, relations: list[Relation]) -> DataFrame:
         if owner[rel.name] is None:
             merged = _join(merged, rel, side(rel))
     order = list(main.columns) + [n for r in relations for n in names[r.name].values()]
-    return merged.select(*order)
+    return merged.select(*[qcol(c) for c in order])
 
 
 def _join(left: DataFrame, rel: Relation, right: DataFrame) -> DataFrame:
-    if rel.broadcast_rows:
-        right = broadcast_if_small(right, rel.broadcast_rows)
     rk = f"__rk_{rel.name}"
-    return left.join(right, left[rel.left_key] == right[rk], "left").drop(rk)
+    return left.join(right, qcol(rel.left_key) == F.col(rk), "left").drop(rk)
 
 
-def merge_train_target(features: DataFrame, targets: DataFrame, key: str,
-                       broadcast_rows: int | None = None) -> DataFrame:
-    """Features left-joined to targets by row key, with a ``has_target`` flag.
-    (``broadcast_rows`` as in ``Relation``.)"""
+def merge_train_target(features: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """Features left-joined to targets by row key, with a ``has_target`` flag."""
     side = targets.withColumn("__hit", F.lit(True))
-    if broadcast_rows:
-        side = broadcast_if_small(side, broadcast_rows)
     return (features.join(side, key, "left")
             .withColumn("has_target", F.coalesce(F.col("__hit"), F.lit(False)))
             .drop("__hit"))
@@ -107,19 +96,27 @@ def merge_train_target(features: DataFrame, targets: DataFrame, key: str,
 
 def merge_audit(main: DataFrame, relations: list[Relation]) -> DataFrame:
     """Per relation: left rows, unmatched left rows, duplicated resource keys
-    and the extra rows a fan-out would add.
-
-    Both sides are pre-aggregated (one row per key, combined map-side)
-    before they meet, so a hot key costs one row, not its multiplicity, on
-    either side; the two aggregates are partitioned alike and join without
-    a further shuffle.
+    and the extra rows a fan-out would add. A null key matches nothing and
+    duplicates nothing.
+
+    The main table is read once: it is reduced to its different combinations
+    of the keys that relations need, with their number of rows. Merging a
+    relation then moves these weighted combinations on (fan-out multiplies
+    their rows) to the keys still needed. A hot key is one row with a large
+    weight, so no step's work depends on how often a key occurs.
     """
+    names = _final_names(main, relations)
+
+    def needed(cols, later):
+        return [c for c in dict.fromkeys(r.left_key for r in later) if c in cols]
+
+    have = needed(main.columns, relations)
+    state = stage(main.groupBy(*[qcol(c) for c in have]).agg(F.count(F.lit(1)).alias("__w")), "audit")
     parts = []
-    merged = main
-    for rel in relations:
-        keys = rel.df.groupBy(F.col(rel.right_key).alias("__k")).agg(F.count(F.lit(1)).alias("__cnt"))
+    for i, rel in enumerate(relations):
+        keys = rel.df.where(qcol(rel.right_key).isNotNull()).groupBy(qcol(rel.right_key).alias("__k")).agg(F.count(F.lit(1)).alias("__cnt"))
         n_dup = keys.where(F.col("__cnt") > 1).agg(F.count(F.lit(1))).scalar()
-        left = merged.groupBy(F.col(rel.left_key).alias("__lk")).agg(F.count(F.lit(1)).alias("__w"))
+        left = state.groupBy(qcol(rel.left_key).alias("__lk")).agg(F.sum("__w").alias("__w"))
         joined = left.join(keys, F.col("__lk") == F.col("__k"), "left")
         w = F.col("__w")
         total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
@@ -130,7 +127,15 @@ def merge_audit(main: DataFrame, relations: list[Relation]) -> DataFrame:
             n_dup.cast("bigint").alias("n_dup_keys"),
             total(w * F.greatest(F.col("__cnt") - 1, F.lit(0))).alias("n_fanout_rows"),
         ))
-        merged = star_merge(merged, [rel])
+        later = relations[i + 1:]
+        if later:
+            mine = {n: c for c, n in names[rel.name].items()}
+            new = needed(list(mine), later)
+            side = rel.df.select(qcol(rel.right_key).alias("__k"), *[qcol(mine[n]).alias(n) for n in new])
+            side = side.groupBy("__k", *[qcol(n) for n in new]).agg(F.count(F.lit(1)).alias("__c"))
+            have = needed([*have, *new], later)
+            state = stage(state.join(side, qcol(rel.left_key) == F.col("__k"), "left")
+                          .groupBy(*[qcol(c) for c in have]).agg(F.sum(F.col("__w") * F.coalesce("__c", F.lit(1))).alias("__w")), "audit")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -140,13 +145,16 @@ def merge_audit(main: DataFrame, relations: list[Relation]) -> DataFrame:
 def fallback_source(spark, merged_path: str, original: DataFrame, fmt: str = "parquet") -> DataFrame:
     """Use the merged table when it exists, else the original; tag the source.
 
-    The read itself is the existence test: a missing path fails at load
-    (file listing is eager), and only then is the original used.
+    "Exists" is a finished write: the folder with the ``_SUCCESS`` marker
+    that the writer leaves last. A folder without it is a write that failed,
+    which is an error and never a reason to use the original unseen.
     """
     if merged_path:
-        try:
-            merged = spark.read.format(fmt).load(merged_path)
-            return merged.withColumn("resolved_from", F.lit("merged"))
-        except AnalysisException:
-            pass
+        jvm = spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(merged_path)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+                raise FileNotFoundError(f"{merged_path} holds no finished write (_SUCCESS is missing)")
+            return spark.read.format(fmt).load(merged_path).withColumn("resolved_from", F.lit("merged"))
     return original.withColumn("resolved_from", F.lit("original"))

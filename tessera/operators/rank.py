@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import broadcast_if_small, column_chunks, small_frame, union_all
+from tessera.functions.sizing import BROADCAST_BYTES, per_column, qcol, small_frame, stage
 from tessera.operators.index import row_index
 
 
@@ -15,68 +15,77 @@ def numeric_projection(df: DataFrame, numeric: list[str], categorical: list[str]
     0..k-1 in sorted value order; other columns dropped.
 
     All categorical columns share one distributed index over their distinct
-    (col, value) pairs; a code table joins back by broadcast only when its
-    size is proven small, else by a shuffle join.
+    (col, value) pairs, written once; one query then tells the size of each
+    column's code table. Those of at most BROADCAST_BYTES are broadcast,
+    the others joined by shuffle. The number of jobs does not depend on the
+    number of columns.
     """
     keep = keep or []
     out = df
     if categorical:
-        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value"))
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), qcol(c).cast("string").alias("value"))
                                            for c in categorical]))).where(F.col("value").isNotNull()).distinct()
         idx = row_index(long, ["col", "value"], "_i")
-        start = idx.groupBy("col").agg(F.min("_i").alias("_s"))
-        codes = idx.join(F.broadcast(start), "col").select("col", "value", (F.col("_i") - F.col("_s")).alias("code"))
-        for c in categorical:
-            side = broadcast_if_small(codes.where(F.col("col") == c).select(
-                F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}")))
-            out = out.join(side, F.col(c).cast("string") == F.col(f"__v_{c}"), "left")
-    return out.select(*keep, *[F.col(c).cast("double").alias(c) for c in numeric],
-                      *[F.col(f"__code_{c}").alias(c) for c in categorical])
-
-
-def row_limit(df: DataFrame, order: list, n: int = 1000) -> DataFrame:
+        start = idx.groupBy("col").agg(F.min("_i").alias("_s"))  # one row per column
+        codes = stage(idx.join(F.broadcast(start), "col").select("col", "value", (F.col("_i") - F.col("_s")).alias("code")), "codes")
+        sizes = {r["col"]: r["b"] for r in codes.groupBy("col").agg(F.sum(F.octet_length("value") + 16).alias("b")).collect()}
+        for i, c in enumerate(categorical):
+            side = codes.where(F.col("col") == c).select(F.col("value").alias(f"__v{i}"), F.col("code").alias(f"__code{i}"))
+            side = F.broadcast(side) if sizes.get(c, 0) <= BROADCAST_BYTES else side
+            out = out.join(side, qcol(c).cast("string") == F.col(f"__v{i}"), "left")
+    return out.select(*[qcol(c) for c in keep], *[qcol(c).cast("double").alias(c) for c in numeric],
+                      *[F.col(f"__code{i}").alias(c) for i, c in enumerate(categorical)])
+
+
+def row_limit(df: DataFrame, order: list, n: int) -> DataFrame:
     """First ``n`` rows in a key order (a top-n sort, not a full sort)."""
     return df.orderBy(*order).limit(n)
 
 
 def corr_importance(df: DataFrame, cols: list[str], target: str, digits: int = 6) -> DataFrame:
-    """|Pearson correlation| of each column with the target, one aggregate
-    per chunk of columns."""
-    return union_all([_corr(df, part, target, digits) for part in column_chunks(cols)])
-
-
-def _corr(df: DataFrame, cols: list[str], target: str, digits: int) -> DataFrame:
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
-                    for i, c in enumerate(cols)])
-    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"),
-                                                   F.round(F.abs(F.col(f"r{i}")), digits).alias("importance"))
-                                         for i, c in enumerate(cols)])))
+    """|Pearson correlation| of each column with the target, in one pass over
+    the rows that have both."""
+    y = qcol(target).cast("double")
+    got = per_column(df, cols, {"x": lambda _, c: c.cast("double"), "y": lambda _, c: y},
+                     [F.corr("x", "y").alias("r")])
+    return got.select("col", F.round(F.abs("r"), digits).alias("importance"))
 
 
 def pca_importance(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """PCA importance of each column: sum over components k of
     |loading(j, k)| * explained_variance_ratio(k), on standardised data.
-    Sign-invariant.
+    Sign-invariant. Also ``n_used``, the values that a column had.
 
     PCA of standardised columns is the eigendecomposition of their Pearson
-    correlation matrix, so one distributed pass (MLlib ``Correlation``, a
-    tree aggregate) is all the data work; only the d x d matrix reaches the
-    driver, where it is decomposed. A constant column has no variance and
-    gets zero weight.
+    correlation matrix, so after one pass for the means one distributed pass
+    (MLlib ``Correlation``, a tree aggregate) is all the data work; only the
+    d x d matrix reaches the driver, where it is decomposed. A missing value
+    counts as the column's mean, so no row is dropped. A constant or empty
+    column has no variance and gets zero weight.
     """
     import numpy as np
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
     spark = df.sparkSession
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    vec = VectorAssembler(inputCols=cols, outputCol="_x").transform(data).select("_x")
-    corr = np.nan_to_num(Correlation.corr(vec, "_x").head()[0].toArray(), nan=0.0)
+    value = lambda c: F.when(~F.isnan(c.cast("double")), c.cast("double"))
+    got = per_column(df, cols, {"x": lambda _, c: value(c)},
+                     [F.avg("x").alias("m"), F.count("x").alias("n"), (F.min("x") < F.max("x")).alias("v")]).collect()  # one row per column
+    mean, used = {r["col"]: r["m"] or 0.0 for r in got}, {r["col"]: r["n"] or 0 for r in got}
+    data = df.select(*[F.coalesce(value(qcol(c)), F.lit(mean[c])).alias(f"x{i}") for i, c in enumerate(cols)])
+    corr = np.zeros((len(cols), len(cols)))
+    if any(r["v"] for r in got):
+        vec = VectorAssembler(inputCols=data.columns, outputCol="_x").transform(data).select("_x")
+        corr = np.nan_to_num(Correlation.corr(vec, "_x").head()[0].toArray(), nan=0.0)
+    varies = {r["col"] for r in got if r["v"]}
+    for i, c in enumerate(cols):
+        if c not in varies:
+            corr[i], corr[:, i] = 0.0, 0.0
     w, v = np.linalg.eigh(corr)
     ratio = w.clip(min=0.0) / max(w.clip(min=0.0).sum(), 1e-300)
     imp = np.abs(v) @ ratio
-    return small_frame(spark, [("col", "string"), ("importance", "double")],
-                       [(c, float(round(imp[j], digits))) for j, c in enumerate(cols)])
+    return small_frame(spark, [("col", "string"), ("importance", "double"), ("n_used", "bigint")],
+                       [(c, float(round(imp[j], digits)), int(used[c])) for j, c in enumerate(cols)])
 
 
 def rank_importance(importance: DataFrame) -> DataFrame:

@@ -1,16 +1,19 @@
 """Summaries: column profile, frequent values, histograms, text terms,
-extrema. Each reads its input once for all columns (one wide aggregate or
-one unpivot), never one job per column."""
+extrema. Each unpivots its columns and aggregates by column, so the input is
+read a fixed number of times whatever its width."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
-from tessera.functions.sizing import column_chunks, small_frame, union_all
-from tessera.operators.index import locate_ranks, range_sorted
+from tessera.functions.sizing import per_column, qcol, small_frame
 
 QUARTILES = (0.25, 0.5, 0.75)
+BINS = 1024  # of a quantile pass
+MEAN_SCALE = 10  # decimal places that an exact mean keeps of each value
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def unpivot_values(df: DataFrame, cols: list[str], value_type: str = "double",
@@ -18,57 +21,75 @@ def unpivot_values(df: DataFrame, cols: list[str], value_type: str = "double",
     """Long form (``*keep``, col, v) of the values of ``cols``."""
     keep = keep or []
     long = df.select(*keep, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.col(c).cast(value_type).alias("v")) for c in cols])))
+        F.struct(F.lit(c).alias("col"), qcol(c).cast(value_type).alias("v")) for c in cols])))
     return long if keep_nulls else long.where(F.col("v").isNotNull())
 
 
-def weighted_values(long: DataFrame, keys: list[str]) -> DataFrame:
-    """(*keys, v, _w): each distinct value (null included) with its count.
-    Map-side combining makes a hot value one row per task."""
-    return long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_w"))
+def family(t: DataType) -> str:
+    """``number``, ``time`` or ``text``: how a column's values are ordered."""
+    if isinstance(t, NumericType):
+        return "number"
+    return "time" if isinstance(t, (DateType, TimestampType, TimestampNTZType)) else "text"
 
 
-def _quantiles_exact(weighted: DataFrame, keys: list[str], probs, ranged: DataFrame | None = None) -> DataFrame:
-    """Exact interpolated quantiles (*keys, p, value) of the non-null values
-    per key group (linear interpolation between the two nearest ranks).
+def _finite(v: Column) -> Column:
+    """Null for NaN and infinities, which have no place in sums and ranges."""
+    return F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
 
-    Works on the weighted distinct values, so the distributed sort runs
-    over distinct values only and a hot value is one weighted row; the
-    ranks are then located slice by slice (``index.locate_ranks``). No
-    group's values ever sit in one task.
+
+# -- quantiles ---------------------------------------------------------------
+
+def _bins(long: DataFrame, keys: list[str], ranges: DataFrame) -> DataFrame:
+    """Counts, least and greatest value of BINS equal steps of each range
+    (*keys, _r, _lo, _hi) that ``long`` (*keys, v) has values in. ``ranges``
+    has a few rows per group: it is broadcast, and only counts are shuffled."""
+    inside = long.join(F.broadcast(ranges), keys).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
+    step = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BINS), F.lit(BINS - 1))
+                  ).otherwise(0).cast("int")
+    return inside.groupBy(*keys, "_r", step.alias("_bin")).agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+
+
+def _locate(bins: DataFrame, keys: list[str], targets: DataFrame) -> DataFrame:
+    """(*keys, rank, skip, _lo, _hi): for each target (*keys, _r, rank, skip)
+    the bin of range ``_r`` that holds it; ``skip`` counts the values below."""
+    before = Window.partitionBy(*keys, "_r").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    cum = bins.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    at = F.col("rank") - F.col("skip")
+    return (targets.join(cum, [*keys, "_r"]).where((at >= F.col("_before")) & (at < F.col("_before") + F.col("_n")))
+            .select(*keys, "rank", (F.col("skip") + F.col("_before")).alias("skip"), "_lo", "_hi"))
+
+
+def _quantiles_exact(long: DataFrame, keys: list[str], stats: DataFrame, probs, passes: int = 2) -> DataFrame:
+    """Exact interpolated quantiles (*keys, p, value) per key group (linear
+    interpolation between the two nearest ranks).
+
+    Each pass counts the values in equal steps of the ranges that still hold
+    a wanted rank and keeps the step that has it, so a pass narrows a range
+    by BINS and shuffles only counts. The distinct values of the last steps,
+    a millionth of a continuous column, are then counted and ranked.
+    ``stats`` has (*keys, _n, _lo, _hi) of the groups.
     """
-    weighted = weighted.where(F.col("v").isNotNull())
-    sizes = weighted.groupBy(*keys).agg(F.sum("_w").alias("_n"))
-    pos = F.col("_p") * (F.col("_n") - 1)
-    targets = (sizes.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-               .select(*keys, "_p", F.floor(pos).cast("bigint").alias("_lo"),
-                       F.ceil(pos).cast("bigint").alias("_hi"), (pos - F.floor(pos)).alias("_frac")))
-    ranks = targets.select(*keys, F.col("_lo").alias("rank")).union(
-        targets.select(*keys, F.col("_hi").alias("rank"))).distinct()
-    got = locate_ranks(weighted, keys, "v", "_w", ranks, ranged=ranged)
-    # Targets: a few ranks per group and probability - bounded by the schema.
-    lo = got.select(*keys, F.col("rank").alias("_lo"), F.col("v").alias("_vlo"))
-    hi = got.select(*keys, F.col("rank").alias("_hi"), F.col("v").alias("_vhi"))
-    return (targets.join(F.broadcast(lo), [*keys, "_lo"]).join(F.broadcast(hi), [*keys, "_hi"])
-            .select(*keys, F.col("_p").alias("p"),
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
-
-
-def _stats_weighted(weighted: DataFrame, keys: list[str]) -> DataFrame:
-    """n, n_null, n_distinct, mean, stddev (sample), min, max per group from
-    the weighted distinct values; the variance is a second pass around the
-    mean (one row per group, broadcast), not a difference of sums."""
-    v, w = F.col("v"), F.col("_w")
-    nn = F.when(v.isNotNull(), w)
-    s1 = weighted.groupBy(*keys).agg(
-        F.sum(w).alias("n"), F.coalesce(F.sum(F.when(v.isNull(), w)), F.lit(0)).alias("n_null"),
-        F.count(v).alias("n_distinct"), (F.sum(v * nn) / F.sum(nn)).alias("mean"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    dev = (weighted.where(v.isNotNull()).join(F.broadcast(s1.select(*keys, F.col("mean").alias("_m"))), keys)
-           .groupBy(*keys).agg(F.sum(w * (v - F.col("_m")) * (v - F.col("_m"))).alias("_ss"),
-                               F.sum(w).alias("_k")))
-    sd = F.when(F.col("_k") > 1, F.sqrt(F.col("_ss") / (F.col("_k") - 1)))
-    return s1.join(dev.select(*keys, sd.alias("stddev")), keys, "left")
+    pos = F.col("p") * (F.col("_n") - 1)
+    wanted = stats.where("_n > 0").select(*keys, "_n", "_lo", "_hi", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    wanted = wanted.select(*keys, "p", "_lo", "_hi", F.floor(pos).cast("bigint").alias("r0"), F.ceil(pos).cast("bigint").alias("r1"),
+                           (pos - F.floor(pos)).alias("frac"))
+    found = (wanted.select(*keys, "_lo", "_hi", F.explode(F.array_distinct(F.array("r0", "r1"))).alias("rank")).distinct()
+             .withColumn("skip", F.lit(0).cast("bigint")))
+    number = lambda df: df.withColumn("_r", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_lo", "_hi", "skip")))
+    for _ in range(passes):
+        found = number(found)  # a few rows per group
+        ranges = found.select(*keys, "_r", "_lo", "_hi").distinct()
+        found = _locate(_bins(long, keys, ranges), keys, found.select(*keys, "_r", "rank", "skip"))
+    found = number(found)
+    ranges = found.select(*keys, "_r", "_lo", "_hi").distinct()
+    left = (long.join(F.broadcast(ranges), keys).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
+            .groupBy(*keys, "_r", "v").agg(F.count(F.lit(1)).alias("_n")))
+    exact = _locate(left.select(*keys, "_r", F.col("v").alias("_bin"), "_n", F.col("v").alias("_lo"), F.col("v").alias("_hi")),
+                    keys, found.select(*keys, "_r", "rank", "skip")).select(*keys, "rank", F.col("_lo").alias("v"))
+    at = lambda r, v: exact.select(*keys, F.col("rank").alias(r), F.col("v").alias(v))
+    # A few rows per group on both sides.
+    return (wanted.join(F.broadcast(at("r0", "v0")), [*keys, "r0"]).join(F.broadcast(at("r1", "v1")), [*keys, "r1"])
+            .select(*keys, "p", (F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac")).alias("value")))
 
 
 def _quantiles_approx(long: DataFrame, keys: list[str], probs, accuracy: int = 10000) -> DataFrame:
@@ -77,64 +98,104 @@ def _quantiles_approx(long: DataFrame, keys: list[str], probs, accuracy: int = 1
         F.struct(F.lit(float(p)).alias("p"), F.col("_q")[i].alias("value")) for i, p in enumerate(probs)])))
 
 
-def _key_rows(spark, keys: list[str], rows: list[tuple]) -> DataFrame:
-    """A small literal frame of the expected key combinations."""
-    return small_frame(spark, [(k, "string") for k in keys], rows)
-
-
-def profile_long(long: DataFrame, keys: list[str], exact: bool = True, digits: int = 6,
-                 expected: DataFrame | None = None) -> DataFrame:
-    """Profile of ``v`` per key group of a long table (nulls included):
-    n, n_null, n_distinct, mean, stddev, p25, p50, p75, min, max.
-
-    Exact (default): raw values are shuffled once, reduced to weighted
-    distinct values; every statistic and the quartiles come from that
-    table. ``exact=False`` uses bounded sketches (``percentile_approx``,
-    ``approx_count_distinct``) in one aggregate.
+# -- profile -----------------------------------------------------------------
+
+def exact_mean(total: Column, n: Column, digits: int) -> Column:
+    """The quotient of an exact decimal sum (at MEAN_SCALE places) and a
+    count, rounded half away from zero to ``digits``: in whole numbers, so
+    that ties round alike on every run and in every engine."""
+    d = "decimal(38,0)"
+    den = (n.cast(d) * F.lit(10 ** (MEAN_SCALE - digits)).cast(d)).cast(d)
+    num = (F.abs(total) * F.lit(10 ** MEAN_SCALE).cast(d)).cast(d)
+    twice = (num * 2 + den).cast(d)
+    whole = ((twice - twice % (den * 2)) / (den * 2)).cast(d)
+    return F.signum(total) * whole.cast("double") / F.lit(float(10 ** digits))
+
+
+def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) -> DataFrame:
+    """Statistics of ``v`` per key group of long doubles, nulls included."""
+    v = F.col("v")
+    fin = long.withColumn("v", _finite(v))
+    dec = v.try_cast(f"decimal(38,{MEAN_SCALE})")
+    distinct = F.count_distinct("v") if exact else F.approx_count_distinct("v")
+    s = fin.groupBy(*keys).agg(
+        F.count(v).alias("_n"), F.avg(v).alias("_m"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
+        F.sum(dec).alias("_sum"), F.count_if(v.isNotNull() & ~F.coalesce(dec.cast("double") == v, F.lit(False))).alias("_odd"))
+    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"), distinct.alias("n_distinct"))
+    # One row per group: bounded by the schema.
+    dev = (fin.where(v.isNotNull()).join(F.broadcast(s.select(*keys, "_m")), keys).groupBy(*keys)
+           .agg(F.sum((v - F.col("_m")) * (v - F.col("_m"))).alias("_ss")))
+    sd = F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1)))
+    mean = F.when((F.col("_odd") == 0) & F.col("_sum").isNotNull(), exact_mean(F.col("_sum"), F.col("_n"), digits)).otherwise(F.round("_m", digits))
+    q = (_quantiles_exact(fin.where(v.isNotNull()), keys, s, QUARTILES) if exact
+         else _quantiles_approx(fin.where(v.isNotNull()), keys, QUARTILES))
+    qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES])
+    r = lambda c, name: F.round(c, digits).alias(name)
+    return (counts.join(s, keys, "left").join(dev, keys, "left").join(qw, keys, "left")
+            .select(*keys, "n", "n_null", "n_distinct", F.when(F.col("_n") > 0, mean).alias("mean"), r(sd, "stddev"),
+                    *[r(F.col(f"p{int(p * 100)}"), f"p{int(p * 100)}") for p in QUARTILES], r(F.col("_lo"), "min"), r(F.col("_hi"), "max"),
+                    F.lit(None).cast("string").alias("min_text"), F.lit(None).cast("string").alias("max_text")))
+
+
+def _as_text(c: Column, t: DataType) -> Column:
+    return F.date_format(c.cast("timestamp_ntz"), TIME_FORMAT) if family(t) == "time" else c.cast("string")
+
+
+def _text_stats(long: DataFrame, keys: list[str], exact: bool) -> DataFrame:
+    """Statistics of text ``v`` per key group, nulls included; distinct
+    values are counted by digests, so no text is shuffled."""
+    v = F.col("v")
+    dig = long.select(*keys, F.when(v.isNotNull(), F.xxhash64("v")).alias("a"), F.when(v.isNotNull(), F.xxhash64("v", F.lit(7))).alias("b"))
+    distinct = F.count_distinct("a", "b") if exact else F.approx_count_distinct("a")
+    none = [F.lit(None).cast("double").alias(c) for c in ("mean", "stddev", "p25", "p50", "p75", "min", "max")]
+    ends = long.groupBy(*keys).agg(F.min("v").alias("min_text"), F.max("v").alias("max_text"))
+    return (dig.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count("a")).alias("n_null"), distinct.alias("n_distinct"))
+            .join(ends, keys, "left").select(*keys, "n", "n_null", "n_distinct", *none, "min_text", "max_text"))
+
+
+PROFILE_COLS = ("n", "n_null", "n_distinct", "mean", "stddev", "p25", "p50", "p75", "min", "max", "min_text", "max_text")
+
+
+def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool = True, digits: int = 6) -> DataFrame:
+    """Profiles (dataset_id, col, *PROFILE_COLS) of several datasets in one
+    plan: their values are unioned under a ``dataset_id`` key.
+
+    Columns of numbers have n, n_null, n_distinct, mean, stddev, quartiles,
+    min and max (NaN and infinities count as values, but enter none of the
+    others); columns of dates, times (to the second) and text have n,
+    n_null, n_distinct and the ends of their order as text. The mean is that
+    of the exact decimal sum. ``exact=False`` uses bounded sketches for
+    quartiles and distinct counts.
     """
-    if exact:
-        # Raw values are aggregated once into weighted distinct values, which
-        # are range-sorted and checkpointed once; the statistics, the sizes
-        # and the rank lookups all read that one checkpoint.
-        ranged = range_sorted(weighted_values(long, keys), [*keys, "v"])
-        stats = _stats_weighted(ranged, keys)
-        q = _quantiles_exact(ranged.where(F.col("v").isNotNull()), keys, QUARTILES,
-                             ranged=ranged.where(F.col("v").isNotNull()))
-    else:
-        v = F.col("v")
-        stats = long.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"),
-            F.approx_count_distinct(v).alias("n_distinct"), F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("stddev"), F.min(v).alias("min"), F.max(v).alias("max"))
-        q = _quantiles_approx(long, keys, QUARTILES)
-    qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}")
-                               for p in QUARTILES])
-    r = lambda c: F.round(F.col(c), digits).alias(c)
-    out = stats.join(qw, keys, "left")
-    if expected is not None:  # every expected group gets a row, even with no rows at all
-        out = expected.join(out, keys, "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return out.select(*keys, z("n"), z("n_null"), z("n_distinct"), r("mean"), r("stddev"),
-                      r("p25"), r("p50"), r("p75"), r("min"), r("max"))
-
-
-def profile(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 6) -> DataFrame:
-    """Column profile, one row per column (see ``profile_long``)."""
-    expected = _key_rows(df.sparkSession, ["col"], [(c,) for c in cols])
-    return profile_long(unpivot_values(df, cols, keep_nulls=True), ["col"], exact, digits, expected)
-
-
-def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool = True,
-                 digits: int = 6) -> DataFrame:
-    """Profiles of several datasets in one plan: their long values are
-    unioned under a ``dataset_id`` key, aggregated once and sorted once."""
-    long = None
+    keys, parts, expected = ["dataset_id", "col"], {"number": [], "text": []}, []
+    spark = None
     for name, (df, cols) in datasets.items():
-        part = unpivot_values(df, cols, keep=[F.lit(name).alias("dataset_id")], keep_nulls=True)
-        long = part if long is None else long.unionByName(part)
-    expected = _key_rows(long.sparkSession, ["dataset_id", "col"],
-                         [(n, c) for n, (_, cols) in datasets.items() for c in cols])
-    return profile_long(long, ["dataset_id", "col"], exact, digits, expected)
+        spark = df.sparkSession
+        expected += [(name, c) for c in cols]
+        tag = F.lit(name).alias("dataset_id")
+        number = [c for c in cols if family(df.schema[c].dataType) == "number"]
+        if number:
+            parts["number"].append(unpivot_values(df, number, keep=[tag], keep_nulls=True))
+        other = [c for c in cols if c not in number]
+        if other:
+            parts["text"].append(df.select(tag, F.inline(F.array(*[
+                F.struct(F.lit(c).alias("col"), _as_text(qcol(c), df.schema[c].dataType).alias("v")) for c in other]))))
+    out = None
+    for kind, frames in parts.items():
+        if frames:
+            long = frames[0]
+            for f in frames[1:]:
+                long = long.unionByName(f)
+            got = _number_stats(long, keys, exact, digits) if kind == "number" else _text_stats(long, keys, exact)
+            out = got if out is None else out.unionByName(got)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    want = small_frame(spark, [(k, "string") for k in keys], expected)  # every column gets a row, even of an empty table
+    return want.join(out, keys, "left").select(*keys, *[zero(c) if c.startswith("n") else F.col(c) for c in PROFILE_COLS])
+
+
+def profile(df: DataFrame, cols: list[str] | None = None, exact: bool = True, digits: int = 6) -> DataFrame:
+    """Column profile, one row per column (see ``profile_many``)."""
+    return profile_many({"": (df, cols or df.columns)}, exact, digits).drop("dataset_id")
 
 
 def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
@@ -155,11 +216,12 @@ def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
 def histogram(df: DataFrame, cols: list[str], bins: int = 10, digits: int = 6) -> DataFrame:
     """Equal-width histogram per column (col, bin, lo, hi, cnt); the maximum
     falls in the last bin; a constant column has one bin. Empty bins are
-    not listed."""
-    long = unpivot_values(df, cols)
+    not listed. NaN and infinities are in no bin: they are counted in a row
+    without bin and limits."""
+    long = unpivot_values(df, cols).withColumn("v", _finite(F.col("v")))
     rng = long.groupBy("col").agg(F.min("v").alias("_mn"), F.max("v").alias("_mx"))
     width = (F.col("_mx") - F.col("_mn")) / F.lit(bins)
-    b = F.when(F.col("_mx") == F.col("_mn"), F.lit(0)).otherwise(
+    b = F.when(F.col("v").isNull(), None).when(F.col("_mx") == F.col("_mn"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * F.lit(bins)),
                 F.lit(bins - 1))).cast("int")
     # One row per column: bounded by the schema.
@@ -171,29 +233,32 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 10, digits: int = 6) -
                     "cnt"))
 
 
-# Fixed value: a term is a maximal run of letters, at least this long.
-TERM_PATTERN = r"\p{L}{3,}"
+def term_pattern(min_letters: int = 1) -> str:
+    """A term is a maximal run of letters, at least so many."""
+    return rf"\p{{L}}{{{min_letters},}}"
 
 
 def text_terms(docs: DataFrame, doc_col: str, group_col: str, text_col: str,
-               k: int = 10, digits: int = 6) -> DataFrame:
+               k: int = 10, digits: int = 6, min_letters: int = 1) -> DataFrame:
     """Top TF-IDF terms per group (group, term, tf, df, score, rank).
 
+    A term has ``min_letters`` letters at least (1: every run of letters).
     tf = occurrences of the term in the group, df = documents containing it
     (over all documents; each document belongs to one group), score =
     tf * ln(N / df). Whole texts are tokenised; ties go to the smaller term.
 
     One aggregate by (group, term) yields tf and the group's document count
-    (its distinct step combines map-side); df is their sum over a window by
-    term, which holds one row per group. The top-k window runs behind a
-    partial group limit, so a hot group sends at most k rows per task.
+    (its distinct step combines map-side); df is their sum by term, joined
+    back, so a term of very many groups is no single task's work. The top-k
+    window runs behind a partial group limit, so a hot group sends at most k
+    rows per task.
     """
     tokens = docs.select(doc_col, group_col,
-                         F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM_PATTERN), 0)).alias("term"))
+                         F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(term_pattern(min_letters)), 0)).alias("term"))
     g = tokens.groupBy(group_col, "term").agg(F.count(F.lit(1)).alias("tf"), F.count_distinct(doc_col).alias("_dfg"))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    scored = (g.withColumn("df", F.sum("_dfg").over(Window.partitionBy("term")))
-              .withColumn("score", F.round(F.col("tf") * F.ln(n_docs / F.col("df")), digits)))
+    df = g.groupBy("term").agg(F.sum("_dfg").alias("df"))
+    scored = (g.join(df, "term").withColumn("score", F.round(F.col("tf") * F.ln(n_docs / F.col("df")), digits)))
     w = Window.partitionBy(group_col).orderBy(F.desc("score"), F.asc("term"))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(group_col, "term", F.col("tf").cast("bigint").alias("tf"),
@@ -201,16 +266,30 @@ def text_terms(docs: DataFrame, doc_col: str, group_col: str, text_col: str,
 
 
 def extrema(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Minimum and maximum per ordered column (col, min_value, max_value),
-    from one aggregate per chunk of columns (one for usual widths)."""
-    return union_all([_extrema(df, part) for part in column_chunks(cols)])
-
-
-def _extrema(df: DataFrame, cols: list[str]) -> DataFrame:
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("col"), F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"))
-        for i, c in enumerate(cols)])))
+    """Minimum and maximum per ordered column: (col, min_value, max_value,
+    min_text, max_text), in one pass.
+
+    The values are doubles (null for dates, times and text); the texts are
+    exact: whole numbers in full, dates and times (to the second) and text
+    as they are ordered, null for fractions. NaN is no extremum.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    whole = [c for c in cols if isinstance(types[c], (IntegralType, BooleanType))]
+    number = [c for c in cols if family(types[c]) == "number" and c not in whole]
+    slots = [(number, "double", {"x": lambda _, c: _nan_free(c.cast("double"))}), (whole, "bigint", {"x": lambda _, c: c.cast("bigint")}),
+             ([c for c in cols if c not in whole and c not in number], "string", {"x": lambda n, c: _as_text(c, types[n])})]
+    out = None
+    for part, kind, values in slots:
+        if not part:
+            continue
+        got = per_column(df, part, values, [F.min("x").alias("lo"), F.max("x").alias("hi")])
+        as_double = (lambda c: F.lit(None).cast("double")) if kind == "string" else (lambda c: F.col(c).cast("double"))
+        as_text = (lambda c: F.lit(None).cast("string")) if kind == "double" else (lambda c: F.col(c).cast("string"))
+        got = got.select("col", as_double("lo").alias("min_value"), as_double("hi").alias("max_value"),
+                         as_text("lo").alias("min_text"), as_text("hi").alias("max_text"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def _nan_free(v: Column) -> Column:
+    return F.when(~F.isnan(v), v)

@@ -1,5 +1,5 @@
 """Derived inputs built from the driver tables by SQL that both Spark and
-DuckDB run identically. In Spark each base table is passed as a DataFrame
+DuckDB run identically (but for the few in ``DUCK``). In Spark each base table is passed as a DataFrame
 argument of ``spark.sql``; in an oracle the same text becomes a CTE over the
 registered views. All of them grow with the tables they read."""
 
@@ -35,35 +35,49 @@ union all select n_name, 'alias', cast(0 as double), cast(0 as double), 9 from {
     "places": """
 select c_custkey, case when c_custkey%17=0 then 'Atlantis' else concat(' ',lower(n_name),' ') end as place_raw
 from {customer} join {nation} on c_nationkey=n_nationkey""",
+    "stamps": """
+select o_orderkey,
+  case when o_orderkey%100=7 then '2024-01-05 13:45:10' else '2024-01-05' end as some_times,
+  case when o_orderkey%9=0 then '2024-01-05garbage' else '2024-01-05' end as tail_text,
+  case when o_orderkey%1000<799 then '12' else 'abc' end as under_bar,
+  case when o_orderkey%4000=1 then '1.5' else cast(o_orderkey as string) end as nearly_whole,
+  case when o_orderkey%2=0 then concat(chr(9),'NA') else concat(cast(o_orderkey as string),chr(13)) end as odd_space
+from {orders}""",
     "contacts": """
-select doc_id, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{{2,}}', 0) as contact, lang
+select doc_id, explode_outer(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{{2,}}', 0)) as contact, lang
 from {documents}""",
     "declared": """
 select 'c_custkey' as col, 'bigint' as declared, 0 as ord
 union all select 'c_name','string',1 union all select 'c_nationkey','string',2
 union all select 'c_phone','string',3 union all select 'c_mktsegment','string',4""",
 }
+# Where DuckDB spells a derived input another way.
+DUCK = {
+    "contacts": """
+select doc_id, unnest(case when coalesce(len(l), 0) = 0 then [null] else l end) as contact, lang
+from (select doc_id, lang, regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{{2,}}') as l from {documents})""",
+}
 SOURCES = {
     "dirty_customer": ["customer"],
     "bands": ["events"],
     "gazetteer": ["nation", "region"],
     "places": ["customer", "nation"],
+    "stamps": ["orders"],
     "contacts": ["documents"],
     "declared": [],
 }
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """The derived input ``name`` as a lazy DataFrame (``spread_rows`` as in
-    ``tables.table``)."""
-    dfs = {t: table(spark, sf_dir, t, spread_rows) for t in SOURCES[name]}
-    return spark.sql(DERIVED[name], **dfs)
+def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The derived input ``name`` as a lazy DataFrame."""
+    return spark.sql(DERIVED[name], **{t: table(spark, sf_dir, t) for t in SOURCES[name]})
+
+
+def duck_body(name: str) -> str:
+    """The same input over the oracle's views."""
+    return DUCK.get(name, DERIVED[name]).format(**{t: t for t in SOURCES[name]})
 
 
 def cte(*names: str) -> str:
     """``WITH`` clause defining the derived inputs over the oracle's views."""
-    parts = []
-    for n in names:
-        body = DERIVED[n].format(**{t: t for t in SOURCES[n]})
-        parts.append(f"{n} AS ({body})")
-    return "WITH " + ",\n".join(parts) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS ({duck_body(n)})" for n in names) + "\n"

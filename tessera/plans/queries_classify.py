@@ -4,31 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.types import STORAGE_TYPES
 from tessera.operators import classify as C
 from tessera.operators import ingest as I
 from tessera.operators import rank as R
 from tessera.operators import summary as Y
-from tessera.plans.fixtures import DERIVED, SOURCES, derived
+from tessera.plans.fixtures import derived, duck_body
 from tessera.plans.queries_prep import DIRTY_COLS, DIRTY_STR, cleaned
 from tessera.plans.registry import register
-from tessera.plans.sqlgen import (best_sql, cast_expr, classify_sql, clean_expr, distinct_sql, q,
-                                  scores_sql, spark_type_case, storage_values)
-from tessera.plans.workflow import catalog_row, post_ingest
+from tessera.plans.sqlgen import (best_sql, cast_expr, casts_sql, classify_sql, clean_expr, distinct_sql, gate_expr, q,
+                                  scores_sql, spark_type_case, storage_values, trim_expr, verified_sql)
+from tessera.plans.workflow import catalog_row, chosen_types, collected, post_ingest
 from tessera.session import scratch_path
 from tessera.sources import catalog as K
 from tessera.sources.tables import table
 
 BAND_COLS = ["image_id", "band", "image_file", "lat", "lon", "tile"]
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
-DATASETS = {"dirty_customer": ("cleaned", DIRTY_COLS), "bands": ("bands", BAND_COLS)}
+STAMP_COLS = ["o_orderkey", "some_times", "tail_text", "under_bar", "nearly_whole", "odd_space"]
+DATASETS = {"dirty_customer": ("cleaned", DIRTY_COLS), "bands": ("bands", BAND_COLS), "stamps": ("stamps", STAMP_COLS)}
+ALL_INPUTS = ["dirty_customer", "bands", "stamps"]
 
 
 def with_ctes(names, extra=()):
     parts = []
     for n in names:
-        body = DERIVED[n].format(**{t: t for t in SOURCES[n]})
-        parts.append(f"{n} AS ({body})")
+        parts.append(f"{n} AS ({duck_body(n)})")
     if "dirty_customer" in names:
         parts.append("cleaned AS (select c_custkey, " + ", ".join(f"{clean_expr(c)} as {c}" for c in DIRTY_STR)
                      + " from dirty_customer)")
@@ -37,7 +37,7 @@ def with_ctes(names, extra=()):
 
 
 def inputs(spark, sf_dir):
-    return {"dirty_customer": cleaned(spark, sf_dir), "bands": derived(spark, sf_dir, "bands")}
+    return {"dirty_customer": cleaned(spark, sf_dir), "bands": derived(spark, sf_dir, "bands"), "stamps": derived(spark, sf_dir, "stamps")}
 
 
 def _union(frames):
@@ -58,22 +58,24 @@ DISTINCT_CTE = "dist AS (" + "\nunion all\n".join(
     distinct_sql(src, cols, ds) for ds, (src, cols) in DATASETS.items()) + ")"
 BEST_CTE = "best AS (" + best_sql("scores", "dataset_id, col") + ")"
 CLASS_CTE = "cls AS (" + classify_sql("best", "dist", "dataset_id, col") + ")"
-ALL_CLASS = with_ctes(["dirty_customer", "bands"], [SCORES_CTE, DISTINCT_CTE, BEST_CTE, CLASS_CTE])
+CASTS_CTE = "cc AS (" + "\nunion all\n".join(casts_sql(src, cols, ds) for ds, (src, cols) in DATASETS.items()) + ")"
+VERIFIED_CTE = "ver AS (" + verified_sql("cls", "cc") + ")"
+ALL_CLASS = with_ctes(ALL_INPUTS, [SCORES_CTE, DISTINCT_CTE, BEST_CTE, CLASS_CTE])
+VERIFY_SQL = with_ctes(ALL_INPUTS, [SCORES_CTE, DISTINCT_CTE, BEST_CTE, CLASS_CTE, CASTS_CTE, VERIFIED_CTE])
 
 
-@register("classify_scores", with_ctes(["dirty_customer", "bands"], [SCORES_CTE]) + "select * from scores")
+@register("classify_scores", with_ctes(ALL_INPUTS, [SCORES_CTE]) + "select * from scores")
 def q_classify_scores(spark, sf_dir):
     return _per_dataset(spark, sf_dir, C.type_scores)
 
 
-@register("classify_gate", with_ctes(["dirty_customer", "bands"], [SCORES_CTE, BEST_CTE]) + """
-select dataset_id, col, semantic_type, probability,
-  case when probability >= 0.8 then semantic_type else 'unknown' end as gated_type from best""")
+@register("classify_gate", with_ctes(ALL_INPUTS, [SCORES_CTE, BEST_CTE]) + f"""
+select dataset_id, col, semantic_type, n, n_match, probability, {gate_expr()} as gated_type from best""")
 def q_classify_gate(spark, sf_dir):
     return _per_dataset(spark, sf_dir, lambda df: C.gate(C.best_types(C.type_scores(df))))
 
 
-@register("classify_best", ALL_CLASS + "select * from cls")
+@register("classify_best", ALL_CLASS + "select * exclude (n_time) from cls")
 def q_classify_best(spark, sf_dir):
     return _per_dataset(spark, sf_dir, C.classify)
 
@@ -84,58 +86,47 @@ def _declared_sql(src, cols):
         for c in cols)
 
 
-@register("type_source", ALL_CLASS + f""", decl as ({_declared_sql('cleaned', DIRTY_COLS)}),
-j as (select * from decl d full join (select col, semantic_type as suggested from cls
+@register("type_source", VERIFY_SQL.rstrip() + f""",
+decl as ({_declared_sql('cleaned', DIRTY_COLS)}),
+j as (select * from decl d full join (select col, semantic_type as suggested, case when accepted then storage end as storage from ver
       where dataset_id = 'dirty_customer') c using (col))
 select j.col, j.declared, j.suggested, src.type_source,
-  case when src.type_source = 'classification' then coalesce(st.storage, j.declared)
-       else coalesce(j.declared, st.storage) end as selected_type
-from j cross join (values ('classification'), ('declared')) as src(type_source)
-left join {storage_values()} on st.semantic_type = j.suggested""")
+  case when src.type_source = 'classification' then coalesce(j.storage, j.declared)
+       else coalesce(j.declared, j.storage) end as selected_type
+from j cross join (values ('classification'), ('declared')) as src(type_source)""")
 def q_type_source(spark, sf_dir):
     df = cleaned(spark, sf_dir)
     declared = I.column_registry(df, "dirty_customer").select("col", F.col("data_type").alias("declared"))
-    sug = C.classify(df)
+    _, sug = collected(spark, C.classify_verified(df))
     return _union([C.choose_types(declared, sug, s) for s in ("classification", "declared")])
 
 
-def _cast_counts_sql():
-    parts = []
-    for ds, (src, cols) in DATASETS.items():
-        for c in cols:
-            v = f"trim(cast({c} as varchar))"
-            casts = ", ".join(f"count({cast_expr(v, t)}) as k_{t}" for t in ("bigint", "double", "boolean", "date"))
-            parts.append(f"select {q(ds)} as dataset_id, {q(c)} as col, count({v}) as n_non_null, {casts} from {src}")
-    return "cc AS (" + "\nunion all\n".join(parts) + ")"
-
-
-VERIFY_SQL = ALL_CLASS + ", " + _cast_counts_sql() + f""",
-ver as (select cls.dataset_id, cls.col, cls.semantic_type, cc.n_non_null,
-  case st.storage when 'bigint' then k_bigint when 'double' then k_double when 'boolean' then k_boolean
-       when 'date' then k_date else cc.n_non_null end as n_cast
-from cls join cc using (dataset_id, col) join {storage_values()} on st.semantic_type = cls.semantic_type)
-"""
-
-
-@register("verify_types", VERIFY_SQL + "select *, n_non_null = n_cast as accepted from ver")
+@register("verify_types", VERIFY_SQL + "select * exclude (probability) from ver")
 def q_verify_types(spark, sf_dir):
     return _per_dataset(spark, sf_dir, lambda df: C.classify_verified(df).drop("probability"))
 
 
 # Expected upstream classification of dirty_customer (checked by
 # classify_best): integer, unknown, real, categorical, categorical, unknown.
-TYPED_SQL = with_ctes(["dirty_customer"]) + f"""
-select {cast_expr('c_custkey', 'bigint')} as c_custkey, name, {cast_expr('acctbal', 'double')} as acctbal,
-  segment, konst, empty_col from cleaned"""
-
-
-@register("ingest_typed", TYPED_SQL)
+# Not every acctbal casts to real, so verification rejects the type and the
+# column keeps its text; likewise tail_text and odd_space below.
+@register("ingest_typed", with_ctes(["dirty_customer"]) + f"""
+select {cast_expr('c_custkey', 'bigint')} as c_custkey, name, acctbal, segment, konst, empty_col from cleaned""")
 def q_ingest_typed(spark, sf_dir):
-    from tessera.functions.types import guarded_cast
     df = cleaned(spark, sf_dir)
-    sel = {r["col"]: STORAGE_TYPES[r["semantic_type"]] for r in C.classify(df).collect()}
-    typed = df.select(*[guarded_cast(F.col(c), sel[c]).alias(c) for c in df.columns])
-    return K.ingest_typed(typed, scratch_path(spark, "typed"))
+    rows, _ = collected(spark, C.classify_verified(df))
+    return K.ingest_typed(C.apply_types(df, chosen_types(df, rows)), scratch_path(spark, "typed"))
+
+
+@register("ingest_typed_stamps", with_ctes(["stamps"]) + f"""
+select o_orderkey, {cast_expr('some_times', 'timestamp_ntz')} as some_times, tail_text, under_bar,
+  {cast_expr('nearly_whole', 'double')} as nearly_whole, odd_space from stamps""")
+def q_ingest_typed_stamps(spark, sf_dir):
+    """A column with a few times of day keeps them; a suggestion that not
+    every value fits changes no value."""
+    df = derived(spark, sf_dir, "stamps")
+    rows, _ = collected(spark, C.classify_verified(df))
+    return K.ingest_typed(C.apply_types(df, chosen_types(df, rows)), scratch_path(spark, "typed"))
 
 
 # --------------------------------------------------------- catalog (S4) ---
@@ -164,12 +155,11 @@ from reg left join cls using (col) left join imp using (col) left join ext using
 def q_variable_catalog(spark, sf_dir):
     cust = table(spark, sf_dir, "customer")
     root = scratch_path(spark, "artefacts")
-    paths = K.write_artifacts({
-        "classification": C.classify(cust),
-        "importance": R.corr_importance(cust, CUST_NUM, "c_acctbal"),
-        "summary": Y.extrema(cust, CUST_NUM),
-    }, root)
-    art = K.read_artifacts(spark, paths)
+    found = {"classification": C.classify(cust), "importance": R.corr_importance(cust, CUST_NUM, "c_acctbal"),
+             "summary": Y.extrema(cust, CUST_NUM)}
+    paths = K.write_artifacts(found, root, "customer")
+    K.write_artifacts({n: a.withColumn("col", F.lit("c_custkey")) for n, a in found.items()}, root, "other")  # must not cross over
+    art = K.read_artifacts(spark, paths, "customer")
     reg = I.column_registry(cust, "customer").drop("dataset_id")
     return K.variable_catalog(reg, art["classification"], art["importance"], art["summary"])
 
@@ -200,12 +190,7 @@ from cls join ords using (dataset_id, col) group by dataset_id"""
 def q_catalog_upsert(spark, sf_dir):
     path = scratch_path(spark, "catalog")
     ins = {"customer": table(spark, sf_dir, "customer"), "bands": derived(spark, sf_dir, "bands")}
-    from tessera.functions.sizing import small_frame
-
-    def cls(df):  # one row per column: collected once, re-used as literals by both writes
-        got = C.classify(df).collect()
-        return small_frame(spark, [("col", "string"), ("semantic_type", "string"), ("probability", "double")],
-                           [(r["col"], r["semantic_type"], r["probability"]) for r in got])
+    cls = lambda df: collected(spark, C.classify_verified(df))[1]  # noqa: E731  one row per column, re-used by both writes
     rows = {n: catalog_row(spark, n, f"datasets/{n}", df, cls(df)) for n, df in ins.items()}
     K.upsert_catalog(rows["customer"].unionByName(rows["bands"]), path)
     K.upsert_catalog(rows["customer"], path)  # re-run of one dataset: idempotent, bands kept
@@ -241,7 +226,7 @@ def _rs_sql():
         sums = " + ".join(f"(select count({c}) from {src})" for c in cols)
         parts.append(f"select {q(ds)} as dataset_id, bool_or(col = 'band') and bool_or(col = 'image_file') "
                      f"as is_remote_sensing, ({sums})::bigint as n_values from (values {names}) as t(col)")
-    return with_ctes(["dirty_customer", "bands"]) + "\nunion all\n".join(parts)
+    return with_ctes(ALL_INPUTS) + "\nunion all\n".join(parts)
 
 
 @register("remote_sensing", _rs_sql())
@@ -266,18 +251,12 @@ def q_geobounds_group(spark, sf_dir):
     return I.geobounds(derived(spark, sf_dir, "bands"), "tile")
 
 
-NUMERIC_STORAGE = ("bigint", "double")
-
-
-@register("post_ingest", VERIFY_SQL + f""", flags as (select 'bands' as dataset_id, true as rs
-  union all select 'dirty_customer', false),
-num as (select cls.dataset_id, cls.col from cls join {storage_values()} on st.semantic_type = cls.semantic_type
-  where st.storage in ('bigint', 'double'))
+@register("post_ingest", VERIFY_SQL.rstrip() + f""",
+num as (select dataset_id, col from ver where storage in ('bigint', 'double') and (accepted or dataset_id = 'bands'))
 select 'bands' as dataset_id, 'group' as step, g as item, null::boolean as flag, null::double as min_value,
   null::double as max_value from (values ('multiband_image'), ('geo_bounds')) as t(g)
 union all
-select ver.dataset_id, 'verify', col, n_non_null = n_cast, null, null from ver join flags using (dataset_id)
-  where not rs
+select dataset_id, 'verify', col, accepted, null, null from ver where dataset_id <> 'bands'
 union all
 """ + "\nunion all\n".join(
     f"select * from (select {q(ds)}, 'extrema', {q(c)}, null, min({cast_expr(c, 'double')}), "
@@ -290,7 +269,9 @@ def q_post_ingest(spark, sf_dir):
 
 # ------------------------------------------------------------- streaming ---
 
-@register("stream_ingest", TYPED_SQL)
+@register("stream_ingest", with_ctes(["dirty_customer"]) + f"""
+select {cast_expr('c_custkey', 'bigint')} as c_custkey, name, {cast_expr('acctbal', 'double')} as acctbal,
+  segment, konst, empty_col from cleaned""")
 def q_stream_ingest(spark, sf_dir):
     """The typed ingest of dirty_customer, fed as CSV files to a stream."""
     from pyspark.sql.types import StructType
@@ -299,7 +280,7 @@ def q_stream_ingest(spark, sf_dir):
     from tessera.streaming.file_ingest import start_ingest
     raw = derived(spark, sf_dir, "dirty_customer")
     src = scratch_path(spark, "stream-src")
-    S.write_csv(raw.repartition(4), src, header=True)
+    S.write_csv(raw, src, header=True)
     schema = StructType.fromDDL(", ".join(f"{c} string" for c in raw.columns))
     declared = {"c_custkey": "bigint", "acctbal": "double"}
     out = scratch_path(spark, "stream-out")
@@ -318,8 +299,8 @@ EXT_DATASETS = {"pages": ("pages", ["page_id", "url", "html"]),
 def _place_sql(src, cols, ds):
     return "\nunion all\n".join(
         f"select {q(ds)} as dataset_id, {q(c)} as col, 'place' as semantic_type, count(*) as n, "
-        f"count(r.key)::bigint as n_match, round(count(r.key) / count(*), 6) as probability "
-        f"from (select upper(trim(cast({c} as varchar))) as v from {src} where {c} is not null) x "
+        f"count(r.key)::bigint as n_match, round(case when count(*) > 0 then count(r.key) / count(*) else 0.0 end, 6) as probability "
+        f"from (select upper({trim_expr(c)}) as v from {src} where {c} is not null) x "
         f"left join red r on x.v = r.key" for c in cols)
 
 
@@ -333,21 +314,19 @@ def _extended_sql():
         "contacts_clean AS (select doc_id, " + clean_expr("contact") + " as contact, lang from contacts)",
         f"scores AS ({scores})", f"dist AS ({dist})",
         "best AS (" + best_sql("scores", "dataset_id, col") + ")",
-        "cls AS (" + classify_sql("best", "dist", "dataset_id, col") + ")"]) + "select * from cls"
+        "cls AS (" + classify_sql("best", "dist", "dataset_id, col") + ")"]) + "select * exclude (n_time) from cls"
 
 
 @register("classify_extended", _extended_sql())
 def q_classify_extended(spark, sf_dir):
     from tessera.operators import clean as T
     from tessera.operators.geocode import reduce_gazetteer
-    from tessera.functions.sizing import broadcast_if_small
-    # Checked once here, then reused as a broadcast side by every dataset.
-    keys = broadcast_if_small(reduce_gazetteer(derived(spark, sf_dir, "gazetteer")).select("key"))
-    ins = {"pages": table(spark, sf_dir, "pages", spread_rows=True).select("page_id", "url", "html"),
+    from tessera.functions.sizing import stage
+    keys = stage(reduce_gazetteer(derived(spark, sf_dir, "gazetteer")).select("key"), "gazetteer")  # used by every dataset
+    ins = {"pages": table(spark, sf_dir, "pages").select("page_id", "url", "html"),
            "places": derived(spark, sf_dir, "places"),
-           "contacts": T.clean_null_tokens(derived(spark, sf_dir, "contacts", spread_rows=True), ["contact"])}
-    return _union([C.classify(df, gazetteer_keys=keys, broadcast_rows=None).select(F.lit(n).alias("dataset_id"), "*")
-                   for n, df in ins.items()])
+           "contacts": T.clean_null_tokens(derived(spark, sf_dir, "contacts"), ["contact"])}
+    return _union([C.classify(df, gazetteer_keys=keys).select(F.lit(n).alias("dataset_id"), "*") for n, df in ins.items()])
 
 
 # ------------------------------------------------ all four artefacts (S4) ---
@@ -380,15 +359,15 @@ from reg left join cls using (col) left join imp using (col) left join ext using
 
 @register("artifact_catalog", _artifact_sql())
 def q_artifact_catalog(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread_rows=True)
+    docs = table(spark, sf_dir, "documents")
     root = scratch_path(spark, "artefacts4")
     paths = K.write_artifacts({
         "classification": C.classify(docs),
         "importance": R.corr_importance(docs, DOC_NUM, "n_chars"),
         "summary": Y.extrema(docs, DOC_NUM),
         "summary_machine": Y.text_terms(docs, "doc_id", "lang", "text", k=10),
-    }, root)
-    art = K.read_artifacts(spark, paths)
+    }, root, "documents")
+    art = K.read_artifacts(spark, paths, "documents")
     reg = I.column_registry(docs, "documents").select("col", "ord", "data_type")
     terms = art["summary_machine"].agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("lang", "rank", "term"))),

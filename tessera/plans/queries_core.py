@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.operators import merge as M
 from tessera.operators import summary as Y
 from tessera.plans.registry import register
@@ -20,7 +22,7 @@ def star_relations(spark, sf_dir):
 
 
 def star(spark, sf_dir):
-    return M.star_merge(table(spark, sf_dir, "lineitem", spread_rows=True), star_relations(spark, sf_dir))
+    return M.star_merge(table(spark, sf_dir, "lineitem"), star_relations(spark, sf_dir))
 
 
 STAR_SQL = """
@@ -34,11 +36,26 @@ left join region r on n.n_regionkey = r.r_regionkey"""
 
 register("merge_star", STAR_SQL)(star)
 
-EXTREMA_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", "c_acctbal"]
+EXTREMA_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", "o_totalprice", "o_orderdate",
+                "c_acctbal"]
+
+
+def extrema_sql(src: str, cols: list[str], whole=(), timed=()) -> str:
+    """One row per column: fractions have no exact text, times no double."""
+    def one(c):
+        num = text = [f"min({c})", f"max({c})"]
+        if c in timed:
+            num, text = ["null"] * 2, [f"strftime({e}, '%Y-%m-%d %H:%M:%S')" for e in text]
+        elif c not in whole:
+            text = ["null"] * 2
+        return (f"select '{c}' as col, {num[0]}::double as min_value, {num[1]}::double as max_value, "
+                f"{text[0]}::varchar as min_text, {text[1]}::varchar as max_text from {src}")
+    return "\nunion all\n".join(one(c) for c in cols)
 
 
-@register("extrema", "with m as (" + STAR_SQL + ")\n" + "\nunion all\n".join(
-    f"select '{c}' as col, min({c})::double as min_value, max({c})::double as max_value from m"
-    for c in EXTREMA_COLS))
+@register("extrema", "with m as (select s.*, 9007199254740993::bigint as big from (" + STAR_SQL + ") s)\n" + extrema_sql(
+    "m", [*EXTREMA_COLS, "big"], whole=("l_orderkey", "l_linenumber", "big"), timed=("l_shipdate", "o_orderdate")))
 def q_extrema(spark, sf_dir):
-    return Y.extrema(star(spark, sf_dir), EXTREMA_COLS)
+    """Fractions, whole numbers, one beyond what doubles hold, and times."""
+    df = star(spark, sf_dir).withColumn("big", F.lit(9007199254740993).cast("bigint"))
+    return Y.extrema(df, [*EXTREMA_COLS, "big"])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tessera.functions.text import NULL_TOKENS  # noqa: F401  (documented in sqlgen)
 from tessera.operators import clean as T
 from tessera.operators import format as FM
 from tessera.operators import merge as M
@@ -47,6 +46,14 @@ def q_format_cast_rejects(spark, sf_dir):
     return FM.cast_rejects(derived(spark, sf_dir, "dirty_customer"), DIRTY_DECLARED)
 
 
+@register("format_normalize", CLEAN_CTE + """
+select c_custkey as customer_id, segment as the_name, name as the_name_1, acctbal as acct_bal from cleaned""")
+def q_format_normalize(spark, sf_dir):
+    df = cleaned(spark, sf_dir).select(F.col("c_custkey").alias(" Customer ID "), F.col("segment").alias("the name"),
+                                       F.col("name").alias("The-Name?"), F.col("acctbal").alias("acct.bal"))
+    return FM.normalize_columns(df)
+
+
 # ----------------------------------------------------------------- clean ---
 
 register("clean_null_tokens", CLEAN_CTE + "select * from cleaned")(cleaned)
@@ -66,6 +73,11 @@ def q_clean_drop_columns(spark, sf_dir):
     return T.column_flags(cleaned(spark, sf_dir))
 
 
+@register("clean_kept_columns", CLEAN_CTE + "select c_custkey, name, acctbal, segment from cleaned")
+def q_clean_kept_columns(spark, sf_dir):
+    return T.drop_empty_constant(cleaned(spark, sf_dir))
+
+
 IMPUTE_SQL = CLEAN_CTE + f""", typed as (select c_custkey, name, {cast_expr('acctbal', 'double')} as acctbal, segment
   from cleaned),
 mean_acct as (select round(avg(acctbal), 2) as m from typed),
@@ -96,11 +108,10 @@ def q_split_trim_explode(spark, sf_dir):
 # ----------------------------------------------------------------- merge ---
 
 @register("merge_train_target", """
-select d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic, l.doc_id is not null as has_target
+select d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic, l.doc_id is not null as has_target
 from documents d left join labels l on d.doc_id = l.doc_id""")
 def q_merge_train_target(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return M.merge_train_target(docs, table(spark, sf_dir, "labels"), "doc_id")
+    return M.merge_train_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
 def _audit_sql():
@@ -151,6 +162,25 @@ def q_read_declared(spark, sf_dir):
     return back.withColumn("malformed", F.col(S.CORRUPT_COL).isNotNull()).drop(S.CORRUPT_COL)
 
 
+@register("read_declared_text", "select *, false as malformed from documents")
+def q_read_declared_text(spark, sf_dir):
+    """Whole texts with quotes and line breaks, through CSV and back."""
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "declared_text")
+    S.write_csv(docs, path, header=True)
+    back = S.read_declared(spark, path, docs.schema, header=True)
+    return back.withColumn("malformed", F.col(S.CORRUPT_COL).isNotNull()).drop(S.CORRUPT_COL)
+
+
+@register("write_csv_pair_rows", "select 'plain' as variant, * from pages union all select 'header', * from pages")
+def q_write_csv_pair_rows(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    paths = {"plain": scratch_path(spark, "plain_pages"), "header": scratch_path(spark, "header_pages")}
+    S.write_csv_pair(pages, paths["plain"], paths["header"])
+    out = [S.read_declared(spark, p, pages.schema, header=v == "header").drop(S.CORRUPT_COL).select(F.lit(v).alias("variant"), "*")
+           for v, p in paths.items()]
+    return out[0].unionByName(out[1])
+
+
 ORDERS_SCHEMA_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
                      "o_orderdate timestamp_ntz, o_orderpriority string")
 

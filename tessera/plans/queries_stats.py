@@ -14,7 +14,7 @@ from tessera.plans.fixtures import derived
 from tessera.plans.queries_classify import with_ctes
 from tessera.plans.registry import register
 from tessera.plans.sqlgen import q, unpivot_sql
-from tessera.plans.workflow import prepare_and_ingest
+from tessera.plans.workflow import Dataset, ingest
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 
@@ -24,20 +24,39 @@ HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 CORR_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 
-def profile_sql(src, cols, dataset_id=None):
+LINEITEM_TIMED, LINEITEM_TEXT = ["l_shipdate"], ["l_returnflag", "l_linestatus"]
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *PROFILE_COLS, *LINEITEM_TEXT, *LINEITEM_TIMED]
+
+
+def mean_sql(c: str) -> str:
+    """The exact decimal mean, rounded half away from zero to six places."""
+    total, den = f"sum(cast({c} as decimal(38,10)))", f"(count({c})::hugeint * 10000)"
+    return (f"case when count({c}) > 0 then sign({total})::double * ((2 * (abs({total}) * 10000000000)::hugeint + {den}) // (2 * {den}))::double "
+            f"/ 1000000.0 end")
+
+
+def profile_sql(src, cols, dataset_id=None, timed=(), text=()):
     ds = f"{q(dataset_id)} as dataset_id, " if dataset_id else ""
-    return "\nunion all\n".join(
-        f"select {ds}{q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct, "
-        f"round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as stddev, "
-        + ", ".join(f"round(quantile_cont({c}, {p}), 6) as p{int(p * 100)}" for p in Y.QUARTILES)
-        + f", round(min({c})::double, 6) as min, round(max({c})::double, 6) as max from {src}" for c in cols)
+    numbers = ("mean", "stddev", "p25", "p50", "p75", "min", "max")
+
+    def one(c):
+        v = f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c in timed else c
+        head = f"select {ds}{q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, count(distinct {v}) as n_distinct, "
+        if c in timed or c in text:
+            return head + ", ".join(f"null::double as {n}" for n in numbers) + f", min({v}) as min_text, max({v}) as max_text from {src}"
+        return (head + f"{mean_sql(c)} as mean, round(stddev_samp({c}), 6) as stddev, "
+                + ", ".join(f"round(quantile_cont({c}, {p}), 6) as p{int(p * 100)}" for p in Y.QUARTILES)
+                + f", round(min({c})::double, 6) as min, round(max({c})::double, 6) as max, null::varchar as min_text, "
+                f"null::varchar as max_text from {src}")
+    return "\nunion all\n".join(one(c) for c in cols)
 
 
 # --------------------------------------------------------------- summary ---
 
-@register("summary_profile", profile_sql("lineitem", PROFILE_COLS))
+@register("summary_profile", profile_sql("lineitem", LINEITEM_COLS, timed=LINEITEM_TIMED, text=LINEITEM_TEXT))
 def q_summary_profile(spark, sf_dir):
-    return Y.profile(table(spark, sf_dir, "lineitem", spread_rows=True), PROFILE_COLS)
+    """Every column: numbers, text and times."""
+    return Y.profile(table(spark, sf_dir, "lineitem"), LINEITEM_COLS)
 
 
 @register("summary_topk", "select * from (select col, value, cnt, row_number() over (partition by col order by "
@@ -57,11 +76,11 @@ from (select l.col, (case when mx = mn then 0 else least(floor((v - mn) / (mx -
       from long l join rng using (col))
 group by col, bin, mn, mx""")
 def q_summary_histogram(spark, sf_dir):
-    return Y.histogram(table(spark, sf_dir, "lineitem", spread_rows=True), HIST_COLS, bins=10)
+    return Y.histogram(table(spark, sf_dir, "lineitem"), HIST_COLS, bins=10)
 
 
 TERMS_SQL = f"""
-with tok as (select doc_id, lang, unnest(regexp_extract_all(lower(text), {q(Y.TERM_PATTERN)})) as term from documents),
+with tok as (select doc_id, lang, unnest(regexp_extract_all(lower(text), {q(Y.term_pattern())})) as term from documents),
 pairs as (select doc_id, lang, term, count(*) as c from tok group by doc_id, lang, term),
 tf as (select lang, term, sum(c) as tf from pairs group by lang, term),
 df as (select term, count(*) as df from pairs group by term),
@@ -74,7 +93,7 @@ where rank <= 10"""
 
 @register("summary_terms", TERMS_SQL)
 def q_summary_terms(spark, sf_dir):
-    return Y.text_terms(table(spark, sf_dir, "documents", spread_rows=True), "doc_id", "lang", "text", k=10)
+    return Y.text_terms(table(spark, sf_dir, "documents"), "doc_id", "lang", "text", k=10)
 
 
 # ------------------------------------------------------------------ rank ---
@@ -97,9 +116,44 @@ def q_rank_row_limit(spark, sf_dir):
     return R.row_limit(_rank_numeric(spark, sf_dir), ["c_custkey"], 1000)
 
 
-@register("rank_pca")
+def pca_sql(src: str, cols: list[str], sweeps: int = 12) -> str:
+    """Importance from the eigenvectors of the correlation matrix, which
+    Jacobi rotations give: each step turns one pair of axes so that their
+    entry vanishes. The state is the matrix ``a`` and the axes ``v``, each
+    row by row."""
+    d = len(cols)
+    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
+    at = lambda m, i, j: f"{m}[({i}) * {d} + ({j}) + 1]"
+    cell = "lambda k: "
+    i, j = f"(k // {d})", f"(k % {d})"
+    turn_cols = (f"list_transform(range({d * d}), {cell}case when {j} = p then c * {at('M', i, 'p')} - s * {at('M', i, 'q')} "
+                 f"when {j} = q then s * {at('M', i, 'p')} + c * {at('M', i, 'q')} else {at('M', i, j)} end)")
+    turn_rows = (f"list_transform(range({d * d}), {cell}case when {i} = p then c * {at('b', 'p', j)} - s * {at('b', 'q', j)} "
+                 f"when {i} = q then s * {at('b', 'p', j)} + c * {at('b', 'q', j)} else {at('b', i, j)} end)")
+    corr = ", ".join("1.0::double" if x == y else f"corr({x}, {y})" for x in cols for y in cols)
+    return f"""
+with recursive pairs(n, p, q) as (values {", ".join(f"({n}, {i}, {j})" for n, (i, j) in enumerate(pairs))}),
+start as (select [{corr}] as a from {src}),
+turns(step, a, v) as (
+  select 0, a, list_transform(range({d * d}), {cell}case when {i} = {j} then 1.0::double else 0.0::double end) from start
+  union all
+  select step + 1, {turn_rows} as a, w as v from (
+    select *, {turn_cols.replace('M[', 'a[')} as b, {turn_cols.replace('M[', 'v[')} as w from (
+      select *, 1 / sqrt(1 + t * t) as c, t / sqrt(1 + t * t) as s from (
+        select *, case when abs({at('a', 'p', 'q')}) < 1e-300 then 0.0 when tau >= 0 then 1 / (tau + sqrt(1 + tau * tau))
+                  else -1 / (-tau + sqrt(1 + tau * tau)) end as t from (
+          select turns.*, p, q, case when abs({at('a', 'p', 'q')}) < 1e-300 then 0.0
+                 else ({at('a', 'q', 'q')} - {at('a', 'p', 'p')}) / (2 * {at('a', 'p', 'q')}) end as tau
+          from turns join pairs on step % {len(pairs)} = n where step < {sweeps * len(pairs)}))))),
+last as (select a, v, list_sum(list_transform(range({d}), {cell}greatest({at('a', 'k', 'k')}, 0))) as total from turns order by step desc limit 1)
+""" + "\nunion all\n".join(
+        f"select {q(c)} as col, round(list_sum(list_transform(range({d}), {cell}abs({at('v', n, 'k')}) * greatest({at('a', 'k', 'k')}, 0) / total)), 6) "
+        f"as importance, (select count({c}) from {src}) as n_used from last" for n, c in enumerate(cols))
+
+
+@register("rank_pca", pca_sql("lineitem", PROFILE_COLS))
 def q_rank_pca(spark, sf_dir):
-    return R.pca_importance(table(spark, sf_dir, "lineitem", spread_rows=True), PROFILE_COLS)
+    return R.pca_importance(table(spark, sf_dir, "lineitem"), PROFILE_COLS)
 
 
 CORR_SQL = "\nunion all\n".join(
@@ -128,6 +182,28 @@ def q_cluster_kmeans(spark, sf_dir):
     return out.select("vec_id", "label", "cluster")
 
 
+def _misplaced(spark, df, cols, k):
+    """One row: rows, clusters, rows without a cluster, and rows whose
+    nearest centre is another cluster's (by the assignment of K2)."""
+    out, model = KM.kmeans_model(df, cols, k=k, seed=42)
+    again = KM.assign(out.withColumn("_x", KM.features(out, cols)).withColumnRenamed("cluster", "mine"), "_x", KM.centres(spark, model))
+    return again.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("mine").alias("n_clusters"),
+                     F.count_if(F.col("mine").isNull()).alias("n_without"), F.count_if(F.col("mine") != F.col("cluster")).alias("n_misplaced"))
+
+
+@register("cluster_kmeans_check", "select count(*) as n_rows, 10::bigint as n_clusters, 0::bigint as n_without, 0::bigint as n_misplaced from embeddings")
+def q_cluster_kmeans_check(spark, sf_dir):
+    return _misplaced(spark, table(spark, sf_dir, "embeddings"), "embedding", 10)
+
+
+@register("cluster_numeric", "select count(*) as n_rows, 4::bigint as n_clusters, "
+          "count_if(c_custkey % 7 = 0)::bigint as n_without, 0::bigint as n_misplaced from customer")
+def q_cluster_numeric(spark, sf_dir):
+    """Numeric columns; a row with a missing value stays without a cluster."""
+    cust = table(spark, sf_dir, "customer").withColumn("bal", F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")))
+    return _misplaced(spark, cust, ["bal", "c_nationkey"], 4)
+
+
 ASSIGN_SQL = """
 with e as (select vec_id, label, unnest(embedding)::double as x, unnest(range(len(embedding))) as d from embeddings),
 c as (select label as cluster, d, avg(x) as m from e group by label, d),
@@ -196,32 +272,35 @@ def q_batch_profile(spark, sf_dir):
 
 # ------------------------------------------------------------ end to end ---
 
+MERGED_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "row_index",
+               "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "n_name", "n_regionkey"]
+MERGED_TEXT = ("o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "n_name")
+
+
+def _merged_ctes():
+    """The merged table, its classification and verification."""
+    from tessera.plans.sqlgen import best_sql, casts_sql, classify_sql, clean_expr, distinct_sql, scores_sql, verified_sql
+    cells = ", ".join("(row_number() over (order by o_orderkey) - 1)::bigint as row_index" if c == "row_index" else
+                      f"{clean_expr(c)} as {c}" if c in MERGED_TEXT else c for c in MERGED_COLS)
+    merged = f"select {cells} from (select distinct * from orders) left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey"
+    return [f"merged AS ({merged})", f"scores AS ({scores_sql('merged', MERGED_COLS, 'd_orders')})",
+            f"dist AS ({distinct_sql('merged', MERGED_COLS, 'd_orders')})", f"best AS ({best_sql('scores', 'dataset_id, col')})",
+            f"cls AS ({classify_sql('best', 'dist', 'dataset_id, col')})", f"cc AS ({casts_sql('merged', MERGED_COLS, 'd_orders')})",
+            f"ver AS ({verified_sql('cls', 'cc')})"]
+
+
 def _prepare_sql():
     from tessera.plans.queries_classify import _declared_sql
-    from tessera.plans.sqlgen import (best_sql, cast_expr, classify_sql, clean_expr, distinct_sql, scores_sql,
-                                      storage_values)
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
-            "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "n_name", "n_regionkey"]
-    strs = {"o_orderstatus", "o_orderpriority"}
-    merged = ("merged AS (select " + ", ".join(f"{clean_expr(c)} as {c}" if c in strs else c for c in cols)
-              + " from orders left join customer on o_custkey = c_custkey"
-              " left join nation on c_nationkey = n_nationkey)")
+    from tessera.plans.sqlgen import cast_expr
     num = "\nunion all\n".join(
         f"select {q(c)} as col, {i} as ord, corr({cast_expr(c, 'double')}, o_totalprice) as r, "
         f"min({cast_expr(c, 'double')}) as mn, max({cast_expr(c, 'double')}) as mx from merged"
-        for i, c in enumerate(cols))
-    return f"""WITH {merged},
-scores AS ({scores_sql('merged', cols)}),
-dist AS ({distinct_sql('merged', cols)}),
-best AS ({best_sql('scores')}),
-cls AS ({classify_sql('best', 'dist')}),
-decl AS ({_declared_sql('merged', cols)}),
-nums AS ({num}),
-v AS (select nums.col, nums.ord, decl.declared, cls.semantic_type as suggested, cls.probability,
-        coalesce(st.storage, decl.declared) as selected, nums.r, nums.mn, nums.mx
-      from nums join decl using (col) join cls using (col) left join {storage_values()}
-        on st.semantic_type = cls.semantic_type)
-select 'orders' as dataset_id, 'seed' as source, 'modelling' as dataset_type,
+        for i, c in enumerate(MERGED_COLS))
+    return "WITH " + ",\n".join([*_merged_ctes(), f"decl AS ({_declared_sql('merged', MERGED_COLS)})", f"nums AS ({num})", """
+v AS (select nums.col, nums.ord, decl.declared, ver.semantic_type as suggested, ver.probability,
+        case when accepted then storage else decl.declared end as selected, nums.r, nums.mn, nums.mx
+      from nums join decl using (col) join ver using (col))"""]) + """
+select 'd_orders' as dataset_id, 'seed' as source, 'modelling' as dataset_type,
   (select count(*) from merged) as n_rows, col, ord, declared, suggested, probability, selected,
   case when selected in ('bigint', 'double') and col <> 'o_totalprice' then round(abs(r), 6) end as importance,
   case when selected in ('bigint', 'double') then mn end as min,
@@ -229,11 +308,67 @@ select 'orders' as dataset_id, 'seed' as source, 'modelling' as dataset_type,
 from v"""
 
 
-@register("prepare_and_ingest", _prepare_sql())
-def q_prepare_and_ingest(spark, sf_dir):
+def _orders(spark, sf_dir) -> Dataset:
     t = lambda n: table(spark, sf_dir, n)
     rels = [M.Relation("customer", t("customer"), "o_custkey", "c_custkey"),
             M.Relation("nation", t("nation"), "c_nationkey", "n_nationkey")]
-    cat = prepare_and_ingest(spark, "orders", table(spark, sf_dir, "orders", spread_rows=True), rels, "o_totalprice",
-                             scratch_path(spark, "catalog"), scratch_path(spark, "typed"))
+    return Dataset("orders", t("orders"), rels, ["o_orderkey"], "o_totalprice", ("o_orderkey", "o_orderstatus", "o_orderpriority"))
+
+
+def _dirty(spark, sf_dir) -> Dataset:
+    """With duplicate rows, and a type that verification rejects."""
+    return Dataset("dirty", derived(spark, sf_dir, "dirty_customer"), [], ["c_custkey", "acctbal"])
+
+
+@register("prepare_and_ingest", _prepare_sql())
+def q_prepare_and_ingest(spark, sf_dir):
+    cat = ingest(spark, _orders(spark, sf_dir), scratch_path(spark, "ingest"), endpoint="catalog", prefix="d_")
     return cat.select("dataset_id", "source", "dataset_type", "n_rows", F.inline("variables"))
+
+
+DIRTY_INDEXED = """ded as (select distinct * from cleaned),
+idx as (select *, (row_number() over (order by c_custkey, acctbal nulls first) - 1)::bigint as row_index from ded)
+"""
+
+
+@register("ingest_relational", with_ctes(["dirty_customer"]).rstrip() + ",\n" + DIRTY_INDEXED + """
+select c_custkey, name, acctbal, segment, konst, empty_col, row_index, 'seed' as source from idx""")
+def q_ingest_relational(spark, sf_dir):
+    return ingest(spark, _dirty(spark, sf_dir), scratch_path(spark, "ingest"), endpoint="catalog", metadata_only=True, database="store")
+
+
+def _metadata_sql():
+    text = [c for c in MERGED_COLS if c in MERGED_TEXT]
+    prof = profile_sql("merged", MERGED_COLS, "d_orders", timed=["o_orderdate"], text=text)
+    return "WITH " + ",\n".join([*_merged_ctes(), f"prof AS ({prof})"]) + """
+select dataset_id, col, semantic_type, n_non_null, n_cast, accepted, storage, n, n_null, n_distinct, mean, p50, min, max, min_text, max_text
+from ver join prof using (dataset_id, col)"""
+
+
+@register("metadata_tables", _metadata_sql())
+def q_metadata_tables(spark, sf_dir):
+    """Two datasets in the same metadata tables, one of them run again; the
+    rows of one are read back, with none of the other's."""
+    from tessera.sources import catalog as K
+    root = scratch_path(spark, "ingest")
+    for ds in (_orders(spark, sf_dir), _dirty(spark, sf_dir), _dirty(spark, sf_dir)):
+        ingest(spark, ds, root, endpoint="catalog", prefix="d_")
+    cls, prof = (K.read_metadata(spark, f"{root}/metadata", n).where("dataset_id = 'd_orders'") for n in ("classification", "profile"))
+    return cls.join(prof, ["dataset_id", "col"]).select(
+        "dataset_id", "col", "semantic_type", "n_non_null", "n_cast", "accepted", "storage", "n", "n_null", "n_distinct", "mean", "p50",
+        "min", "max", "min_text", "max_text")
+
+
+@register("model_catalog", with_ctes(["dirty_customer"]) + """
+select 'd_dirty' as dataset_id, (select count(*) from (select distinct * from cleaned)) as n_rows, 0::bigint as n_models,
+  'model_id,dataset_id,kind,params' as model_columns""")
+def q_model_catalog(spark, sf_dir):
+    """The model catalog is there, and empty, once a dataset is in the
+    datasets catalog."""
+    from tessera.sources import catalog as K
+    root = scratch_path(spark, "ingest")
+    cat = ingest(spark, _dirty(spark, sf_dir), root, endpoint="catalog", prefix="d_")
+    models = spark.read.schema(K.MODELS_SCHEMA).parquet(f"{root}/models")
+    n = models.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
+    return cat.select("dataset_id", "n_rows").join(n, "dataset_id", "left").select(
+        "dataset_id", "n_rows", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_models"), F.lit(",".join(models.columns)).alias("model_columns"))

@@ -13,26 +13,36 @@ DATASETS_SCHEMA = (
     "groupings array<struct<type:string,id_col:string,sub_cols:array<string>>>, summary_terms array<string>")
 MODELS_SCHEMA = "model_id string, dataset_id string, kind string, params string"
 METADATA_TABLES = {
-    "classification": "dataset_id string, col string, semantic_type string, probability double, n bigint",
-    "importance": "dataset_id string, col string, importance double, rank int",
-    "extrema": "dataset_id string, col string, min double, max double",
-    "profile": ("dataset_id string, col string, n bigint, n_null bigint, n_distinct bigint, mean double, "
-                "stddev double, p25 double, p50 double, p75 double"),
+    "classification": ("col string, semantic_type string, probability double, n_non_null bigint, n_cast bigint, "
+                       "accepted boolean, storage string"),
+    "importance": "col string, importance double, rank bigint",
+    "extrema": "col string, min_value double, max_value double, min_text string, max_text string",
+    "profile": ("col string, n bigint, n_null bigint, n_distinct bigint, mean double, stddev double, p25 double, "
+                "p50 double, p75 double, min double, max double, min_text string, max_text string"),
+    "terms": "`group` string, term string, tf bigint, df bigint, score double, rank bigint",
 }
 ARTEFACTS = ("classification", "importance", "summary", "summary_machine")
 
 
-def write_artifacts(artifacts: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Each artefact as its own Parquet table under ``root``."""
+def put(df: DataFrame, path: str, dataset_id: str) -> None:
+    """Replace what a table holds of one dataset (its partition) and keep
+    the rest: running again leaves the same table."""
+    rows = df if "dataset_id" in df.columns else df.withColumn("dataset_id", F.lit(dataset_id))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset_id").parquet(path))
+
+
+def write_artifacts(artifacts: dict[str, DataFrame], root: str, dataset_id: str) -> dict[str, str]:
+    """Each artefact as its own table under ``root``, keyed by dataset."""
     paths = {}
     for name, df in artifacts.items():
         paths[name] = f"{root}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
+        put(df, paths[name], dataset_id)
     return paths
 
 
-def read_artifacts(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(p) for n, p in paths.items()}
+def read_artifacts(spark: SparkSession, paths: dict[str, str], dataset_id: str) -> dict[str, DataFrame]:
+    """The artefacts of one dataset."""
+    return {n: spark.read.parquet(p).where(F.col("dataset_id") == dataset_id).drop("dataset_id") for n, p in paths.items()}
 
 
 def variable_catalog(registry: DataFrame, classification: DataFrame, importance: DataFrame,
@@ -58,7 +68,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 def ensure_table(spark: SparkSession, path: str, schema: str) -> None:
     """Create an empty table with ``schema`` unless one exists."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    empty = spark.createDataFrame([], schema)
+    w = empty.write.mode("ignore")
+    (w.partitionBy("dataset_id") if empty.columns != ["model_id", "dataset_id", "kind", "params"] else w).parquet(path)
 
 
 def ensure_model_catalog(spark: SparkSession, path: str) -> None:
@@ -66,14 +78,21 @@ def ensure_model_catalog(spark: SparkSession, path: str) -> None:
 
 
 def create_metadata_tables(spark: SparkSession, root: str) -> dict[str, str]:
-    paths = {"datasets": f"{root}/datasets"}
-    ensure_table(spark, paths["datasets"], DATASETS_SCHEMA)
-    for name, schema in METADATA_TABLES.items():
+    """The metadata tables, empty unless they exist; each is partitioned by
+    ``dataset_id``. Returns their paths."""
+    paths = {}
+    for name, schema in {"datasets": None, **METADATA_TABLES}.items():
         paths[name] = f"{root}/{name}"
-        ensure_table(spark, paths[name], schema)
+        ensure_table(spark, paths[name], f"{schema}, dataset_id string" if schema else DATASETS_SCHEMA)
     return paths
 
 
+def read_metadata(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A metadata table with its declared schema (empty ones too)."""
+    schema = METADATA_TABLES.get(name)
+    return spark.read.schema(f"{schema}, dataset_id string" if schema else DATASETS_SCHEMA).parquet(f"{root}/{name}")
+
+
 def ingest_typed(df: DataFrame, path: str) -> DataFrame:
     """Write the typed table (Parquet stands in for the relational store;
     ``df.write.jdbc`` takes the same frame) and read it back."""

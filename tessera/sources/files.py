@@ -9,24 +9,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tessera.functions.sizing import qcol, stage
+
 CORRUPT_COL = "_bad"
 
-# CSV text settings used on both sides of a round trip. Keep
-# surrounding whitespace; a null is written as \N so that an empty string
-# (written "") reads back as an empty string, not as null.
-NULL_MARKER = "\\N"
-_CSV_WRITE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-              "escapeQuotes": "true", "nullValue": NULL_MARKER}
-_CSV_READ = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-             "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL, "nullValue": NULL_MARKER}
+# CSV as RFC 4180 has it. Fields that need quotes have them, a
+# quote in a field is doubled, line breaks in quotes belong to the field, and
+# white space is kept. A null is a field with nothing in it, an empty string
+# one with two quotes. The reader needs a text that stands for null: two
+# characters that Unicode rules out of interchange, so no field collides.
+NULL_MARKER = "\uffff\uffffnull"
+_CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+_CSV_WRITE = _CSV | {"nullValue": "", "emptyValue": '""', "lineSep": "\n"}
+_CSV_READ = _CSV | {"multiLine": "true", "nullValue": NULL_MARKER, "emptyValue": "",
+                    "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
 
 
-def read_declared(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
+def read_declared(spark: SparkSession, path: str, schema: StructType, header: bool = True, line_sep: str | None = "\n") -> DataFrame:
     """Read CSV against a declared schema. Malformed rows are kept (their
-    bad fields null) and flagged in ``_bad``; they never fail the job."""
+    bad fields null) and flagged in ``_bad``; they never fail the job.
+
+    ``line_sep`` ends the rows; None has the reader find out per file, which
+    a field with another kind of line break near its start can mislead. Files
+    are read whole, as a quoted field may hold line breaks: a table for
+    hundreds of tasks needs hundreds of files.
+    """
     full = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
-    return (spark.read.schema(full).options(**_CSV_READ).option("header", str(header).lower())
-            .csv(path))
+    more = {"lineSep": line_sep} if line_sep else {}
+    return spark.read.schema(full).options(**_CSV_READ, **more).option("header", str(header).lower()).csv(path)
 
 
 def malformed_count(df: DataFrame) -> DataFrame:
@@ -37,19 +47,24 @@ def malformed_count(df: DataFrame) -> DataFrame:
     corrupt-record column alone.
     """
     cols = [c for c in df.columns if c != CORRUPT_COL]
-    any_null = F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull()
+    any_null = F.exists(F.array(*[qcol(c).isNull() for c in cols]), lambda x: x)
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT_COL).alias("n_malformed"),
                   F.count_if(any_null).alias("n_with_null"))
 
 
 def write_csv(df: DataFrame, path: str, header: bool, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**_CSV_WRITE).option("header", str(header).lower()).csv(path)
+    """A lone column writes nulls as NULL_MARKER: its null rows would be
+    empty lines, which are no rows."""
+    more = {"nullValue": NULL_MARKER} if len(df.columns) == 1 else {}
+    df.write.mode(mode).options(**(_CSV_WRITE | more)).option("header", str(header).lower()).csv(path)
 
 
 def write_csv_pair(df: DataFrame, plain_path: str, header_path: str) -> None:
-    """The merged file twice: without header and with header."""
-    write_csv(df, plain_path, header=False)
-    write_csv(df, header_path, header=True)
+    """The merged file twice: without header and with header. The rows are
+    made once, for a stored table that both are written from."""
+    rows = stage(df, "csv-pair")
+    write_csv(rows, plain_path, header=False)
+    write_csv(rows, header_path, header=True)
 
 
 def schema_document(df: DataFrame, dataset_id: str, resource: str = "learningData") -> str:
@@ -72,7 +87,7 @@ def read_schema_document(spark: SparkSession, path: str) -> tuple[str, StructTyp
 
 def as_strings(df: DataFrame) -> DataFrame:
     """All columns as strings (the raw copy kept beside a typed table)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return df.select(*[qcol(c).cast("string").alias(c) for c in df.columns])
 
 
 def write_typed_and_raw(typed: DataFrame, raw: DataFrame, path: str) -> tuple[str, str]:
@@ -86,4 +101,4 @@ def write_typed_and_raw(typed: DataFrame, raw: DataFrame, path: str) -> tuple[st
 
 def media_paths(df: DataFrame, col: str, server: str, dataset: str, out: str | None = None) -> DataFrame:
     """Media references become ``server/dataset/<file>`` URLs."""
-    return df.withColumn(out or col, F.concat_ws("/", F.lit(server.rstrip("/")), F.lit(dataset), F.col(col)))
+    return df.withColumn(out or col, F.concat_ws("/", F.lit(server.rstrip("/")), F.lit(dataset), qcol(col)))

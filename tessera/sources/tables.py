@@ -4,23 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.functions.sizing import spread
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """Lazy Parquet scan; filters and projections reach the reader.
-
-    ``spread_rows`` round-robins a scan that yields fewer splits than task
-    slots (a file with one large row group) before CPU-heavy per-row work;
-    on inputs of many splits it adds nothing. Filters and projections still
-    reach the scan through the repartition.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy Parquet scan; filters and projections reach the reader. How it is
+    split is up to ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:

@@ -10,6 +10,7 @@ are exactly-once).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -23,12 +24,12 @@ def typed_stream(spark: SparkSession, source_dir: str, raw_schema: StructType, d
                  header: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of cleaned, typed rows plus a ``malformed`` flag."""
     full = StructType(list(raw_schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
-    r = spark.readStream.schema(full).options(**_CSV_READ).option("header", str(header).lower())
+    r = spark.readStream.schema(full).options(**_CSV_READ, lineSep="\n").option("header", str(header).lower())
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.csv(source_dir)
-    typed = cast_declared(clean_null_tokens(raw.drop(CORRUPT_COL)), declared)
-    return typed
+    flagged = raw.withColumn("malformed", F.col(CORRUPT_COL).isNotNull()).drop(CORRUPT_COL)
+    return cast_declared(clean_null_tokens(flagged), declared)
 
 
 def start_ingest(spark: SparkSession, source_dir: str, raw_schema: StructType, declared: dict[str, str],

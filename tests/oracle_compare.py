@@ -34,9 +34,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 4) + 0.0
+        return round(v, 6) + 0.0
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 4) + 0.0
+        return round(float(v), 6) + 0.0
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, (list, tuple)):

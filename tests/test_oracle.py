@@ -32,7 +32,7 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["dataset_id", "source", "dataset_type", "n_rows", "col", "ord", "declared",
                           "suggested", "probability", "selected", "importance", "min", "max"]
-    assert df.count() == 12
+    assert df.count() == 13
 
 
 def test_oracle_keys_subset():

@@ -21,6 +21,36 @@ def test_plan_has_no_pairs_and_no_python(spark, sf_dir, name):
     assert not bad, (name, bad)
 
 
+@pytest.mark.parametrize("name", ["classify_best", "classify_extended", "verify_types", "artifact_catalog"])
+def test_classification_shuffles_no_text(spark, sf_dir, name, monkeypatch):
+    """Only counts and digests cross an exchange on the way to a type."""
+    from tessera.operators import classify as C
+    plans = []
+
+    def spy(stats):
+        def run(*a, **k):
+            df = stats(*a, **k)
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return df
+        return run
+    monkeypatch.setattr(C, "column_stats", spy(C.column_stats))
+    monkeypatch.setattr(C, "distinct_of", spy(C.distinct_of))
+    QUERIES[name](spark, sf_dir)
+    lines = [ln for p in plans for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
+    assert plans and lines
+    for ln in lines:
+        keys = ln.split("hashpartitioning(")[1].split(")")[0].rsplit(",", 1)[0]
+        assert not {k.strip().split("#")[0] for k in keys.split(",")} & {"v", "text", "html", "url", "contact", "name"}, ln
+
+
+def test_audit_reads_the_fact_table_once(spark, sf_dir):
+    """Once its combinations of keys are stored, the plan has no fact column."""
+    df = QUERIES["merge_audit"](spark, sf_dir)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" in plan and "l_partkey" not in plan
+    assert not any("Relation" in ln and "l_linenumber" in ln for ln in plan.splitlines())
+
+
 def test_text_terms_plan_is_lazy(spark, sf_dir):
     """The document count and the top-k ranking are scalar subqueries and
     windows inside one plan: building it starts no Spark job."""

@@ -2,7 +2,7 @@
 
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tessera.operators import geocode as G
 from tessera.operators import merge as M
@@ -41,6 +41,36 @@ def test_fallback_to_original(spark, sf_dir):
     assert out.select("resolved_from").distinct().collect()[0][0] == "original"
 
 
+def test_unfinished_merge_is_an_error(spark, tmp_path):
+    import pytest
+    (tmp_path / "merged").mkdir()
+    with pytest.raises(FileNotFoundError, match="_SUCCESS"):
+        M.fallback_source(spark, str(tmp_path / "merged"), spark.range(1).toDF("a"))
+
+
+HARD = ["plain", "line\nbreak", "cr\rhere", "crlf\r\nx", '"quoted"', 'a "" b', "\\N", "\\", "", None, " lead", "trail ", "a,b", "#c", '\\"x\\"', '"', '""', "\n",
+        "x\\", 'a"b', "é🙂"]
+
+
+def test_csv_round_trip_of_hard_texts(spark):
+    for cols, rows in (("i long, v string, z string", [(i, v, "z") for i, v in enumerate(HARD)]), ("v string", [(v,) for v in HARD])):
+        df = spark.createDataFrame(rows, cols).repartition(3)
+        plain, header = scratch_path(spark, "t_plain"), scratch_path(spark, "t_header")
+        S.write_csv_pair(df, plain, header)
+        for path, h in ((plain, False), (header, True)):
+            back = S.read_declared(spark, path, df.schema, header=h)
+            key = lambda r: tuple(map(repr, r))
+            assert sorted(map(key, back.drop(S.CORRUPT_COL).collect())) == sorted(map(key, rows))
+            assert back.where(f"{S.CORRUPT_COL} is not null").count() == 0
+
+
+def test_csv_reads_doubled_quotes_of_other_tools(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('k,v\n1,"a ""b"" c"\n2,"two\nlines"\n3,\n4,""\n')
+    sch = StructType([StructField("k", LongType()), StructField("v", StringType())])
+    got = {r["k"]: r["v"] for r in S.read_declared(spark, str(tmp_path / "x.csv"), sch).collect()}
+    assert got == {1: 'a "b" c', 2: "two\nlines", 3: None, 4: ""}
+
+
 def test_catalog_upsert_idempotent(spark):
     path = scratch_path(spark, "t_cat")
     a = spark.createDataFrame([("a", 1), ("b", 2)], "dataset_id string, n int")
@@ -59,8 +89,9 @@ def test_model_catalog_and_metadata_tables(spark):
     K.ensure_model_catalog(spark, f"{root}/models")  # second call keeps it
     assert spark.read.parquet(f"{root}/models").count() == 0
     paths = K.create_metadata_tables(spark, root)
-    assert set(paths) == {"datasets", "classification", "importance", "extrema", "profile"}
-    assert spark.read.parquet(paths["datasets"]).schema.simpleString().startswith("struct<dataset_id:string")
+    assert set(paths) == {"datasets", "classification", "importance", "extrema", "profile", "terms"}
+    for name in paths:
+        assert K.read_metadata(spark, root, name).count() == 0
 
 
 def _single_partition_only_under_broadcast(tree: str) -> bool:

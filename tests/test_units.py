@@ -28,11 +28,48 @@ def test_null_tokens(spark):
     assert got == [None] * 6 + ["keep"]
 
 
-def test_threshold_equality_kept(spark):
-    best = spark.createDataFrame([("a", "integer", 0.8), ("b", "real", 0.7999999)],
-                                 "col string, semantic_type string, probability double")
+def test_threshold_compares_exact_counts(spark):
+    """800,000 of 1,000,000 keeps the type; one less does not, though its
+    share rounds to the threshold."""
+    best = spark.createDataFrame([("a", "integer", 10**6, 800_000, 0.8), ("b", "real", 10**6, 799_999, 0.8), ("c", "real", 0, 0, 0.0)],
+                                 "col string, semantic_type string, n bigint, n_match bigint, probability double")
     got = {r["col"]: r["gated_type"] for r in C.gate(best, 0.8).collect()}
-    assert got == {"a": "integer", "b": "unknown"}
+    assert got == {"a": "integer", "b": "unknown", "c": "unknown"}
+
+
+def test_one_fraction_in_three_million_survives(spark):
+    df = spark.range(0, 3_000_000, numPartitions=8).select(F.when(F.col("id") == 77, "1.5").otherwise(F.col("id").cast("string")).alias("v"))
+    got = C.classify_verified(df, categorical=False).collect()[0]
+    assert (got["semantic_type"], got["storage"], got["n_cast"], got["accepted"]) == ("real", "double", 3_000_000, True)
+
+
+def test_dates_keep_times_and_refuse_trailing_text(spark):
+    rows = [("2024-01-05", "2024-01-05", "2024-01-05garbage", "2024-01-05 13:45:10"), ("2024-02-29", "2024-01-05 13:45:10", "2024-01-05", "2024-01-05T13:45")]
+    df = spark.createDataFrame(rows, "d string, some string, bad string, t string")
+    got = {r["col"]: (r["semantic_type"], r["storage"], r["accepted"]) for r in C.classify_verified(df, categorical=False).collect()}
+    assert got == {"d": ("dateTime", "date", True), "some": ("dateTime", "timestamp_ntz", True), "bad": ("unknown", "string", True),
+                   "t": ("dateTime", "timestamp_ntz", True)}
+    typed = C.apply_types(df, {c: v[1] for c, v in got.items()}).orderBy("d").collect()
+    assert [str(x) for x in typed[0]] == ["2024-01-05", "2024-01-05 00:00:00", "2024-01-05garbage", "2024-01-05 13:45:10"]
+    assert [str(x) for x in typed[1]] == ["2024-02-29", "2024-01-05 13:45:10", "2024-01-05", "2024-01-05 13:45:00"]
+
+
+def test_all_white_space_is_trimmed(spark):
+    df = spark.createDataFrame([("\tNA", "12\r"), ("\u00a0x\u3000", "13\n")], "a string, b string")
+    assert [r["a"] for r in T.clean_null_tokens(df).collect()] == [None, "x"]
+    assert C.classify(df, ["b"], categorical=False).collect()[0]["semantic_type"] == "integer"
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([("1", "x"), ("2", "x"), (None, "x")], "`a.b` string, `c d` string")
+    assert {r["col"] for r in C.classify(df).collect()} == {"a.b", "c d"}
+    assert {r["col"]: r["n_non_null"] for r in T.column_flags(df).collect()} == {"a.b": 2, "c d": 3}
+    assert T.drop_empty_constant(df).columns == ["a.b"]
+    assert T.clean_null_tokens(df).columns == df.columns
+    assert {r["col"]: r["max_text"] for r in Y.extrema(df, df.columns).collect()} == {"a.b": "2", "c d": "x"}
+    main = spark.createDataFrame([(1, "q")], "`k.1` int, v string")
+    out = M.star_merge(main, [M.Relation("r", spark.createDataFrame([(1, "z")], "`k.1` int, `w.1` string"), "k.1", "k.1")])
+    assert out.columns == ["k.1", "v", "w.1"] and out.collect()[0]["w.1"] == "z"
 
 
 def test_best_type_tie_goes_to_upper_row(spark):
@@ -56,10 +93,12 @@ def test_all_null_and_empty_table(spark):
     assert prof["n"] == 0 and prof["p50"] is None
 
 
-def test_verify_rejects_partial(spark):
-    df = spark.createDataFrame([("1.5",), ("abc",), (None,)], "v string")
-    r = C.verify_types(df, {"v": "real"}).collect()[0]
-    assert (r["n_non_null"], r["n_cast"], r["accepted"]) == (2, 1, False)
+def test_verify_rejects_partial_and_keeps_the_values(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(9)] + [("abc",), (None,)], "v string")
+    r = C.classify_verified(df).collect()[0]
+    assert (r["semantic_type"], r["n_non_null"], r["n_cast"], r["accepted"]) == ("integer", 10, 9, False)
+    declared = spark.createDataFrame([("v", "string")], "col string, declared string")
+    assert C.choose_types(declared, C.classify_verified(df)).collect()[0]["selected_type"] == "string"
 
 
 def test_remote_sensing_case_sensitive(spark):
@@ -101,7 +140,7 @@ def test_gazetteer_ambiguity(spark):
 
 def test_merge_audit_reports_fanout(spark):
     main = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    res = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "rk int, v string")
+    res = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "rk int, v string")  # nulls are no duplicates
     a = M.merge_audit(main, [M.Relation("r", res, "k", "rk")]).collect()[0]
     assert (a["n_left_rows"], a["n_unmatched"], a["n_dup_keys"], a["n_fanout_rows"]) == (3, 1, 1, 1)
     merged = M.star_merge(main, [M.Relation("r", res, "k", "rk")])
@@ -187,17 +226,6 @@ def test_exact_quantiles_hot_value_many_partitions(spark):
     assert p["n_distinct"] == len(set(xs.tolist()))
 
 
-def test_locate_ranks_across_slices(spark):
-    from tessera.operators.index import locate_ranks
-    w = spark.createDataFrame([("a", float(v), c) for v, c in [(1, 3), (2, 1), (3, 5), (4, 2)]] +
-                              [("b", 10.0, 4)], "k string, v double, w bigint")
-    t = spark.createDataFrame([("a", r) for r in range(11)] + [("b", 3)], "k string, rank bigint")
-    got = {(r["k"], r["rank"]): r["v"] for r in locate_ranks(w, ["k"], "v", "w", t, num_partitions=3).collect()}
-    want = [1, 1, 1, 2, 3, 3, 3, 3, 3, 4, 4]
-    assert {r: got[("a", r)] for r in range(11)} == {r: float(v) for r, v in enumerate(want)}
-    assert got[("b", 3)] == 10.0
-
-
 def test_row_index_splits_a_hot_key(spark):
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
     idx = row_index(df, ["k"], num_partitions=8)
@@ -213,23 +241,30 @@ def test_normalize_columns_and_cast(spark):
                                "`Order ID` string, `Amount ($)` string, `When?` string, `ok` string")
     n = FM.normalize_columns(df)
     assert n.columns == ["order_id", "amount", "when", "ok"]
-    typed = FM.cast_declared(n, {"order_id": "bigint", "amount": "double", "when": "date", "ok": "boolean"}).collect()[0]
-    assert typed["order_id"] == 12 and typed["amount"] == 1000.0 and str(typed["when"]) == "2024-01-05"
+    typed = FM.cast_declared(n, {"order_id": "bigint", "amount": "double", "when": "timestamp_ntz", "ok": "boolean"}).collect()[0]
+    assert typed["order_id"] == 12 and typed["amount"] == 1000.0 and str(typed["when"]) == "2024-01-05 10:00:00"
     assert typed["ok"] is True
     clash = spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int")
     assert FM.normalize_columns(clash).columns == ["a_b", "a_b_1"]
 
 
-def test_wide_tables_are_chunked(spark):
+def test_wide_tables_take_one_pass(spark, sf_dir):
+    """300 columns over a merge: the fact table is scanned once."""
+    from tessera.operators import format as FM
     from tessera.operators.ingest import column_registry
-    wide = spark.range(0, 50).select(*[(F.col("id") % (i + 2)).alias(f"c{i}") for i in range(150)],
-                                     F.lit("k").alias("konst"))
-    reg = sorted(column_registry(wide, "w").collect(), key=lambda r: r["ord"])
-    assert [r["col"] for r in reg] == wide.columns and all(r["n_non_null"] == 50 for r in reg)
-    flags = {r["col"]: r["kept"] for r in T.column_flags(wide).collect()}
-    assert len(flags) == 151 and flags["konst"] is False and flags["c0"] is True
-    ext = {r["col"]: (r["min_value"], r["max_value"]) for r in Y.extrema(wide, wide.columns[:150]).collect()}
-    assert ext["c149"] == (0.0, 49.0) and ext["c0"] == (0.0, 1.0)
+    from tessera.plans.queries_core import star
+    wide = star(spark, sf_dir)
+    wide = wide.select(*[(F.col("l_orderkey") + F.col("o_custkey") * i).alias(f"c{i}") for i in range(300)], F.lit("k").alias("konst"))
+    frames = {"extrema": Y.extrema(wide, wide.columns[:300]), "registry": column_registry(wide, "w"), "flags": T.column_flags(wide),
+              "rejects": FM.cast_rejects(wide, {c: "double" for c in wide.columns[:300]}), "corr": R.corr_importance(wide, wide.columns[:299], "c299")}
+    for name, df in frames.items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_orderkey#") and sum("Relation" in ln and "l_orderkey" in ln for ln in plan.splitlines()) == 1, name
+    got = {r["col"]: r for r in frames["extrema"].collect()}
+    lo = wide.agg(F.min("c7")).first()[0]
+    assert len(got) == 300 and got["c7"]["min_value"] == lo and got["c7"]["min_text"] == str(lo)
+    flags = {r["col"]: r["kept"] for r in frames["flags"].collect()}
+    assert len(flags) == 301 and flags["konst"] is False and flags["c0"] is True
 
 
 def test_suggest_shuffle_partitions():
@@ -246,13 +281,72 @@ def test_classify_verified_one_pass(spark):
     assert (got["b"]["semantic_type"], got["b"]["n_non_null"], got["b"]["n_cast"], got["b"]["accepted"]) == \
         ("real", 40, 36, False)
     assert (got["d"]["semantic_type"], got["d"]["accepted"]) == ("dateTime", True)
-    sep = {r["col"]: r["accepted"] for r in C.verify_types(df, {c: got[c]["semantic_type"] for c in got}).collect()}
-    assert sep == {c: got[c]["accepted"] for c in got}
 
 
-def test_assign_refuses_too_many_centroids(spark, monkeypatch):
-    monkeypatch.setattr(KM, "MAX_CENTROIDS", 1)
-    cents = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "cluster int, centroid array<double>")
-    pts = spark.createDataFrame([(0, [0.2])], "id int, v array<float>")
-    with pytest.raises(Exception, match="more than 1 centroids"):
-        KM.assign(pts, "v", cents).collect()
+def test_assign_centroids_in_blocks(spark):
+    """However many centroids, in blocks of two, with ties and missing values."""
+    cents = spark.createDataFrame([(i, [float(i % 5), 0.0]) for i in range(9)], "cluster int, centroid array<double>")
+    pts = spark.createDataFrame([(0, [0.2, 0.0]), (1, [4.4, 1.0]), (2, None), (3, [None, 1.0]), (4, [1.5, 0.0]), (5, [float("nan"), 0.0]), (6, [1.0])],
+                                "id int, v array<float>")
+    for size in (32, 1 << 20):
+        got = {r["id"]: (r["cluster"], r["dist"]) for r in KM.assign(pts, "v", cents, block_bytes=size).collect()}
+        assert got == {0: (0, 0.04), 1: (4, 1.16), 2: (None, None), 3: (None, None), 4: (1, 0.25), 5: (None, None), 6: (None, None)}
+    assert KM.assign(pts, "v", cents.limit(0)).where("cluster is not null").count() == 0
+
+
+def test_whole_numbers_are_imputed_half_up(spark):
+    df = spark.createDataFrame([(None, 1.25), (1, None), (2, 1.0)], "i int, x double")
+    got = T.impute(df, ["i", "x"], []).orderBy("i").collect()
+    assert sorted(map(tuple, got)) == [(1, 1.13), (2, 1.0), (2, 1.25)]
+
+
+def test_nan_stays_out_of_histogram_and_profile(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),), (float("inf"),)], "x double")
+    h = Y.histogram(df, ["x"], bins=3).collect()
+    assert {r["bin"]: r["cnt"] for r in h} == {None: 2, 0: 3, 1: 3, 2: 4} and all(r["lo"] is not None for r in h if r["bin"] is not None)
+    p = Y.profile(df, ["x"]).collect()[0]
+    assert (p["n"], p["n_null"], p["mean"], p["min"], p["max"], p["p50"]) == (12, 0, 4.5, 0.0, 9.0, 4.5)
+
+
+def test_exact_means_round_ties_alike(spark):
+    rows = [(0.0499185 if i % 2 else 0.0499185,) for i in range(60)] + [(-0.0000005,)]
+    p = Y.profile(spark.createDataFrame(rows[:60], "x double"), ["x"]).collect()[0]
+    assert p["mean"] == 0.049919
+    n = Y.profile(spark.createDataFrame(rows[60:], "x double"), ["x"]).collect()[0]
+    assert n["mean"] == -0.000001
+    huge = Y.profile(spark.createDataFrame([(1e300,), (3e300,)], "x double"), ["x"]).collect()[0]
+    assert huge["mean"] == pytest.approx(2e300)
+
+
+def test_quantiles_of_a_hostile_spread(spark):
+    """Values over many magnitudes: narrow bins hold nearly all of them."""
+    rng = np.random.default_rng(5)
+    xs = np.concatenate([rng.normal(size=600) * 1e-9, [1e18, -1e18, 5.0], np.zeros(200)])
+    p = Y.profile(spark.createDataFrame([(float(x),) for x in xs], "x double").repartition(5), ["x"], digits=18).collect()[0]
+    for prob, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        assert p[name] == pytest.approx(float(np.quantile(xs, prob)), abs=1e-17)
+
+
+def test_pca_with_missing_values(spark):
+    df = spark.createDataFrame([(1.0, None, 2.0, 7.0), (2.0, None, None, 7.0), (3.0, None, 1.0, 7.0), (None, None, 4.0, 7.0)],
+                               "a double, e double, b double, k double")
+    got = {r["col"]: (r["importance"], r["n_used"]) for r in R.pca_importance(df, df.columns).collect()}
+    assert got["e"] == (0.0, 0) and got["k"] == (0.0, 4) and got["a"][0] > 0 and got["a"][1] == got["b"][1] == 3
+
+
+def test_projection_jobs_do_not_grow_with_columns(spark):
+    df = spark.range(200).select("id", *[(F.col("id") % (i + 2)).cast("string").alias(f"s{i}") for i in range(20)])
+    sc, groups = spark.sparkContext, iter(range(9))
+
+    def jobs(n):
+        name = f"tessera-projection-{next(groups)}"
+        sc.setJobGroup(name, "plan construction")
+        try:
+            R.numeric_projection(df, [], [f"s{i}" for i in range(n)], keep=["id"])
+            return len(sc.statusTracker().getJobIdsForGroup(name))
+        finally:
+            sc.setJobGroup("", "")
+    jobs(2)
+    assert abs(jobs(2) - jobs(20)) <= 2
+    out = R.numeric_projection(df, [], [f"s{i}" for i in range(20)], keep=["id"]).where("id = 11").collect()[0]
+    assert out["s9"] == 0 and out["s0"] == 1  # '0' sorts first among '0'..'10'; 11 % 2 = 1
