@@ -231,7 +231,7 @@ def _emit_contexts(length: int):
             row = np.repeat(np.arange(len(counts)), counts)
             at, key = flat.field("at").to_numpy(), flat.field("key").to_numpy()
             start, n = at >> 16, at & 255
-            for lo, hi in C.batches_of(np.concatenate([[0], np.cumsum(n + length - 1)]), 8 << 20):
+            for lo, hi in C.batches_of(np.concatenate([[0], np.cumsum(n + length - 1)]), _SEGMENT):
                 s = slice(lo, hi)
                 ctx, o = _cut(data, offs[row[s]] + start[s], n[s] + length - 1)
                 h = _digest(ctx, o)
@@ -383,28 +383,36 @@ def _distinct(rows: DataFrame) -> DataFrame:
 
 def _spans(length: int):
     """Maximal runs of bytes that each document's marked windows cover."""
+    def covered(at, mask, doc_parts):
+        data, offs = C.text_buffer(mask)
+        bits = np.unpackbits(data)
+        part, place = C.ragged(np.minimum(at & 255, 8 * np.diff(offs)))
+        on = np.flatnonzero(bits[8 * offs[part] + place])
+        part, place = part[on], place[on]
+        doc = np.repeat(np.arange(len(doc_parts)), doc_parts)[part]
+        start = (at >> 16)[part] + place
+        order = np.lexsort((start, doc))
+        doc, start = doc[order], start[order]
+        cut = np.ones(len(doc) + 1, bool)
+        cut[1:-1] = (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > length)
+        first, last = np.flatnonzero(cut[:-1]), np.flatnonzero(cut[1:])
+        return np.bincount(doc[first], minlength=len(doc_parts)), start[first], start[last] + length
+
     def run(batches):
         for b in batches:
             lists = b.column("parts")
             counts = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten()
-            at = flat.field("at").to_numpy()
-            data, offs = C.text_buffer(flat.field("mask"))
-            bits, have = np.unpackbits(data), 8 * np.diff(offs)
-            part, place = C.ragged(np.minimum(at & 255, have))
-            on = bits[8 * offs[part] + place] == 1
-            doc = np.repeat(np.arange(len(counts)), counts)[part[on]]
-            start = (at >> 16)[part[on]] + place[on]
-            order = np.lexsort((start, doc))
-            doc, start = doc[order], start[order]
-            cut = np.ones(len(doc) + 1, bool)
-            cut[1:-1] = (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > length)
-            first, last = np.flatnonzero(cut[:-1]), np.flatnonzero(cut[1:])
-            ends = np.concatenate([[0], np.cumsum(np.bincount(doc[first], minlength=len(counts)))])
-            runs = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(start[last] + length)], names=["start", "end"])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("did"), b.column("th"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)],
-                names=["did", "th", "spans"])
+            flat, first = lists.flatten(), np.concatenate([[0], np.cumsum(counts)])
+            at, mask = flat.field("at").to_numpy(), flat.field("mask")
+            size = np.concatenate([[0], np.cumsum(at & 255)])[first]  # starts before each document
+            for lo, hi in C.batches_of(size, _SEGMENT):
+                part = slice(int(first[lo]), int(first[hi]))
+                n, start, end = covered(at[part], mask.slice(part.start, part.stop - part.start), counts[lo:hi])
+                runs = pa.StructArray.from_arrays([pa.array(start), pa.array(end)], names=["start", "end"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("did").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo),
+                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), runs)],
+                    names=["did", "th", "spans"])
     return run
 
 
