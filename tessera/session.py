@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -55,6 +57,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(checkpoints and staged tables must survive executor loss)")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)  # private to this process
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
@@ -69,7 +72,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint root for staged writes."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tessera-stage", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(root, "tessera-stage", f"{label}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this process staged so far; returns the number of folders.
+
+    For the end of a job, when no frame that reads a staged table is needed
+    any more (``scratch_path`` can't know: its tables are read lazily).
+    """
+    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def suggest_shuffle_partitions(input_bytes: int, target_bytes: int = 256 << 20, slots: int = 1) -> int:

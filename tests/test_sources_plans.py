@@ -177,3 +177,13 @@ def test_cluster_dataset_writes_table_and_schema(spark, sf_dir):
     assert {r[0] for r in out.select("cluster").distinct().collect()} <= {0, 1, 2, 3}
     ds, sch = S.read_schema_document(spark, f"{root}/schema")
     assert ds == "embeddings" and "cluster" in sch.fieldNames()
+
+
+def test_scratch_is_released(spark, monkeypatch):
+    import os
+    from tessera import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    path = scratch_path(spark, "t_release")
+    spark.range(3).write.parquet(path)
+    scratch_path(spark, "t_never_written")
+    assert session.release_scratch(spark) == 1 and not os.path.exists(path)
