@@ -247,6 +247,16 @@ def q_ingest_raw_pair(spark, sf_dir):
     return out
 
 
+@register("ingest_raw_pair_rows", "select 'typed' as variant, * from orders union all select 'raw', * from orders")
+def q_ingest_raw_pair_rows(spark, sf_dir):
+    """Every cell of the typed table, and of the raw one cast back."""
+    orders = table(spark, sf_dir, "orders")
+    tp, rp = S.write_typed_and_raw(orders, orders, scratch_path(spark, "typed_raw"))
+    raw = spark.read.parquet(rp)
+    back = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields])
+    return spark.read.parquet(tp).select(F.lit("typed").alias("variant"), "*").unionByName(back.select(F.lit("raw").alias("variant"), "*"))
+
+
 @register("media_paths", cte("bands") + """
 select image_id, band, concat_ws('/', 'http://media.local', 'bands', image_file) as image_file from bands""")
 def q_media_paths(spark, sf_dir):
