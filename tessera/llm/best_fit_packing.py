@@ -120,7 +120,7 @@ def _pieces(path: str, capacity: int, separator: int, with_ids: bool):
                 if with_ids:
                     cols, names = [*cols, pa.array(out_ids, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
-    return run
+    return C.tidy(run)
 
 
 # -- the plan ----------------------------------------------------------------
@@ -204,7 +204,7 @@ def _place(plan: np.ndarray):
             keep = [n for n in b.schema.names if n != "rank"]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(s[:, 2] + q), pa.array(s[:, 4] + r * length)],
                                              names=[*keep, "sequence_id", "offset"])
-    return run
+    return C.tidy(run)
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

@@ -293,7 +293,7 @@ def _encode(path: str, pattern: str):
             for lo, hi in C.batches_of(C.text_buffer(text)[1], _LONG):
                 ids = [codec.encode(t.as_py() or "") for t in text.slice(lo, hi - lo)]
                 yield pa.RecordBatch.from_arrays([b.column("id").slice(lo, hi - lo), pa.array(ids, pa.binary())], names=["id", "ids"])
-    return run
+    return C.tidy(run)
 
 
 def _decode(path: str, pattern: str):
@@ -302,7 +302,7 @@ def _decode(path: str, pattern: str):
         for b in batches:
             texts = ["".join(codec.decode(x.as_py() or b"")) for x in b.column("ids")]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
-    return run
+    return C.tidy(run)
 
 
 def _digests(path: str, pattern: str):
@@ -319,7 +319,7 @@ def _digests(path: str, pattern: str):
                 back.append(h.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(sha), pa.array(back)],
                                              names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return run
+    return C.tidy(run)
 
 
 def _apply(df: DataFrame, id_col: str, col: str, kind: str, name: str, fn, schema: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +16,9 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)
 MASK64 = (1 << 64) - 1
 
+#: What a worker keeps between tasks, by name.
+_CACHE: dict = {}
+
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read
@@ -73,9 +78,32 @@ def maybe_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return rows.withColumn("_bit", bit).mapInArrow(_in_bitmap(sent), rows.schema)
 
 
+def give_back() -> None:
+    """Return memory that earlier batches used to the system: workers live
+    on between stages, and what they hold counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    if "trim" not in _CACHE:
+        try:
+            _CACHE["trim"] = ctypes.CDLL("libc.so.6").malloc_trim
+        except (OSError, AttributeError):  # another C library
+            _CACHE["trim"] = lambda _: 0
+    _CACHE["trim"](0)
+
+
+def tidy(run):
+    """``run`` over a task's batches, giving memory back when it ends."""
+    def go(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return go
+
+
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string or binary column, end to end, and the
     offsets of its rows in them (one more than rows). Nulls are empty."""
+    give_back()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
@@ -109,9 +137,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_CACHE: dict = {}
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n at least (kept per worker)."""
     have = _CACHE.get("powers")

@@ -156,14 +156,14 @@ def _compare_all(sent, dim: int, k: int):
             ids, v = b.column("vec_id").to_numpy(), _scaled(b.column("v"), dim)
             for a in range(0, len(ids), CHUNK_ROWS):
                 yield _found(q_ids, ids[a:a + CHUNK_ROWS], _best_of(queries, q_ids, v[a:a + CHUNK_ROWS], ids[a:a + CHUNK_ROWS], k))
-    return run
+    return C.tidy(run)
 
 
 def _put_in_leaves(sent, dim: int):
     def run(batches):
         for b in batches:
             yield b.append_column("leaf", pa.array(sent.value.descend(_unit(_scaled(b.column("v"), dim)))))
-    return run
+    return C.tidy(run)
 
 
 def _open_bins(sent, dim: int, visits: int):
@@ -173,7 +173,7 @@ def _open_bins(sent, dim: int, visits: int):
             row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in bins]))
             t = pa.Table.from_batches([b]).take(row).append_column("leaf", pa.array([y for x in bins for y in x], pa.int64()))
             yield from t.to_batches(max_chunksize=4096)
-    return run
+    return C.tidy(run)
 
 
 def _meet(dim: int, k: int):
@@ -197,7 +197,7 @@ def _meet(dim: int, k: int):
                     for s in range(a, e, 512):
                         s_end = min(e, s + 512)
                         yield _found(vec_id[s:s_end], ids[0], _best_of(x[s:s_end], vec_id[s:s_end], v[0], ids[0], k))
-    return run
+    return C.tidy(run)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",

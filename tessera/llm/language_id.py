@@ -39,7 +39,7 @@ SMOOTH = 0.1
 KAPPA = 5.0
 UND_PRIOR = 0.01
 MAX_LABELS = 8
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -117,7 +117,7 @@ def _score(sent, cap: float):
             keep = [c for c in b.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(n), lists(ll), lists(post)],
                                              names=[*keep, "n_bytes", "ll", "post"])
-    return run
+    return C.tidy(run)
 
 
 # -- fusion ------------------------------------------------------------------
@@ -165,7 +165,7 @@ def _fuse(total: list[float], languages):
             lang, prob, kept = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(prob, pa.float64()), pa.array(kept, pa.bool_())],
                                              names=[*keep, "lang", "posterior", "kept"])
-    return run
+    return C.tidy(run)
 
 
 def identify(rows: DataFrame, model: np.ndarray, keys: list[str], languages=LANGUAGES, cap: float = CAP) -> DataFrame:

@@ -41,9 +41,9 @@ from tessera.llm import common as C
 from tessera.llm.components import components
 
 COORDINATES = 64
-MISS = 1e-8
+MISS = 1e-12
 _BLOCK = 512
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _COLUMNS = 4096
 
 
@@ -120,7 +120,7 @@ def row_sets(column, words: int):
     data, offs = C.text_buffer(column)
     for lo, hi in C.batches_of(offs, _CHUNK):
         part, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
-        if hi - lo == 1 and len(part) > 2 * _CHUNK:
+        if hi - lo == 1 and len(part) > 4 * _CHUNK:
             yield lo, [_shingles(_long_word_hashes(part), words)]
             continue
         h, n = _word_hashes(part, o)
@@ -163,7 +163,7 @@ def _signatures(words: int, coordinates: int):
                      pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * coordinates),
                                               pa.array(sig.view(np.int32).reshape(-1)))],
                     names=["doc_id", "did", "th", "n_shingles", "digest", "sig"])
-    return run
+    return C.tidy(run)
 
 
 # -- clusters and links ------------------------------------------------------
@@ -228,7 +228,7 @@ def _collisions(matches: int):
                 a = e
             if a_out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], names=["a", "b"])
-    return run
+    return C.tidy(run)
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -274,7 +274,7 @@ def _exact_links(similarity: int):
                 a = e
             if a_out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], names=["a", "b"])
-    return run
+    return C.tidy(run)
 
 
 def _in_block_pairs(rows: DataFrame, key: str, sizes: DataFrame, block: int) -> DataFrame:
@@ -296,7 +296,7 @@ def _set_bytes(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("node").slice(lo, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["node", "shingles"])
-    return run
+    return C.tidy(run)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, similarity: int = 80,

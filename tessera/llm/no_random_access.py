@@ -107,7 +107,7 @@ def _set_bars(sent, dim: int, k: int):
                 s = (rows @ q)[ids != i]
                 bars.append(int(np.partition(s, len(s) - k)[len(s) - k]) if len(s) >= k else None)
             yield b.append_column("bar", pa.array(bars, pa.int64()))
-    return run
+    return C.tidy(run)
 
 
 def _aggregate(dim: int, k: int):
@@ -127,7 +127,7 @@ def _aggregate(dim: int, k: int):
             for a in range(0, len(out), 1024):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out[a:a + 1024])],
                                                  names=["query_id", "vec_id", "score"])
-    return run
+    return C.tidy(run)
 
 
 def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256, id_col: str = "vec_id", vec_col: str = "embedding",

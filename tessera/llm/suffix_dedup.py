@@ -41,7 +41,7 @@ SEED = 64
 MAX_PIECES = 256
 SUB = 16
 _POS_BITS = 21
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _BLOCK = 500_000
 _KNOWN = 200_000
 _KEY = "key long, h binary"
@@ -198,7 +198,7 @@ def _emit_pieces(length: int, seed: int):
                         [pa.array(did[lo + row]), pa.array(th[lo + row]),
                          pa.array((start << 16) | (a << 8) | n), pa.array(kh.view(np.int64))],
                         names=["did", "th", "at", "key"])
-    return run
+    return C.tidy(run)
 
 
 _OCC = "did long, th int, at long, key long, h binary, ctx binary"
@@ -245,7 +245,7 @@ def _emit_contexts(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(did[row[s]]), pa.array(th[row[s]]), pa.array(at[s]), pa.array(key[s]), h, ctx],
                     names=["did", "th", "at", "key", "h", "ctx"])
-    return run
+    return C.tidy(run)
 
 
 # -- marks -------------------------------------------------------------------
@@ -303,7 +303,7 @@ def _index_blocks(length: int):
             held = [t]
         if held and sum(t.num_rows for t in held):
             yield from solved(pa.concat_tables(held).combine_chunks())
-    return run
+    return C.tidy(run)
 
 
 def _split(length: int, sub: int):
@@ -333,7 +333,7 @@ def _split(length: int, sub: int):
                      pa.array(n.astype(np.int32)), pa.array(key.view(np.int64)), _digest(ctx, cuts),
                      C.binary_array(ctx, cuts), pa.array((a[r] - s).astype(np.int32)), pa.array(w[lo + r])],
                     names=["key0", "h0", "s", "n", "key", "h", "ctx", "a", "w"])
-    return run
+    return C.tidy(run)
 
 
 def _join_masks(batches):
@@ -413,7 +413,7 @@ def _spans(length: int):
                     [b.column("did").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo),
                      pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), runs)],
                     names=["did", "th", "spans"])
-    return run
+    return C.tidy(run)
 
 
 def _cut_spans(batches):

@@ -164,7 +164,7 @@ def _judge_all(filters, shards: int):
                 if len(part) and shard[part[0]] in levels:
                     out[part] = member(levels[shard[part[0]]], h[part])
             yield b.append_column("listed", pa.array(out))
-    return run
+    return C.tidy(run)
 
 
 def _judge_dealt(batches):

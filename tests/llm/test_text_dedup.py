@@ -119,7 +119,7 @@ def test_long_rows_in_pieces(monkeypatch):
 
 
 def test_match_threshold():
-    assert minhash_join.match_threshold(64, 80) == 31
+    assert minhash_join.match_threshold(64, 80) == 26 and minhash_join.match_threshold(64, 80, 1e-8) == 31
     assert minhash_join.match_threshold(1, 80) == 1
 
 
