@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.sizing import small_frame
-from tessera.functions.types import CAST_TARGETS, NUMERIC_STORAGE, STORAGE_TYPES  # noqa: F401
+from tessera.functions.types import NUMERIC_STORAGE, STORAGE_TYPES
 from tessera.operators import classify as C
 from tessera.operators import clean as T
 from tessera.operators import format as FM
@@ -27,6 +27,7 @@ from tessera.session import ensure_checkpoint_dir
 from tessera.sources import catalog as K
 from tessera.sources import files as S
 
+CATALOG_TERMS = 100  # a catalog row shows the terms of the highest scores
 GROUPINGS_TYPE = "array<struct<type:string,id_col:string,sub_cols:array<string>>>"
 
 
@@ -101,10 +102,12 @@ def catalog_row(spark: SparkSession, dataset_id: str, folder: str, df: DataFrame
         groupings = g.cast(GROUPINGS_TYPE)
     else:
         groupings = F.array().cast(GROUPINGS_TYPE)
-    order = [c for c in ("group", "rank", "term") if terms is not None and c in terms.columns]
-    term_list = (terms.agg(F.transform(F.sort_array(F.collect_list(F.struct(*order))),  # k terms a group
-                                       lambda x: x["term"])).scalar() if terms is not None
-                 else F.lit(None).cast("array<string>"))
+    term_list = F.lit(None).cast("array<string>")
+    if terms is not None:
+        order = [c for c in ("group", "rank", "term") if c in terms.columns]
+        best = [F.desc("score")] if "score" in terms.columns else []
+        shown = terms.orderBy(*best, *order).limit(CATALOG_TERMS)  # the table of terms has all
+        term_list = shown.agg(F.transform(F.sort_array(F.collect_list(F.struct(*order))), lambda x: x["term"])).scalar()
     n_rows = df.agg(F.count(F.lit(1))).scalar()
     row = I.provenance(row.withColumn("folder", F.lit(folder)), "catalog")
     return row.select("dataset_id", "folder", "source", "dataset_type", n_rows.cast("bigint").alias("n_rows"),
