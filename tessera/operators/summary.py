@@ -4,6 +4,8 @@ read a fixed number of times whatever its width."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
@@ -42,7 +44,8 @@ def _finite(v: Column) -> Column:
 def _bins(long: DataFrame, keys: list[str], ranges: DataFrame) -> DataFrame:
     """Counts, least and greatest value of BINS equal steps of each range
     (*keys, _r, _lo, _hi) that ``long`` (*keys, v) has values in. ``ranges``
-    has a few rows per group: it is broadcast, and only counts are shuffled."""
+    has a few rows per group: it is broadcast, and only counts are shuffled.
+    A value in two ranges counts in both."""
     inside = long.join(F.broadcast(ranges), keys).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
     step = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BINS), F.lit(BINS - 1))
                   ).otherwise(0).cast("int")
@@ -59,37 +62,50 @@ def _locate(bins: DataFrame, keys: list[str], targets: DataFrame) -> DataFrame:
             .select(*keys, "rank", (F.col("skip") + F.col("_before")).alias("skip"), "_lo", "_hi"))
 
 
-def _quantiles_exact(long: DataFrame, keys: list[str], stats: DataFrame, probs, passes: int = 2) -> DataFrame:
+def _quantiles_exact(long: DataFrame, keys: list[str], stats: list, probs, passes: int = 2) -> DataFrame:
     """Exact interpolated quantiles (*keys, p, value) per key group (linear
     interpolation between the two nearest ranks).
 
     Each pass counts the values in equal steps of the ranges that still hold
     a wanted rank and keeps the step that has it, so a pass narrows a range
-    by BINS and shuffles only counts. The distinct values of the last steps,
-    a millionth of a continuous column, are then counted and ranked.
-    ``stats`` has (*keys, _n, _lo, _hi) of the groups.
+    by BINS and shuffles only counts; a few rows per group come back and
+    enter the next pass as literals. The distinct values of the last steps, a
+    millionth of a continuous column, are then counted and ranked. ``stats``
+    are rows with the keys and _n, _lo, _hi of the groups.
     """
-    pos = F.col("p") * (F.col("_n") - 1)
-    wanted = stats.where("_n > 0").select(*keys, "_n", "_lo", "_hi", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    wanted = wanted.select(*keys, "p", "_lo", "_hi", F.floor(pos).cast("bigint").alias("r0"), F.ceil(pos).cast("bigint").alias("r1"),
-                           (pos - F.floor(pos)).alias("frac"))
-    found = (wanted.select(*keys, "_lo", "_hi", F.explode(F.array_distinct(F.array("r0", "r1"))).alias("rank")).distinct()
-             .withColumn("skip", F.lit(0).cast("bigint")))
-    number = lambda df: df.withColumn("_r", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_lo", "_hi", "skip")))
+    spark, text = long.sparkSession, [(k, "string") for k in keys]
+    wanted, found = [], {}
+    for r in stats:
+        key = tuple(r[k] for k in keys)
+        for p in probs if r["_n"] else ():
+            pos = p * (r["_n"] - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            wanted.append((*key, float(p), lo, hi, pos - lo))
+            for rank in (lo, hi):
+                found[(*key, rank)] = (0, r["_lo"], r["_hi"])
+
+    def narrowed(found):
+        """Ranges and targets of what was found, as small frames."""
+        number = {x: n for n, x in enumerate(sorted({(k[:-1], *v) for k, v in found.items()}))}
+        ranges = small_frame(spark, [*text, ("_r", "int"), ("_lo", "double"), ("_hi", "double")],
+                             [(*k, n, lo, hi) for (k, _, lo, hi), n in number.items()])
+        targets = small_frame(spark, [*text, ("_r", "int"), ("rank", "bigint"), ("skip", "bigint")],
+                              [(*k[:-1], number[(k[:-1], *v)], k[-1], v[0]) for k, v in found.items()])
+        return ranges, targets
+
     for _ in range(passes):
-        found = number(found)  # a few rows per group
-        ranges = found.select(*keys, "_r", "_lo", "_hi").distinct()
-        found = _locate(_bins(long, keys, ranges), keys, found.select(*keys, "_r", "rank", "skip"))
-    found = number(found)
-    ranges = found.select(*keys, "_r", "_lo", "_hi").distinct()
+        ranges, targets = narrowed(found)
+        rows = _locate(_bins(long, keys, ranges), keys, targets).collect()  # a few rows per group
+        found = {(*(r[k] for k in keys), r["rank"]): (r["skip"], r["_lo"], r["_hi"]) for r in rows}
+    ranges, targets = narrowed(found)
     left = (long.join(F.broadcast(ranges), keys).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
             .groupBy(*keys, "_r", "v").agg(F.count(F.lit(1)).alias("_n")))
     exact = _locate(left.select(*keys, "_r", F.col("v").alias("_bin"), "_n", F.col("v").alias("_lo"), F.col("v").alias("_hi")),
-                    keys, found.select(*keys, "_r", "rank", "skip")).select(*keys, "rank", F.col("_lo").alias("v"))
-    at = lambda r, v: exact.select(*keys, F.col("rank").alias(r), F.col("v").alias(v))
-    # A few rows per group on both sides.
-    return (wanted.join(F.broadcast(at("r0", "v0")), [*keys, "r0"]).join(F.broadcast(at("r1", "v1")), [*keys, "r1"])
-            .select(*keys, "p", (F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac")).alias("value")))
+                    keys, F.broadcast(targets)).select(*keys, "rank", F.col("_lo").alias("v"))
+    want = small_frame(spark, [*text, ("p", "double"), ("r0", "bigint"), ("r1", "bigint"), ("frac", "double")], wanted)
+    both = want.join(exact, keys).where("rank = r0 or rank = r1")  # a few rows per group on both sides
+    at = lambda r: F.max(F.when(F.col("rank") == F.col(r), F.col("v")))
+    return both.groupBy(*keys, "p").agg((at("r0") + (at("r1") - at("r0")) * F.max("frac")).alias("value"))
 
 
 def _quantiles_approx(long: DataFrame, keys: list[str], probs, accuracy: int = 10000) -> DataFrame:
@@ -122,12 +138,16 @@ def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) ->
         F.count(v).alias("_n"), F.avg(v).alias("_m"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
         F.sum(dec).alias("_sum"), F.count_if(v.isNotNull() & ~F.coalesce(dec.cast("double") == v, F.lit(False))).alias("_odd"))
     counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"), distinct.alias("n_distinct"))
-    # One row per group: bounded by the schema.
+    # One row per group comes back; later steps have them as literals.
+    fields = [*[(k, "string") for k in keys], ("_n", "bigint"), ("_m", "double"), ("_lo", "double"), ("_hi", "double"),
+              ("_sum", f"decimal(38,{MEAN_SCALE})"), ("_odd", "bigint")]
+    rows = s.select(*[n for n, _ in fields]).collect()
+    s = small_frame(long.sparkSession, fields, [tuple(r) for r in rows])
     dev = (fin.where(v.isNotNull()).join(F.broadcast(s.select(*keys, "_m")), keys).groupBy(*keys)
            .agg(F.sum((v - F.col("_m")) * (v - F.col("_m"))).alias("_ss")))
     sd = F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1)))
     mean = F.when((F.col("_odd") == 0) & F.col("_sum").isNotNull(), exact_mean(F.col("_sum"), F.col("_n"), digits)).otherwise(F.round("_m", digits))
-    q = (_quantiles_exact(fin.where(v.isNotNull()), keys, s, QUARTILES) if exact
+    q = (_quantiles_exact(fin.where(v.isNotNull()), keys, rows, QUARTILES) if exact
          else _quantiles_approx(fin.where(v.isNotNull()), keys, QUARTILES))
     qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES])
     r = lambda c, name: F.round(c, digits).alias(name)
