@@ -2,9 +2,12 @@
 
 * text: byte-bigram likelihoods over the whole text, fitted on a sample of
   labelled rows (about ``FIT_ROWS``, drawn by a hash of the row; the bound is
-  a parameter). ``und`` competes as bytes without any language. Neighbouring
-  bytes are not independent, so a text of n bytes counts as n * CAP / (n +
-  CAP) of its mean;
+  a parameter). The languages are the labels themselves, as they are written:
+  each one that at least ``MIN_ROWS`` rows with text bear, but ``und``. Of a
+  byte's probability the share ``FLOOR`` is the same for all bytes, so what a
+  language's sample lacks costs little more than without a language. ``und``
+  competes as bytes without any language. Neighbouring bytes are not
+  independent, so a text of n bytes counts as n * CAP / (n + CAP) of its mean;
 * declared language (of markup or metadata) and address suffix: how often
   each value goes with each language, from sums of the texts' posteriors
   over all rows, grouped by value;
@@ -20,7 +23,9 @@ Texts are read once; what follows moves ids and a few numbers a row. Sums
 are pre-aggregated, so a host with a third of the rows is one row per task.
 Null and empty texts have lang ``und``; null or empty declarations, suffixes
 and hosts are no evidence; repeated rows are judged alike; an empty table
-gives an empty result.
+gives an empty result. Where no label has ``MIN_ROWS`` rows there is nothing
+to judge by: all rows are ``und``, and only those without text are rejected.
+A model has 256 KB a language.
 """
 
 from __future__ import annotations
@@ -32,14 +37,16 @@ from pyspark.sql import functions as F
 
 from tessera.llm import common as C
 
-LANGUAGES = ("de", "en", "es", "fr")
 FIT_ROWS = 20_000
+MIN_ROWS = 5
+FLOOR = 0.1
 CAP = 200.0
 SMOOTH = 0.1
 KAPPA = 5.0
 UND_PRIOR = 0.01
 MAX_LABELS = 8
 _CHUNK = 1 << 18
+_COLUMNS = 8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -70,25 +77,53 @@ def _count_bigrams(batches):
                                                  names=["lang", "code", "n"])
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", languages=LANGUAGES, rows: int = FIT_ROWS) -> np.ndarray:
-    """Log-probabilities (65536 x languages + und) of a byte after another.
-    Of more than ``rows`` labelled rows, a share of ``rows`` is drawn."""
-    some = labelled.where(F.col(lang_col).isin(*languages) & F.col(text_col).isNotNull())
-    total = some.count()
-    if total > rows:
-        some = some.where(F.pmod(F.xxhash64(text_col, lang_col), F.lit(1_000_000)) < int(1e6 * rows / total))
-    counted = (some.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-               .mapInArrow(_count_bigrams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    counts = np.zeros((1 << 16, len(languages)))
+class Model(np.ndarray):
+    """Log-probabilities of a byte after another (65536 x languages + und)
+    that know the names of their languages."""
+
+    languages: tuple = ()
+
+    def __array_finalize__(self, other):
+        self.languages = getattr(other, "languages", ())
+
+    def __reduce__(self):
+        return _model, (np.asarray(self), self.languages)
+
+
+def _model(logs: np.ndarray, languages) -> Model:
+    out = logs.view(Model)
+    out.languages = tuple(languages)
+    return out
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", languages=None, rows: int = FIT_ROWS) -> Model:
+    """A model of each label that ``MIN_ROWS`` rows bear, or of ``languages``
+    only. Of more than ``rows`` labelled rows, a share is drawn: up to
+    ``rows`` over the number of languages of each."""
+    some = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    some = some.where((F.trim("lang") != "") & (F.col("lang") != "und") & (F.col("text") != ""))
+    if languages is not None:
+        some = some.where(F.col("lang").isin(*languages))
+    sizes = {r["lang"]: r["n"] for r in some.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS).collect()}
+    names = sorted(sizes) if languages is None else list(languages)
+    if sizes:
+        each = max(rows // len(names), MIN_ROWS)
+        share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(int(1e6 * each / n), 1_000_000))])
+        some = some.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000)) < F.try_element_at(share, F.col("lang")))
+    else:
+        some = some.limit(0)
+    counted = some.mapInArrow(_count_bigrams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = np.zeros((len(names), 1 << 16))
+    number = {lang: k for k, lang in enumerate(names)}
     for r in counted.toLocalIterator():  # at most 65536 rows a language
-        counts[r["code"], languages.index(r["lang"])] = r["n"]
-    logs = np.zeros((1 << 16, len(languages) + 1), np.float32)
-    for k in range(len(languages)):
-        c = counts[:, k].reshape(256, 256)
-        single = (c.sum(0) + 0.5) / (c.sum() + 128)
-        logs[:, k] = np.log((c + 2 * single[None, :]) / (c.sum(1, keepdims=True) + 2)).reshape(-1)
-    logs[:, -1] = -np.log(256)
-    return logs
+        counts[number[r["lang"]], r["code"]] = r["n"]
+    logs = np.full((1 << 16, len(names) + 1), -np.log(256), np.float32)
+    for k in range(len(names)):
+        c = counts[k].reshape(256, 256)
+        single = c.sum(0) / max(c.sum(), 1)
+        p = (c + 2 * single[None, :]) / (c.sum(1, keepdims=True) + 2)
+        logs[:, k] = np.log((1 - FLOOR) * p + FLOOR / 256).reshape(-1)
+    return _model(logs, names)
 
 
 def _score(sent, cap: float):
@@ -107,10 +142,11 @@ def _score(sent, cap: float):
                     o = np.clip(offs[lo:hi + 1], a, e) - a
                     codes = _bigrams(part, np.clip(offs[lo:hi + 1] - max(a - 1, 0), 0, len(part)))[a - max(a - 1, 0):]
                     full = np.flatnonzero(np.diff(o))
-                    ll[lo + full] += np.add.reduceat(logs[codes].astype(np.float64), o[full], axis=0)
+                    for k in range(0, logs.shape[1], _COLUMNS):  # memory is bounded however many languages there are
+                        ll[lo + full, k:k + _COLUMNS] += np.add.reduceat(logs[:, k:k + _COLUMNS][codes].astype(np.float64), o[full], axis=0)
             mean = ll / np.maximum(n, 1)[:, None]
             ll = mean * (n * cap / (n + cap))[:, None]
-            post = np.exp(ll[:, :-1] - ll[:, :-1].max(1, keepdims=True))
+            post = np.exp(ll[:, :-1] - ll[:, :-1].max(1, keepdims=True, initial=-np.inf))
             post /= post.sum(1, keepdims=True)
             post[n == 0] = 0
             lists = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.reshape(-1)))
@@ -168,18 +204,23 @@ def _fuse(total: list[float], languages):
     return C.tidy(run)
 
 
-def identify(rows: DataFrame, model: np.ndarray, keys: list[str], languages=LANGUAGES, cap: float = CAP) -> DataFrame:
+def identify(rows: DataFrame, model: np.ndarray, keys: list[str], languages=None, cap: float = CAP) -> DataFrame:
     """``keys`` of each row with ``lang``, ``posterior`` and ``kept``.
 
     ``rows`` has the ``keys`` and text, declared, suffix and host (strings).
+    ``languages`` names the model's columns where it does not itself.
     """
+    languages = model.languages if languages is None else languages
     k = len(languages)
+    if not k:
+        text = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0))
+        return rows.select(*keys, F.lit("und").alias("lang"), F.lit(1.0).alias("posterior"), (text > 0).alias("kept"))
     clean = lambda c: F.when(F.trim(c) != "", F.lower(F.trim(c)))
     declared = clean(F.split(F.col("declared"), "[-_]")[0])
     rows = rows.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col("text").cast("string").alias("text"),
                        declared.alias("declared"), clean(F.col("suffix")).alias("suffix"), clean(F.col("host")).alias("host"))
     key_schema = ", ".join(f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keys)))
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent = rows.sparkSession.sparkContext.broadcast(np.asarray(model))
     scored = C.stage(rows.mapInArrow(_score(sent, cap), f"{key_schema}, declared string, suffix string, host string, n_bytes long, "
                                                         "ll array<double>, post array<double>"), "language-scores")
     total = scored.agg(*[F.coalesce(F.sum(F.element_at("post", i + 1)), F.lit(0.0)) for i in range(k)]).first()

@@ -85,3 +85,36 @@ def test_page_evidence(spark):
     r = spark.createDataFrame([(html, "a.b.at"), ("plain", "localhost"), (None, None)], "html string, host string").select(
         L.visible_text(F.col("html")), L.markup_language(F.col("html")), L.address_suffix(F.col("host"))).collect()
     assert [(x and x.strip(), y, z) for x, y, z in map(tuple, r)] == [("Guten Tag", "de", "at"), ("plain", "", None), (None, None, None)]
+
+
+MORE = {"it": "il gli delle una casa acqua con non è sono che perché città", "ru": "и в не на дом вода что это как большой",
+        "ja": "これ は 水 の 家 です 私 と 大きい", "sw": "na ya wa nyumba maji kubwa hii hilo kwa"}
+
+
+def test_languages_are_the_labels(spark):
+    """Labelled documents of any language stay, and are named as labelled."""
+    rng = np.random.default_rng(5)
+    words = WORDS | MORE
+    rows = [(n, " ".join(rng.choice(words[lang].split(), 30)), lang) for n, lang in enumerate([*words] * 12)]
+    rows += [(1000, "z", "xx"), (1001, "und " * 9, "und"), (1002, "blank", " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    m = L.fit(docs)
+    assert m.languages == tuple(sorted(words)) and m.shape == (65536, len(words) + 1)
+    stay = {r["doc_id"] for r in L.drop_rejected(docs, m, declared="lang").collect()}
+    assert stay >= set(range(12 * len(words)))
+    plain = docs.where("doc_id < 1000").selectExpr("doc_id", "text", "cast(null as string) declared", "cast(null as string) suffix", "cast(null as string) host")
+    got = {r["doc_id"]: (r["lang"], r["kept"]) for r in L.identify(plain, m, ["doc_id"]).collect()}
+    assert got == {i: (lang, True) for i, _, lang in rows if i < 1000}
+
+
+def test_unseen_bytes_cost_little(spark, model):
+    """Marks, digits and capitals that the sample lacks don't make a text und."""
+    rows = [(1, "the house (no. 17) and the water: 25% of it; over 1990-2024!", None, None, None)]
+    assert L.identify(evidence(spark, rows), model, ["id"]).first()["kept"]
+    assert model[:, :-1].min() >= np.log(L.FLOOR / 256) - 1e-4
+
+
+def test_no_label_rejects_no_text(spark):
+    docs = spark.createDataFrame([(1, "abc", None), (2, "", "en"), (3, None, "en")], "doc_id long, text string, lang string")
+    m = L.fit(docs)
+    assert m.languages == () and [r["doc_id"] for r in L.drop_rejected(docs, m, declared="lang").collect()] == [1]
