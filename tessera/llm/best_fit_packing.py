@@ -14,6 +14,8 @@ decreasing packing. Each piece finds its place by its rank among the pieces
 of its length: its number within its task, as written to a table, plus the
 pieces of earlier tasks (a running sum over one row per task and length).
 
+Ids are those of the ``tokenizers`` library's own call without special tokens
+around a text: an added token that a text spells out is that token's id.
 A null text counts as empty (one separator). Repeated rows are documents of
 their own. An empty table gives an empty result.
 """
@@ -60,12 +62,23 @@ class Encoder:
     file where its ids stand in the order of its merges (several times
     faster, same ids); all others through the library itself. Long texts are
     cut at spaces between letters, where no token can span.
+
+    With ``added`` (the library's default) an added token that a text spells
+    out is that token's id; without, it is text like any other. A text is
+    split at plain added tokens; where one takes the blanks beside it, stands
+    for whole words only or is normalised, the library finds them.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.path, self._slow, self._fast = path, None, None
-        model = json.load(open(path, encoding="utf-8"))["model"]
+        file = json.load(open(path, encoding="utf-8"))
+        model, tokens = file["model"], (file.get("added_tokens") or []) if added else []
+        self.added = {t["content"]: model["vocab"].get(t["content"], t["id"]) for t in tokens}
+        self._plain = not any(t[k] for t in tokens for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        longest = sorted(self.added, key=len, reverse=True)
+        self._spelt = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+        self._reach = len(longest[0]) if longest else 0
         alphabet, vocab = _byte_alphabet(), model["vocab"]
         merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
         ids = [vocab.get(m.replace(" ", "")) for m in merges]
@@ -76,13 +89,26 @@ class Encoder:
             ranks = {bytes(alphabet[c] for c in t): i for t, i in vocab.items() if i in known or len(t) == 1}
             self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def _holds_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
     def _part(self, text: str) -> list[int]:
+        if not self._holds_added(text):
+            return self._run(text)
+        if not self._plain:
+            return self._library(text)
+        return [i for n, x in enumerate(self._spelt.split(text)) if x for i in ([self.added[x]] if n % 2 else self._run(x))]
+
+    def _run(self, text: str) -> list[int]:
         if self._fast is not None and not _BEYOND_LATIN.search(text):
             return self._fast.encode_ordinary(text)
+        return self._library(text)
+
+    def _library(self, text: str) -> list[int]:
         if self._slow is None:
             from tokenizers import Tokenizer
             self._slow = Tokenizer.from_file(self.path)
-            self._slow.encode_special_tokens = True
+            self._slow.encode_special_tokens = not self.added
         return self._slow.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> np.ndarray:
@@ -91,6 +117,8 @@ class Encoder:
         out, at = [], 0
         while at < len(text):
             cut = _SAFE_CUT.search(text, at + _PART)
+            while cut and self._holds_added(text[max(cut.start() - self._reach, 0):cut.start() + 1 + self._reach]):
+                cut = _SAFE_CUT.search(text, cut.end())
             end = cut.start() if cut else len(text)
             out.append(np.array(self._part(text[at:end]), np.uint32))
             at = end
@@ -101,7 +129,7 @@ def _pieces(path: str, capacity: int, separator: int, with_ids: bool):
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        encoder = C._CACHE.get(("encoder", path)) or C._CACHE.setdefault(("encoder", path), Encoder(path))
+        encoder = C._CACHE.get(("encoder", path)) or C._CACHE.setdefault(("encoder", path), Encoder(path, added=True))
         seen = np.zeros(capacity + 1, np.int64)
         for b in batches:
             for lo, hi in C.batches_of(C.text_buffer(b.column("text"))[1], _LONG):

@@ -123,6 +123,41 @@ def test_encoder_equals_the_library(monkeypatch):
         assert encoder.ids(t).tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+MARKED = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>x", "中文<|endoftext|> 字", "<|endoftext|", "<<|endoftext|>>", "word <|endoftext|> " * 30,
+          "<|endoftext|>\n\n ok  <|endoftext|>  \t"]
+
+
+def test_added_tokens_are_the_untouched_librarys(monkeypatch, spark):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(JSON)
+    assert 50256 in library.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(ODD + scrambled(3) + MARKED)}
+    packed = B.pack(docs(spark, [(i, t, 0) for i, t in enumerate(ODD + scrambled(3) + MARKED)], ", length int"), JSON, capacity=4096, with_ids=True)
+    assert {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist()[:-1] for r in packed.collect()} == want
+    monkeypatch.setattr(B, "_PART", 40)
+    encoder = B.Encoder(JSON, added=True)
+    for i, t in enumerate(ODD + scrambled(3) + MARKED):
+        assert encoder.ids(t).tolist() == want[i]
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True, "rstrip": True}, {"single_word": True}, {"normalized": True}])
+def test_added_tokens_of_any_kind(tmp_path, monkeypatch, flags):
+    """Tokens with blanks inside, one the start of another, at cuts of long texts."""
+    import json
+    from tokenizers import Tokenizer
+    file = json.load(open(JSON, encoding="utf-8"))
+    kind = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} | flags
+    file["added_tokens"] = [{"id": 50256 + n, "content": c, **kind} for n, c in enumerate(["end of", "end of text", "stop"])]
+    path = tmp_path / "tokens.json"
+    path.write_text(json.dumps(file), encoding="utf-8")
+    library, encoder = Tokenizer.from_file(str(path)), B.Encoder(str(path), added=True)
+    monkeypatch.setattr(B, "_PART", 7)
+    rng = random.Random(6)
+    for _ in range(200):
+        t = "".join(rng.choice(["end", " of", " text", " ", "end of text", "stop", "nonstop", " a word", "é", "\n"]) for _ in range(30))
+        assert encoder.ids(t).tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 def test_pack_edge_cases(spark):
     rng = random.Random(4)
     rows = [(i, "a b c " * rng.randint(0, 60), 0) for i in range(60)] + [(100, None, 0), (101, "", 0), (None, "hot", 0)]
