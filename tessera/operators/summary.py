@@ -15,7 +15,6 @@ from tessera.functions.sizing import per_column, qcol, small_frame
 QUARTILES = (0.25, 0.5, 0.75)
 BINS = 1024  # of a quantile pass
 MEAN_SCALE = 10  # decimal places that an exact mean keeps of each value
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def unpivot_values(df: DataFrame, cols: list[str], value_type: str = "double",
@@ -158,17 +157,28 @@ def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) ->
 
 
 def _as_text(c: Column, t: DataType) -> Column:
-    return F.date_format(c.cast("timestamp_ntz"), TIME_FORMAT) if family(t) == "time" else c.cast("string")
+    """A value in full; a time has its fraction of a second, if any."""
+    return (c.cast("timestamp_ntz") if family(t) == "time" else c).cast("string")
+
+
+def _order(c: Column, t: DataType) -> Column:
+    """What a value is ordered by before its text: times by value."""
+    return (c if family(t) == "time" else F.lit(None)).cast("timestamp_ntz")
+
+
+def _end(order: Column, text: Column) -> Column:
+    """(order, v) to take the least or greatest of; null for null."""
+    return F.when(text.isNotNull(), F.struct(order.alias("o"), text.alias("v")))
 
 
 def _text_stats(long: DataFrame, keys: list[str], exact: bool) -> DataFrame:
-    """Statistics of text ``v`` per key group, nulls included; distinct
-    values are counted by digests, so no text is shuffled."""
+    """Statistics of text ``v``, ordered by ``o`` first, per key group, nulls
+    included; distinct values are counted by digests, so no text is shuffled."""
     v = F.col("v")
     dig = long.select(*keys, F.when(v.isNotNull(), F.xxhash64("v")).alias("a"), F.when(v.isNotNull(), F.xxhash64("v", F.lit(7))).alias("b"))
     distinct = F.count_distinct("a", "b") if exact else F.approx_count_distinct("a")
     none = [F.lit(None).cast("double").alias(c) for c in ("mean", "stddev", "p25", "p50", "p75", "min", "max")]
-    ends = long.groupBy(*keys).agg(F.min("v").alias("min_text"), F.max("v").alias("max_text"))
+    ends = long.groupBy(*keys).agg(F.min(_end(F.col("o"), v))["v"].alias("min_text"), F.max(_end(F.col("o"), v))["v"].alias("max_text"))
     return (dig.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count("a")).alias("n_null"), distinct.alias("n_distinct"))
             .join(ends, keys, "left").select(*keys, "n", "n_null", "n_distinct", *none, "min_text", "max_text"))
 
@@ -182,7 +192,7 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
 
     Columns of numbers have n, n_null, n_distinct, mean, stddev, quartiles,
     min and max (NaN and infinities count as values, but enter none of the
-    others); columns of dates, times (to the second) and text have n,
+    others); columns of dates, times (to the microsecond) and text have n,
     n_null, n_distinct and the ends of their order as text. The mean is that
     of the exact decimal sum. ``exact=False`` uses bounded sketches for
     quartiles and distinct counts.
@@ -199,7 +209,8 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
         other = [c for c in cols if c not in number]
         if other:
             parts["text"].append(df.select(tag, F.inline(F.array(*[
-                F.struct(F.lit(c).alias("col"), _as_text(qcol(c), df.schema[c].dataType).alias("v")) for c in other]))))
+                F.struct(F.lit(c).alias("col"), _order(qcol(c), df.schema[c].dataType).alias("o"),
+                         _as_text(qcol(c), df.schema[c].dataType).alias("v")) for c in other]))))
     out = None
     for kind, frames in parts.items():
         if frames:
@@ -290,21 +301,22 @@ def extrema(df: DataFrame, cols: list[str]) -> DataFrame:
     min_text, max_text), in one pass.
 
     The values are doubles (null for dates, times and text); the texts are
-    exact: whole numbers in full, dates and times (to the second) and text
-    as they are ordered, null for fractions. NaN is no extremum.
+    exact: whole numbers in full, dates and times (to the microsecond) and
+    text as they are ordered, null for fractions. NaN is no extremum.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     whole = [c for c in cols if isinstance(types[c], (IntegralType, BooleanType))]
     number = [c for c in cols if family(types[c]) == "number" and c not in whole]
     slots = [(number, "double", {"x": lambda _, c: _nan_free(c.cast("double"))}), (whole, "bigint", {"x": lambda _, c: c.cast("bigint")}),
-             ([c for c in cols if c not in whole and c not in number], "string", {"x": lambda n, c: _as_text(c, types[n])})]
+             ([c for c in cols if c not in whole and c not in number], "string", {"x": lambda n, c: _end(_order(c, types[n]), _as_text(c, types[n]))})]
     out = None
     for part, kind, values in slots:
         if not part:
             continue
         got = per_column(df, part, values, [F.min("x").alias("lo"), F.max("x").alias("hi")])
         as_double = (lambda c: F.lit(None).cast("double")) if kind == "string" else (lambda c: F.col(c).cast("double"))
-        as_text = (lambda c: F.lit(None).cast("string")) if kind == "double" else (lambda c: F.col(c).cast("string"))
+        as_text = ((lambda c: F.lit(None).cast("string")) if kind == "double" else (lambda c: F.col(c)["v"]) if kind == "string"
+                   else (lambda c: F.col(c).cast("string")))
         got = got.select("col", as_double("lo").alias("min_value"), as_double("hi").alias("max_value"),
                          as_text("lo").alias("min_text"), as_text("hi").alias("max_text"))
         out = got if out is None else out.unionByName(got)

@@ -59,6 +59,24 @@ def q_summary_profile(spark, sf_dir):
     return Y.profile(table(spark, sf_dir, "lineitem"), LINEITEM_COLS)
 
 
+def times_sql(src, c, numbers):
+    """Times counted and compared as they are."""
+    return (f"select {q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct, "
+            + ", ".join(f"null::double as {n}" for n in numbers) + f", min({c})::varchar as min_text, max({c})::varchar as max_text from {src}")
+
+
+@register("summary_profile_times", times_sql("events", "ts", ("mean", "stddev", "p25", "p50", "p75", "min", "max")))
+def q_summary_profile_times(spark, sf_dir):
+    """Times with fractions of a second."""
+    return Y.profile(table(spark, sf_dir, "events"), ["ts"])
+
+
+@register("extrema_times", "select 'ts' as col, null::double as min_value, null::double as max_value, min(ts)::varchar as min_text, "
+          "max(ts)::varchar as max_text from events")
+def q_extrema_times(spark, sf_dir):
+    return Y.extrema(table(spark, sf_dir, "events"), ["ts"])
+
+
 @register("summary_topk", "select * from (select col, value, cnt, row_number() over (partition by col order by "
           "cnt desc, value asc)::bigint as rank from (" + "\nunion all\n".join(
               f"select {q(c)} as col, cast({c} as varchar) as value, count(*) as cnt from orders "

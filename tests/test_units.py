@@ -350,3 +350,16 @@ def test_projection_jobs_do_not_grow_with_columns(spark):
     assert abs(jobs(2) - jobs(20)) <= 2
     out = R.numeric_projection(df, [], [f"s{i}" for i in range(20)], keep=["id"]).where("id = 11").collect()[0]
     assert out["s9"] == 0 and out["s0"] == 1  # '0' sorts first among '0'..'10'; 11 % 2 = 1
+
+
+def test_times_in_full(spark):
+    """Times are counted and compared to the microsecond, and by value."""
+    stamps = ["2024-01-01 00:00:01", "2024-01-01 00:00:01.000001", "2024-01-01 00:00:01.5", "2024-01-01 00:00:00.999999", "+10000-01-01 00:00:00", None]
+    df = spark.createDataFrame([(s,) for s in stamps], "s string").selectExpr("cast(s as timestamp_ntz) t", "cast(s as timestamp) z", "s")
+    got = {r["col"]: r for r in Y.profile(df).collect()}
+    ends = {r["col"]: r for r in Y.extrema(df, ["t", "z", "s"]).collect()}
+    for c in ("t", "z"):
+        assert (got[c]["n"], got[c]["n_null"], got[c]["n_distinct"]) == (6, 1, 5)
+        for r in (got[c], ends[c]):
+            assert (r["min_text"], r["max_text"]) == ("2024-01-01 00:00:00.999999", "+10000-01-01 00:00:00")
+    assert got["s"]["min_text"] == ends["s"]["min_text"] == "+10000-01-01 00:00:00"
