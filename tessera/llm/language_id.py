@@ -1,8 +1,8 @@
 """Language identification by Bayesian fusion of four kinds of evidence.
 
 * text: byte-bigram likelihoods over the whole text, fitted on a sample of
-  labelled rows (about ``FIT_ROWS``, drawn by a hash of the row; the bound is
-  a parameter). The languages are the labels themselves, as they are written:
+  distinct labelled texts (``FIT_ROWS`` at most, a parameter, in equal parts
+  for the languages: of each the texts of least hash, or all). The languages are the labels themselves, as they are written:
   each one that at least ``MIN_ROWS`` rows with text bear, but ``und``. Of a
   byte's probability the share ``FLOOR`` is the same for all bytes, so what a
   language's sample lacks costs little more than without a language. ``und``
@@ -96,22 +96,42 @@ def _model(logs: np.ndarray, languages) -> Model:
     return out
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", languages=None, rows: int = FIT_ROWS) -> Model:
-    """A model of each label that ``MIN_ROWS`` rows bear, or of ``languages``
-    only. Of more than ``rows`` labelled rows, a share is drawn: up to
-    ``rows`` over the number of languages of each."""
+def _least(share: float) -> int:
+    """The signed 64-bit hash that this share of all hashes doesn't pass."""
+    return min(-(1 << 63) + int(share * (1 << 64)), (1 << 63) - 1)
+
+
+def _by_language(limits: dict[str, int]) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("lang"))
+
+
+def _draw(labelled: DataFrame, text_col: str, lang_col: str, languages, rows: int) -> tuple[list[str], DataFrame]:
+    """The languages, and (lang, text) of the texts that they are fitted on.
+    Only the drawn texts are shuffled; copies are met by their hashes."""
     some = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     some = some.where((F.trim("lang") != "") & (F.col("lang") != "und") & (F.col("text") != ""))
     if languages is not None:
         some = some.where(F.col("lang").isin(*languages))
-    sizes = {r["lang"]: r["n"] for r in some.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS).collect()}
+    some = some.withColumn("h", F.xxhash64("text"))
+    hashes = C.stage(some.select("lang", "h"), "language-labels")
+    sizes = {r["lang"]: r["d"] for r in hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("d"))
+             .where(F.col("n") >= MIN_ROWS).collect()}
     names = sorted(sizes) if languages is None else list(languages)
-    if sizes:
-        each = max(rows // len(names), MIN_ROWS)
-        share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(int(1e6 * each / n), 1_000_000))])
-        some = some.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000)) < F.try_element_at(share, F.col("lang")))
-    else:
-        some = some.limit(0)
+    if not sizes:
+        return names, some.select("lang", "text").limit(0)
+    each = max(rows // len(names), MIN_ROWS)
+    about = {lang: _least(min(2 * each / max(d, 1), 1)) for lang, d in sizes.items()}
+    found: dict[str, list[int]] = {lang: [] for lang in sizes}
+    for r in hashes.where(F.col("h") <= _by_language(about)).distinct().toLocalIterator():  # about 2 * rows
+        found[r["lang"]].append(r["h"])
+    limits = {lang: sorted(h)[:each][-1] for lang, h in found.items()}
+    return names, some.where(F.col("h") <= _by_language(limits)).dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", languages=None, rows: int = FIT_ROWS) -> Model:
+    """A model of each label that ``MIN_ROWS`` rows bear, or of ``languages``
+    only, on ``rows`` distinct texts at most (but ``MIN_ROWS`` a language)."""
+    names, some = _draw(labelled, text_col, lang_col, languages, rows)
     counted = some.mapInArrow(_count_bigrams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(names), 1 << 16))
     number = {lang: k for k, lang in enumerate(names)}

@@ -118,3 +118,16 @@ def test_no_label_rejects_no_text(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, "", "en"), (3, None, "en")], "doc_id long, text string, lang string")
     m = L.fit(docs)
     assert m.languages == () and [r["doc_id"] for r in L.drop_rejected(docs, m, declared="lang").collect()] == [1]
+
+
+def test_draw_is_bounded(spark):
+    """Copies, rare languages and any number of rows: the bound holds."""
+    rows = [("the water and the house", "en")] * 400 + [(f"{t} {i}", lang) for lang in ("en", "fr") for i, t in enumerate(texts(lang, 300, 4))]
+    rows += [(t, "de") for t in texts("de", 8, 9, 20)]
+    names, drawn = L._draw(spark.createDataFrame(rows, "text string, lang string").repartition(5), "text", "lang", None, 60)
+    got = [tuple(r) for r in drawn.collect()]
+    assert names == ["de", "en", "fr"] and len(got) == len(set(got))
+    assert {x: sum(lang == x for lang, _ in got) for x in names} == {"de": 8, "en": 20, "fr": 20}
+    copies = spark.createDataFrame([(f"text {i} ", "en") for i in range(50) for _ in range(1 + 200 * (i % 7 == 0))], "text string, lang string")
+    assert L._draw(copies, "text", "lang", None, 30)[1].count() == 30
+    assert L._least(20_000 / 1e13) > L._least(0) == -(1 << 63) and L._least(1) == (1 << 63) - 1
