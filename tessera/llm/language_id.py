@@ -44,7 +44,7 @@ CAP = 200.0
 SMOOTH = 0.1
 KAPPA = 5.0
 UND_PRIOR = 0.01
-MAX_LABELS = 8
+MAX_LABELS = 127  # a host name of the DNS has no more
 _CHUNK = 1 << 18
 _COLUMNS = 8
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -185,11 +185,13 @@ def _sums(rows: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def _domains(host: Column) -> Column:
-    """The host, the domains above it, and '' for all: (depth, name)."""
+    """The host, the domains above it (those of ``MAX_LABELS`` labels at
+    most), and '' for all: (depth, name)."""
     labels = F.split(host, "\\.")
-    n = F.least(F.size(labels), F.lit(MAX_LABELS))
+    n = F.size(labels)
+    depths = F.when(n <= MAX_LABELS, F.sequence(F.lit(0), n)).otherwise(F.concat(F.sequence(F.lit(0), F.lit(MAX_LABELS)), F.array(n)))
     cut = lambda d: F.array_join(F.slice(labels, F.size(labels) - d + 1, d), ".")
-    return F.transform(F.sequence(F.lit(0), n), lambda d: F.struct(d.alias("depth"), F.when(d > 0, cut(F.greatest(d, F.lit(1)))).otherwise("").alias("domain")))
+    return F.transform(depths, lambda d: F.struct(d.alias("depth"), F.when(d > 0, cut(F.greatest(d, F.lit(1)))).otherwise("").alias("domain")))
 
 
 def _fuse(total: list[float], languages):

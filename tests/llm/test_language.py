@@ -131,3 +131,12 @@ def test_draw_is_bounded(spark):
     copies = spark.createDataFrame([(f"text {i} ", "en") for i in range(50) for _ in range(1 + 200 * (i % 7 == 0))], "text string, lang string")
     assert L._draw(copies, "text", "lang", None, 30)[1].count() == 30
     assert L._least(20_000 / 1e13) > L._least(0) == -(1 << 63) and L._least(1) == (1 << 63) - 1
+
+
+@pytest.mark.parametrize("labels", [8, 9, 30, 200])
+def test_deep_hosts_have_their_own_prior(spark, model, labels):
+    above = ".".join(["a"] * (labels - 1))
+    rows = [(i, t, None, None, f"{lang}.{above}") for lang in ("fr", "de") for i, t in enumerate(texts(lang, 100, 7), 1000 if lang == "fr" else 2000)]
+    rows += [(1, "u", None, None, f"fr.{above}"), (2, "u", None, None, f"de.{above}")]
+    got = {r["id"]: r["lang"] for r in L.identify(evidence(spark, rows), model, ["id"]).collect()}
+    assert (got[1], got[2]) == ("fr", "de")
