@@ -43,11 +43,12 @@ def columns(df: DataFrame) -> list:
 
 
 def row_identity(id_col, text_col):
-    """Two columns that name a row by its id and whole text: rows equal in
-    both are interchangeable. A null id falls back on a hash of the text, so
-    that rows without an id are no hot key."""
+    """Two columns that name a row by its id and whole text (64 bits, so that
+    one id may have many texts): rows equal in both are interchangeable. A
+    null id falls back on a hash of the text, so that rows without an id are
+    no hot key."""
     return (F.coalesce(id_col.cast("bigint"), F.xxhash64(text_col, F.lit(1))),
-            F.hash(text_col, F.lit(2)))
+            F.xxhash64(F.lit(2), text_col))
 
 
 #: Bits of the bitmap that ``maybe_in`` sends to every task (1 MiB).

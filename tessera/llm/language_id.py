@@ -284,7 +284,7 @@ def drop_rejected(docs: DataFrame, model: np.ndarray, text_col: str = "text", de
     text = F.col(text_col).cast("string")
     names = [C.fresh_name(docs.columns, x) for x in ("did", "th", "eh")]
     did, th = C.row_identity(F.col(id_col), text)
-    key = [did.alias(names[0]), th.alias(names[1]), F.hash(*evidence).alias(names[2])]
+    key = [did.alias(names[0]), th.alias(names[1]), F.xxhash64(*evidence).alias(names[2])]
     rows = docs.select(*key, text.alias("text"), *[e.alias(n) for e, n in zip(evidence, ("declared", "suffix", "host"))])
     gone = identify(rows, model, names, **options).where("not kept").select(*names).distinct()
     return docs.select("*", *key).join(C.stage(gone, "language-rejected"), names, "left_anti").drop(*names)

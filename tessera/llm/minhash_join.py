@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), did.alias("did"), th.alias("th"), text.alias("text"))
     sigs = C.stage(base.mapInArrow(
         _signatures(words, coordinates),
-        "doc_id long, did long, th int, n_shingles long, digest binary, sig array<int>"), "minhash-signatures")
+        "doc_id long, did long, th long, n_shingles long, digest binary, sig array<int>"), "minhash-signatures")
     some = sigs.where("n_shingles > 0")
     # Equal sets are one node; the ids stand as they are once written.
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "did", "th")

@@ -184,7 +184,7 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
         yield seg_row[g], start - seg_at[g] + seg_first[g], n, a - start, kh[a]
 
 
-_PIECE = "did long, th int, at long, key long"
+_PIECE = "did long, th long, at long, key long"
 
 
 def _emit_pieces(length: int, seed: int):
@@ -201,7 +201,7 @@ def _emit_pieces(length: int, seed: int):
     return C.tidy(run)
 
 
-_OCC = "did long, th int, at long, key long, h binary, ctx binary"
+_OCC = "did long, th long, at long, key long, h binary, ctx binary"
 
 
 def _digest(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -457,10 +457,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = C.stage(_marks(items, length, max_pieces, [SUB, 1]), "repeat-marks")
     spans = (occ.select("did", "th", "at", "key", "h").join(marks, ["key", "h"])
              .groupBy("did", "th").agg(F.collect_list(F.struct("at", "mask")).alias("parts"))
-             .mapInArrow(_spans(length), "did long, th int, spans array<struct<start:long,end:long>>")
+             .mapInArrow(_spans(length), "did long, th long, spans array<struct<start:long,end:long>>")
              .where(F.size("spans") > 0))
     return (held.select("did", "th", "text").dropDuplicates(["did", "th"]).join(spans, ["did", "th"])
-            .mapInArrow(_cut_spans, "did long, th int, spans array<struct<start:long,end:long>>, kept binary"))
+            .mapInArrow(_cut_spans, "did long, th long, spans array<struct<start:long,end:long>>, kept binary"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -470,7 +470,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     document that is a repeat as a whole stays with an empty text; a null
     text stays null."""
     found = (repeated_spans(docs, id_col, text_col, length, seed, max_pieces).select("did", "th", "kept")
-             .mapInArrow(_as_text, "did long, th int, kept string"))
+             .mapInArrow(_as_text, "did long, th long, kept string"))
     names = [C.fresh_name(docs.columns, x) for x in ("did", "th", "kept")]
     did, th = C.row_identity(F.col(id_col), F.col(text_col).cast("string"))
     found = found.select(F.col("did").alias(names[0]), F.col("th").alias(names[1]),

@@ -129,3 +129,9 @@ def test_components_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 100), (200, 300), (250, 300)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 100: 100, 200: 200, 300: 200, 250: 200}
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """So many that some 32-bit hashes would be equal."""
+    th = C.row_identity(F.lit(1), F.col("id").cast("string"))[1]
+    assert spark.range(400_000).select(th.alias("th")).distinct().count() == 400_000
