@@ -18,10 +18,12 @@ about ``query_rows``; every row block meets every query block in a task of
 its own, and the blocks' best k are merged. Blocks are dealt by a hash of
 the id, so no vector that many rows share weighs on one.
 
-Null ids and vectors that are null, empty, of another size, or hold null,
-non-finite or absurd components (2**20 and more before scaling, so that every score
-fits a long) take no part; of rows with one id, the least vector asks. Fewer
-candidates than k give fewer rows; an empty table none.
+Null ids and vectors that are null, empty, of another size, or hold null or
+non-finite components, or such as don't fit 64 bits when scaled, take no
+part; of rows with one id, the least vector asks. Where a score could pass
+64 bits, it is added up in unbounded integers; if one of the k best does
+pass, the query fails, as SQL does. Fewer candidates than k give fewer rows;
+an empty table none.
 """
 
 from __future__ import annotations
@@ -37,7 +39,15 @@ from tessera.llm import vectors as V
 BLOCK_ROWS = 4096
 QUERY_ROWS = 2048
 SEED_ROWS = 4096
-LIMIT = float(1 << 20)
+_LONG = 1 << 62
+
+
+def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """The exact inner products, as Python's integers if they may be long."""
+    reach = np.abs(rows.astype(np.float64)).max(initial=0) * np.abs(query.astype(np.float64)).sum()
+    if reach < _LONG:
+        return (rows * query).sum(1)
+    return (rows.astype(object) * query.astype(object)).sum(1)
 
 
 class SortedLists:
@@ -88,9 +98,12 @@ class SortedLists:
             todo = np.setdiff1d(todo, now[left <= few])
         for i in range(m):
             live = np.flatnonzero(open_[:, i])
-            score = (self.rows[live] * queries[i]).sum(1)
-            best = np.lexsort((self.ids[live], -score))[:k]
-            yield live[best], score[best]
+            score = _products(self.rows[live], queries[i])
+            if score.dtype == object:
+                best = np.array(sorted(range(len(live)), key=lambda j: (-score[j], self.ids[live[j]]))[:k], np.int64)
+            else:
+                best = np.lexsort((self.ids[live], -score))[:k]
+            yield live[best], score[best].astype(np.int64)  # fails where one passes 64 bits
 
 
 _FOUND = "query_id long, vec_id long, score long"
@@ -104,9 +117,9 @@ def _set_bars(sent, dim: int, k: int):
         for b in batches:
             bars = []
             for i, q in zip(b.column("vec_id").to_pylist(), V.matrix(b.column("v"), dim)):
-                s = (rows @ q)[ids != i]
-                bars.append(int(np.partition(s, len(s) - k)[len(s) - k]) if len(s) >= k else None)
-            yield b.append_column("bar", pa.array(bars, pa.int64()))
+                s = _products(rows, q)[ids != i]
+                bars.append(float(np.sort(s)[len(s) - k] if s.dtype == object else np.partition(s, len(s) - k)[len(s) - k]) if len(s) >= k else None)
+            yield b.append_column("bar", pa.array(bars, pa.float64()))
     return C.tidy(run)
 
 
@@ -135,10 +148,11 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: float =
     """(query_id, rank, vec_id, score): each query's k highest inner products
     of floor(scale * x) with ``vectors`` (but not its own id)."""
     dim = V.common_size(vectors, vec_col)
+    fits = 2.0 ** 63 / abs(scale)  # what a long holds when scaled
 
     def rows(df):
         v = F.col(vec_col)
-        df = df.where(F.col(id_col).isNotNull() & V.usable(v, LIMIT) & (F.size(v) == dim) & (F.size(v) > 0))
+        df = df.where(F.col(id_col).isNotNull() & V.usable(v, fits) & (F.size(v) == dim) & (F.size(v) > 0))
         return df.select(F.col(id_col).cast("bigint").alias("vec_id"),
                          F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"))
 
@@ -148,11 +162,11 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: float =
     if not seeds:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     sent = table.sparkSession.sparkContext.broadcast((np.array([r["vec_id"] for r in seeds]), np.array([r["v"] for r in seeds], np.int64)))
-    asked = asked.mapInArrow(_set_bars(sent, dim, k), f"{_ROW}, bar long")
+    asked = asked.mapInArrow(_set_bars(sent, dim, k), f"{_ROW}, bar double")
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     met = table.select(block(row_blocks).alias("rb"), each(query_blocks).alias("qb"), F.lit(False).alias("asks"), "vec_id", "v",
-                       F.lit(None).cast("bigint").alias("bar")).union(
+                       F.lit(None).cast("double").alias("bar")).union(
         asked.select(each(row_blocks).alias("rb"), block(query_blocks).alias("qb"), F.lit(True), "vec_id", "v", "bar"))
     found = met.repartition("rb", "qb").sortWithinPartitions("rb", "qb").mapInArrow(_aggregate(dim, k), _FOUND)
     return V.best(found, k)

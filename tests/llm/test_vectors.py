@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -109,3 +110,26 @@ def test_random_seed_is_fixed():
     x = np.random.default_rng(random.Random(1).randint(0, 9)).normal(size=(200, 3))
     a, b = kmeans_tree.Tree(x, 4, 10), kmeans_tree.Tree(x, 4, 10)
     assert (a.centres == b.centres).all()
+
+
+@pytest.mark.parametrize("far", [float(1 << 20), float(1 << 40), -float(1 << 41)])
+def test_large_components_take_part(spark, far):
+    """Whatever fits 64 bits when scaled counts, as in the SQL."""
+    data = [(i, [float(np.float32(x)) for x in v], r) for i, v, r in rows(2)] + [(9351, [far, *[0.25] * 7], 0), (9352, [far] * 8, 0)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    got = {}
+    for r in no_random_access.top_products(df, df.where("vec_id % 50 = 0"), 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = {}
+    scaled = {i: [math.floor(256 * x) for x in v] for i, v, _ in data}
+    for q in (i for i in scaled if i is not None and i % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(scaled[q], v)), i) for i, v in scaled.items() if i != q)[:5]
+        want[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert {q: sorted(v) for q, v in got.items()} == want and any(x[1] > 9350 for v in got.values() for x in v)
+
+
+def test_scores_beyond_longs():
+    v = np.array([[1 << 50, 1 << 50], [1, 2], [-(1 << 50), 3], [1 << 62, -(1 << 62)]], np.int64)
+    assert [int(x) for x in no_random_access._products(v, np.array([1 << 20, 1 << 20]))] == [1 << 71, 3 << 20, (3 << 20) - (1 << 70), 0]
+    with pytest.raises(OverflowError):
+        list(no_random_access.SortedLists(np.arange(4), v).top(np.array([9]), np.array([[1 << 20, 1 << 20]]), 2))
