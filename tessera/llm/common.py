@@ -37,9 +37,14 @@ def fresh_name(taken, name: str) -> str:
     return name
 
 
+def column(name: str):
+    """A column by its name as it is (names may hold dots)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def columns(df: DataFrame) -> list:
-    """All columns, by quoted name (names may hold dots)."""
-    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    """All columns, by quoted name."""
+    return [column(c) for c in df.columns]
 
 
 def row_identity(id_col, text_col):

@@ -15,7 +15,9 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     Each round hangs every neighbour on the least one around (large star,
     then small star) and writes the edges as a table, so that no lineage
     grows and no component is ever gathered in one place; rounds grow with
-    the logarithm of the longest chain. Self-edges name lone nodes.
+    the logarithm of the longest chain. The least neighbours are a table too:
+    a join with them meets two plain exchanges, which AQE splits where one
+    node is the centre of many. Self-edges name lone nodes.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     e = C.stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
@@ -26,10 +28,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             break
         seen = now
         both = e.union(e.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = C.stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), label)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = C.stage(large, label)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = C.stage(large.groupBy("a").agg(F.min("b").alias("m")), label)
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = C.stage(small.union(least.select("a", "m")).distinct(), label)
     return nodes.join(e.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left").select(

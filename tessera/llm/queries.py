@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.llm import common as C
-from tessera.llm import (best_fit_packing, bpe_transducer, kmeans_tree, language_id, minhash_join, no_random_access, reply_trees,
-                         suffix_dedup, url_cascade, warc_chunks)
+from tessera.llm import (best_fit_packing, bpe_transducer, cover_tree, kmeans_tree, language_id, merkle_manifest, minhash_join,
+                         no_random_access, periodic_runs, reply_trees, suffix_dedup, url_cascade, warc_chunks)
 from tessera.session import scratch_path
 
 #: The vocabulary files lie beside this installed package on every machine.
@@ -191,3 +191,122 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     found = minhash_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, similarity=80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def repeated_tail(doc_id, words):
+    """The words with the tail that the contract gives each tenth document."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(h / 10).cast("bigint"), F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    return F.concat(F.slice(words, F.lit(1), a), F.slice(tail, F.lit(1), n - a))
+
+
+@register("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """A null id has no crc32, so such a text stays as it is."""
+    doc_id = F.col("doc_id")
+    tenth = F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.when(tenth, words).alias("words"))
+    text = F.when(F.size("words") > 0, F.array_join(repeated_tail(doc_id, F.col("words")), " ")).otherwise(F.col("text"))
+    found = periodic_runs.periodic_runs(docs, text, {"doc_id": doc_id})
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                               r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP12_SQL = """
+with recursive
+crc as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)),
+fields as (
+  select doc_id, lang, text,
+         case when doc_id is null then '-' else strlen(doc_id::varchar) || ':' || doc_id end
+         || case when source is null then '-' else strlen(source) || ':' || source end
+         || case when lang is null then '-' else strlen(lang) || ':' || lang end
+         || case when n_chars is null then '-' else strlen(n_chars::varchar) || ':' || n_chars end as front,
+         coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ord(x)::bigint)),
+                      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0, false) as hit
+  from documents, crc),
+leaves as (
+  select *, sha256(front || case when text is null then '-' else strlen(text) || ':' || text end) as leaf,
+         sha256(front || case when text is null then '-' else strlen(text) || ':' ||
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end) as tampered
+  from fields),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n from leaves),
+tree as (
+  select lang, 0 as lvl, pos as idx, leaf as h, n from placed
+  union all
+  select lang, lvl + 1, idx // 8, sha256(string_agg(h, '' order by idx)), (n + 7) // 8 from tree where n > 1 group by lang, lvl, idx // 8, n),
+heads as (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from tree where n = 1),
+crown as (
+  select 0 as lvl, pos as idx, subroot as h, n from heads
+  union all
+  select lvl + 1, idx // 8, sha256(string_agg(h, '' order by idx)), (n + 7) // 8 from crown where n > 1 group by lvl, idx // 8, n),
+steps as (
+  select x.lang, x.lvl, x.idx, coalesce(string_agg(y.h, '' order by y.idx) filter (where y.idx < x.idx), '') as l,
+         coalesce(string_agg(y.h, '' order by y.idx) filter (where y.idx > x.idx), '') as r
+  from tree x join tree y on x.lang is not distinct from y.lang and x.lvl = y.lvl and x.idx // 8 = y.idx // 8
+  where x.n > 1 group by x.lang, x.lvl, x.idx),
+crown_steps as (
+  select x.lvl, x.idx, coalesce(string_agg(y.h, '' order by y.idx) filter (where y.idx < x.idx), '') as l,
+         coalesce(string_agg(y.h, '' order by y.idx) filter (where y.idx > x.idx), '') as r
+  from crown x join crown y on x.lvl = y.lvl and x.idx // 8 = y.idx // 8 where x.n > 1 group by x.lvl, x.idx),
+ways as (
+  select p.lang, p.pos, s.lvl, s.l, s.r from placed p join steps s on p.lang is not distinct from s.lang and s.idx = p.pos // power(8, s.lvl)::bigint
+  union all
+  select p.lang, p.pos, 1000 + s.lvl, s.l, s.r from placed p join heads g on p.lang is not distinct from g.lang
+  join crown_steps s on s.idx = g.pos // power(8, s.lvl)::bigint),
+paths as (select lang, pos, list(l || '|' || r order by lvl) as way, string_agg(l || r, '' order by lvl) as all_of from ways group by lang, pos)
+select p.doc_id, p.leaf, g.subroot, c.h as root, sha256(coalesce(w.all_of, '')) as proof_sha256, f.folded_root, f.folded_root = c.h as verified
+from placed p join heads g on p.lang is not distinct from g.lang join (select h from crown where n = 1) c on true
+left join paths w on p.lang is not distinct from w.lang and p.pos = w.pos
+join lateral (select list_reduce(list_prepend(case when p.hit then p.tampered else p.leaf end, coalesce(w.way, [])),
+                                 lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) as folded_root) f on true
+"""
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@register("op12_merkle_manifest", OP12_SQL)
+def op12(spark, sf_dir):
+    """Each third document, by the crc32 of its id, is folded as if its text
+    had been lower-cased."""
+    front = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(third, merkle_manifest.digest([*front, F.translate("text", UPPER, LOWER)]))
+    found = merkle_manifest.manifest(
+        read(spark, sf_dir, "documents"), group=F.col("lang"), order=[F.col("doc_id")], leaf=merkle_manifest.digest([*front, F.col("text")]),
+        keep={"doc_id": F.col("doc_id"), "tampered": tampered})
+    folded = merkle_manifest.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof(F.col("path")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP13_SQL = """
+with recursive
+rows_ as (select vec_id, list_transform(embedding, lambda x: x::double) as v, row_number() over () as k from embeddings),
+fit as (
+  select * from rows_ where v is not null and len(v) > 0 and list_bool_and(list_transform(v, lambda x: x is not null and isfinite(x)))
+  and list_bool_or(list_transform(v, lambda x: x <> 0))),
+links as (
+  select a.k as a, b.k as b from fit a join fit b on a.k <> b.k and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.95),
+reach as (select k as a, k as b from rows_ union select reach.a, links.b from reach join links on reach.b = links.a),
+least as (select r.a, min(x.vec_id) as component_id from reach r join rows_ x on x.k = r.b group by r.a)
+select x.vec_id, (select count(*) from links l where l.a = x.k)::bigint as n_links, component_id, component_id is not distinct from x.vec_id as kept
+from rows_ x join least on x.k = least.a
+"""
+
+
+@register("op13_cover_tree", OP13_SQL)
+def op13(spark, sf_dir):
+    return cover_tree.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.95)
