@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions import exact as E
 from tessera.functions.text import go_trim
 
 # The semantic types in tie-break order (earlier wins a tie),
@@ -44,6 +45,12 @@ COORD_RULES = {"latitude": ("lat", 90.0), "longitude": ("lon", 180.0)}
 CAST_TARGETS = ("bigint", "double", "boolean", "date", "timestamp_ntz")
 NUMERIC_STORAGE = ("bigint", "double")
 
+
+def is_number(storage: str) -> bool:
+    """A storage type of numbers, decimals of any size included."""
+    return storage in NUMERIC_STORAGE or storage.startswith("decimal")
+
+
 PRIORITY = {t: i for i, t in enumerate(SEMANTIC_TYPES)}
 SCORED_TYPES = [t for t in SEMANTIC_TYPES if t not in ("place", "categorical", "unknown")]
 
@@ -74,17 +81,26 @@ def has_time(v: Column) -> Column:
     return F.coalesce(v.rlike(PATTERNS["dateTime"]) & ~v.rlike(PATTERNS["date"]), F.lit(False))
 
 
+def kept_cast(v: Column, target: str) -> Column:
+    """Whether casting the trimmed text to a storage type keeps its value."""
+    if target == "bigint":
+        return F.coalesce(F.when(v.rlike(PATTERNS["integer"]), E.kept_by_bigint(v)), F.lit(False))
+    if target == "double":
+        return F.coalesce(F.when(v.rlike(PATTERNS["real"]), E.kept_by_double(v)), F.lit(False))
+    return guarded_cast(v, target).isNotNull()
+
+
 def guarded_cast(v: Column, target: str) -> Column:
     """Cast a string column to a Spark type, null unless its pattern holds.
 
-    ``target`` is a Spark type name (bigint, double, boolean, date,
-    timestamp_ntz, string) or a semantic type name.
+    ``target`` is a Spark type name (bigint, double, decimal(p,s), boolean,
+    date, timestamp_ntz, string) or a semantic type name.
     """
     target = STORAGE_TYPES.get(target, target)
     s = go_trim(v.cast("string"))
     if target in ("bigint", "int", "long", "integer"):
         return F.when(s.rlike(PATTERNS["integer"]), s.try_cast(target if target != "integer" else "bigint"))
-    if target in ("double", "float"):
+    if target in ("double", "float") or target.startswith("decimal"):
         return F.when(s.rlike(PATTERNS["real"]), s.try_cast(target))
     if target == "boolean":
         return F.when(s.rlike(PATTERNS["boolean"]), F.lower(s) == "true")

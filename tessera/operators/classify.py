@@ -12,10 +12,11 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import exact as E
 from tessera.functions.sizing import qcol, small_frame
 from tessera.functions.text import go_trim
-from tessera.functions.types import (CAST_TARGETS, PRIORITY, SCORED_TYPES, STORAGE_TYPES, guarded_cast, has_time,
-                                     matches_type, storage_of)
+from tessera.functions.types import (CAST_TARGETS, NUMERIC_STORAGE, PATTERNS, PRIORITY, SCORED_TYPES, STORAGE_TYPES,
+                                     guarded_cast, has_time, kept_cast, matches_type, storage_of)
 
 DEFAULT_THRESHOLD = 0.8  # fixed value: the default probability threshold
 CATEGORICAL_RATIO = 0.05  # fixed value: distinct values at most this share of rows
@@ -41,9 +42,10 @@ def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: D
                  casts: bool = False) -> DataFrame:
     """Per column, from one aggregate over the unpivoted text: rows, non-null
     values, a match count per semantic type (``m_<type>``), values with a
-    time of day (``n_time``) and, if asked for, values that cast to each
-    storage type (``k_<type>``). Only counts are shuffled, a row per column
-    and task. Place hits (``m_place``) come from a semi join of the non-null
+    time of day (``n_time``) and, if asked for, values that a cast to each
+    storage type keeps (``k_<type>``; ``k_decimal``, and the most digits left
+    and right of the point that a decimal needs). Only counts are shuffled, a
+    row per column and task. Place hits (``m_place``) come from a semi join of the non-null
     values with the gazetteer's keys."""
     cols = cols or df.columns
     long = text_long(df, cols)
@@ -51,7 +53,9 @@ def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: D
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.count_if(has_time(v)).alias("n_time")]
     aggs += [F.count_if(v.isNotNull() & matches_type(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES]
     if casts:
-        aggs += [F.count(guarded_cast(v, t)).alias(f"k_{t}") for t in CAST_TARGETS]
+        aggs += [F.count_if(kept_cast(v, t)).alias(f"k_{t}") for t in CAST_TARGETS]
+        need = F.when(v.rlike(PATTERNS["real"]), E.needs(v))
+        aggs += [F.count(need).alias("k_decimal"), F.max(need["whole"]).alias("d_whole"), F.max(need["scale"]).alias("d_scale")]
     stats = long.groupBy("col").agg(*aggs)
     if gazetteer_keys is not None:
         keys = gazetteer_keys.select(F.col(gazetteer_keys.columns[0]).alias("_key")).where("_key is not null")
@@ -121,12 +125,18 @@ def classify_verified(df: DataFrame, cols: list[str] | None = None, threshold: f
     semantic_type, probability, n_non_null, n_cast, accepted, storage).
 
     The same aggregate that scores the types also counts, per column, the
-    values that cast to each storage type; the suggested type then picks
-    its count. A type is accepted iff every non-null value casts. ``storage``
-    is what to store an accepted column as.
+    values that a cast to each storage type keeps (``functions.exact``); the
+    suggested type then picks its count. A type is accepted iff a cast keeps
+    every non-null value. ``storage`` is what to store an accepted column as:
+    numbers that bigint or double would change become the least decimal that
+    holds them all; where none does, or texts are zero-padded, the type is
+    rejected and the column stays as it is.
     """
     c = _classified(df, cols or df.columns, threshold, categorical, ratio, gazetteer_keys, digits, True)
-    c = c.withColumn("storage", storage_of(F.col("semantic_type"), F.col("n_time")))
+    plain = storage_of(F.col("semantic_type"), F.col("n_time"))
+    lossy = F.coalesce(*[F.when(plain == t, F.col(f"k_{t}") < F.col("n")) for t in NUMERIC_STORAGE])
+    wide = F.when(lossy & (F.col("k_decimal") == F.col("n")), E.decimal_type(F.col("d_whole"), F.col("d_scale")))
+    c = c.withColumn("storage", F.coalesce(wide, plain))
     n_cast = F.coalesce(*[F.when(F.col("storage") == t, F.col(f"k_{t}")) for t in CAST_TARGETS], F.col("n"))
     return c.select("col", "semantic_type", "probability", F.col("n").alias("n_non_null"),
                     n_cast.alias("n_cast"), (n_cast == F.col("n")).alias("accepted"), "storage")
@@ -135,7 +145,7 @@ def classify_verified(df: DataFrame, cols: list[str] | None = None, threshold: f
 def _classified(df, cols, threshold, categorical, ratio, gazetteer_keys, digits, casts) -> DataFrame:
     stats = column_stats(df, cols, gazetteer_keys, casts)
     types = SCORED_TYPES + (["place"] if gazetteer_keys is not None else [])
-    keep = ["n_rows", "n_time", *([f"k_{t}" for t in CAST_TARGETS] if casts else [])]
+    keep = ["n_rows", "n_time", *([*[f"k_{t}" for t in CAST_TARGETS], "k_decimal", "d_whole", "d_scale"] if casts else [])]
     g = gate(best_types(_score_rows(stats, types, digits)), threshold).join(stats.select("col", *keep), "col")
     names = ["col", "gated_type", "probability", "n", *keep]
     rows = g.select(*names).collect()  # one row per column

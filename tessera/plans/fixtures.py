@@ -43,6 +43,22 @@ select o_orderkey,
   case when o_orderkey%4000=1 then '1.5' else cast(o_orderkey as string) end as nearly_whole,
   case when o_orderkey%2=0 then concat(chr(9),'NA') else concat(cast(o_orderkey as string),chr(13)) end as odd_space
 from {orders}""",
+    "exact": """
+select o_orderkey, lpad(cast(o_orderkey%1000 as string), 5, '0') as padded,
+  case when o_orderkey%400=1 then '1e999' else cast(o_orderkey as string) end as overflows,
+  concat('1', lpad(cast(o_orderkey%1000000 as string), 6, '0'), '12345678901.', lpad(cast(o_orderkey%100 as string), 2, '0')) as money,
+  concat('9', lpad(cast(o_orderkey%1000000 as string), 6, '0'), '1234567890123') as beyond,
+  concat(cast(o_orderkey%90 + 10 as string), 'e', cast(o_orderkey%3 as string)) as powers,
+  case when o_orderkey%400=1 then '00.5' else cast(o_orderkey%7 as string) end as padded_once,
+  cast(o_totalprice as string) as price
+from {orders}""",
+    "bands_mixed": """
+select distinct concat('img_',cast(user_id as string)) as image_id, event_type as band,
+  concat('img_',cast(user_id as string),'_',event_type,'.tif') as image_file,
+  cast(user_id%180-90 as double) as lat, cast(user_id%360-180 as double) as lon,
+  case when user_id%10=0 then 'abc' else cast(user_id as string) end as reading,
+  lpad(cast(user_id as string), 8, '0') as scene
+from {events}""",
     "contacts": """
 select doc_id, explode_outer(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{{2,}}', 0)) as contact, lang
 from {documents}""",
@@ -63,6 +79,8 @@ SOURCES = {
     "gazetteer": ["nation", "region"],
     "places": ["customer", "nation"],
     "stamps": ["orders"],
+    "exact": ["orders"],
+    "bands_mixed": ["events"],
     "contacts": ["documents"],
     "declared": [],
 }

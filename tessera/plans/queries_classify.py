@@ -129,6 +129,40 @@ def q_ingest_typed_stamps(spark, sf_dir):
     return K.ingest_typed(C.apply_types(df, chosen_types(df, rows)), scratch_path(spark, "typed"))
 
 
+# What a cast would change stays: zero-padded texts, numbers out of range,
+# digits that a double drops (those become decimals).
+EXACT_TYPES = {"o_orderkey": "bigint", "padded": "string", "overflows": "string", "money": "decimal(20,2)", "beyond": "decimal(20,0)",
+               "powers": "double", "padded_once": "string", "price": "double"}
+
+
+@register("ingest_typed_exact", with_ctes(["exact"]) + "select o_orderkey::varchar as o_orderkey, padded, overflows, money, beyond, "
+          "powers::double as powers, padded_once, price::double as price, " + q(",".join(f"{c}:{t}" for c, t in EXACT_TYPES.items()))
+          + " as types from exact")
+def q_ingest_typed_exact(spark, sf_dir):
+    """Every value of every column comes back, in the least type that keeps it."""
+    df = derived(spark, sf_dir, "exact")
+    rows, _ = collected(spark, C.classify_verified(df))
+    typed = K.ingest_typed(C.apply_types(df, chosen_types(df, rows)), scratch_path(spark, "typed"))
+    types = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in typed.schema)
+    as_is = ("powers", "price")
+    return typed.select(*[F.col(c) if c in as_is else F.col(c).cast("string").alias(c) for c in typed.columns], F.lit(types).alias("types"))
+
+
+@register("ingest_remote_sensing", with_ctes(["bands_mixed"]) + """
+select 'typed' as variant, image_id, band, image_file, lat, lon, reading, scene from bands_mixed
+union all select 'raw', image_id, band, image_file, lat, lon, reading, scene from bands_mixed""")
+def q_ingest_remote_sensing(spark, sf_dir):
+    """A remote-sensing dataset skips the verification's rows, not its test:
+    a mixed column and padded numbers keep every value; the raw copy lies
+    beside the typed table."""
+    from tessera.plans.workflow import Dataset, ingest
+    root = scratch_path(spark, "ingest")
+    ds = Dataset("bands_mixed", derived(spark, sf_dir, "bands_mixed"))
+    typed = ingest(spark, ds, root, endpoint="catalog", metadata_only=True, database="store").drop("source")
+    raw = spark.read.parquet(f"{root}/raw").withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+    return typed.select(F.lit("typed").alias("variant"), "*").unionByName(raw.select(F.lit("raw").alias("variant"), "*"))
+
+
 # --------------------------------------------------------- catalog (S4) ---
 
 CUST_CLASS = with_ctes([], [

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.sizing import small_frame
-from tessera.functions.types import NUMERIC_STORAGE, STORAGE_TYPES
+from tessera.functions.types import STORAGE_TYPES, is_number
 from tessera.operators import classify as C
 from tessera.operators import clean as T
 from tessera.operators import format as FM
@@ -60,11 +60,12 @@ def collected(spark: SparkSession, verified: DataFrame) -> tuple[list, DataFrame
     return rows, small_frame(spark, VERIFIED_FIELDS, [tuple(r) for r in rows])
 
 
-def chosen_types(df: DataFrame, verified: list, trust: bool = False) -> dict[str, str]:
-    """Column -> storage type: the suggested one where verification accepted
-    it (or the dataset skips verification: ``trust``), else the declared."""
+def chosen_types(df: DataFrame, verified: list) -> dict[str, str]:
+    """Column -> storage type: the suggested one where a cast keeps every
+    value, else the declared. That holds for remote-sensing datasets too:
+    they skip the verification's rows (I6), not the test."""
     declared = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return declared | {r["col"]: r["storage"] for r in verified if r["accepted"] or trust}
+    return declared | {r["col"]: r["storage"] for r in verified if r["accepted"]}
 
 
 def catalog_row(spark: SparkSession, dataset_id: str, folder: str, df: DataFrame, classification: DataFrame,
@@ -78,7 +79,7 @@ def catalog_row(spark: SparkSession, dataset_id: str, folder: str, df: DataFrame
     remote = is_remote_sensing(df)
     storage = F.col("storage") if "storage" in classification.columns else F.create_map(
         *[x for t, s in STORAGE_TYPES.items() for x in (F.lit(t), F.lit(s))])[F.col("semantic_type")]
-    accepted = F.col("accepted") if "accepted" in classification.columns and not remote else F.lit(True)
+    accepted = F.col("accepted") if "accepted" in classification.columns else F.lit(True)
     v = reg.join(classification.select("col", F.col("semantic_type").alias("suggested"), "probability",
                                        F.when(accepted, storage).alias("storage")), "col", "left")
     v = v.join(importance.select("col", "importance"), "col", "left") if importance is not None \
@@ -135,8 +136,8 @@ def post_ingest(spark: SparkSession, dataset_id: str, df: DataFrame, verified: D
             F.lit(None).cast("double").alias("max_value"))
     else:
         steps = small_frame(spark, fields, [(dataset_id, "verify", r["col"], r["accepted"], None, None) for r in got])
-    types = chosen_types(df, got, trust=remote)
-    num = [c for c in df.columns if types[c] in NUMERIC_STORAGE]
+    types = chosen_types(df, got)
+    num = [c for c in df.columns if is_number(types[c])]
     if num:
         ext = Y.extrema(C.apply_types(df.select(*[F.col(f"`{c}`") for c in num]), types), num)
         steps = steps.unionByName(ext.select(
@@ -159,10 +160,12 @@ def prepare(spark: SparkSession, ds: Dataset, root: str) -> DataFrame:
     return merged
 
 
-def _metadata(spark, ds: Dataset, df: DataFrame, root: str, rows: list, trust: bool):
-    """Types accepted, table typed and written, metadata tables there."""
-    types = chosen_types(df, rows, trust)
-    typed = K.ingest_typed(C.apply_types(df, types), f"{root}/typed")
+def _metadata(spark, ds: Dataset, df: DataFrame, root: str, rows: list):
+    """Types accepted, table typed and written with the raw copy beside it
+    (S9), metadata tables there."""
+    types = chosen_types(df, rows)
+    path, _ = S.write_typed_and_raw(C.apply_types(df, types), df, root)
+    typed = spark.read.parquet(path)
     K.create_metadata_tables(spark, f"{root}/metadata")
     return types, typed
 
@@ -180,9 +183,9 @@ def ingest_catalog(spark: SparkSession, ds: Dataset, root: str, prefix: str = ""
     df = prepare(spark, ds, root)
     K.put(verified_metadata(df, ds), f"{root}/verification", prefix + ds.dataset_id)
     rows, cls = collected(spark, C.classify_verified(df, threshold=threshold))
-    types, typed = _metadata(spark, ds, df, root, rows, is_remote_sensing(df))
+    types, typed = _metadata(spark, ds, df, root, rows)
     key = prefix + ds.dataset_id
-    num = [c for c in typed.columns if types[c] in NUMERIC_STORAGE and c != ds.target]
+    num = [c for c in typed.columns if is_number(types[c]) and c != ds.target]
     timed = [c for c in typed.columns if Y.family(typed.schema[c].dataType) != "text"]
     found = {"classification": cls, "profile": Y.profile(typed), "extrema": Y.extrema(typed, timed)}
     if ds.target and num:
@@ -209,7 +212,7 @@ def ingest_relational(spark: SparkSession, ds: Dataset, root: str, threshold: fl
     df = prepare(spark, ds, root)
     K.put(verified_metadata(df, ds), f"{root}/verification", ds.dataset_id)
     rows, cls = collected(spark, C.classify_verified(df, threshold=threshold))
-    _, typed = _metadata(spark, ds, df, root, rows, is_remote_sensing(df))
+    _, typed = _metadata(spark, ds, df, root, rows)
     K.put(cls, f"{root}/metadata/classification", ds.dataset_id)
     return I.provenance(typed, "relational")
 
