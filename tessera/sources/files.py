@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.sizing import qcol, stage
+from tessera.sources import csv_ranges
 
 CORRUPT_COL = "_bad"
 
@@ -29,12 +30,14 @@ def read_declared(spark: SparkSession, path: str, schema: StructType, header: bo
     """Read CSV against a declared schema. Malformed rows are kept (their
     bad fields null) and flagged in ``_bad``; they never fail the job.
 
-    ``line_sep`` ends the rows; None has the reader find out per file, which
-    a field with another kind of line break near its start can mislead. Files
-    are read whole, as a quoted field may hold line breaks: a table for
-    hundreds of tasks needs hundreds of files.
+    Rows end with a line feed, and a file is read by as many tasks as it has
+    byte ranges (``csv_ranges``). Another ``line_sep``, or None, which has
+    the reader find out per file (a field with another kind of line break near its
+    start can mislead it), reads each file whole in one task.
     """
     full = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
+    if line_sep == "\n":
+        return csv_ranges.read(spark, path, full, CORRUPT_COL, _CSV_READ | {"lineSep": line_sep}, header)
     more = {"lineSep": line_sep} if line_sep else {}
     return spark.read.schema(full).options(**_CSV_READ, **more).option("header", str(header).lower()).csv(path)
 
