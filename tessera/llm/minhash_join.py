@@ -319,13 +319,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "minhash-nodes")
     posted = nodes.select("node", F.posexplode("sig").alias("c", "v")).select(
         "node", (F.shiftleft(F.col("c").cast("bigint"), 32) + F.col("v").cast("bigint")).alias("key"))
-    held = posted.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    # Counts are tables, so that joins with them meet two plain exchanges and a hot list is split.
+    held = C.stage(posted.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1"), "minhash-held")
     prefix = (posted.join(held, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("_m", "key"))).alias("p"))
               .where(F.size("p") >= matches)
               .select("node", F.explode(F.slice("p", F.lit(1), F.size("p") - (matches - 1))).alias("p")).select("node", "p.key"))
     postings = C.stage(prefix, "minhash-postings")
     short = nodes.select("node", F.expr("unhex(concat_ws('', transform(sig, x -> lpad(hex(x & 255), 2, '0'))))").alias("sig8"))
-    lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    lists = C.stage(postings.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1"), "minhash-lists")
     near = (_in_block_pairs(postings.join(short, "node"), "key", lists, block)
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(_collisions(matches), "a long, b long"))
@@ -333,13 +334,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = nodes.join(clusters, "node").select("node", "did", "th")
     sets = (base.select("did", "th", "text").join(wanted, ["did", "th"]).dropDuplicates(["node"])
             .select("node", "text").mapInArrow(_set_bytes(words), "node long, shingles binary"))
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("_m"))
+    sizes = C.stage(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("_m")), "minhash-sizes")
     links = (_in_block_pairs(sets.join(clusters, "node"), "root", sizes, block)
              .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
              .mapInArrow(_exact_links(similarity), "a long, b long"))
     groups = C.stage(components(C.stage(links.distinct(), "minhash-links"), "minhash-components"), "minhash-group")
     named = nodes.select("digest", "row", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("row").alias("rep"))
+    named = C.stage(named, "minhash-rows")
+    least = C.stage(named.groupBy("root").agg(F.min("row").alias("rep")), "minhash-least")
     named = C.stage(named.join(least, "root").select("digest", "rep"), "minhash-named")
     out = sigs.select("doc_id", "did", "th", "n_shingles", "digest").join(named, "digest", "left")
     alone = F.col("n_shingles") == 0
