@@ -8,7 +8,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DataType, DateType, DecimalType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from tessera.functions.sizing import per_column, qcol, small_frame
 
@@ -124,36 +124,58 @@ def exact_mean(total: Column, n: Column, digits: int) -> Column:
     num = (F.abs(total) * F.lit(10 ** MEAN_SCALE).cast(d)).cast(d)
     twice = (num * 2 + den).cast(d)
     whole = ((twice - twice % (den * 2)) / (den * 2)).cast(d)
-    return F.signum(total) * whole.cast("double") / F.lit(float(10 ** digits))
+    exact = F.signum(total) * whole.cast("double") / F.lit(float(10 ** digits))
+    # Sums that leave no room for the steps above: decimal division, to MEAN_SCALE places.
+    wide = F.round(F.try_divide(total, n.cast("decimal(20,0)")), digits).cast("double")
+    return F.when(F.abs(total) < F.lit(10 ** 20).cast("decimal(38,0)"), exact).otherwise(wide)
 
 
-def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) -> DataFrame:
-    """Statistics of ``v`` per key group of long doubles, nulls included."""
+#: Whole numbers up to here are doubles as they are.
+_DOUBLE_WHOLE = 1 << 53
+
+
+def _number_cell(name: str, c: Column, t: DataType) -> Column:
+    """(col, v, e, k): the value as a double, as an exact decimal where its
+    type is exact, and what tells apart values that are the same double."""
+    v = c.cast("double")
+    e = F.lit(None).cast(f"decimal(38,{MEAN_SCALE})")
+    k = F.lit(0).cast("bigint")
+    if isinstance(t, IntegralType):
+        e, k = c.cast(f"decimal(38,{MEAN_SCALE})"), c.cast("bigint")
+    elif isinstance(t, DecimalType):
+        e, k = (c.try_cast(f"decimal(38,{MEAN_SCALE})") if t.scale <= MEAN_SCALE else e), F.xxhash64(c.cast("string"))
+    return F.struct(F.lit(name).alias("col"), v.alias("v"), e.alias("e"), F.when(c.isNotNull(), k).alias("k"))
+
+
+def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) -> tuple[DataFrame, list]:
+    """Statistics per key group of long numbers (``_number_cell``), nulls
+    included, and the collected row of each group. Values, sums and moments are one pass."""
     v = F.col("v")
-    fin = long.withColumn("v", _finite(v))
-    dec = v.try_cast(f"decimal(38,{MEAN_SCALE})")
-    distinct = F.count_distinct("v") if exact else F.approx_count_distinct("v")
-    s = fin.groupBy(*keys).agg(
-        F.count(v).alias("_n"), F.avg(v).alias("_m"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
-        F.sum(dec).alias("_sum"), F.count_if(v.isNotNull() & ~F.coalesce(dec.cast("double") == v, F.lit(False))).alias("_odd"))
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count(v)).alias("n_null"), distinct.alias("n_distinct"))
+    f = _finite(v)
+    dec = F.coalesce("e", f.try_cast(f"decimal(38,{MEAN_SCALE})"))
+    distinct = F.count_distinct("v", "k") if exact else F.approx_count_distinct(F.when(v.isNotNull(), F.xxhash64("v", "k")))
+    odd = F.col("e").isNull() & f.isNotNull() & ~F.coalesce(dec.cast("double") == f, F.lit(False))
+    s = long.groupBy(*keys).agg(
+        F.count(f).alias("_n"), F.avg(f).alias("_m"), F.min(f).alias("_lo"), F.max(f).alias("_hi"), F.sum(dec).alias("_sum"),
+        F.count_if(odd).alias("_odd"), F.stddev_samp(f).alias("_sd"), F.count(F.lit(1)).alias("n"), F.count_if(v.isNull()).alias("n_null"))
+    fin = long.select(*keys, f.alias("v"))
+    counts = long.groupBy(*keys).agg(distinct.alias("n_distinct"))
     # One row per group comes back; later steps have them as literals.
     fields = [*[(k, "string") for k in keys], ("_n", "bigint"), ("_m", "double"), ("_lo", "double"), ("_hi", "double"),
-              ("_sum", f"decimal(38,{MEAN_SCALE})"), ("_odd", "bigint")]
+              ("_sum", f"decimal(38,{MEAN_SCALE})"), ("_odd", "bigint"), ("_sd", "double"), ("n", "bigint"), ("n_null", "bigint")]
     rows = s.select(*[n for n, _ in fields]).collect()
     s = small_frame(long.sparkSession, fields, [tuple(r) for r in rows])
-    dev = (fin.where(v.isNotNull()).join(F.broadcast(s.select(*keys, "_m")), keys).groupBy(*keys)
-           .agg(F.sum((v - F.col("_m")) * (v - F.col("_m"))).alias("_ss")))
-    sd = F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1)))
+    sd = F.col("_sd")
     mean = F.when((F.col("_odd") == 0) & F.col("_sum").isNotNull(), exact_mean(F.col("_sum"), F.col("_n"), digits)).otherwise(F.round("_m", digits))
     q = (_quantiles_exact(fin.where(v.isNotNull()), keys, rows, QUARTILES) if exact
          else _quantiles_approx(fin.where(v.isNotNull()), keys, QUARTILES))
     qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES])
     r = lambda c, name: F.round(c, digits).alias(name)
-    return (counts.join(s, keys, "left").join(dev, keys, "left").join(qw, keys, "left")
+    out = (counts.join(s, keys, "left").join(qw, keys, "left")
             .select(*keys, "n", "n_null", "n_distinct", F.when(F.col("_n") > 0, mean).alias("mean"), r(sd, "stddev"),
                     *[r(F.col(f"p{int(p * 100)}"), f"p{int(p * 100)}") for p in QUARTILES], r(F.col("_lo"), "min"), r(F.col("_hi"), "max"),
                     F.lit(None).cast("string").alias("min_text"), F.lit(None).cast("string").alias("max_text")))
+    return out, rows
 
 
 def _as_text(c: Column, t: DataType) -> Column:
@@ -192,7 +214,9 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
 
     Columns of numbers have n, n_null, n_distinct, mean, stddev, quartiles,
     min and max (NaN and infinities count as values, but enter none of the
-    others); columns of dates, times (to the microsecond) and text have n,
+    others). Values are counted as they are, whole numbers and decimals beyond what doubles
+    hold too; for those (decimals, and columns with whole numbers beyond 2^53) min_text
+    and max_text have the ends in full. Columns of dates, times (to the microsecond) and text have n,
     n_null, n_distinct and the ends of their order as text. The mean is that
     of the exact decimal sum. ``exact=False`` uses bounded sketches for
     quartiles and distinct counts.
@@ -205,7 +229,7 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
         tag = F.lit(name).alias("dataset_id")
         number = [c for c in cols if family(df.schema[c].dataType) == "number"]
         if number:
-            parts["number"].append(unpivot_values(df, number, keep=[tag], keep_nulls=True))
+            parts["number"].append(df.select(tag, F.inline(F.array(*[_number_cell(c, qcol(c), df.schema[c].dataType) for c in number]))))
         other = [c for c in cols if c not in number]
         if other:
             parts["text"].append(df.select(tag, F.inline(F.array(*[
@@ -217,13 +241,32 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
             long = frames[0]
             for f in frames[1:]:
                 long = long.unionByName(f)
-            got = _number_stats(long, keys, exact, digits) if kind == "number" else _text_stats(long, keys, exact)
+            if kind == "number":
+                got, rows = _number_stats(long, keys, exact, digits)
+                got = _with_exact_ends(got, datasets, rows, keys)
+            else:
+                got = _text_stats(long, keys, exact)
             out = got if out is None else out.unionByName(got)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     want = small_frame(spark, [(k, "string") for k in keys], expected)  # every column gets a row, even of an empty table
     return want.join(out, keys, "left").select(*keys, *[zero(c) if c.startswith("n") else F.col(c) for c in PROFILE_COLS])
 
 
+def _with_exact_ends(stats: DataFrame, datasets: dict, rows: list, keys: list[str]) -> DataFrame:
+    """The ends in full, as text, of columns that doubles don't hold."""
+    ends = None
+    for name, (df, cols) in datasets.items():
+        wide = {r["col"] for r in rows if r["dataset_id"] == name and r["_n"] and max(abs(r["_lo"]), abs(r["_hi"])) >= _DOUBLE_WHOLE}
+        types = {c: df.schema[c].dataType for c in cols}
+        need = [c for c, t in types.items() if isinstance(t, DecimalType) or (isinstance(t, IntegralType) and c in wide)]
+        if need:
+            part = extrema(df, need).select(F.lit(name).alias("dataset_id"), "col", F.col("min_text").alias("_a"), F.col("max_text").alias("_b"))
+            ends = part if ends is None else ends.unionByName(part)
+    if ends is None:
+        return stats
+    return stats.join(ends, keys, "left").withColumns({"min_text": F.coalesce("min_text", "_a"), "max_text": F.coalesce("max_text", "_b")}).drop("_a", "_b")
+
+
 def profile(df: DataFrame, cols: list[str] | None = None, exact: bool = True, digits: int = 6) -> DataFrame:
     """Column profile, one row per column (see ``profile_many``)."""
     return profile_many({"": (df, cols or df.columns)}, exact, digits).drop("dataset_id")
@@ -300,27 +343,40 @@ def extrema(df: DataFrame, cols: list[str]) -> DataFrame:
     """Minimum and maximum per ordered column: (col, min_value, max_value,
     min_text, max_text), in one pass.
 
-    The values are doubles (null for dates, times and text); the texts are
-    exact: whole numbers in full, dates and times (to the microsecond) and
-    text as they are ordered, null for fractions. NaN is no extremum.
+    Each value is compared in its column's own type. The values are doubles
+    (null for dates, times and text); the texts are exact: whole numbers and
+    decimals in full, dates and times (to the microsecond) and text as they
+    are ordered, null for doubles. NaN is no extremum.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    whole = [c for c in cols if isinstance(types[c], (IntegralType, BooleanType))]
-    number = [c for c in cols if family(types[c]) == "number" and c not in whole]
-    slots = [(number, "double", {"x": lambda _, c: _nan_free(c.cast("double"))}), (whole, "bigint", {"x": lambda _, c: c.cast("bigint")}),
-             ([c for c in cols if c not in whole and c not in number], "string", {"x": lambda n, c: _end(_order(c, types[n]), _as_text(c, types[n]))})]
-    out = None
-    for part, kind, values in slots:
-        if not part:
-            continue
-        got = per_column(df, part, values, [F.min("x").alias("lo"), F.max("x").alias("hi")])
-        as_double = (lambda c: F.lit(None).cast("double")) if kind == "string" else (lambda c: F.col(c).cast("double"))
-        as_text = ((lambda c: F.lit(None).cast("string")) if kind == "double" else (lambda c: F.col(c)["v"]) if kind == "string"
-                   else (lambda c: F.col(c).cast("string")))
-        got = got.select("col", as_double("lo").alias("min_value"), as_double("hi").alias("max_value"),
-                         as_text("lo").alias("min_text"), as_text("hi").alias("max_text"))
-        out = got if out is None else out.unionByName(got)
-    return out
+
+    def slot(c):
+        t = types[c]
+        if isinstance(t, (IntegralType, BooleanType)):
+            return "w"
+        if isinstance(t, DecimalType):
+            return f"m{t.scale}"
+        return "d" if family(t) == "number" else "t"
+    kinds = {"d": "double", "w": "bigint", "t": "struct<o:timestamp_ntz,v:string>"} | {
+        f"m{s}": f"decimal(38,{s})" for s in sorted({types[c].scale for c in cols if isinstance(types[c], DecimalType)})}
+    used = [k for k in kinds if k in {slot(c) for c in cols}]
+
+    def value(k):
+        def cell(name, c):
+            if slot(name) != k:
+                return F.lit(None).cast(kinds[k])
+            if k == "t":
+                return _end(_order(c, types[name]), _as_text(c, types[name])).cast(kinds[k])
+            return _nan_free(c.cast("double")) if k == "d" else c.cast(kinds[k])
+        return cell
+    got = per_column(df, cols, {k: value(k) for k in used}, [f(k).alias(f"{k}_{e}") for k in used for e, f in (("lo", F.min), ("hi", F.max))])
+
+    def number(e):
+        return F.coalesce(*[F.col(f"{k}_{e}").cast("double") for k in used if k != "t"], F.lit(None).cast("double"))
+
+    def text(e):
+        return F.coalesce(*[F.col(f"{k}_{e}")["v"] if k == "t" else F.col(f"{k}_{e}").cast("string") for k in used if k != "d"], F.lit(None).cast("string"))
+    return got.select("col", number("lo").alias("min_value"), number("hi").alias("max_value"), text("lo").alias("min_text"), text("hi").alias("max_text"))
 
 
 def _nan_free(v: Column) -> Column:

@@ -59,6 +59,26 @@ def q_summary_profile(spark, sf_dir):
     return Y.profile(table(spark, sf_dir, "lineitem"), LINEITEM_COLS)
 
 
+EXACT_SQL = """wide as (select o_orderkey, o_orderkey + 9007199254740992 as big,
+  cast(cast(o_orderkey as decimal(20,0)) * 100000000000 + cast(o_orderkey % 7 as decimal(20,0)) as decimal(30,0)) as whole,
+  cast(case when o_orderkey % 9 = 0 then null else concat('1', lpad(cast(o_orderkey % 100000 as varchar(20)), 5, '0'), '12345678901.',
+       case when o_orderkey % 2 = 0 then '01' else '02' end) end as decimal(38,2)) as money from {orders})"""
+
+
+def _exact_row(c):
+    return (f"select {q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct, "
+            f"min({c})::double as min, max({c})::double as max, {{}} as min_text, {{}} as max_text from wide")
+
+
+@register("summary_profile_exact", "with " + EXACT_SQL.format(orders="orders") + "\n" + "\nunion all\n".join(
+    _exact_row(c).format(*([f"min({c})::varchar", f"max({c})::varchar"] if c != "o_orderkey" else ["null::varchar"] * 2))
+    for c in ("o_orderkey", "big", "whole", "money")))
+def q_summary_profile_exact(spark, sf_dir):
+    """Whole numbers beyond 2^53 and decimals, counted and compared in full."""
+    df = spark.sql("with " + EXACT_SQL + " select * from wide", orders=table(spark, sf_dir, "orders"))
+    return Y.profile(df).select("col", "n", "n_null", "n_distinct", "min", "max", "min_text", "max_text")
+
+
 def times_sql(src, c, numbers):
     """Times counted and compared as they are."""
     return (f"select {q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct, "

@@ -26,6 +26,7 @@ from tessera.operators import summary as Y
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import catalog as K
 from tessera.sources import files as S
+from tessera.sources import snapshot as SN
 
 CATALOG_TERMS = 100  # a catalog row shows the terms of the highest scores
 GROUPINGS_TYPE = "array<struct<type:string,id_col:string,sub_cols:array<string>>>"
@@ -192,15 +193,18 @@ def ingest_catalog(spark: SparkSession, ds: Dataset, root: str, prefix: str = ""
         found["importance"] = R.rank_importance(R.corr_importance(typed, num, ds.target))
     if ds.terms:
         found["terms"] = Y.text_terms(typed, *ds.terms).withColumnRenamed(ds.terms[1], "group").withColumn("group", F.col("group").cast("string"))
+    # All tables of the run are seen at once, by its commit, or none is.
+    run = SN.Run(spark, f"{root}/metadata")
     for name, part in found.items():
-        K.put(part, f"{root}/metadata/{name}", key)
-    meta = {n: K.read_metadata(spark, f"{root}/metadata", n).where(F.col("dataset_id") == key).drop("dataset_id") for n in found}
+        run.put(part, name, key)
+    meta = {n: run.read(n, key, K.metadata_schema(n)) for n in found}
     arte = {"classification": meta["classification"], "summary": meta["extrema"]}
     arte |= {a: meta[m] for a, m in (("importance", "importance"), ("summary_machine", "terms")) if m in meta}
     K.write_artifacts(arte, f"{root}/artefacts", key)
     row = catalog_row(spark, ds.dataset_id, f"{root}/typed", df, meta["classification"], meta.get("importance"), meta["extrema"],
                       meta.get("terms"), prefix)
-    K.upsert_catalog(row, f"{root}/metadata/datasets")
+    run.put(row, "datasets", key)
+    K.publish_all(run, key)
     K.ensure_model_catalog(spark, f"{root}/models")
     return K.read_metadata(spark, f"{root}/metadata", "datasets").where(F.col("dataset_id") == key)
 
@@ -213,7 +217,9 @@ def ingest_relational(spark: SparkSession, ds: Dataset, root: str, threshold: fl
     K.put(verified_metadata(df, ds), f"{root}/verification", ds.dataset_id)
     rows, cls = collected(spark, C.classify_verified(df, threshold=threshold))
     _, typed = _metadata(spark, ds, df, root, rows)
-    K.put(cls, f"{root}/metadata/classification", ds.dataset_id)
+    run = SN.Run(spark, f"{root}/metadata")
+    run.put(cls, "classification", ds.dataset_id)
+    run.commit()
     return I.provenance(typed, "relational")
 
 

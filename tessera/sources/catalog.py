@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources import snapshot
+
 DATASETS_SCHEMA = (
     "dataset_id string, folder string, source string, dataset_type string, n_rows bigint, "
     "variables array<struct<col:string,ord:int,declared:string,suggested:string,probability:double,"
@@ -70,7 +72,7 @@ def ensure_table(spark: SparkSession, path: str, schema: str) -> None:
     """Create an empty table with ``schema`` unless one exists."""
     empty = spark.createDataFrame([], schema)
     w = empty.write.mode("ignore")
-    (w.partitionBy("dataset_id") if empty.columns != ["model_id", "dataset_id", "kind", "params"] else w).parquet(path)
+    (w.partitionBy("dataset_id", "run") if "run" in empty.columns else w).parquet(path)
 
 
 def ensure_model_catalog(spark: SparkSession, path: str) -> None:
@@ -79,18 +81,31 @@ def ensure_model_catalog(spark: SparkSession, path: str) -> None:
 
 def create_metadata_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """The metadata tables, empty unless they exist; each is partitioned by
-    ``dataset_id``. Returns their paths."""
+    ``dataset_id`` and ``run`` (see ``snapshot``). Returns their paths."""
     paths = {}
-    for name, schema in {"datasets": None, **METADATA_TABLES}.items():
+    for name in ("datasets", *METADATA_TABLES):
         paths[name] = f"{root}/{name}"
-        ensure_table(spark, paths[name], f"{schema}, dataset_id string" if schema else DATASETS_SCHEMA)
+        ensure_table(spark, paths[name], f"{metadata_schema(name)}, dataset_id string, run string")
     return paths
 
 
+def metadata_schema(name: str) -> str:
+    """The columns of a metadata table beside ``dataset_id``."""
+    return METADATA_TABLES.get(name) or DATASETS_SCHEMA.removeprefix("dataset_id string, ")
+
+
 def read_metadata(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A metadata table with its declared schema (empty ones too)."""
-    schema = METADATA_TABLES.get(name)
-    return spark.read.schema(f"{schema}, dataset_id string" if schema else DATASETS_SCHEMA).parquet(f"{root}/{name}")
+    """What is published of a metadata table, with its declared schema (empty
+    ones too)."""
+    rows = snapshot.read(spark, root, name, metadata_schema(name))
+    return rows.select("dataset_id", *[c for c in rows.columns if c != "dataset_id"])
+
+
+def publish_all(run: snapshot.Run, dataset_id: str) -> int:
+    """Commit a run that replaces all that the metadata tables hold of a
+    dataset: tables that it put nothing in have no rows of it from now on."""
+    run.pairs |= {(name, dataset_id) for name in ("datasets", *METADATA_TABLES)}
+    return run.commit()
 
 
 def ingest_typed(df: DataFrame, path: str) -> DataFrame:
