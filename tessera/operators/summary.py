@@ -127,7 +127,7 @@ def exact_mean(total: Column, n: Column, digits: int) -> Column:
     exact = F.signum(total) * whole.cast("double") / F.lit(float(10 ** digits))
     # Sums that leave no room for the steps above: decimal division, to MEAN_SCALE places.
     wide = F.round(F.try_divide(total, n.cast("decimal(20,0)")), digits).cast("double")
-    return F.when(F.abs(total) < F.lit(10 ** 20).cast("decimal(38,0)"), exact).otherwise(wide)
+    return F.when(F.abs(total) < F.lit("1" + "0" * 20).cast("decimal(38,0)"), exact).otherwise(wide)
 
 
 #: Whole numbers up to here are doubles as they are.
