@@ -79,6 +79,33 @@ def q_summary_profile_exact(spark, sf_dir):
     return Y.profile(df).select("col", "n", "n_null", "n_distinct", "min", "max", "min_text", "max_text")
 
 
+GROWN = ["l_quantity", "l_extendedprice", "l_orderkey", "l_returnflag", "l_shipdate"]
+
+
+def _grown_sql(c):
+    head = f"select {q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, "
+    if c in ("l_returnflag", "l_shipdate"):
+        return head + f"null::double as mean, null::double as stddev, null::double as min, null::double as max, min({c})::varchar as min_text, " \
+                      f"max({c})::varchar as max_text, true as close from lineitem"
+    return head + (f"{mean_sql(c)} as mean, round(stddev_samp({c}), 6) as stddev, round(min({c})::double, 6) as min, round(max({c})::double, 6) as max, "
+                   "null::varchar as min_text, null::varchar as max_text, true as close from lineitem")
+
+
+@register("summary_profile_grown", "\nunion all\n".join(map(_grown_sql, GROWN)))
+def q_summary_profile_grown(spark, sf_dir):
+    """Three batches of rows, each read once and added to the stored state;
+    the sketches' estimates are near the exact figures."""
+    from tessera.operators import profile_state as PS
+    rows, root = table(spark, sf_dir, "lineitem").select(*GROWN), scratch_path(spark, "state")
+    for part in range(3):
+        got = PS.grow(spark, root, "lineitem", rows.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(3)) == part))
+    exact = Y.profile(rows).select("col", F.col("n_distinct").alias("_d"), *[F.col(f"p{p}").alias(f"_p{p}") for p in (25, 50, 75)], F.col("stddev").alias("_sd"))
+    close = F.abs(F.col("n_distinct") - F.col("_d")) <= 1 + 0.05 * F.col("_d")
+    for p in (25, 50, 75):
+        close = close & F.coalesce(F.abs(F.col(f"p{p}") - F.col(f"_p{p}")) <= 0.1 * F.col("_sd") + 1, F.lit(True))
+    return got.join(exact, "col").select("col", "n", "n_null", "mean", "stddev", "min", "max", "min_text", "max_text", close.alias("close"))
+
+
 def times_sql(src, c, numbers):
     """Times counted and compared as they are."""
     return (f"select {q(c)} as col, count(*) as n, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct, "

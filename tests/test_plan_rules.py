@@ -1,6 +1,6 @@
 """Every registered query's physical plan: no Cartesian or nested-loop
-join (no all-pairs work) and no Python UDF operator (all row work in the
-JVM)."""
+join (no all-pairs work) and no Python operator (all row work in the JVM),
+but for the Arrow functions of the queries named below."""
 
 import pytest
 
@@ -8,7 +8,10 @@ import __spark_entry__ as E
 from tessera.plans import registry
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"]
+             "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "PythonUDF"]
+# K2 compares rows with blocks of centroids; S1 puts the lines of a byte range together.
+ARROW = {"cluster_assign", "cluster_report", "cluster_kmeans", "cluster_kmeans_check", "cluster_numeric",
+         "read_declared", "read_declared_text", "write_csv_pair", "write_csv_pair_rows"}
 QUERIES = {k: v for k, v in E.queries().items() if k in registry.QUERIES}
 
 
@@ -17,7 +20,7 @@ def test_plan_has_no_pairs_and_no_python(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    bad = [op for op in FORBIDDEN if op in plan]
+    bad = [op for op in FORBIDDEN if op in plan and not (op == "MapInArrow" and name in ARROW)]
     assert not bad, (name, bad)
 
 
