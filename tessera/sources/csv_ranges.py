@@ -219,6 +219,10 @@ def read(spark: SparkSession, path: str, schema: StructType, corrupt: str, optio
     if header:
         rows = rows.where("not first")
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
-    rows = rows.select(F.from_csv("record", ddl, options).alias("p"), "record", "whole")
+    parsed = F.from_csv("record", ddl, options)
+    if len(schema) == 2:  # a lone column's null is a record of its own, whose lead from_csv would drop
+        lone = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        parsed = F.when(F.col("record") == options["nullValue"], lone).otherwise(parsed)
+    rows = rows.select(parsed.alias("p"), "record", "whole")
     broken = {corrupt: F.col("record")}
     return rows.select(*[F.when(F.col("whole"), F.col("p")[f.name]).otherwise(broken.get(f.name, F.lit(None))).alias(f.name) for f in schema])
