@@ -15,6 +15,15 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(taken, name: str, prefix: str) -> str:
+    """``name`` with as many prefixes as make it clash with no column of
+    ``taken`` (Spark tells names apart without regard to case)."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = f"{prefix}_{name}"
+    return name
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back. Later stages prune its columns, Spark knows its size, and

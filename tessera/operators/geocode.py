@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import qcol, stage
+from tessera.functions.sizing import free_name, qcol, stage
 from tessera.functions.text import go_trim
 
 
@@ -27,17 +27,17 @@ def reduce_gazetteer(gaz: DataFrame, place: str = "place") -> DataFrame:
 def geocode_forward(df: DataFrame, place_col: str, gazetteer: DataFrame,
                     prefix: str = "", with_kind: bool = False) -> DataFrame:
     """Append ``lat``/``lon`` for the place in ``place_col``; unmatched rows
-    keep nulls.
+    keep nulls. A name that the table has already is prefixed with ``gazetteer``.
 
     The gazetteer is reduced once, to a stored table. Spark knows that
     table's size: a small one is broadcast, a large one meets the rows in a
     shuffle join of two plain exchanges, so that AQE can split a hot place.
     """
+    parts = ("lat", "lon", "kind") if with_kind else ("lat", "lon")
+    key = free_name(df.columns, "__key", "_")
     red = stage(reduce_gazetteer(gazetteer), "gazetteer").where("key is not null").select(
-        F.col("key").alias("__key"), F.col("lat").alias(f"{prefix}lat"),
-        F.col("lon").alias(f"{prefix}lon"), F.col("kind").alias(f"{prefix}kind"))
-    out = df.join(red, place_key(qcol(place_col)) == F.col("__key"), "left").drop("__key")
-    return out if with_kind else out.drop(f"{prefix}kind")
+        F.col("key").alias(key), *[F.col(c).alias(free_name(df.columns, prefix + c, "gazetteer")) for c in parts])
+    return df.join(red, place_key(qcol(place_col)) == F.col(key), "left").drop(key)
 
 
 def geocode_report(geocoded: DataFrame, place_col: str, kind_col: str = "kind") -> DataFrame:

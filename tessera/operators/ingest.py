@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import per_column, small_frame
+from tessera.functions.sizing import per_column, qcol, small_frame
 
 # The provenance tags and the two group kinds, in order.
 SOURCE_SEED = "seed"
@@ -51,23 +51,23 @@ def remote_sensing(registry: DataFrame) -> DataFrame:
 
 def multiband_groups(df: DataFrame, image_col: str = "image_id", band_col: str = "band",
                      file_col: str = "image_file") -> DataFrame:
-    """One row per image: its bands in order and the file of each.
+    """One row per image: its bands in order and the file of each, as arrays
+    of one length (a band without a file has null).
 
     (image, band) pairs are reduced first, so an image's list holds one
     entry per distinct band, however many rows repeat it.
     """
-    pairs = df.groupBy(image_col, band_col).agg(F.min(file_col).alias("_f"))
-    g = pairs.groupBy(image_col).agg(F.sort_array(F.collect_list(F.struct(F.col(band_col).alias("b"),
-                                                                          F.col("_f").alias("f")))).alias("_l"))
-    return g.select(F.col(image_col).alias("image_id"), F.size("_l").cast("bigint").alias("n_bands"),
-                    F.array_join(F.transform("_l", lambda s: s["b"]), ",").alias("bands"),
-                    F.array_join(F.transform("_l", lambda s: s["f"]), ",").alias("files"))
+    pairs = (df.select(qcol(image_col).alias("i"), qcol(band_col).alias("b"), qcol(file_col).alias("f"))
+             .groupBy("i", "b").agg(F.min("f").alias("f")))
+    g = pairs.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("b", "f"))).alias("_l"))
+    return g.select(F.col("i").alias("image_id"), F.size("_l").cast("bigint").alias("n_bands"),
+                    F.transform("_l", lambda s: s["b"]).alias("bands"), F.transform("_l", lambda s: s["f"]).alias("files"))
 
 
 def geobounds(df: DataFrame, group_col: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """West, south, east, north per group."""
-    return df.groupBy(group_col).agg(F.min(lon).alias("west"), F.min(lat).alias("south"),
-                                     F.max(lon).alias("east"), F.max(lat).alias("north"))
+    return df.groupBy(qcol(group_col)).agg(F.min(qcol(lon)).alias("west"), F.min(qcol(lat)).alias("south"),
+                                           F.max(qcol(lon)).alias("east"), F.max(qcol(lat)).alias("north"))
 
 
 def group_specs(spark, image_col: str = "image_id", band_col: str = "band", file_col: str = "image_file",

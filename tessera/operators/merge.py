@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import qcol, stage
+from tessera.functions.sizing import free_name, qcol, stage
 
 
 @dataclass
@@ -27,7 +27,7 @@ class Relation:
 def _final_names(main: DataFrame, relations: list[Relation]) -> dict[str, dict[str, str]]:
     """Column names each resource contributes, as a left-to-right merge
     would name them: a name already taken gets the resource name as
-    prefix; the resource key is dropped."""
+    prefix, again until it is free; the resource key is dropped."""
     taken = set(main.columns)
     out = {}
     for rel in relations:
@@ -35,8 +35,8 @@ def _final_names(main: DataFrame, relations: list[Relation]) -> dict[str, dict[s
         for c in rel.df.columns:
             if c == rel.right_key:
                 continue
-            names[c] = f"{rel.name}_{c}" if c in taken else c
-        taken |= set(names.values())
+            names[c] = free_name(taken, c, rel.name)
+            taken.add(names[c])
         out[rel.name] = names
     return out
 
@@ -87,11 +87,17 @@ def _join(left: DataFrame, rel: Relation, right: DataFrame) -> DataFrame:
 
 
 def merge_train_target(features: DataFrame, targets: DataFrame, key: str) -> DataFrame:
-    """Features left-joined to targets by row key, with a ``has_target`` flag."""
-    side = targets.withColumn("__hit", F.lit(True))
-    return (features.join(side, key, "left")
-            .withColumn("has_target", F.coalesce(F.col("__hit"), F.lit(False)))
-            .drop("__hit"))
+    """Features left-joined to targets by row key, with a ``has_target`` flag.
+    A target column whose name a feature has is prefixed with ``target``.
+    Two target rows of one key give two rows; ``merge_audit`` reports them."""
+    taken, cols = {*features.columns}, []
+    for c in targets.columns:
+        name = c if c == key else free_name(taken, c, "target")
+        taken.add(name)
+        cols.append(qcol(c).alias(name))
+    flag, hit = free_name(taken, "has_target", "target"), free_name(taken, "__hit", "_")
+    side = targets.select(*cols, F.lit(True).alias(hit))
+    return features.join(side, key, "left").withColumn(flag, F.coalesce(F.col(hit), F.lit(False))).drop(hit)
 
 
 def merge_audit(main: DataFrame, relations: list[Relation]) -> DataFrame:

@@ -276,7 +276,8 @@ select image_id, count(*)::bigint as n_bands, string_agg(band, ',' order by band
   string_agg(f, ',' order by band) as files
 from (select image_id, band, min(image_file) as f from bands group by image_id, band) group by image_id""")
 def q_multiband_group(spark, sf_dir):
-    return I.multiband_groups(derived(spark, sf_dir, "bands"))
+    found = I.multiband_groups(derived(spark, sf_dir, "bands"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("bands", "files")})
 
 
 @register("geobounds_group", with_ctes(["bands"]) + """
