@@ -1,33 +1,40 @@
 """Exact top-k inner products by no-random-access aggregation.
 
-A block of rows keeps a list for each component, sorted by value. For a
-query a list is read from the end that contributes most. After some depth a
-row's score lies between a lower bound (the contributions read, plus the
-least that each list it was not met in can give) and an upper bound (those
-read, plus what each such list gives at the depth reached). The bar is the
-k-th best lower bound, or the query's k-th best score among ``seed_rows``
-rows that were scored beforehand (a stated number, so they can be sent to
-every task), if that is higher. All queries of a block read to the same
-depths, so the bounds of all rows are products of matrices. A query is done
-when a row that no list has met can't reach its bar and few of those met can
-(equality counts: ties are settled by id); their scores are then resolved in
-full, those of all other rows are never known.
-
-Rows are cut into blocks of about ``block_rows`` and queries into blocks of
-about ``query_rows``; every row block meets every query block in a task of
-its own, and the blocks' best k are merged. Blocks are dealt by a hash of
-the id, so no vector that many rows share weighs on one.
-
-Null ids and vectors that are null, empty, of another size, or hold null or
-non-finite components, or such as don't fit 64 bits when scaled, take no
-part; of rows with one id, the least vector asks. Where a score could pass
-64 bits, it is added up in unbounded integers; if one of the k best does
-pass, the query fails, as SQL does. Fewer candidates than k give fewer rows;
-an empty table none.
+A block of rows keeps a list for each component, sorted by value. A query
+reads the lists in turn, a short run of each at a time, from the end that
+contributes most to it. What it knows of a row is the sum of the entries met
+(``known``) and how much of the row's and of the query's square length is
+still unread: the rest of the score lies within the product of the two
+unread lengths, which gives a lower and an upper bound. Rows that no list
+has met share one bound, the sum of what each list gives at the depth
+reached. The bar is the k-th best lower bound. When outsiders can't reach it
+(equality counts: ties are settled by id), reading goes on until it has cost
+as much as it would to resolve the rows that are left, whose scores are then
+resolved in full. Other rows' scores are never known.
+
+Rows are cut into blocks of about ``BLOCK_COMPONENTS`` components (or
+``block_rows`` rows) and queries into blocks of about ``query_rows``; every
+row block meets every query block in a task of its own, and the blocks' best
+k are merged. Blocks are dealt by a hash of the id, so no vector that many
+rows share weighs on one.
+
+How much is read depends on the data: the more the components are alike and
+independent, the deeper (README has figures). The result is exact always.
+
+Null ids and vectors that are null, empty, of another size (than the most
+frequent one), or hold null or non-finite components take no part; of rows
+with one id, the least vector asks. Components of any finite size count:
+scores that could pass 64 bits are added up in unbounded integers, and the
+query fails, as SQL does, only if one of the k best does pass. Fewer
+candidates than k give fewer rows; an empty table none. Only the id and the
+vector column are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,137 +43,152 @@ from pyspark.sql import functions as F
 from tessera.llm import common as C
 from tessera.llm import vectors as V
 
-BLOCK_ROWS = 4096
+BLOCK_COMPONENTS = 1 << 20
 QUERY_ROWS = 2048
-SEED_ROWS = 4096
 _LONG = 1 << 62
 
 
+def _whole(x: np.ndarray, scale: float) -> np.ndarray:
+    """floor(scale * x), as Python's integers where 64 bits don't hold all."""
+    with np.errstate(over="ignore"):
+        f = np.floor(x * scale)
+    if np.abs(f).max(initial=0) < _LONG:
+        return f.astype(np.int64)
+    return np.array([[int(b) if np.isfinite(b) else math.floor(Fraction(a) * Fraction(scale)) for a, b in zip(*r)] for r in zip(x, f)], object)
+
+
+def _floats(rows: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rows as doubles divided by 2**n, and n: all at most about 1."""
+    if rows.dtype != object:
+        x = rows.astype(np.float64)
+        n = int(np.frexp(np.abs(x).max(initial=0))[1])
+        return np.ldexp(x, -n), n
+    n = max((abs(int(x)).bit_length() for x in rows.flat), default=0)
+    cut = max(n - 960, 0)
+    return np.ldexp(np.array([[float(int(x) >> cut) for x in r] for r in rows], np.float64).reshape(rows.shape), cut - n), n
+
+
 def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """The exact inner products, as Python's integers if they may be long."""
-    reach = np.abs(rows.astype(np.float64)).max(initial=0) * np.abs(query.astype(np.float64)).sum()
-    if reach < _LONG:
-        return (rows * query).sum(1)
+    if object not in (rows.dtype, query.dtype):
+        reach = np.abs(rows.astype(np.float64)).max(initial=0) * np.abs(query.astype(np.float64)).sum()
+        if reach < _LONG:
+            return (rows * query).sum(1)
     return (rows.astype(object) * query.astype(object)).sum(1)
 
 
 class SortedLists:
     """A block's rows (integers) with a sorted list for each component:
-    ``place`` has each row's place in each list, ``sorted`` the lists."""
+    ``order`` has the rows of each list, ``sorted`` their values. ``read``
+    counts list entries read, ``resolved`` rows scored in full."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
-        order = np.argsort(rows, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(rows, order, axis=0).astype(np.float64)
-        self.place = np.empty(rows.shape, np.int32)
-        np.put_along_axis(self.place, order, np.arange(len(rows), dtype=np.int32)[:, None], axis=0)
-        self.largest = np.abs(self.sorted).max(0, initial=0)
-
-    def top(self, q_ids: np.ndarray, queries: np.ndarray, k: int, bars: np.ndarray | None = None, few: int = 64):
+        x, self.exponent = _floats(rows)
+        by = np.ascontiguousarray(x.T)
+        self.order = np.argsort(by, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(by, self.order, axis=1)
+        self.square, self.largest = (x * x).sum(1), np.abs(x).max(0, initial=0)
+        self.read = self.resolved = 0
+
+    def _candidates(self, own: int, query: np.ndarray, k: int, bar: float) -> np.ndarray:
+        """The rows that may be among the k best: reads the lists."""
+        n, d = len(self.ids), len(query)
+        w, exponent = _floats(query[None, :])
+        w, open_ = w[0], self.ids != own
+        up, down = np.flatnonzero(w > 0), np.flatnonzero(w < 0)
+        weight = np.concatenate([w[up], w[down]])[:, None]
+        round_ = (d + 8) * 2.0 ** -52  # relative error of a sum
+        slack, asked = 2 * round_ * (np.abs(w) @ self.largest), w @ w
+        if object in (self.rows.dtype, query.dtype):  # what ``_floats`` cuts off
+            slack += (np.abs(w).sum() + self.largest.sum()) * 2.0 ** -900
+        known, met, ask = np.zeros(n), np.zeros(n), np.zeros(n)
+        seen = np.zeros(n, bool)
+        bar = math.ldexp(bar, -exponent - self.exponent) - slack
+        step, depth, out_at, left = max(32, n // 32), 0, n, n
+        while depth < n and left > 0 and len(weight):
+            to = min(n, depth + step)
+            at = np.concatenate([self.order[up, n - to:n - depth], self.order[down, depth:to]])
+            v = np.concatenate([self.sorted[up, n - to:n - depth], self.sorted[down, depth:to]])
+            self.read += at.size
+            flat = at.reshape(-1)
+            known += np.bincount(flat, (weight * v).reshape(-1), n)
+            met += np.bincount(flat, (v * v).reshape(-1), n)
+            ask += np.bincount(flat, np.broadcast_to(weight * weight, v.shape).reshape(-1), n)
+            seen[flat] = True
+            depth = to
+            rest = np.sqrt((np.maximum(self.square - met, 0) + round_ * self.square) * (np.maximum(asked - ask, 0) + round_ * asked))
+            low = np.where(self.ids != own, known - rest, -np.inf)
+            if n > k:
+                bar = max(bar, np.partition(low, n - k)[n - k] - slack)
+            open_ &= known + rest + slack >= bar
+            outside = w[up] @ self.sorted[up, n - depth] + w[down] @ self.sorted[down, depth - 1] + slack
+            if outside < bar:
+                open_ &= seen
+                out_at = min(out_at, depth)
+            left = np.count_nonzero(open_)
+            if depth - out_at >= left:
+                break
+        return np.flatnonzero(open_)
+
+    def top(self, q_ids: np.ndarray, queries: np.ndarray, k: int, bars: np.ndarray | None = None):
         """For each query the rows and scores of its k best, ties to the
-        lesser id; rows under its bar may be missing."""
-        n, m = len(self.rows), len(queries)
-        q = queries.astype(np.float64)
-        # Sums of whole numbers under 2**24 are exact in single precision.
-        reach = np.abs(q) @ self.largest
-        kind = np.float32 if reach.max(initial=0) < 1 << 24 else np.float64
-        slack = np.where(reach < 1 << 24, 0, 1e-12 * reach)
-        bar = np.full(m, -np.inf) if bars is None else bars - slack
-        up, down = np.where(q > 0, q, 0), np.where(q < 0, q, 0)  # read from the top, from the bottom
-        least = up * self.sorted[0] + down * self.sorted[-1]
-        open_ = self.ids[:, None] != q_ids[None, :]
-        todo = np.arange(m) if n > max(few, 2 * k) else np.arange(0)
-        for depth in sorted({n - (n >> i) for i in (1, 2, 3)} | {n >> i for i in (2, 3, 4)} - {0, n}):
-            edge = up * self.sorted[n - depth] + down * self.sorted[depth - 1]
-            now = todo[(edge[todo].sum(1) < bar[todo]) | (2 * depth >= n)]
-            if not len(now):
-                continue
-            read = {}
-            for side, part in (("up", self.place >= n - depth), ("down", self.place < depth)):
-                read[side] = part.astype(kind), (self.rows * part).astype(kind)
-            known = read["up"][1] @ up[now].T.astype(kind) + read["down"][1] @ down[now].T.astype(kind)
-
-            def bound(rest):  # what is read, and ``rest`` from every other list
-                rest_up, rest_down = np.where(q[now] > 0, rest, 0), np.where(q[now] < 0, rest, 0)
-                met = read["up"][0] @ rest_up.T.astype(kind) + read["down"][0] @ rest_down.T.astype(kind)
-                return known + (rest.sum(1).astype(kind) - met)
-
-            low = np.where(open_[:, now], bound(least[now]), -np.inf)
-            bar[now] = np.maximum(bar[now], np.partition(low, n - k, axis=0)[n - k] - slack[now])
-            open_[:, now] &= bound(edge[now]) >= bar[now] - slack[now]
-            left = open_[:, now].sum(0)
-            todo = np.setdiff1d(todo, now[left <= few])
-        for i in range(m):
-            live = np.flatnonzero(open_[:, i])
+        lesser id; rows under its bar (a k-th best known before) may be
+        missing. A score under what 64 bits hold is None."""
+        for i, own in enumerate(q_ids):
+            live = self._candidates(own, queries[i], k, -np.inf if bars is None else float(bars[i]))
+            self.resolved += len(live)
             score = _products(self.rows[live], queries[i])
-            if score.dtype == object:
-                best = np.array(sorted(range(len(live)), key=lambda j: (-score[j], self.ids[live[j]]))[:k], np.int64)
-            else:
+            if score.dtype != object:
                 best = np.lexsort((self.ids[live], -score))[:k]
-            yield live[best], score[best].astype(np.int64)  # fails where one passes 64 bits
+                yield live[best], score[best].astype(np.int64)
+                continue
+            best = np.array(sorted(range(len(live)), key=lambda j: (-score[j], self.ids[live[j]]))[:k], np.int64)
+            if any(x >= 1 << 63 for x in score[best]):
+                raise OverflowError("a score among the k best passes 64 bits")
+            yield live[best], np.array([int(x) if x >= -(1 << 63) else None for x in score[best]], object)
 
 
 _FOUND = "query_id long, vec_id long, score long"
-_ROW = "vec_id long, v array<bigint>"
-
 
-def _set_bars(sent, dim: int, k: int):
-    """Adds each query's k-th best score among the seed rows (null without)."""
-    def run(batches):
-        ids, rows = sent.value
-        for b in batches:
-            bars = []
-            for i, q in zip(b.column("vec_id").to_pylist(), V.matrix(b.column("v"), dim)):
-                s = _products(rows, q)[ids != i]
-                bars.append(float(np.sort(s)[len(s) - k] if s.dtype == object else np.partition(s, len(s) - k)[len(s) - k]) if len(s) >= k else None)
-            yield b.append_column("bar", pa.array(bars, pa.float64()))
-    return C.tidy(run)
 
-
-def _aggregate(dim: int, k: int):
+def _aggregate(dim: int, k: int, scale: float):
     """Groups (rows' block, queries' block): rows first, then queries."""
     def run(batches):
         for t in V.grouped(batches, ["rb", "qb"]):
             asks = t.column("asks").to_numpy()
-            ids, v = t.column("vec_id").to_numpy(), V.matrix(t.column("v"), dim)
             if asks.all() or not asks.any():
                 continue
-            block = SortedLists(ids[~asks], v[~asks])
-            bars = np.nan_to_num(t.column("bar").to_numpy().astype(float)[asks], nan=-np.inf)
-            out, i, q = [], ids[asks], v[asks]
-            for a in range(0, len(i), 256):
-                got = block.top(i[a:a + 256], q[a:a + 256], k, bars[a:a + 256])
-                out += [(np.full(len(r), x), block.ids[r], s) for x, (r, s) in zip(i[a:a + 256], got)]
+            ids, v = t.column("vec_id").to_numpy(), V.matrix(t.column("v"), dim)
+            block, out = SortedLists(ids[~asks], _whole(v[~asks], scale)), []
+            i, q = ids[asks], _whole(v[asks], scale)
+            for x, (r, s) in zip(i, block.top(i, q, k)):
+                out.append((np.full(len(r), x), block.ids[r], s.astype(object)))
             for a in range(0, len(out), 1024):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out[a:a + 1024])],
+                query, vec, score = (np.concatenate(c) for c in zip(*out[a:a + 1024]))
+                yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(score.tolist(), pa.int64())],
                                                  names=["query_id", "vec_id", "score"])
     return C.tidy(run)
 
 
 def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256, id_col: str = "vec_id", vec_col: str = "embedding",
-                 block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, seed_rows: int = SEED_ROWS) -> DataFrame:
+                 block_rows: int | None = None, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest inner products
     of floor(scale * x) with ``vectors`` (but not its own id)."""
     dim = V.common_size(vectors, vec_col)
-    fits = 2.0 ** 63 / abs(scale)  # what a long holds when scaled
+    block_rows = block_rows or max(1, BLOCK_COMPONENTS // max(dim, 1))
 
     def rows(df):
         v = F.col(vec_col)
-        df = df.where(F.col(id_col).isNotNull() & V.usable(v, fits) & (F.size(v) == dim) & (F.size(v) > 0))
-        return df.select(F.col(id_col).cast("bigint").alias("vec_id"),
-                         F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"))
+        df = df.where(F.col(id_col).isNotNull() & V.usable(v) & (F.size(v) == dim) & (F.size(v) > 0))
+        return df.select(F.col(id_col).cast("bigint").alias("vec_id"), v.cast("array<double>").alias("v"))
 
     table, asked = C.stage(rows(vectors), "topk-vectors"), C.stage(rows(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "topk-queries")
     row_blocks, query_blocks = max(1, -(-table.count() // block_rows)), max(1, -(-asked.count() // query_rows))
-    seeds = table.orderBy(F.xxhash64("vec_id"), "vec_id").limit(seed_rows).collect()
-    if not seeds:
-        return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    sent = table.sparkSession.sparkContext.broadcast((np.array([r["vec_id"] for r in seeds]), np.array([r["v"] for r in seeds], np.int64)))
-    asked = asked.mapInArrow(_set_bars(sent, dim, k), f"{_ROW}, bar double")
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    met = table.select(block(row_blocks).alias("rb"), each(query_blocks).alias("qb"), F.lit(False).alias("asks"), "vec_id", "v",
-                       F.lit(None).cast("double").alias("bar")).union(
-        asked.select(each(row_blocks).alias("rb"), block(query_blocks).alias("qb"), F.lit(True), "vec_id", "v", "bar"))
-    found = met.repartition("rb", "qb").sortWithinPartitions("rb", "qb").mapInArrow(_aggregate(dim, k), _FOUND)
-    return V.best(found, k)
+    met = table.select(block(row_blocks).alias("rb"), each(query_blocks).alias("qb"), F.lit(False).alias("asks"), "vec_id", "v").union(
+        asked.select(each(row_blocks).alias("rb"), block(query_blocks).alias("qb"), F.lit(True), "vec_id", "v"))
+    found = met.repartition("rb", "qb").sortWithinPartitions("rb", "qb").mapInArrow(_aggregate(dim, k, scale), _FOUND)
+    fits = F.coalesce("score", F.raise_error("a score among the k best passes 64 bits").cast("bigint"))
+    return V.best(found, k).withColumn("score", fits)

@@ -76,7 +76,7 @@ def brute_products(data, k):
 @pytest.mark.parametrize("block,queries", [(4096, 2048), (100, 7)])
 def test_top_products_are_exact(spark, block, queries):
     data = [(i, [float(np.float32(x)) for x in v], r) for i, v, r in rows(2)]
-    df = spark.createDataFrame(data + BAD[:1] + BAD[2:] + [(9350, [1e30] * 8, 0)], SCHEMA).repartition(3)
+    df = spark.createDataFrame(data + BAD[:1] + BAD[2:], SCHEMA).repartition(3)
     got = {}
     for r in no_random_access.top_products(df, df.where("vec_id % 50 = 0"), 5, block_rows=block, query_rows=queries).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
@@ -133,3 +133,41 @@ def test_scores_beyond_longs():
     assert [int(x) for x in no_random_access._products(v, np.array([1 << 20, 1 << 20]))] == [1 << 71, 3 << 20, (3 << 20) - (1 << 70), 0]
     with pytest.raises(OverflowError):
         list(no_random_access.SortedLists(np.arange(4), v).top(np.array([9]), np.array([[1 << 20, 1 << 20]]), 2))
+
+
+def test_a_best_score_beyond_longs_fails(spark):
+    """A finite component takes part however large it is."""
+    df = spark.createDataFrame([(i, v, r) for i, v, r in rows(2)] + [(9350, [1e30] * 8, 0)], SCHEMA)
+    with pytest.raises(Exception, match="passes 64 bits"):
+        no_random_access.top_products(df, df.where("vec_id % 50 = 0"), 5).collect()
+
+
+@pytest.mark.parametrize("far", [1e17, -3e200, 1.7e308])
+def test_components_of_any_size_take_part(spark, far):
+    """Their scores with zeros fit; where none of the k best passes 64 bits, all is exact."""
+    data = [(i, [float(x), 0.0, 1.0], 0) for i, x in [(1, far), (2, 3), (3, 2), (4, 1)]] + [(50, [0.0, 1.0, 2.0], 0), (100, [-1.0 if far > 0 else 1.0, 0.0, 0.0], 0)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"])
+           for r in no_random_access.top_products(df, df.where("vec_id % 50 = 0"), 3).orderBy("query_id", "rank").collect()]
+    small = [(4, -65536), (3, -131072)] if far > 0 else [(2, 196608), (3, 131072), (4, 65536)]
+    want = [(50, n + 1, i, 131072) for n, i in enumerate((1, 2, 3))]
+    want += [(100, n + 1, *x) for n, x in enumerate([(50, 0), *small] if far > 0 else small)]
+    assert got == want
+
+
+def test_list_entries_read():
+    """Where vectors have near neighbours a third of the entries is read and a
+    tenth of the rows resolved; independent components are read nearly whole."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 64))
+    for spread, share, rest in ((0.1, 0.4, 0.1), (None, 1, 0.5)):
+        x = rng.normal(size=(4000, 64)) if spread is None else centres[rng.integers(0, 40, 4000)] + spread * rng.normal(size=(4000, 64))
+        v = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int64)
+        lists = no_random_access.SortedLists(np.arange(4000), v)
+        got = list(lists.top(np.arange(20), v[:20], 5))
+        for i, (r, s) in enumerate(got):
+            scores = v @ v[i]
+            scores[i] = -(1 << 40)
+            best = np.lexsort((np.arange(4000), -scores))[:5]
+            assert (r == best).all() and (s == scores[best]).all()
+        assert lists.read < share * 20 * v.size and lists.resolved < rest * 20 * len(v)
