@@ -146,7 +146,7 @@ def test_a_best_score_beyond_longs_fails(spark):
 def test_components_of_any_size_take_part(spark, far):
     """Their scores with zeros fit; where none of the k best passes 64 bits, all is exact."""
     data = [(i, [float(x), 0.0, 1.0], 0) for i, x in [(1, far), (2, 3), (3, 2), (4, 1)]] + [(50, [0.0, 1.0, 2.0], 0), (100, [-1.0 if far > 0 else 1.0, 0.0, 0.0], 0)]
-    df = spark.createDataFrame(data, SCHEMA)
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"])
            for r in no_random_access.top_products(df, df.where("vec_id % 50 = 0"), 3).orderBy("query_id", "rank").collect()]
     small = [(4, -65536), (3, -131072)] if far > 0 else [(2, 196608), (3, 131072), (4, 65536)]
