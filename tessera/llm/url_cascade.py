@@ -23,6 +23,8 @@ the universe may be judged either way.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -123,7 +125,7 @@ def _unpack(raw: bytes) -> list[tuple[np.ndarray, int]]:
 def _build_shards(batches):
     """Cascades of whole shards from rows sorted by shard (a shard is small)."""
     held = None
-    for b in [*batches, None]:
+    for b in chain(batches, [None]):
         t = pa.Table.from_batches([b]) if b is not None else None
         if t is not None and t.num_rows:
             held = t if held is None else pa.concat_tables([held, t])
