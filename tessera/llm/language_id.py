@@ -17,7 +17,9 @@
   taken out of the sums that it is judged by, so that no text counts twice.
 
 The posterior over languages is the normalised product. Rows that no
-language explains better than ``und``, or that have no text, are rejected.
+language explains better than ``und``, or that have no text, are rejected;
+but where the declared language is one that has no model (too few rows bear
+it), its word stands: the row has that language and stays.
 
 Texts are read once; what follows moves ids and a few numbers a row. Sums
 are pre-aggregated, so a host with a third of the rows is one row per task.
@@ -30,6 +32,8 @@ A model has 256 KB a language.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -196,12 +200,14 @@ def _domains(host: Column) -> Column:
 
 def _fuse(total: list[float], languages):
     total = np.array(total)
+    modelled = {re.split("[-_]", x.strip().lower())[0] for x in languages} | {"und"}
 
     def run(batches):
         names = np.array([*languages, "und"])
         for b in batches:
             out = []
-            for n, ll, post, chain, declared, suffix in zip(*(b.column(c).to_pylist() for c in ("n_bytes", "ll", "post", "chain", "by_declared", "by_suffix"))):
+            for n, ll, post, chain, said, declared, suffix in zip(*(
+                    b.column(c).to_pylist() for c in ("n_bytes", "ll", "post", "chain", "declared", "by_declared", "by_suffix"))):
                 own = np.array(post)
                 everyone = np.maximum(total - own, 0)
                 prior = (everyone + SMOOTH) / (everyone + SMOOTH).sum()
@@ -218,8 +224,11 @@ def _fuse(total: list[float], languages):
                 p = np.exp(logp - logp.max())
                 p /= p.sum()
                 best = int(p.argmax()) if n else len(languages)
+                if n and best == len(languages) and said is not None and said not in modelled:
+                    out.append((said, float(p[best]), True))
+                    continue
                 out.append((str(names[best]), float(p[best]) if n else 1.0, bool(n) and best < len(languages)))
-            keep = [c for c in b.schema.names if c not in ("n_bytes", "ll", "post", "chain", "by_declared", "by_suffix", "_r")]
+            keep = [c for c in b.schema.names if c not in ("n_bytes", "ll", "post", "chain", "declared", "by_declared", "by_suffix")]
             lang, prob, kept = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(prob, pa.float64()), pa.array(kept, pa.bool_())],
                                              names=[*keep, "lang", "posterior", "kept"])
@@ -255,7 +264,7 @@ def identify(rows: DataFrame, model: np.ndarray, keys: list[str], languages=None
     chains = C.stage(below.drop("c").join(C.stage(domains, "language-domains"), "domain").groupBy("host")
                      .agg(F.collect_list(F.struct("depth", "c")).alias("chain")), "language-chains")
     fused = scored.join(chains, "host", "left").join(by_value["declared"], "declared", "left").join(by_value["suffix"], "suffix", "left")
-    fused = fused.select(*[f"k{i}" for i in range(len(keys))], "n_bytes", "ll", "post", "chain", "by_declared", "by_suffix")
+    fused = fused.select(*[f"k{i}" for i in range(len(keys))], "n_bytes", "ll", "post", "chain", "declared", "by_declared", "by_suffix")
     out = fused.mapInArrow(_fuse([float(x) for x in total], languages), f"{key_schema}, lang string, posterior double, kept boolean")
     return out.withColumnsRenamed({f"k{i}": c for i, c in enumerate(keys)})
 

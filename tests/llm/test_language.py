@@ -140,3 +140,14 @@ def test_deep_hosts_have_their_own_prior(spark, model, labels):
     rows += [(1, "u", None, None, f"fr.{above}"), (2, "u", None, None, f"de.{above}")]
     got = {r["id"]: r["lang"] for r in L.identify(evidence(spark, rows), model, ["id"]).collect()}
     assert (got[1], got[2]) == ("fr", "de")
+
+
+def test_rare_declared_languages_stay(spark, model):
+    """A label that too few rows bear for a model is never a reason to go."""
+    text = "добрый день, вода и дом стоят у реки, а лес шумит за ней " * 4
+    docs = spark.createDataFrame([(1, text, "ru"), (2, text, "RU-latn"), (3, text, "und"), (4, text, None), (5, "", "ru"), (6, None, "ru")],
+                                 "doc_id long, text string, lang string")
+    rows = docs.selectExpr("doc_id", "text", "lang as declared", "cast(null as string) suffix", "cast(null as string) host")
+    got = {r["doc_id"]: (r["lang"], r["kept"]) for r in L.identify(rows, model, ["doc_id"]).collect()}
+    assert got == {1: ("ru", True), 2: ("ru", True), **{i: ("und", False) for i in (3, 4, 5, 6)}}
+    assert sorted(r["doc_id"] for r in L.drop_rejected(docs, model, declared="lang").collect()) == [1, 2]
