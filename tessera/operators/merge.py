@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,45 @@ class Relation:
     right_key: str
 
 
+@dataclass
+class Reference:
+    """``column`` of a resource holds values of ``key`` of ``resource``."""
+    column: str
+    resource: str
+    key: str
+
+
+def relations_of(main: str, frames: dict[str, DataFrame], references: dict[str, list[Reference]]) -> list[Relation]:
+    """The relations that merge all resources that ``main`` refers to, on
+    any way, each after the one that refers to it, nearest first.
+
+    A resource that is reached on two ways (the nation of the customer and
+    that of the supplier) is joined once for each, the later ones named by
+    the column that refers to it. References that lead back to a resource on
+    their own way are an error, as are unknown resources and columns.
+    """
+    def known(name, col):
+        if name not in frames:
+            raise ValueError(f"unknown resource {name!r}")
+        if col not in frames[name].columns:
+            raise ValueError(f"resource {name!r} has no column {col!r}")
+
+    out: list[Relation] = []
+    todo = deque([(main, {c: c for c in frames[main].columns}, (main,))])
+    while todo:
+        owner, merged, way = todo.popleft()
+        for ref in references.get(owner, []):
+            known(owner, ref.column)
+            known(ref.resource, ref.key)
+            if ref.resource in way:
+                raise ValueError("references in a circle: " + " -> ".join([*way, ref.resource]))
+            name = free_name({main, *(r.name for r in out)}, ref.resource, ref.column)
+            out.append(Relation(name, frames[ref.resource], merged[ref.column], ref.key))
+            names = _final_names(frames[main], out)[name]
+            todo.append((ref.resource, {**names, ref.key: merged[ref.column]}, (*way, ref.resource)))
+    return out
+
+
 def _final_names(main: DataFrame, relations: list[Relation]) -> dict[str, dict[str, str]]:
     """Column names each resource contributes, as a left-to-right merge
     would name them: a name already taken gets the resource name as

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tessera.operators import merge as M
 from tessera.operators import summary as Y
 from tessera.plans.registry import register
+from tessera.session import scratch_path
+from tessera.sources.dataset import read_dataset, write_dataset
 from tessera.sources.tables import table
 
 # ---------------------------------------------------------------- merge ----
@@ -36,6 +38,35 @@ left join region r on n.n_regionkey = r.r_regionkey"""
 
 register("merge_star", STAR_SQL)(star)
 
+
+@register("merge_document", """
+select l.*, o.* exclude (o_orderkey), s.* exclude (s_suppkey), c.* exclude (c_custkey),
+       sn.* exclude (n_nationkey), cn.n_name as c_nationkey_nation_n_name, cn.n_regionkey as c_nationkey_nation_n_regionkey,
+       sr.* exclude (r_regionkey), cr.r_name as n_regionkey_region_r_name
+from lineitem l
+left join orders o on l.l_orderkey = o.o_orderkey
+left join supplier s on l.l_suppkey = s.s_suppkey
+left join customer c on o.o_custkey = c.c_custkey
+left join nation sn on s.s_nationkey = sn.n_nationkey
+left join nation cn on c.c_nationkey = cn.n_nationkey
+left join region sr on sn.n_regionkey = sr.r_regionkey
+left join region cr on cn.n_regionkey = cr.r_regionkey""")
+def q_merge_document(spark, sf_dir):
+    """A folder with six resources (the main one stored as Parquet, the
+    others as CSV), merged by what its document says."""
+    ref, folder = M.Reference, scratch_path(spark, "dataset")
+    frames = {n: table(spark, sf_dir, n) for n in ("lineitem", "orders", "supplier", "customer", "nation", "region")}
+    references = {
+        "lineitem": [ref("l_orderkey", "orders", "o_orderkey"), ref("l_suppkey", "supplier", "s_suppkey")],
+        "orders": [ref("o_custkey", "customer", "c_custkey")],
+        "customer": [ref("c_nationkey", "nation", "n_nationkey")],
+        "supplier": [ref("s_nationkey", "nation", "n_nationkey")],
+        "nation": [ref("n_regionkey", "region", "r_regionkey")],
+    }
+    write_dataset(folder, "lineitem_dataset", "lineitem", frames, references, {"lineitem": f"{sf_dir}/lineitem.parquet"})
+    return read_dataset(spark, folder).merged()
+
+
 EXTREMA_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", "o_totalprice", "o_orderdate",
                 "c_acctbal"]
 
