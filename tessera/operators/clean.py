@@ -3,12 +3,13 @@ list columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StringType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
 from tessera.functions.sizing import per_column, qcol
 from tessera.functions.text import null_tokens_to_null, split_trim
+from tessera.operators.summary import MEAN_SCALE, exact_mean
 
 
 def clean_null_tokens(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -47,6 +48,23 @@ def drop_empty_constant(df: DataFrame) -> DataFrame:
     return df.select(*[qcol(c) for c in df.columns if c in keep])
 
 
+def _mean(c: Column, kind: DataType, digits: int) -> Column:
+    """The rounded mean: exact for whole numbers and decimals, whatever the
+    order of rows; for fractions too if they have at most MEAN_SCALE places."""
+    n = F.count(c)
+    if isinstance(kind, IntegralType):
+        d = "decimal(38,0)"
+        total, n = F.sum(c.cast(d)), n.cast(d)
+        twice = (F.abs(total) * 2 + n).cast(d)
+        return (F.signum(total).cast(d) * ((twice - twice % (n * 2)) / F.nullif(n * 2, F.lit(0).cast(d))).cast(d)).cast(d)
+    if isinstance(kind, DecimalType):
+        return F.round(F.avg(c), digits)
+    v, e = c.cast("double"), c.cast("double").try_cast(f"decimal(38,{MEAN_SCALE})")
+    total = F.try_sum(F.when(~F.isnan(v), e))
+    kept = F.coalesce(F.bool_and(c.isNull() | F.coalesce(e.cast("double") == v, F.lit(False))), F.lit(False))
+    return F.when(kept & (n > 0) & total.isNotNull(), exact_mean(total, n, digits)).otherwise(F.round(F.avg(v), digits))
+
+
 def impute(df: DataFrame, numeric: list[str], categorical: list[str], digits: int = 2) -> DataFrame:
     """Fill nulls: numeric columns with the mean rounded half-up to
     ``digits`` (to a whole number in a column of whole numbers), categorical
@@ -57,9 +75,7 @@ def impute(df: DataFrame, numeric: list[str], categorical: list[str], digits: in
     """
     fills = {}
     if numeric:
-        whole = {c for c in numeric if isinstance(df.schema[c].dataType, IntegralType)}
-        means = df.agg(F.struct(*[F.round(F.avg(qcol(c).cast("double")), 0 if c in whole else digits).alias(f"m{i}")
-                                  for i, c in enumerate(numeric)]).alias("m")).scalar()
+        means = df.agg(F.struct(*[_mean(qcol(c), df.schema[c].dataType, digits).alias(f"m{i}") for i, c in enumerate(numeric)]).alias("m")).scalar()
         fills |= {c: means[f"m{i}"] for i, c in enumerate(numeric)}
     if categorical:
         long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), qcol(c).cast("string").alias("v"))

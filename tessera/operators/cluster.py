@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.sizing import qcol, stage
+from tessera.functions.sizing import free_name, qcol, stage
 
 CENTROID_BYTES = 32 << 20  # of the centroids sent to a task at a time
 
@@ -27,11 +27,13 @@ def kmeans_model(df: DataFrame, cols: str | list[str], k: int = 10, seed: int =
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    data = df.withColumn("_array", features(df, cols))
-    full = data.where("_array is not null").withColumn("_features", array_to_vector(F.col("_array")))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cluster").fit(full)
-    done = model.transform(full).drop("_features", "_array").withColumn("cluster", F.col("cluster").cast("bigint"))
-    missing = data.where("_array is null").drop("_array").withColumn("cluster", F.lit(None).cast("bigint"))
+    df = df.drop("cluster")  # of an earlier run
+    array, vec = (free_name(df.columns, n, "_") for n in ("_array", "_features"))
+    data = df.withColumn(array, features(df, cols))
+    full = data.where(F.col(array).isNotNull()).withColumn(vec, array_to_vector(F.col(array)))
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vec, predictionCol="cluster").fit(full)
+    done = model.transform(full).drop(vec, array).withColumn("cluster", F.col("cluster").cast("bigint"))
+    missing = data.where(F.col(array).isNull()).drop(array).withColumn("cluster", F.lit(None).cast("bigint"))
     return done.unionByName(missing), model
 
 
@@ -53,13 +55,13 @@ def centroids_by(df: DataFrame, vec_col: str, group_col: str) -> DataFrame:
     Per-dimension sums combine map-side; each group's list holds one entry
     per dimension, so it is bounded by the vector length.
     """
-    per_dim = (df.select(F.col(group_col).alias("cluster"), F.posexplode(F.col(vec_col)).alias("d", "x"))
+    per_dim = (df.select(qcol(group_col).alias("cluster"), F.posexplode(qcol(vec_col)).alias("d", "x"))
                .groupBy("cluster", "d").agg(F.avg(F.col("x").cast("double")).alias("m")))
     return per_dim.groupBy("cluster").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("d", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
-def _nearest(sent):
+def _nearest(sent, vec: str, near: str, best_id: str):
     """Batches with the nearest centroid of a block, or of those before."""
     def run(batches):
         import numpy as np
@@ -67,10 +69,10 @@ def _nearest(sent):
 
         ids, cents = sent.value
         for b in batches:
-            v = b.column("_v")
+            v = b.column(vec)
             ok = np.flatnonzero(v.is_valid().to_numpy(zero_copy_only=False))
             x = v.take(pa.array(ok)).flatten().to_numpy(zero_copy_only=False)
-            dist, cluster = b.column("_dist").to_numpy(zero_copy_only=False).copy(), b.column("_cluster").to_numpy(zero_copy_only=False).copy()
+            dist, cluster = b.column(near).to_numpy(zero_copy_only=False).copy(), b.column(best_id).to_numpy(zero_copy_only=False).copy()
             if len(ok):
                 x = x.reshape(len(ok), -1)
                 step = max(1, (1 << 22) // max(1, cents.size))
@@ -83,17 +85,18 @@ def _nearest(sent):
                     dist[rows[better]], cluster[rows[better]] = least[better], ids[best[better]]
             none = pa.array(np.isnan(dist))
             import pyarrow.compute as pc
-            cols = [b.column(n) for n in b.schema.names if n not in ("_dist", "_cluster")]
+            cols = [b.column(n) for n in b.schema.names if n not in (near, best_id)]
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(dist), pc.if_else(none, pa.scalar(None, pa.int64()), pa.array(np.nan_to_num(cluster).astype(np.int64)))],
-                names=[*(n for n in b.schema.names if n not in ("_dist", "_cluster")), "_dist", "_cluster"])
+                names=[*(n for n in b.schema.names if n not in (near, best_id)), near, best_id])
     return run
 
 
 def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6, block_bytes: int = CENTROID_BYTES) -> DataFrame:
     """Nearest centroid by squared Euclidean distance (``cluster``, ``dist``);
     ties go to the lowest cluster id; a vector that is null or has a missing
-    component gets none.
+    component gets none. Columns of ``df`` named ``cluster`` and ``dist``, from
+    an earlier assignment, are replaced.
 
     Centroids are sent to the tasks in blocks of at most ``block_bytes``, in
     order of their ids; a task compares a batch of rows with a block by array
@@ -108,14 +111,16 @@ def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6, b
     dim = cents.agg(F.max(F.size("centroid"))).first()[0] or 0
     block = max(1, block_bytes // (8 * max(1, dim)))
     v = features(df, vec_col)
-    out = df.withColumns({"_v": F.when(F.size(v) == dim, v), "_dist": F.lit(float("nan")), "_cluster": F.lit(None).cast("bigint")})
-    schema = T.StructType([*df.schema.fields, T.StructField("_v", T.ArrayType(T.DoubleType())), T.StructField("_dist", T.DoubleType()),
-                           T.StructField("_cluster", T.LongType())])
+    plain = [f"c{i}" for i in range(len(df.columns))]  # the Arrow function takes no names with dots
+    vec, near, best_id = (free_name([*df.columns, *plain], n, "_") for n in ("_v", "_dist", "_cluster"))
+    out = df.withColumns({vec: F.when(F.size(v) == dim, v), near: F.lit(float("nan")), best_id: F.lit(None).cast("bigint")}).toDF(*plain, vec, near, best_id)
+    schema = T.StructType([*(T.StructField(n, f.dataType) for n, f in zip(plain, df.schema.fields)), T.StructField(vec, T.ArrayType(T.DoubleType())),
+                           T.StructField(near, T.DoubleType()), T.StructField(best_id, T.LongType())])
     held: list = []
 
     def fold(out):
         sent = spark.sparkContext.broadcast((np.array([r["cluster"] for r in held]), np.array([r["centroid"] for r in held], float).reshape(len(held), dim)))
-        return out.mapInArrow(_nearest(sent), schema)
+        return out.mapInArrow(_nearest(sent, vec, near, best_id), schema)
 
     for r in cents.orderBy("cluster").toLocalIterator():  # a block at a time
         held.append(r)
@@ -123,8 +128,9 @@ def assign(df: DataFrame, vec_col: str, centroids: DataFrame, digits: int = 6, b
             out, held = fold(out), []
     if held:
         out = fold(out)
-    dist = F.when(F.col("_cluster").isNotNull(), F.round("_dist", digits))
-    return out.withColumns({"cluster": F.col("_cluster"), "dist": dist}).drop("_v", "_dist", "_cluster")
+    out = out.toDF(*df.columns, vec, near, best_id)
+    dist = F.when(F.col(best_id).isNotNull(), F.round(F.col(near), digits))
+    return out.withColumns({"cluster": F.col(best_id), "dist": dist}).drop(vec, near, best_id)
 
 
 def cluster_report(assigned: DataFrame, digits: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sizing import BROADCAST_BYTES, per_column, qcol, small_frame, stage
+from tessera.functions.sizing import BROADCAST_BYTES, free_name, per_column, qcol, small_frame, stage
 from tessera.operators.index import row_index
 
 
@@ -16,12 +16,17 @@ def numeric_projection(df: DataFrame, numeric: list[str], categorical: list[str]
 
     All categorical columns share one distributed index over their distinct
     (col, value) pairs, written once; one query then tells the size of each
-    column's code table. Those of at most BROADCAST_BYTES are broadcast,
-    the others joined by shuffle. The number of jobs does not depend on the
-    number of columns.
+    column's code table. Those of at most BROADCAST_BYTES are broadcast; all
+    others share one join: the rows, stored once under a row key, are
+    unpivoted to (row, col, value), joined with the codes, and brought back to
+    a row each. So whole rows cross one shuffle however many such columns
+    there are, a cell two, and both sides of the join are stored tables, whose
+    hot values Spark splits. Missing values and rows keep null codes.
     """
     keep = keep or []
-    out = df
+    out, rid = df, free_name(df.columns, "_rid", "_")
+    code = [free_name(df.columns, f"__code{i}", "_") for i in range(len(categorical))]
+    val = [free_name(df.columns, f"__v{i}", "_") for i in range(len(categorical))]
     if categorical:
         long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), qcol(c).cast("string").alias("value"))
                                            for c in categorical]))).where(F.col("value").isNotNull()).distinct()
@@ -29,12 +34,21 @@ def numeric_projection(df: DataFrame, numeric: list[str], categorical: list[str]
         start = idx.groupBy("col").agg(F.min("_i").alias("_s"))  # one row per column
         codes = stage(idx.join(F.broadcast(start), "col").select("col", "value", (F.col("_i") - F.col("_s")).alias("code")), "codes")
         sizes = {r["col"]: r["b"] for r in codes.groupBy("col").agg(F.sum(F.octet_length("value") + 16).alias("b")).collect()}
+        large = [i for i, c in enumerate(categorical) if sizes.get(c, 0) > BROADCAST_BYTES]
+        if large:
+            used = dict.fromkeys([*keep, *numeric, *categorical])
+            out = stage(df.select(*[qcol(c) for c in used], F.monotonically_increasing_id().alias(rid)), "projection")
+            cells = out.select(F.col(rid).alias("_r"), F.inline(F.array(*[
+                F.struct(F.lit(categorical[i]).alias("col"), qcol(categorical[i]).cast("string").alias("value")) for i in large])))
+            coded = cells.where(F.col("value").isNotNull()).join(codes.where(F.col("col").isin([categorical[i] for i in large])), ["col", "value"])
+            wide = coded.groupBy("_r").agg(*[F.max(F.when(F.col("col") == categorical[i], F.col("code"))).alias(code[i]) for i in large])
+            out = out.join(wide.withColumnRenamed("_r", rid), rid, "left")
         for i, c in enumerate(categorical):
-            side = codes.where(F.col("col") == c).select(F.col("value").alias(f"__v{i}"), F.col("code").alias(f"__code{i}"))
-            side = F.broadcast(side) if sizes.get(c, 0) <= BROADCAST_BYTES else side
-            out = out.join(side, qcol(c).cast("string") == F.col(f"__v{i}"), "left")
+            if i not in large:
+                side = codes.where(F.col("col") == c).select(F.col("value").alias(val[i]), F.col("code").alias(code[i]))
+                out = out.join(F.broadcast(side), qcol(c).cast("string") == F.col(val[i]), "left")
     return out.select(*[qcol(c) for c in keep], *[qcol(c).cast("double").alias(c) for c in numeric],
-                      *[F.col(f"__code{i}").alias(c) for i, c in enumerate(categorical)])
+                      *[F.col(code[i]).alias(c) for i, c in enumerate(categorical)])
 
 
 def row_limit(df: DataFrame, order: list, n: int) -> DataFrame:
