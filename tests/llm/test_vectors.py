@@ -163,7 +163,7 @@ def test_list_entries_read():
     for spread, share, rest in ((0.1, 0.4, 0.1), (None, 1, 0.5)):
         x = rng.normal(size=(4000, 64)) if spread is None else centres[rng.integers(0, 40, 4000)] + spread * rng.normal(size=(4000, 64))
         v = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int64)
-        lists = no_random_access.SortedLists(np.arange(4000), v)
+        lists = no_random_access.SortedLists(np.arange(4000), v, read_cost=1)
         got = list(lists.top(np.arange(20), v[:20], 5))
         for i, (r, s) in enumerate(got):
             scores = v @ v[i]
@@ -171,3 +171,7 @@ def test_list_entries_read():
             best = np.lexsort((np.arange(4000), -scores))[:5]
             assert (r == best).all() and (s == scores[best]).all()
         assert lists.read < share * 20 * v.size and lists.resolved < rest * 20 * len(v)
+        dear = no_random_access.SortedLists(np.arange(4000), v)
+        for (r, s), (r2, s2) in zip(got, dear.top(np.arange(20), v[:20], 5)):
+            assert (r == r2).all() and (s == s2).all()
+        assert dear.read < lists.read and dear.read < 0.6 * 20 * v.size
