@@ -10,7 +10,7 @@ from tessera.plans import registry
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "PythonUDF"]
 # K2 compares rows with blocks of centroids; S1 puts the lines of a byte range together.
-ARROW = {"cluster_assign", "cluster_report", "cluster_kmeans", "cluster_kmeans_check", "cluster_numeric",
+ARROW = {"merge_document", "cluster_assign", "cluster_report", "cluster_kmeans", "cluster_kmeans_check", "cluster_numeric",
          "read_declared", "read_declared_text", "write_csv_pair", "write_csv_pair_rows"}
 QUERIES = {k: v for k, v in E.queries().items() if k in registry.QUERIES}
 
