@@ -350,33 +350,28 @@ def extrema(df: DataFrame, cols: list[str]) -> DataFrame:
     """
     types = {f.name: f.dataType for f in df.schema.fields}
 
-    def slot(c):
-        t = types[c]
+    def value(name):
+        c, t = qcol(name), types[name]
         if isinstance(t, (IntegralType, BooleanType)):
-            return "w"
-        if isinstance(t, DecimalType):
-            return f"m{t.scale}"
-        return "d" if family(t) == "number" else "t"
-    kinds = {"d": "double", "w": "bigint", "t": "struct<o:timestamp_ntz,v:string>"} | {
-        f"m{s}": f"decimal(38,{s})" for s in sorted({types[c].scale for c in cols if isinstance(types[c], DecimalType)})}
-    used = [k for k in kinds if k in {slot(c) for c in cols}]
-
-    def value(k):
-        def cell(name, c):
-            if slot(name) != k:
-                return F.lit(None).cast(kinds[k])
-            if k == "t":
-                return _end(_order(c, types[name]), _as_text(c, types[name])).cast(kinds[k])
-            return _nan_free(c.cast("double")) if k == "d" else c.cast(kinds[k])
-        return cell
-    got = per_column(df, cols, {k: value(k) for k in used}, [f(k).alias(f"{k}_{e}") for k in used for e, f in (("lo", F.min), ("hi", F.max))])
-
-    def number(e):
-        return F.coalesce(*[F.col(f"{k}_{e}").cast("double") for k in used if k != "t"], F.lit(None).cast("double"))
-
-    def text(e):
-        return F.coalesce(*[F.col(f"{k}_{e}")["v"] if k == "t" else F.col(f"{k}_{e}").cast("string") for k in used if k != "d"], F.lit(None).cast("string"))
-    return got.select("col", number("lo").alias("min_value"), number("hi").alias("max_value"), text("lo").alias("min_text"), text("hi").alias("max_text"))
+            return c.cast("bigint")
+        if family(t) == "number":
+            return c if isinstance(t, DecimalType) else _nan_free(c.cast("double"))
+        return c.cast("timestamp_ntz" if family(t) == "time" else "string")
+
+    def cells(i, name):
+        """The row of a column, from its ends."""
+        t = types[name]
+        whole = isinstance(t, (IntegralType, BooleanType, DecimalType))
+        has = {"value": ("double", whole or family(t) == "number"), "text": ("string", whole or family(t) != "number")}
+        return F.struct(F.lit(name).alias("col"), *[
+            (F.col(f"_{end}{i}") if there else F.lit(None)).cast(kind).alias(f"{end}_{what}")
+            for what, (kind, there) in has.items() for end in ("min", "max")])
+    if not cols:
+        return small_frame(df.sparkSession, [("col", "string"), ("min_value", "double"), ("max_value", "double"), ("min_text", "string"), ("max_text", "string")], [])
+    # One row of ends for all columns: grouped by column instead, texts (whose
+    # ends a hash table can't hold) would have every cell of the table sorted.
+    ends = df.agg(*[f(value(c)).alias(f"_{e}{i}") for i, c in enumerate(cols) for e, f in (("min", F.min), ("max", F.max))])
+    return ends.select(F.inline(F.array(*[cells(i, c) for i, c in enumerate(cols)])))
 
 
 def _nan_free(v: Column) -> Column:
