@@ -60,14 +60,18 @@ class LineStates:
 
 
 def _stretches(batch, keys):
-    """(keys' values, lines) of each range in a batch."""
+    """(keys' values, lines) of each range in a batch, a few MB at a time:
+    what is made of lines is then as small, however long a batch's are."""
     cut = {0, batch.num_rows}
     for k in keys:
         runs = pc.run_end_encode(batch.column(k))
         cut.update(runs.run_ends.to_pylist())
     cut = sorted(cut)
     for x, y in zip(cut, cut[1:]):
-        yield tuple(batch.column(k)[x].as_py() for k in keys), batch.column("value").slice(x, y - x)
+        key, lines = tuple(batch.column(k)[x].as_py() for k in keys), batch.column("value").slice(x, y - x)
+        step = max(1, PIECE_BYTES * len(lines) // max(1, lines.nbytes))
+        for i in range(0, len(lines), step):
+            yield key, lines.slice(i, step)
 
 
 def _quoted(lines: pa.Array) -> np.ndarray:
