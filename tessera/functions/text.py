@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 # case-insensitively.
 NULL_TOKENS = ["", "NA", "N/A", "NULL", "NONE", "?"]
 
-# Whitespace as Unicode defines it (what a Go-style TrimSpace strips), as a
-# Java regex character class.
-_WS = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Whitespace as Unicode defines it (what a Go-style TrimSpace strips). A set
+# of characters: trimming looks at the ends of a text, a pattern at all of it.
+_WS = " \t\n\v\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def go_trim(c: Column) -> Column:
-    """Strip leading and trailing Unicode whitespace (not only spaces)."""
-    return F.regexp_replace(c, rf"\A{_WS}+|{_WS}+\z", "")
+    """Strip leading and trailing Unicode whitespace (not only spaces). Most
+    texts begin and end with printable ASCII and are left alone."""
+    end = F.right(c, F.lit(1))
+    return F.when((c < "!") | (c > "~") | (end < "!") | (end > "~"), F.trim(c, F.lit(_WS))).otherwise(c)
 
 
 def null_tokens_to_null(c: Column) -> Column:

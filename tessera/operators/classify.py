@@ -9,23 +9,25 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import exact as E
 from tessera.functions.sizing import qcol, small_frame
 from tessera.functions.text import go_trim
-from tessera.functions.types import (CAST_TARGETS, NUMERIC_STORAGE, PATTERNS, PRIORITY, SCORED_TYPES, STORAGE_TYPES,
-                                     guarded_cast, has_time, kept_cast, matches_type, storage_of)
+from tessera.functions.types import (CAST_TARGETS, COORD_RULES, NUMERIC_STORAGE, PATTERNS, PRIORITY, SCORED_TYPES, STORAGE_TYPES,
+                                     guarded_cast, storage_of)
 
 DEFAULT_THRESHOLD = 0.8  # fixed value: the default probability threshold
+DATE_BYTES, STAMP_BYTES = 10, 26  # of a date, and of a time of day in microseconds
+IMAGE_CHARS = 5  # the longest ending of the image pattern
 CATEGORICAL_RATIO = 0.05  # fixed value: distinct values at most this share of rows
 
 
 def text_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col, v): every value of ``cols`` as trimmed text, nulls kept."""
     return df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("col"), go_trim(qcol(c).cast("string")).alias("v")) for c in cols])))
+        F.struct(F.lit(c).alias("col"), qcol(c).cast("string").alias("v")) for c in cols]))).select("col", go_trim(F.col("v")).alias("v"))
 
 
 def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
@@ -38,6 +40,63 @@ def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
                               digits).alias("probability"))
 
 
+def _tested(long: DataFrame, casts: bool) -> DataFrame:
+    """``long`` with what the tests of a value share, each as a column, so
+    that it is found once per value: whether it is a ``real`` number, a whole one
+    or a ``stamp``, the ``rest`` (texts that are none of these) and, for
+    casts, whether a number is ``padded``, its digits left and right of the
+    point (``d_whole``, ``d_scale``) and whether a double keeps it (``double``).
+    Whole numbers of up to 15 characters (``short``) say all that themselves;
+    others are taken apart (``exact.parts``)."""
+    v = F.col("v")
+    is_ = lambda ty, may: F.coalesce(may & v.rlike(PATTERNS[ty]), F.lit(False))
+    # Numbers begin with a sign, a point or a digit; stamps have a few lengths.
+    out = long.select("col", "v", is_("real", (v >= "+") & (v < ":")).alias("real"),
+                      is_("dateTime", F.octet_length(v).between(DATE_BYTES, STAMP_BYTES)).alias("stamp"))
+    out = out.select("*", is_("integer", F.col("real")).alias("whole"), F.when(~F.col("real") & ~F.col("stamp"), v).alias("rest"))
+    if not casts:
+        return out
+    short, size = F.col("short"), F.octet_length(v) - F.when(v < "0", 1).otherwise(0)
+    out = out.withColumn("short", F.col("whole") & (F.octet_length(v) <= E.SAFE_DIGITS))
+    out = E.with_parts(out, F.when(F.col("real") & ~short, v))
+    core, point = F.length("core"), F.col("point")
+    out = E.with_parts(out, F.when((core <= E.SAFE_DIGITS + 2) & ((core > E.SAFE_DIGITS) | (F.abs(point) >= E.FAR)), v.try_cast("double").cast("string")), "again_")
+    whole, scale = E.decimal_digits(F.col("core"), point)
+    led = F.startswith(v, F.lit("0")) | F.startswith(v, F.lit("+0")) | F.startswith(v, F.lit("-0"))
+    return out.select(
+        "*", F.when(short, (size > 1) & led).otherwise(F.col("padded")).alias("zeros"),
+        F.when(short, size).otherwise(whole).alias("d_whole"), F.when(short, 0).otherwise(scale).alias("d_scale"),
+        (short | E.double_holds(F.col("core"), point, F.col("again_core"), F.col("again_point"))).alias("double"))
+
+
+def _scored(semantic_type: str) -> Column:
+    """``matches_type`` of a tested value: the same texts match, but a
+    pattern is tried only on those that hold what it needs."""
+    v, rest = F.col("v"), F.col("rest")
+    found = {"integer": F.col("whole"), "real": F.col("real"), "dateTime": F.col("stamp")}
+    if semantic_type in found:
+        return found[semantic_type]
+    if semantic_type in COORD_RULES:
+        hint, bound = COORD_RULES[semantic_type]
+        return F.lower("col").contains(hint) & F.col("real") & (F.abs(v.try_cast("double")) <= F.lit(bound))
+    end = F.right(rest, F.lit(IMAGE_CHARS))
+    may = {"boolean": F.octet_length(rest).between(4, 5), "url": F.contains(rest, F.lit("://")), "email": F.contains(rest, F.lit("@")),
+           "image": F.contains(end, F.lit("."))}
+    return may[semantic_type] & (end if semantic_type == "image" else rest).rlike(PATTERNS[semantic_type])
+
+
+def _kept(target: str) -> Column:
+    """``kept_cast`` of a tested value."""
+    v, stamp = F.col("v"), F.col("stamp")
+    if target == "bigint":
+        return F.col("whole") & ~F.col("zeros") & (F.col("short") | v.try_cast("bigint").isNotNull())
+    if target == "double":
+        return F.col("real") & ~F.col("zeros") & F.col("double")
+    if target == "boolean":
+        return _scored("boolean")
+    return stamp & (F.octet_length(v) == DATE_BYTES if target == "date" else F.lit(True)) & v.try_cast(target).isNotNull()
+
+
 def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: DataFrame | None = None,
                  casts: bool = False) -> DataFrame:
     """Per column, from one aggregate over the unpivoted text: rows, non-null
@@ -49,14 +108,15 @@ def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: D
     values with the gazetteer's keys."""
     cols = cols or df.columns
     long = text_long(df, cols)
-    v, name = F.col("v"), F.col("col")
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.count_if(has_time(v)).alias("n_time")]
-    aggs += [F.count_if(v.isNotNull() & matches_type(v, ty, name)).alias(f"m_{ty}") for ty in SCORED_TYPES]
+    v = F.col("v")
+    tested = _tested(long, casts)
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.count_if(F.col("stamp") & (F.octet_length(v) > DATE_BYTES)).alias("n_time")]
+    aggs += [F.count_if(_scored(ty)).alias(f"m_{ty}") for ty in SCORED_TYPES]
     if casts:
-        aggs += [F.count_if(kept_cast(v, t)).alias(f"k_{t}") for t in CAST_TARGETS]
-        need = F.when(v.rlike(PATTERNS["real"]), E.needs(v))
-        aggs += [F.count(need).alias("k_decimal"), F.max(need["whole"]).alias("d_whole"), F.max(need["scale"]).alias("d_scale")]
-    stats = long.groupBy("col").agg(*aggs)
+        aggs += [F.count_if(_kept(t)).alias(f"k_{t}") for t in CAST_TARGETS]
+        unpadded = F.col("real") & ~F.col("zeros")
+        aggs += [F.count_if(unpadded).alias("k_decimal"), *[F.max(F.when(unpadded, F.col(d))).alias(d) for d in ("d_whole", "d_scale")]]
+    stats = tested.groupBy("col").agg(*aggs)
     if gazetteer_keys is not None:
         keys = gazetteer_keys.select(F.col(gazetteer_keys.columns[0]).alias("_key")).where("_key is not null")
         hits = (long.where(v.isNotNull()).select("col", F.upper(v).alias("_key")).join(keys, "_key", "left_semi")
@@ -143,7 +203,9 @@ def classify_verified(df: DataFrame, cols: list[str] | None = None, threshold: f
 
 
 def _classified(df, cols, threshold, categorical, ratio, gazetteer_keys, digits, casts) -> DataFrame:
-    stats = column_stats(df, cols, gazetteer_keys, casts)
+    counted = column_stats(df, cols, gazetteer_keys, casts)
+    # One row per column comes back: scores and casts are of the same pass.
+    stats = small_frame(df.sparkSession, [(f.name, f.dataType.simpleString()) for f in counted.schema.fields], [tuple(r) for r in counted.collect()])
     types = SCORED_TYPES + (["place"] if gazetteer_keys is not None else [])
     keep = ["n_rows", "n_time", *([*[f"k_{t}" for t in CAST_TARGETS], "k_decimal", "d_whole", "d_scale"] if casts else [])]
     g = gate(best_types(_score_rows(stats, types, digits)), threshold).join(stats.select("col", *keep), "col")
