@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, DecimalType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
-from tessera.functions.sizing import per_column, qcol, small_frame
+from tessera.functions.sizing import qcol, small_frame, union_all
 
 QUARTILES = (0.25, 0.5, 0.75)
 BINS = 1024  # of a quantile pass
@@ -147,9 +147,10 @@ def _number_cell(name: str, c: Column, t: DataType) -> Column:
     return F.struct(F.lit(name).alias("col"), v.alias("v"), e.alias("e"), F.when(c.isNotNull(), k).alias("k"))
 
 
-def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) -> tuple[DataFrame, list]:
+def _number_stats(long: DataFrame, doubles: DataFrame, keys: list[str], exact: bool, digits: int) -> tuple[DataFrame, list]:
     """Statistics per key group of long numbers (``_number_cell``), nulls
-    included, and the collected row of each group. Values, sums and moments are one pass."""
+    included, and the collected row of each group. Values, sums and moments are one pass;
+    quantiles take a few, over ``doubles`` (the same without exact parts)."""
     v = F.col("v")
     f = _finite(v)
     dec = F.coalesce("e", f.try_cast(f"decimal(38,{MEAN_SCALE})"))
@@ -158,7 +159,7 @@ def _number_stats(long: DataFrame, keys: list[str], exact: bool, digits: int) ->
     s = long.groupBy(*keys).agg(
         F.count(f).alias("_n"), F.avg(f).alias("_m"), F.min(f).alias("_lo"), F.max(f).alias("_hi"), F.sum(dec).alias("_sum"),
         F.count_if(odd).alias("_odd"), F.stddev_samp(f).alias("_sd"), F.count(F.lit(1)).alias("n"), F.count_if(v.isNull()).alias("n_null"))
-    fin = long.select(*keys, f.alias("v"))
+    fin = doubles.select(*keys, f.alias("v"))
     counts = long.groupBy(*keys).agg(distinct.alias("n_distinct"))
     # One row per group comes back; later steps have them as literals.
     fields = [*[(k, "string") for k in keys], ("_n", "bigint"), ("_m", "double"), ("_lo", "double"), ("_hi", "double"),
@@ -183,24 +184,14 @@ def _as_text(c: Column, t: DataType) -> Column:
     return (c.cast("timestamp_ntz") if family(t) == "time" else c).cast("string")
 
 
-def _order(c: Column, t: DataType) -> Column:
-    """What a value is ordered by before its text: times by value."""
-    return (c if family(t) == "time" else F.lit(None)).cast("timestamp_ntz")
-
-
-def _end(order: Column, text: Column) -> Column:
-    """(order, v) to take the least or greatest of; null for null."""
-    return F.when(text.isNotNull(), F.struct(order.alias("o"), text.alias("v")))
-
-
-def _text_stats(long: DataFrame, keys: list[str], exact: bool) -> DataFrame:
-    """Statistics of text ``v``, ordered by ``o`` first, per key group, nulls
-    included; distinct values are counted by digests, so no text is shuffled."""
+def _text_stats(long: DataFrame, ends: DataFrame, keys: list[str], exact: bool) -> DataFrame:
+    """Statistics of text ``v`` per key group, nulls included, beside its
+    ``ends`` (``extrema``: in a group, texts would be sorted for them); distinct
+    values are counted by digests, so no text is shuffled."""
     v = F.col("v")
     dig = long.select(*keys, F.when(v.isNotNull(), F.xxhash64("v")).alias("a"), F.when(v.isNotNull(), F.xxhash64("v", F.lit(7))).alias("b"))
     distinct = F.count_distinct("a", "b") if exact else F.approx_count_distinct("a")
     none = [F.lit(None).cast("double").alias(c) for c in ("mean", "stddev", "p25", "p50", "p75", "min", "max")]
-    ends = long.groupBy(*keys).agg(F.min(_end(F.col("o"), v))["v"].alias("min_text"), F.max(_end(F.col("o"), v))["v"].alias("max_text"))
     return (dig.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count("a")).alias("n_null"), distinct.alias("n_distinct"))
             .join(ends, keys, "left").select(*keys, "n", "n_null", "n_distinct", *none, "min_text", "max_text"))
 
@@ -222,7 +213,7 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
     quartiles and distinct counts.
     """
     keys, parts, expected = ["dataset_id", "col"], {"number": [], "text": []}, []
-    spark = None
+    spark, doubles, ends = None, [], []
     for name, (df, cols) in datasets.items():
         spark = df.sparkSession
         expected += [(name, c) for c in cols]
@@ -230,22 +221,22 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
         number = [c for c in cols if family(df.schema[c].dataType) == "number"]
         if number:
             parts["number"].append(df.select(tag, F.inline(F.array(*[_number_cell(c, qcol(c), df.schema[c].dataType) for c in number]))))
+            doubles.append(unpivot_values(df, number, keep=[tag]))
         other = [c for c in cols if c not in number]
         if other:
             parts["text"].append(df.select(tag, F.inline(F.array(*[
-                F.struct(F.lit(c).alias("col"), _order(qcol(c), df.schema[c].dataType).alias("o"),
-                         _as_text(qcol(c), df.schema[c].dataType).alias("v")) for c in other]))))
+                F.struct(F.lit(c).alias("col"), _as_text(qcol(c), df.schema[c].dataType).alias("v")) for c in other]))))
+            texts = df.select(*[(qcol(c) if family(df.schema[c].dataType) == "time" else qcol(c).cast("string")).alias(c) for c in other])
+            ends.append(extrema(texts, other).select(tag, "col", "min_text", "max_text"))
     out = None
     for kind, frames in parts.items():
         if frames:
-            long = frames[0]
-            for f in frames[1:]:
-                long = long.unionByName(f)
+            long = union_all(frames)
             if kind == "number":
-                got, rows = _number_stats(long, keys, exact, digits)
+                got, rows = _number_stats(long, union_all(doubles), keys, exact, digits)
                 got = _with_exact_ends(got, datasets, rows, keys)
             else:
-                got = _text_stats(long, keys, exact)
+                got = _text_stats(long, union_all(ends), keys, exact)
             out = got if out is None else out.unionByName(got)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     want = small_frame(spark, [(k, "string") for k in keys], expected)  # every column gets a row, even of an empty table

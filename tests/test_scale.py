@@ -26,3 +26,51 @@ def test_extrema_sort_no_cells(spark):
         ("day", None, None, "2020-02-29 00:00:00", "2024-01-05 00:00:00")], key=str)
     empty = Y.extrema(df.limit(0), ["w", "s.x"]).collect()
     assert sorted(map(tuple, empty)) == [("s.x", None, None, None, None), ("w", None, None, None, None)]
+
+
+def test_classification_reads_its_table_once(spark):
+    """Scores and casts come from the same pass."""
+    from tessera.operators import classify as C
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(x):
+        seen.add(1)
+        return x
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(str(i), f"{i}.5") for i in range(40)], 2).map(tell), "a string, b string")
+    got = {r["col"]: r["storage"] for r in C.classify_verified(df, categorical=False).collect()}
+    assert got == {"a": "bigint", "b": "double"} and seen.value == 40
+
+
+def test_value_tests_are_those_of_the_patterns(spark):
+    """Counts of the pass against the plain test of each value."""
+    from tessera.functions import exact as E
+    from tessera.functions import types as T
+    from tessera.operators import classify as C
+    texts = [None, "", "0", "-0", "+", ".", "-", "00", "+07", "-7", "5.", ".5", "1e3", "1E-400", "1e99999999999", "123456789012345", "-12345678901234",
+             "1234567890123456", "99999999999999999999", "12345678901234567.89", "0.1000", "9007199254740993", "9223372036854775808", "1e299", "1e301", "1.5e305",
+             "true", "FALSE", "truex", "2024-01-05", "2024-13-05", "2024-01-05 10:00", "2024-01-05T10:00:00.123456", "2024-01-05 10:00:00.1234567", "2024-01-05x",
+             "http://a.b/c", "HTTPS://x", "ftp://", "see http://a.b", "a@b.co", "a@b", "x.png", "x.JPEG", ".tif", "png", "é.tiff", "١٢", "1,5", "90.5", "-90"]
+    df = spark.createDataFrame([(f" {t} " if t and i % 3 == 0 else t,) for i, t in enumerate(texts)], "lat string")
+    v, name = F.col("v"), F.lit("lat")
+    plain = C.text_long(df, ["lat"])
+    need = F.when(v.rlike(T.PATTERNS["real"]), E.needs(v))
+    want = plain.agg(F.count("v").alias("n"), F.count_if(T.has_time(v)).alias("n_time"),
+                     *[F.count_if(v.isNotNull() & T.matches_type(v, ty, name)).alias(f"m_{ty}") for ty in T.SCORED_TYPES],
+                     *[F.count_if(T.kept_cast(v, t)).alias(f"k_{t}") for t in T.CAST_TARGETS],
+                     F.count(need).alias("k_decimal"), F.max(need["whole"]).alias("d_whole"), F.max(need["scale"]).alias("d_scale")).first().asDict()
+    got = C.column_stats(df, casts=True).first().asDict()
+    assert {k: got[k] for k in want} == want
+    # And each value alone, so that no two differences cancel out.
+    each = plain.where("v is not null").select("v", F.when(v.rlike(T.PATTERNS["real"]), E.kept_by_double(v)).alias("double"))
+    tested = C._tested(plain.where("v is not null"), True).select("v", C._kept("double").alias("kept"), C._kept("bigint").alias("whole_kept"))
+    kept = {r["v"]: (bool(r["kept"]), bool(r["whole_kept"])) for r in tested.collect()}
+    assert {r["v"]: bool(r["double"]) for r in each.collect()} == {k: x[0] for k, x in kept.items()}
+    assert {r["v"]: r["k"] for r in plain.where("v is not null").select("v", T.kept_cast(v, "bigint").alias("k")).collect()} == {k: x[1] for k, x in kept.items()}
+
+
+def test_profile_sorts_no_text(spark):
+    df = spark.sql("select * from values ('b', date '2024-01-05', true), ('a', null, false), (null, date '2023-01-05', true) as t(s, d, b)")
+    prof = Y.profile(df)
+    assert not re.search(r"SortAggregate\(key=\[[^\]]", executed(prof))
+    got = {r["col"]: (r["n"], r["n_null"], r["n_distinct"], r["min_text"], r["max_text"]) for r in prof.collect()}
+    assert got == {"s": (3, 1, 2, "a", "b"), "d": (3, 1, 2, "2023-01-05 00:00:00", "2024-01-05 00:00:00"), "b": (3, 0, 2, "false", "true")}
