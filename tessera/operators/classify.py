@@ -11,6 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, IntegralType, LongType, TimestampNTZType, TimestampType
 
 from tessera.functions import exact as E
 from tessera.functions.sizing import qcol, small_frame
@@ -30,6 +31,63 @@ def text_long(df: DataFrame, cols: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("col"), qcol(c).cast("string").alias("v")) for c in cols]))).select("col", go_trim(F.col("v")).alias("v"))
 
 
+def _known(c: Column, t: DataType) -> Column | None:
+    """Whether the type and range of a value tell all that the tests ask of its
+    text: whole numbers of at most 15 digits, dates and times in years of four
+    digits (in any time zone). None for other types."""
+    if isinstance(t, IntegralType):
+        return c.between(1 - 10 ** E.SAFE_DIGITS, 10 ** E.SAFE_DIGITS - 1)
+    if isinstance(t, (DateType, TimestampType, TimestampNTZType)):
+        return c.between(*[F.lit(d).cast(t) for d in ("0001-01-03", "9999-12-29")])
+    return None
+
+
+def cells(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``text_long`` without the texts that say no more than the value
+    (``_known``): null for these, with ``num``, the whole number (0 for a time). What
+    is alike for all columns comes after the unpivoting: the JVM compiles the pass only up to a size."""
+    none = F.lit(None)
+
+    def cell(name):
+        c, t = qcol(name), df.schema[name].dataType
+        if isinstance(t, IntegralType):
+            text, num = none, c
+        elif _known(c, t) is not None:
+            text, num = F.when(~_known(c, t), c.cast("string")), F.when(_known(c, t), 0)
+        else:
+            text, num = c.cast("string"), none
+        return F.struct(F.lit(name).alias("col"), text.cast("string").alias("v"), num.cast("bigint").alias("num"))
+    v, num = F.col("v"), F.col("num")
+    within = _known(num, LongType())
+    return df.select(F.inline(F.array(*[cell(c) for c in cols]))).select(
+        "col", F.when(num.isNull(), go_trim(v)).when(~within, num.cast("string")).alias("v"), F.when(within, num).alias("num"))
+
+
+def _with_known(stats: DataFrame, df: DataFrame, cols: list[str], casts: bool) -> DataFrame:
+    """``stats`` with the values that were counted without their text
+    (``_known``), of each column what its type says."""
+    says = []
+    for c in cols:
+        t = df.schema[c].dataType
+        if isinstance(t, IntegralType):
+            says.append((c, ["n", "m_integer", "m_real", "k_bigint", "k_double", "k_decimal"]))
+        elif isinstance(t, DateType):
+            says.append((c, ["n", "m_dateTime", "k_date", "k_timestamp_ntz"]))
+        elif isinstance(t, (TimestampType, TimestampNTZType)):
+            says.append((c, ["n", "n_time", "m_dateTime", "k_timestamp_ntz"]))
+    if says:
+        rows = small_frame(df.sparkSession, [("col", "string"), ("_says", "array<string>")], says)
+        stats = stats.join(F.broadcast(rows), "col", "left")
+        more = {n for _, names in says for n in names} & set(stats.columns)
+        stats = stats.withColumns({n: F.col(n) + F.when(F.array_contains("_says", F.lit(n)), F.col("_known")).otherwise(0) for n in more})
+        whole = F.array_contains("_says", F.lit("m_integer")) & (F.col("_known") > 0)
+        stats = stats.withColumns({f"m_{ty}": F.col(f"m_{ty}") + F.when(whole, F.col(f"_{ty}")).otherwise(0) for ty in COORD_RULES})
+        if casts:
+            digits = {"d_whole": F.length(F.col("_most").cast("bigint").cast("string")), "d_scale": F.lit(0)}
+            stats = stats.withColumns({d: F.greatest(d, F.when(whole, x)) for d, x in digits.items()})
+    return stats.drop("_known", "_most", "_says", *[f"_{ty}" for ty in COORD_RULES])
+
+
 def _score_rows(g: DataFrame, types: list[str], digits: int) -> DataFrame:
     """Long scores (col, semantic_type, n, n_match, probability) from the
     per-column counts ``n`` and ``m_<type>``."""
@@ -44,15 +102,14 @@ def _tested(long: DataFrame, casts: bool) -> DataFrame:
     """``long`` with what the tests of a value share, each as a column, so
     that it is found once per value: whether it is a ``real`` number, a whole one
     or a ``stamp``, the ``rest`` (texts that are none of these) and, for
-    casts, whether a number is ``padded``, its digits left and right of the
-    point (``d_whole``, ``d_scale``) and whether a double keeps it (``double``).
-    Whole numbers of up to 15 characters (``short``) say all that themselves;
+    casts, whether it is padded (``zeros``), and the parts of a number and of
+    the double it becomes (``again_``). Whole numbers of up to 15 characters (``short``) say all that themselves;
     others are taken apart (``exact.parts``)."""
     v = F.col("v")
     is_ = lambda ty, may: F.coalesce(may & v.rlike(PATTERNS[ty]), F.lit(False))
-    # Numbers begin with a sign, a point or a digit; stamps have a few lengths.
-    out = long.select("col", "v", is_("real", (v >= "+") & (v < ":")).alias("real"),
-                      is_("dateTime", F.octet_length(v).between(DATE_BYTES, STAMP_BYTES)).alias("stamp"))
+    # Numbers begin with a sign, a point or a digit, stamps with a digit; these have a few lengths.
+    led = (v >= "+") & (v < ":")
+    out = long.select("*", is_("real", led).alias("real"), is_("dateTime", led & F.octet_length(v).between(DATE_BYTES, STAMP_BYTES)).alias("stamp"))
     out = out.select("*", is_("integer", F.col("real")).alias("whole"), F.when(~F.col("real") & ~F.col("stamp"), v).alias("rest"))
     if not casts:
         return out
@@ -61,12 +118,15 @@ def _tested(long: DataFrame, casts: bool) -> DataFrame:
     out = E.with_parts(out, F.when(F.col("real") & ~short, v))
     core, point = F.length("core"), F.col("point")
     out = E.with_parts(out, F.when((core <= E.SAFE_DIGITS + 2) & ((core > E.SAFE_DIGITS) | (F.abs(point) >= E.FAR)), v.try_cast("double").cast("string")), "again_")
-    whole, scale = E.decimal_digits(F.col("core"), point)
-    led = F.startswith(v, F.lit("0")) | F.startswith(v, F.lit("+0")) | F.startswith(v, F.lit("-0"))
-    return out.select(
-        "*", F.when(short, (size > 1) & led).otherwise(F.col("padded")).alias("zeros"),
-        F.when(short, size).otherwise(whole).alias("d_whole"), F.when(short, 0).otherwise(scale).alias("d_scale"),
-        (short | E.double_holds(F.col("core"), point, F.col("again_core"), F.col("again_point"))).alias("double"))
+    led = F.startswith(F.ltrim(v, F.lit("+-")), F.lit("0"))
+    return out.withColumn("zeros", F.when(short, (size > 1) & led).otherwise(F.col("padded")))
+
+
+def _digits() -> dict[str, Column]:
+    """Digits left and right of the point of a tested number."""
+    size = F.octet_length("v") - F.when(F.col("v") < "0", 1).otherwise(0)
+    whole, scale = E.decimal_digits(F.col("core"), F.col("point"))
+    return {"d_whole": F.when(F.col("short"), size).otherwise(whole), "d_scale": F.when(F.col("short"), 0).otherwise(scale)}
 
 
 def _scored(semantic_type: str) -> Column:
@@ -91,7 +151,7 @@ def _kept(target: str) -> Column:
     if target == "bigint":
         return F.col("whole") & ~F.col("zeros") & (F.col("short") | v.try_cast("bigint").isNotNull())
     if target == "double":
-        return F.col("real") & ~F.col("zeros") & F.col("double")
+        return F.col("real") & ~F.col("zeros") & (F.col("short") | E.double_holds(F.col("core"), F.col("point"), F.col("again_core"), F.col("again_point")))
     if target == "boolean":
         return _scored("boolean")
     return stamp & (F.octet_length(v) == DATE_BYTES if target == "date" else F.lit(True)) & v.try_cast(target).isNotNull()
@@ -107,19 +167,21 @@ def column_stats(df: DataFrame, cols: list[str] | None = None, gazetteer_keys: D
     row per column and task. Place hits (``m_place``) come from a semi join of the non-null
     values with the gazetteer's keys."""
     cols = cols or df.columns
-    long = text_long(df, cols)
-    v = F.col("v")
-    tested = _tested(long, casts)
+    v, num = F.col("v"), F.col("num")
+    tested = _tested(cells(df, cols), casts)
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.count_if(F.col("stamp") & (F.octet_length(v) > DATE_BYTES)).alias("n_time")]
     aggs += [F.count_if(_scored(ty)).alias(f"m_{ty}") for ty in SCORED_TYPES]
+    aggs += [F.count(num).alias("_known"), *[F.count_if(F.lower("col").contains(hint) & (F.abs(num) <= F.lit(bound))).alias(f"_{ty}")
+                                             for ty, (hint, bound) in COORD_RULES.items()]]
     if casts:
         aggs += [F.count_if(_kept(t)).alias(f"k_{t}") for t in CAST_TARGETS]
         unpadded = F.col("real") & ~F.col("zeros")
-        aggs += [F.count_if(unpadded).alias("k_decimal"), *[F.max(F.when(unpadded, F.col(d))).alias(d) for d in ("d_whole", "d_scale")]]
-    stats = tested.groupBy("col").agg(*aggs)
+        aggs += [F.count_if(unpadded).alias("k_decimal"), *[F.max(F.when(unpadded, x)).alias(d) for d, x in _digits().items()],
+                 F.max(F.abs(num)).alias("_most")]
+    stats = _with_known(tested.groupBy("col").agg(*aggs), df, cols, casts)
     if gazetteer_keys is not None:
         keys = gazetteer_keys.select(F.col(gazetteer_keys.columns[0]).alias("_key")).where("_key is not null")
-        hits = (long.where(v.isNotNull()).select("col", F.upper(v).alias("_key")).join(keys, "_key", "left_semi")
+        hits = (text_long(df, cols).where(v.isNotNull()).select("col", F.upper(v).alias("_key")).join(keys, "_key", "left_semi")
                 .groupBy("col").agg(F.count(F.lit(1)).alias("m_place")))
         stats = stats.join(hits, "col", "left").withColumn("m_place", F.coalesce("m_place", F.lit(0).cast("bigint")))
     return stats
@@ -245,5 +307,11 @@ def apply_types(df: DataFrame, selected: dict[str, str]) -> DataFrame:
     """Columns cast to their selected storage types; a column whose type is
     already that one, or that has no entry, stays as it is."""
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return df.select(*[guarded_cast(qcol(c), selected[c]).alias(c) if c in selected and selected[c] != have[c] else qcol(c)
-                       for c in df.columns])
+
+    def cast(name):
+        """Whole numbers to bigint and times to timestamps are cast as they are (``_known``), others by their text."""
+        c, t, to = qcol(name), df.schema[name].dataType, selected[name]
+        if to == "bigint" and isinstance(t, IntegralType) or to == "timestamp_ntz" and isinstance(t, (DateType, TimestampType)):
+            return F.when(_known(c, t), c.cast(to)).otherwise(guarded_cast(c, to))
+        return guarded_cast(c, to)
+    return df.select(*[cast(c).alias(c) if c in selected and selected[c] != have[c] else qcol(c) for c in df.columns])

@@ -14,6 +14,7 @@ from tessera.functions.sizing import qcol, small_frame, union_all
 
 QUARTILES = (0.25, 0.5, 0.75)
 BINS = 1024  # of a quantile pass
+FEW = 1 << 16  # values that a step may have to be ranked one by one
 MEAN_SCALE = 10  # decimal places that an exact mean keeps of each value
 
 
@@ -52,13 +53,13 @@ def _bins(long: DataFrame, keys: list[str], ranges: DataFrame) -> DataFrame:
 
 
 def _locate(bins: DataFrame, keys: list[str], targets: DataFrame) -> DataFrame:
-    """(*keys, rank, skip, _lo, _hi): for each target (*keys, _r, rank, skip)
+    """(*keys, rank, skip, _lo, _hi, _n): for each target (*keys, _r, rank, skip)
     the bin of range ``_r`` that holds it; ``skip`` counts the values below."""
     before = Window.partitionBy(*keys, "_r").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     cum = bins.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     at = F.col("rank") - F.col("skip")
     return (targets.join(cum, [*keys, "_r"]).where((at >= F.col("_before")) & (at < F.col("_before") + F.col("_n")))
-            .select(*keys, "rank", (F.col("skip") + F.col("_before")).alias("skip"), "_lo", "_hi"))
+            .select(*keys, "rank", (F.col("skip") + F.col("_before")).alias("skip"), "_lo", "_hi", "_n"))
 
 
 def _quantiles_exact(long: DataFrame, keys: list[str], stats: list, probs, passes: int = 2) -> DataFrame:
@@ -68,9 +69,9 @@ def _quantiles_exact(long: DataFrame, keys: list[str], stats: list, probs, passe
     Each pass counts the values in equal steps of the ranges that still hold
     a wanted rank and keeps the step that has it, so a pass narrows a range
     by BINS and shuffles only counts; a few rows per group come back and
-    enter the next pass as literals. The distinct values of the last steps, a
-    millionth of a continuous column, are then counted and ranked. ``stats``
-    are rows with the keys and _n, _lo, _hi of the groups.
+    enter the next pass as literals. A step of one value is settled; once
+    all others have at most FEW values, or after ``passes``, their distinct values are counted and
+    ranked. ``stats`` are rows with the keys and _n, _lo, _hi of the groups.
     """
     spark, text = long.sparkSession, [(k, "string") for k in keys]
     wanted, found = [], {}
@@ -81,26 +82,32 @@ def _quantiles_exact(long: DataFrame, keys: list[str], stats: list, probs, passe
             lo, hi = math.floor(pos), math.ceil(pos)
             wanted.append((*key, float(p), lo, hi, pos - lo))
             for rank in (lo, hi):
-                found[(*key, rank)] = (0, r["_lo"], r["_hi"])
+                found[(*key, rank)] = (0, r["_lo"], r["_hi"], r["_n"])
 
     def narrowed(found):
         """Ranges and targets of what was found, as small frames."""
-        number = {x: n for n, x in enumerate(sorted({(k[:-1], *v) for k, v in found.items()}))}
+        number = {x: n for n, x in enumerate(sorted({(k[:-1], *v[:3]) for k, v in found.items()}))}
         ranges = small_frame(spark, [*text, ("_r", "int"), ("_lo", "double"), ("_hi", "double")],
                              [(*k, n, lo, hi) for (k, _, lo, hi), n in number.items()])
         targets = small_frame(spark, [*text, ("_r", "int"), ("rank", "bigint"), ("skip", "bigint")],
-                              [(*k[:-1], number[(k[:-1], *v)], k[-1], v[0]) for k, v in found.items()])
+                              [(*k[:-1], number[(k[:-1], *v[:3])], k[-1], v[0]) for k, v in found.items()])
         return ranges, targets
 
+    open_ = lambda: {k: v for k, v in found.items() if v[1] < v[2]}
     for _ in range(passes):
-        ranges, targets = narrowed(found)
-        rows = _locate(_bins(long, keys, ranges), keys, targets).collect()  # a few rows per group
-        found = {(*(r[k] for k in keys), r["rank"]): (r["skip"], r["_lo"], r["_hi"]) for r in rows}
-    ranges, targets = narrowed(found)
-    left = (long.join(F.broadcast(ranges), keys).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
-            .groupBy(*keys, "_r", "v").agg(F.count(F.lit(1)).alias("_n")))
-    exact = _locate(left.select(*keys, "_r", F.col("v").alias("_bin"), "_n", F.col("v").alias("_lo"), F.col("v").alias("_hi")),
-                    keys, F.broadcast(targets)).select(*keys, "rank", F.col("_lo").alias("v"))
+        many = {k: v for k, v in open_().items() if v[3] > FEW}
+        if many:
+            ranges, targets = narrowed(many)
+            rows = _locate(_bins(long, keys, ranges), keys, targets).collect()  # a few rows per group
+            found |= {(*(r[k] for k in keys), r["rank"]): (r["skip"], r["_lo"], r["_hi"], r["_n"]) for r in rows}
+    # A zero is one whatever its sign.
+    exact = small_frame(spark, [*text, ("rank", "bigint"), ("v", "double")], [(*k, v[1] + 0.0) for k, v in found.items() if not v[1] < v[2]])
+    if open_():
+        ranges, targets = narrowed(open_())
+        left = (long.join(F.broadcast(ranges), keys).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
+                .groupBy(*keys, "_r", "v").agg(F.count(F.lit(1)).alias("_n")))
+        exact = exact.unionByName(_locate(left.select(*keys, "_r", F.col("v").alias("_bin"), "_n", F.col("v").alias("_lo"), F.col("v").alias("_hi")),
+                                          keys, F.broadcast(targets)).select(*keys, "rank", F.col("_lo").alias("v")))
     want = small_frame(spark, [*text, ("p", "double"), ("r0", "bigint"), ("r1", "bigint"), ("frac", "double")], wanted)
     both = want.join(exact, keys).where("rank = r0 or rank = r1")  # a few rows per group on both sides
     at = lambda r: F.max(F.when(F.col("rank") == F.col(r), F.col("v")))
@@ -134,9 +141,9 @@ def exact_mean(total: Column, n: Column, digits: int) -> Column:
 _DOUBLE_WHOLE = 1 << 53
 
 
-def _number_cell(name: str, c: Column, t: DataType) -> Column:
+def _number_cell(name: str, c: Column, t: DataType, exact: bool = True) -> Column:
     """(col, v, e, k): the value as a double, as an exact decimal where its
-    type is exact, and what tells apart values that are the same double."""
+    type is exact (if asked for), and what tells apart values that are the same double."""
     v = c.cast("double")
     e = F.lit(None).cast(f"decimal(38,{MEAN_SCALE})")
     k = F.lit(0).cast("bigint")
@@ -144,13 +151,13 @@ def _number_cell(name: str, c: Column, t: DataType) -> Column:
         e, k = c.cast(f"decimal(38,{MEAN_SCALE})"), c.cast("bigint")
     elif isinstance(t, DecimalType):
         e, k = (c.try_cast(f"decimal(38,{MEAN_SCALE})") if t.scale <= MEAN_SCALE else e), F.xxhash64(c.cast("string"))
-    return F.struct(F.lit(name).alias("col"), v.alias("v"), e.alias("e"), F.when(c.isNotNull(), k).alias("k"))
+    return F.struct(F.lit(name).alias("col"), v.alias("v"), *([e.alias("e")] if exact else []), F.when(c.isNotNull(), k).alias("k"))
 
 
 def _number_stats(long: DataFrame, doubles: DataFrame, keys: list[str], exact: bool, digits: int) -> tuple[DataFrame, list]:
     """Statistics per key group of long numbers (``_number_cell``), nulls
-    included, and the collected row of each group. Values, sums and moments are one pass;
-    quantiles take a few, over ``doubles`` (the same without exact parts)."""
+    included, and the collected row of each group. Sums and moments are one pass;
+    distinct counts and quantiles read ``doubles`` (the same without exact parts)."""
     v = F.col("v")
     f = _finite(v)
     dec = F.coalesce("e", f.try_cast(f"decimal(38,{MEAN_SCALE})"))
@@ -160,7 +167,7 @@ def _number_stats(long: DataFrame, doubles: DataFrame, keys: list[str], exact: b
         F.count(f).alias("_n"), F.avg(f).alias("_m"), F.min(f).alias("_lo"), F.max(f).alias("_hi"), F.sum(dec).alias("_sum"),
         F.count_if(odd).alias("_odd"), F.stddev_samp(f).alias("_sd"), F.count(F.lit(1)).alias("n"), F.count_if(v.isNull()).alias("n_null"))
     fin = doubles.select(*keys, f.alias("v"))
-    counts = long.groupBy(*keys).agg(distinct.alias("n_distinct"))
+    counts = doubles.groupBy(*keys).agg(distinct.alias("n_distinct"))
     # One row per group comes back; later steps have them as literals.
     fields = [*[(k, "string") for k in keys], ("_n", "bigint"), ("_m", "double"), ("_lo", "double"), ("_hi", "double"),
               ("_sum", f"decimal(38,{MEAN_SCALE})"), ("_odd", "bigint"), ("_sd", "double"), ("n", "bigint"), ("n_null", "bigint")]
@@ -221,7 +228,7 @@ def profile_many(datasets: dict[str, tuple[DataFrame, list[str]]], exact: bool =
         number = [c for c in cols if family(df.schema[c].dataType) == "number"]
         if number:
             parts["number"].append(df.select(tag, F.inline(F.array(*[_number_cell(c, qcol(c), df.schema[c].dataType) for c in number]))))
-            doubles.append(unpivot_values(df, number, keep=[tag]))
+            doubles.append(df.select(tag, F.inline(F.array(*[_number_cell(c, qcol(c), df.schema[c].dataType, False) for c in number]))))
         other = [c for c in cols if c not in number]
         if other:
             parts["text"].append(df.select(tag, F.inline(F.array(*[

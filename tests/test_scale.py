@@ -74,3 +74,46 @@ def test_profile_sorts_no_text(spark):
     assert not re.search(r"SortAggregate\(key=\[[^\]]", executed(prof))
     got = {r["col"]: (r["n"], r["n_null"], r["n_distinct"], r["min_text"], r["max_text"]) for r in prof.collect()}
     assert got == {"s": (3, 1, 2, "a", "b"), "d": (3, 1, 2, "2023-01-05 00:00:00", "2024-01-05 00:00:00"), "b": (3, 0, 2, "false", "true")}
+
+
+def test_values_known_by_their_type_need_no_text(spark):
+    """Whole numbers, dates and times are counted as their texts would be, of
+    which only those out of range are made; casts give the same values."""
+    from tessera.functions.types import guarded_cast
+    from tessera.operators import classify as C
+    df = spark.sql("""select * from values
+        (0L, 7, 5S, date '2024-01-05', timestamp '2024-01-05 10:00:00', timestamp_ntz '2024-01-05 00:00:00', 1.5D, -90L, 'a'),
+        (-999999999999999L, -7, -5S, date '1600-02-29', timestamp '1890-06-01 01:02:03.000004', timestamp_ntz '9999-12-31 23:59:59', -0D, 91L, ' 007 '),
+        (1000000000000000L, 2147483647, 0S, date '9999-12-31', timestamp '0001-01-01 12:00:00', null, double('NaN'), 180L, '12'),
+        (9223372036854775807L, null, null, null, null, timestamp_ntz '2024-01-05 00:00:00.5', 1e300D, -181L, null),
+        (-9223372036854775807L - 1, 1, 1S, date '0001-01-01', timestamp '2024-01-05 10:00:00', null, 1.0000000000000002D, 9000000000000000001L, '2024-01-05'),
+        (null, null, null, date_add(date '9999-12-31', 9), timestampadd(day, 9, timestamp '9999-12-31 00:00:00'), null, null, null, '2024-01-05 10:00')
+        as t(w, i, s, day, ts, ntz, d, lat_lon, x)""")
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    for casts in (True, False):
+        got, want = (sorted(map(tuple, C.column_stats(x, casts=casts).select("col", *sorted(set(C.column_stats(texts, casts=casts).columns) - {"col"})).collect()))
+                     for x in (df, texts))
+        assert got == want and len(got) == 9
+    made = {r["col"]: r["n"] for r in C.cells(df, df.columns).where("v is not null").groupBy("col").agg(F.count("v").alias("n")).collect()}
+    assert made == {"w": 3, "day": 3, "ts": 2, "ntz": 1, "d": 5, "lat_lon": 1, "x": 5}
+    for c, to in (("i", "bigint"), ("s", "bigint"), ("w", "bigint"), ("ts", "timestamp_ntz"), ("day", "timestamp_ntz"), ("i", "double"), ("ts", "date")):
+        one = C.apply_types(df.select(c), {c: to})
+        plain = df.select((F.col(c) if df.schema[c].dataType.simpleString() == to else guarded_cast(F.col(c), to)).alias(c))
+        assert one.schema == plain.schema and [tuple(r) for r in one.collect()] == [tuple(r) for r in plain.collect()], (c, to)
+
+
+def test_quantiles_narrow_only_what_has_many_values(spark, monkeypatch):
+    """No pass over the values for steps of few values or a single one; the
+    quartiles are the same after none, one or two passes."""
+    calls, bins = [], Y._bins
+    monkeypatch.setattr(Y, "_bins", lambda *a: calls.append(1) or bins(*a))
+    df = spark.range(999).select(F.when(F.col("id") > 2, F.col("id") * F.col("id") / 8).alias("a"), F.lit(-0.0).alias("same"),
+                                 F.when(F.col("id") < 500, 1.0).otherwise(1e9).alias("two"), F.lit(None).cast("double").alias("none"))
+    want = {r["col"]: tuple(r) for r in df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("v")) for c in df.columns])))
+            .groupBy("col").agg(*[F.round(F.expr(f"percentile(v, {p})"), 6).alias(str(p)) for p in Y.QUARTILES]).collect()}
+    for few, passes in ((1 << 16, 0), (400, 1), (1, 2)):
+        monkeypatch.setattr(Y, "FEW", few, raising=False)
+        calls.clear()
+        got = {r["col"]: tuple(r) for r in Y.profile(df).select("col", "p25", "p50", "p75").collect()}
+        assert got == want and len(calls) == passes, few
+    assert str(got["same"][1]) == "0.0"
